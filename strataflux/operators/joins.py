@@ -16,7 +16,21 @@ from pyspark.sql import functions as F
 
 KeyPairs = Sequence[tuple[str, str]]
 
-FILTERING_JOINS = {"left_anti", "leftanti", "anti", "left_semi", "leftsemi", "semi"}
+# Spark's names for the kinds of joins, without underscores.
+JOINS = {
+    "anti": "left_anti",
+    "leftanti": "left_anti",
+    "semi": "left_semi",
+    "leftsemi": "left_semi",
+    "inner": "inner",
+    "left": "left",
+    "leftouter": "left",
+    "right": "right",
+    "rightouter": "right",
+    "full": "full",
+    "outer": "full",
+    "fullouter": "full",
+}
 
 # A key leaves the first step of `distinct_keys` at most this often.
 KEY_SLOTS = 32
@@ -38,6 +52,24 @@ def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys, slot.alias("__slot")).distinct().drop("__slot")
 
 
+def _matches(pairs: KeyPairs, prefix: str) -> Column:
+    return reduce(and_, [F.col(ours) == F.col(prefix + theirs) for ours, theirs in pairs])
+
+
+def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
+    return df.select(*[F.col(name).alias(prefix + name) for name in df.columns])
+
+
+def _padded(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The frame with the columns of another, NULL where it has none."""
+    return df.select(
+        *[
+            F.col(field.name) if field.name in df.columns else F.lit(None).cast(field.dataType).alias(field.name)
+            for field in like.schema
+        ]
+    )
+
+
 def key_join(
     source: DataFrame,
     target: DataFrame,
@@ -50,16 +82,25 @@ def key_join(
 
     Anti and semi joins return source columns and read only the target's keys, without
     repeats (``target_is_keyed`` says it has none). Other kinds return the source columns
-    followed by the target's, prefixed.
+    followed by the target's, prefixed. An outer join is the inner join and the rows without
+    a match: of an inner join Spark can split a hot key on either side, of an outer join on
+    one side at most.
     """
-    target_keys = list(dict.fromkeys(theirs for _, theirs in pairs))
-    if how in FILTERING_JOINS:
-        side = target.select(*target_keys) if target_is_keyed else distinct_keys(target, target_keys)
-    else:
-        side = target
-    side = side.select(*[F.col(name).alias(prefix + name) for name in side.columns])
-    condition: Column = reduce(and_, [source[ours] == side[prefix + theirs] for ours, theirs in pairs])
-    return source.join(side, condition, how)
+    how = JOINS.get(how.replace("_", "").lower(), how)
+    if how in ("left_anti", "left_semi"):
+        keys = list(dict.fromkeys(theirs for _, theirs in pairs))
+        side = target.select(*keys) if target_is_keyed else distinct_keys(target, keys)
+        return source.join(_prefixed(side, prefix), _matches(pairs, prefix), how)
+    joined = source.join(_prefixed(target, prefix), _matches(pairs, prefix), "inner")
+    result = joined
+    if how in ("left", "full"):
+        result = result.unionByName(_padded(unseen(source, target, pairs), joined))
+    if how in ("right", "full"):
+        alone = unseen(target, source, [(theirs, ours) for ours, theirs in pairs])
+        result = result.unionByName(_padded(_prefixed(alone, prefix), joined))
+    if how not in ("inner", "left", "right", "full"):
+        raise ValueError(f"unknown join type {how!r}")
+    return result
 
 
 def unseen(source: DataFrame, target: DataFrame, pairs: KeyPairs, target_is_keyed: bool = False) -> DataFrame:

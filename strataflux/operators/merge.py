@@ -84,7 +84,7 @@ def merge_update_insert(
         *[F.col(name).alias(f"__{name}") for name in settable],
         F.lit(True).alias(MATCHED),
     )
-    on_keys = [target[key] == values[f"__{key}"] for key in keys]
+    on_keys = [F.col(key) == F.col(f"__{key}") for key in keys]
     updated = target.join(values, on_keys, "left").select(
         *[
             F.when(F.col(MATCHED), F.col(f"__{name}")).otherwise(F.col(name)).alias(name)

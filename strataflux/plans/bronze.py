@@ -5,34 +5,34 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflux import schemas
 from strataflux.functions.times import batch_name
 from strataflux.operators.merge import absent_rows
 from strataflux.plans.batchlog import BatchLog
+from strataflux.plans.days import day_values, on_days
 from strataflux.session import session_zone
 from strataflux.sources.files import read_files, stamp_load_time
 from strataflux.sources.sinks import replace_partitions
 from strataflux.sources.tables import Layers, read_dataset
 
 BATCH = schemas.BATCH_PARTITION.name
-STORED = schemas.with_partition(schemas.BRONZE, schemas.BATCH_PARTITION)
+ARRIVAL_DAY = schemas.ARRIVAL_DAY_PARTITION.name
+STORED = schemas.stored(schemas.BRONZE, schemas.BRONZE_PARTITIONS)
 
 
 def read_bronze(spark: SparkSession, layers: Layers) -> DataFrame:
     return read_dataset(spark, layers.bronze, STORED)
 
 
-def within_range_of(target: DataFrame, source: DataFrame, column: str) -> DataFrame:
-    """Target rows that can match the source, judged by the range of one key column.
+def named_day(time_text: Column) -> Column:
+    """The day a timestamp text begins with, NULL when it begins with none.
 
-    One small aggregate over the source yields two values; as literals they reach the scan
-    of the target, where file statistics skip what lies outside. No matching row is lost.
+    It depends on the text alone, so readings with the same key share it.
     """
-    low, high = source.agg(F.min(column), F.max(column)).first()
-    return target.where(F.lit(False) if low is None else F.col(column).between(low, high))
+    return F.substring(time_text, 1, 10).try_cast("date")
 
 
 def load_arrivals(
@@ -45,9 +45,10 @@ def load_arrivals(
 ) -> bool:
     """Store one batch of arrivals; False when this batch was complete already.
 
-    ``insert_only`` skips rows whose key an earlier batch delivered, ``append`` keeps every
-    delivery. The batch is a partition of its own and the merge looks at other batches only,
-    so loading it again after a failure gives the same table.
+    ``insert_only`` skips rows whose key an earlier batch delivered, reading the keys of the
+    arriving days only; ``append`` keeps every delivery. A batch has partitions of its own
+    and the merge looks at other batches, so loading it again after a failure gives the same
+    table.
     """
     if mode not in ("insert_only", "append"):
         raise ValueError(f"mode must be 'insert_only' or 'append', not {mode!r}")
@@ -58,13 +59,14 @@ def load_arrivals(
     if batch <= log.mark("silver"):
         raise ValueError(f"batch {batch} lies before the last batch silver has read; use a later load time")
     with session_zone(spark, "UTC"):
-        new = stamp_load_time(arrivals, moment).select(*schemas.BRONZE.names)
+        stamped = stamp_load_time(arrivals, moment).select(*schemas.BRONZE.names)
+        new = stamped.withColumns({ARRIVAL_DAY: named_day(F.col("timestamp")), BATCH: F.lit(batch)})
         if mode == "insert_only":
             others = read_bronze(spark, layers).where(F.col(BATCH) != batch)
             if not others.isEmpty():
-                new = absent_rows(new, within_range_of(others, new, "timestamp"), keys)
-        stored = new.withColumn(BATCH, F.lit(batch))
-        replace_partitions(stored, layers.bronze, [BATCH], keys, spread="as is")
+                same_days = others.where(on_days(day_values(new, ARRIVAL_DAY), ARRIVAL_DAY))
+                new = absent_rows(new, same_days, keys)
+        replace_partitions(new, layers.bronze, [ARRIVAL_DAY, BATCH], keys)
     log.record("bronze", batch)
     return True
 

@@ -11,7 +11,8 @@ from strataflux.operators.incremental import touched_groups
 from strataflux.operators.joins import distinct_keys, same_keys, seen, unseen
 from strataflux.operators.merge import absent_rows
 from strataflux.operators.summary import daily_summary
-from strataflux.plans.swap import DAY, day_values, gold_table, on_days, silver_table
+from strataflux.plans.days import DAY, day_values, on_days
+from strataflux.plans.swap import gold_table, silver_table
 from strataflux.session import session_zone
 from strataflux.sources.sinks import append_rows
 from strataflux.sources.tables import Layers
@@ -51,7 +52,7 @@ def refresh_touched(spark: SparkSession, layers: Layers, since: str, upto: str)
     if days:
         summary = summarise(silver.where(on_days(days)))
         refreshed = seen(summary, groups, same_keys(KEYS), target_is_keyed=True)
-        table.merge(refreshed, days, upto)
+        table.merge(refreshed, table.rows(), days, upto)
 
 
 def gold(spark: SparkSession, layers: Layers, mode: str = "unseen", zone: str = "UTC") -> str:

@@ -15,7 +15,8 @@ from strataflux.operators.merge import latest_per_key
 from strataflux.operators.quality import accepted, reading_rules, rejected, with_reason
 from strataflux.plans.batchlog import BatchLog
 from strataflux.plans.bronze import BATCH, read_bronze
-from strataflux.plans.swap import DAY, day_values, silver_table
+from strataflux.plans.days import DAY, day_values
+from strataflux.plans.swap import silver_table
 from strataflux.session import session_zone
 from strataflux.sources.sinks import replace_partitions
 from strataflux.sources.tables import Layers, read_dataset
@@ -75,8 +76,9 @@ def silver(
         log_rows = rejected(reasoned).select(*schemas.ERROR_LOG.names, BATCH)
         replace_partitions(log_rows, layers.error_log, [BATCH], spread="evenly")
         typed = typed_rows(reasoned)
-        days = None if table.rows().isEmpty() else day_values(typed)
-        table.merge(latest_per_key(typed, schemas.READING_KEYS, ["load_datetime"]), days, upto)
+        current = table.rows()
+        days = [] if current.isEmpty() else day_values(typed)
+        table.merge(latest_per_key(typed, schemas.READING_KEYS, ["load_datetime"]), current, days, upto)
         table.log.record("silver", upto)
     return upto
 
@@ -87,5 +89,5 @@ def read_silver(spark: SparkSession, layers: Layers) -> DataFrame:
 
 
 def read_error_log(spark: SparkSession, layers: Layers) -> DataFrame:
-    stored = schemas.with_partition(schemas.ERROR_LOG, schemas.BATCH_PARTITION)
+    stored = schemas.stored(schemas.ERROR_LOG, schemas.ERROR_LOG_PARTITIONS)
     return read_dataset(spark, layers.error_log, stored).select(*schemas.ERROR_LOG.names)

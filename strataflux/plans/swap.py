@@ -4,41 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from strataflux import schemas
 from strataflux.operators.merge import upsert
 from strataflux.plans.batchlog import BatchLog
+from strataflux.plans.days import DAY, Days, on_days
 from strataflux.sources.sinks import replace_partitions, stage
 from strataflux.sources.tables import Layers, read_dataset
 
-DAY = schemas.DAY_PARTITION.name
-
-# Beyond this many days a range takes the place of the list.
-LISTED_DAYS = 20_000
-
-
-def day_values(rows: DataFrame) -> list[date]:
-    """The days a frame holds: one value per calendar day, whatever the number of rows."""
-    return sorted(row[0] for row in rows.select(DAY).distinct().collect() if row[0] is not None)
-
-
-def on_days(days: Sequence[date]) -> Column:
-    """A filter that prunes day partitions when the scan is planned.
-
-    The range may let through days between the listed ones; a merge writes those back
-    unchanged.
-    """
-    if not days:
-        return F.lit(False)
-    if len(days) > LISTED_DAYS:
-        return F.col(DAY).between(min(days), max(days))
-    return F.col(DAY).isin(list(days))
-
 
 @dataclass(frozen=True)
 class DayTable:
@@ -53,7 +29,7 @@ class DayTable:
 
     @property
     def stored(self) -> StructType:
-        return schemas.with_partition(self.schema, schemas.DAY_PARTITION)
+        return schemas.stored(self.schema, schemas.DAILY_PARTITIONS)
 
     @property
     def log(self) -> BatchLog:
@@ -75,20 +51,22 @@ class DayTable:
         self._swap_in()
         return staged
 
-    def merge(self, incoming: DataFrame, days: Sequence[date] | None, batch: str) -> None:
+    def merge(self, incoming: DataFrame, current: DataFrame, days: Days, batch: str) -> None:
         """Upsert rows that hold one row per key; only the days they fall on are touched.
 
+        ``current`` are the table's rows as read before, so its files are listed once.
+
         Sound because the day is a function of the key. Days new to the table are written
         straight away: nothing in the table depends on them, so a broken run is simply
         repeated. Days that exist are merged into a staging path first and only then moved
         in: should the move break off, the complete days are still at hand.
         """
         incoming = incoming.select(*self.stored.names)
-        current = self.rows().where(on_days(days)) if days is not None else None
-        if current is None or current.isEmpty():
+        touched = current.where(on_days(days))
+        if touched.isEmpty():
             replace_partitions(incoming, self.path, [DAY], self.keys)
             return
-        merged = upsert(incoming, current, self.keys, source_is_keyed=True)
+        merged = upsert(incoming, touched, self.keys, source_is_keyed=True)
         stage(merged, self.layers.staging(self.name), [DAY], self.keys)
         self.log.record(self.staged_mark, batch)
         self._swap_in()

@@ -67,7 +67,15 @@ BATCH_PARTITION = StructField("batch_id", StringType(), True)
 DAY_PARTITION = StructField("date", DateType(), True)
 
 
-def with_partition(schema: StructType, partition: StructField) -> StructType:
-    """The schema as stored: the layer's columns followed by its partition column."""
-    kept = [field for field in schema if field.name != partition.name]
-    return StructType([*kept, partition])
+# Each layer's partitioning. Bronze is cut by the day its timestamp text names, which limits
+# a merge to the days that arrive, and by batch, which limits silver to what is new.
+ARRIVAL_DAY_PARTITION = StructField("day", DateType(), True)
+BRONZE_PARTITIONS = [ARRIVAL_DAY_PARTITION, BATCH_PARTITION]
+ERROR_LOG_PARTITIONS = [BATCH_PARTITION]
+DAILY_PARTITIONS = [DAY_PARTITION]
+
+
+def stored(schema: StructType, partitions: list[StructField]) -> StructType:
+    """The schema at rest: the layer's columns followed by its partition columns."""
+    names = {field.name for field in partitions}
+    return StructType([field for field in schema if field.name not in names] + partitions)

@@ -85,13 +85,13 @@ def create_table(
     name: str,
     schema: StructType,
     location: str | None = None,
-    partition: StructField | None = None,
+    partitions: Sequence[StructField] = (),
 ) -> bool:
     """Create a Parquet table unless it exists; True when it was created."""
     if spark.catalog.tableExists(name):
         return False
-    stored = schemas.with_partition(schema, partition) if partition is not None else schema
-    parts = f" PARTITIONED BY ({partition.name})" if partition is not None else ""
+    stored = schemas.stored(schema, list(partitions))
+    parts = f" PARTITIONED BY ({', '.join(field.name for field in partitions)})" if partitions else ""
     place = f" LOCATION '{location}'" if location is not None else ""
     spark.sql(f"CREATE TABLE {name} ({stored.toDDL()}) USING parquet{parts}{place}")
     return True
@@ -99,13 +99,13 @@ def create_table(
 
 def create_tables(
     spark: SparkSession,
-    tables: Mapping[str, tuple[StructType, str | None, StructField | None]],
+    tables: Mapping[str, tuple[StructType, str | None, Sequence[StructField]]],
 ) -> dict[str, Exception]:
     """Create several tables; one that fails does not stop the others and is returned."""
     failed: dict[str, Exception] = {}
-    for name, (schema, location, partition) in tables.items():
+    for name, (schema, location, partitions) in tables.items():
         try:
-            create_table(spark, name, schema, location, partition)
+            create_table(spark, name, schema, location, partitions)
         except Exception as error:  # noqa: BLE001 - reported to the caller
             failed[name] = error
     return failed
@@ -122,10 +122,10 @@ def create_layers(spark: SparkSession, layers: Layers, prefix: str = "") -> dict
     return create_tables(
         spark,
         {
-            f"{prefix}bronze.bronze_turbines": (schemas.BRONZE, layers.bronze, schemas.BATCH_PARTITION),
-            f"{prefix}silver.silver_turbines": (schemas.SILVER, layers.silver, schemas.DAY_PARTITION),
-            f"{prefix}silver.error_log": (schemas.ERROR_LOG, layers.error_log, schemas.BATCH_PARTITION),
-            f"{prefix}gold.gold_turbines": (schemas.GOLD, layers.gold, schemas.DAY_PARTITION),
+            f"{prefix}bronze.bronze_turbines": (schemas.BRONZE, layers.bronze, schemas.BRONZE_PARTITIONS),
+            f"{prefix}silver.silver_turbines": (schemas.SILVER, layers.silver, schemas.DAILY_PARTITIONS),
+            f"{prefix}silver.error_log": (schemas.ERROR_LOG, layers.error_log, schemas.ERROR_LOG_PARTITIONS),
+            f"{prefix}gold.gold_turbines": (schemas.GOLD, layers.gold, schemas.DAILY_PARTITIONS),
         },
     )
 
