@@ -6,6 +6,7 @@ again from the same point. Marks are batch names; their text order is their time
 
 from __future__ import annotations
 
+from collections import defaultdict
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,17 +24,21 @@ class BatchLog:
     spark: SparkSession
     path: str
 
-    def _entries(self, stage: str) -> DataFrame:
-        return read_dataset(self.spark, self.path, ENTRY).where(F.col("stage") == stage)
+    def _entries(self) -> DataFrame:
+        return read_dataset(self.spark, self.path, ENTRY)
 
     def record(self, stage: str, batch: str) -> None:
         entry = self.spark.range(1).select(F.lit(stage).alias("stage"), F.lit(batch).alias("batch_id"))
         entry.coalesce(1).write.mode("append").parquet(self.path)
 
+    def marks(self) -> dict[str, str]:
+        """The last batch of every stage, read in one go; ``""`` for a stage without one."""
+        newest = self._entries().groupBy("stage").agg(F.max("batch_id")).collect()
+        return defaultdict(lambda: NOTHING_DONE, [tuple(row) for row in newest])
+
     def mark(self, stage: str) -> str:
-        """The last batch the stage finished, ``""`` before the first."""
-        newest = self._entries(stage).agg(F.max("batch_id")).first()
-        return newest[0] or NOTHING_DONE
+        return self.marks()[stage]
 
     def holds(self, stage: str, batch: str) -> bool:
-        return not self._entries(stage).where(F.col("batch_id") == batch).isEmpty()
+        same = (F.col("stage") == stage) & (F.col("batch_id") == batch)
+        return not self._entries().where(same).isEmpty()

@@ -65,10 +65,9 @@ def gold(spark: SparkSession, layers: Layers, mode: str = "unseen", zone: str =
         raise ValueError(f"mode must be 'unseen' or 'touched', not {mode!r}")
     table = gold_table(spark, layers)
     with session_zone(spark, zone):
-        finished = table.resume()
-        if finished is not None:
-            table.log.record("gold", finished)
-        since, upto = table.log.mark("gold"), table.log.mark("silver")
+        marks = table.log.marks()
+        table.resume(marks)
+        since, upto = marks["gold"], marks["silver"]
         if mode == "unseen":
             add_unseen(spark, layers)
         elif upto > since:

@@ -13,7 +13,6 @@ from strataflux.functions.times import add_day
 from strataflux.operators.conform import cast_to_schema
 from strataflux.operators.merge import latest_per_key
 from strataflux.operators.quality import accepted, reading_rules, rejected, with_reason
-from strataflux.plans.batchlog import BatchLog
 from strataflux.plans.bronze import BATCH, read_bronze
 from strataflux.plans.days import DAY, day_values
 from strataflux.plans.swap import silver_table
@@ -22,15 +21,10 @@ from strataflux.sources.sinks import replace_partitions
 from strataflux.sources.tables import Layers, read_dataset
 
 
-def pending(spark: SparkSession, layers: Layers) -> tuple[DataFrame, str] | None:
-    """Bronze batches silver has not finished and the last of them; both ends are fixed
-    before anything is read, so a batch that lands meanwhile waits for the next run."""
-    log = BatchLog(spark, layers.batch_log)
-    mark, upto = log.mark("silver"), log.mark("bronze")
-    if upto <= mark:
-        return None
-    batches = (F.col(BATCH) > mark) & (F.col(BATCH) <= upto)
-    return read_bronze(spark, layers).where(batches), upto
+def pending(spark: SparkSession, layers: Layers, mark: str, upto: str) -> DataFrame:
+    """Bronze batches after the mark. Both ends are fixed before anything is read, so a
+    batch that lands meanwhile waits for the next run."""
+    return read_bronze(spark, layers).where((F.col(BATCH) > mark) & (F.col(BATCH) <= upto))
 
 
 def typed_keys() -> dict[str, Column]:
@@ -65,13 +59,12 @@ def silver(
     """
     table = silver_table(spark, layers)
     with session_zone(spark, zone):
-        finished = table.resume()
-        if finished is not None:
-            table.log.record("silver", finished)
-        window = pending(spark, layers)
-        if window is None:
-            return finished
-        rows, upto = window
+        marks = table.log.marks()
+        resumed = table.resume(marks)
+        mark, upto = marks["silver"], marks["bronze"]
+        if upto <= mark:
+            return mark if resumed else None
+        rows = pending(spark, layers, mark, upto)
         reasoned = with_reason(rows, null_columns, rules or reading_rules(), typed_keys())
         log_rows = rejected(reasoned).select(*schemas.ERROR_LOG.names, BATCH)
         replace_partitions(log_rows, layers.error_log, [BATCH], spread="evenly")

@@ -43,13 +43,18 @@ class DayTable:
         """The table with its day column."""
         return read_dataset(self.spark, self.path, self.stored)
 
-    def resume(self) -> str | None:
-        """Finish a swap that broke off after staging; the batch it was for, if there was one."""
-        staged = self.log.mark(self.staged_mark)
-        if staged <= self.log.mark(self.name):
-            return None
+    def resume(self, marks: dict[str, str]) -> bool:
+        """Finish a swap that broke off after staging, and its batch with it.
+
+        True when there was one; the marks are brought up to date.
+        """
+        staged = marks[self.staged_mark]
+        if staged <= marks[self.name]:
+            return False
         self._swap_in()
-        return staged
+        self.log.record(self.name, staged)
+        marks[self.name] = staged
+        return True
 
     def merge(self, incoming: DataFrame, current: DataFrame, days: Days, batch: str) -> None:
         """Upsert rows that hold one row per key; only the days they fall on are touched.

@@ -11,9 +11,8 @@ from pyspark.sql import SparkSession
 
 ZONE_SETTING = "spark.sql.session.timeZone"
 
-# What a cluster should run with. AQE sizes shuffle reads, splits skewed join and
-# rebalance partitions and turns joins with a measured small side into broadcasts;
-# the initial partition number is the ceiling it coalesces down from.
+# What a session should run with. AQE sizes shuffle reads, splits skewed join and
+# rebalance partitions and turns joins with a measured small side into broadcasts.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -26,6 +25,20 @@ SETTINGS = {
 }
 
 
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def cluster_settings(cores: int, largest_shuffle_bytes: int) -> dict[str, str]:
+    """Settings for a cluster, given its cores and the bytes of its largest shuffle.
+
+    AQE merges shuffle partitions that turn out small but cannot cut those of an
+    aggregation, so there must be enough of them for the largest input from the start.
+    """
+    needed = -(-largest_shuffle_bytes // SHUFFLE_PARTITION_BYTES)
+    partitions = str(max(2 * cores, needed))
+    return {**SETTINGS, "spark.sql.adaptive.coalescePartitions.initialPartitionNum": partitions}
+
+
 @contextmanager
 def session_zone(spark: SparkSession, zone: str) -> Iterator[None]:
     """Analyse everything inside the block in one time zone, whatever the session uses.

@@ -22,7 +22,7 @@ def new_session() -> SparkSession:
         .appName("strataflux-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
         .config("spark.checkpoint.dir", f"{folder}/shared")
         .config("spark.sql.streaming.fileSource.cleaner.numThreads", "0")
