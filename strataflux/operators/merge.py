@@ -53,8 +53,10 @@ def upsert(
 ) -> DataFrame:
     """The target after replacing rows the source has a key for and adding the others.
 
-    Several source rows for one key are reduced to the latest; the shuffle that takes serves
-    the join as well.
+    The target holds one row per key. Several source rows for a key are reduced to the
+    latest. The join sees no more of the source than its keys, so corrections that are few
+    are broadcast and the target is read in place; a full outer join, the other way to write
+    this, would shuffle the target always.
     """
     incoming = source if source_is_keyed else latest_per_key(source, keys, newest_by)
     untouched = unseen(target, incoming, same_keys(keys), target_is_keyed=True)

@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # A join side is broadcast at run time only if its measured rows take no more than this.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.parquet.filterPushdown": "true",
     ZONE_SETTING: "UTC",
 }
