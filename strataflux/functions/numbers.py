@@ -12,20 +12,25 @@ def as_number(column: Column) -> Column:
     return column.try_cast("double")
 
 
+# Spark orders NaN above infinity, so an upper bound keeps out both. Text is parsed once for
+# every mention of the number, hence one comparison where one will do.
+INFINITY = float("inf")
+
+
 def is_finite(column: Column) -> Column:
     """True for a usable number; false for NULL, other text, NaN and the infinities."""
-    number = as_number(column)
-    return F.coalesce(~F.isnan(number) & (F.abs(number) < F.lit(float("inf"))), F.lit(False))
+    return F.coalesce(F.abs(as_number(column)) < F.lit(INFINITY), F.lit(False))
 
 
 def within(column: Column, low: float, high: float) -> Column:
     """True when the column holds a number from low to high, both included."""
-    return F.coalesce(is_finite(column) & as_number(column).between(low, high), F.lit(False))
+    return F.coalesce(as_number(column).between(low, high), F.lit(False))
 
 
 def above(column: Column, bound: float) -> Column:
     """True when the column holds a finite number greater than the bound."""
-    return F.coalesce(is_finite(column) & (as_number(column) > bound), F.lit(False))
+    number = as_number(column)
+    return F.coalesce((number > bound) & (number < F.lit(INFINITY)), F.lit(False))
 
 
 def conform(column: Column, have: DataType, want: DataType) -> Column:

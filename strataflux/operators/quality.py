@@ -63,32 +63,37 @@ def split_rules(
     return df.where(is_valid), df.where(~is_valid)
 
 
-def with_reason(
-    df: DataFrame,
-    null_columns: Sequence[str],
-    rules: Mapping[str, Column],
-    extra: Mapping[str, Column] | None = None,
-) -> DataFrame:
-    """Append why a row is rejected, NULL when it is accepted.
+def reason(
+    null_columns: Sequence[str], rules: Mapping[str, Column], demands: Mapping[str, Column]
+) -> Column:
+    """Why a row is rejected, as text; empty for a good row.
 
-    A row with gaps names its gaps; rules judge complete rows only. ``extra`` holds further
-    conditions, such as the keys of the target, that every row must meet.
+    A row with gaps names its gaps; rules judge complete rows only. Demands are made of
+    every row.
     """
     gaps = [F.when(F.col(name).isNull(), f"{name} is null") for name in null_columns]
     broken = [F.when(~holds(condition), name) for name, condition in rules.items()]
-    demands = [F.when(~holds(condition), name) for name, condition in (extra or {}).items()]
-    judged = F.when(missing(null_columns), F.concat_ws("; ", *demands, *gaps)).otherwise(
-        F.concat_ws("; ", *demands, *broken)
+    unmet = [F.when(~holds(condition), name) for name, condition in demands.items()]
+    return F.when(missing(null_columns), F.concat_ws("; ", *unmet, *gaps)).otherwise(
+        F.concat_ws("; ", *unmet, *broken)
     )
-    return df.withColumn(REASON, F.nullif(judged, F.lit("")))
 
 
-def accepted(reasoned: DataFrame) -> DataFrame:
-    return reasoned.where(F.col(REASON).isNull()).drop(REASON)
-
+def split_with_reason(
+    df: DataFrame,
+    null_columns: Sequence[str],
+    rules: Mapping[str, Column],
+    demands: Mapping[str, Column] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(accepted rows, rejected rows with a reason): both splits in one step.
 
-def rejected(reasoned: DataFrame) -> DataFrame:
-    return reasoned.where(F.col(REASON).isNotNull())
+    ``demands`` are further conditions, such as keys the target can hold. Rows are told
+    apart by the bare conditions; the text is put together for rejected rows only.
+    """
+    demands = demands or {}
+    conditions = [holds(condition) for condition in (*demands.values(), *rules.values())]
+    is_good = reduce(and_, conditions, ~missing(null_columns))
+    return df.where(is_good), df.where(~is_good).withColumn(REASON, reason(null_columns, rules, demands))
 
 
 def reject_log(null_rows: DataFrame, invalid_rows: DataFrame) -> DataFrame:

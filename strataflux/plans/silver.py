@@ -12,7 +12,7 @@ from strataflux.functions.numbers import conform
 from strataflux.functions.times import add_day
 from strataflux.operators.conform import cast_to_schema
 from strataflux.operators.merge import latest_per_key
-from strataflux.operators.quality import accepted, reading_rules, rejected, with_reason
+from strataflux.operators.quality import reading_rules, split_with_reason
 from strataflux.plans.bronze import BATCH, read_bronze
 from strataflux.plans.days import DAY, day_values
 from strataflux.plans.swap import silver_table
@@ -39,10 +39,10 @@ def typed_keys() -> dict[str, Column]:
     }
 
 
-def typed_rows(reasoned: DataFrame) -> DataFrame:
+def typed_rows(accepted: DataFrame, zone: str = "UTC") -> DataFrame:
     """Accepted rows with silver's types, plus their day."""
-    rows = accepted(reasoned).select(*schemas.SILVER.names)
-    return add_day(cast_to_schema(rows, schemas.SILVER), "timestamp", DAY)
+    rows = accepted.select(*schemas.SILVER.names)
+    return add_day(cast_to_schema(rows, schemas.SILVER), "timestamp", DAY, zone)
 
 
 def silver(
@@ -65,10 +65,10 @@ def silver(
         if upto <= mark:
             return mark if resumed else None
         rows = pending(spark, layers, mark, upto)
-        reasoned = with_reason(rows, null_columns, rules or reading_rules(), typed_keys())
-        log_rows = rejected(reasoned).select(*schemas.ERROR_LOG.names, BATCH)
+        good, bad = split_with_reason(rows, null_columns, rules or reading_rules(), typed_keys())
+        log_rows = bad.select(*schemas.ERROR_LOG.names, BATCH)
         replace_partitions(log_rows, layers.error_log, [BATCH], spread="evenly")
-        typed = typed_rows(reasoned)
+        typed = typed_rows(good, zone)
         current = table.rows()
         days = [] if current.isEmpty() else day_values(typed)
         table.merge(latest_per_key(typed, schemas.READING_KEYS, ["load_datetime"]), current, days, upto)

@@ -76,9 +76,9 @@ def test_unknown_condition_counts_as_not_met(spark):
 
 
 def test_reasons_agree_with_the_splits(edges, ansi):
-    reasoned = quality.with_reason(edges, schemas.MEASURES, quality.reading_rules())
-    assert names(quality.accepted(reasoned)) == expected("valid")
-    reasons = {row["row"]: row[quality.REASON] for row in quality.rejected(reasoned).collect()}
+    good, bad = quality.split_with_reason(edges, schemas.MEASURES, quality.reading_rules())
+    assert names(good) == expected("valid")
+    reasons = {row["row"]: row[quality.REASON] for row in bad.collect()}
     assert sorted(reasons) == sorted(expected("null") + expected("invalid"))
     assert reasons["gap"] == "wind_speed is null"
     assert reasons["all gaps"] == "wind_speed is null; wind_direction is null; power_output is null"

@@ -98,9 +98,7 @@ def split_invalid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reject_reasons(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.rejected(
-        quality.with_reason(readings(spark, sf), schemas.MEASURES, quality.reading_rules())
-    )
+    return quality.split_with_reason(readings(spark, sf), schemas.MEASURES, quality.reading_rules())[1]
 
 
 def reject_log(spark: SparkSession, sf: str) -> DataFrame:
