@@ -8,7 +8,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflux.operators.joins import distinct_keys
 from strataflux.schemas import FIRST_MARK
 
 
@@ -35,5 +34,8 @@ def newer_than(
 def touched_groups(
     source: DataFrame, group_columns: Sequence[str], column: str, since: datetime
 ) -> DataFrame:
-    """Groups holding a row newer than the mark, each once."""
-    return distinct_keys(source.where(F.col(column) > F.lit(since)), group_columns).distinct()
+    """Groups holding a row newer than the mark, each once.
+
+    Rows are reduced to their groups before the shuffle, so its size follows the groups.
+    """
+    return source.where(F.col(column) > F.lit(since)).select(*group_columns).distinct()

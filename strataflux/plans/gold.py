@@ -8,7 +8,7 @@ from strataflux import schemas
 from strataflux.functions.times import batch_moment
 from strataflux.operators.conform import cast_to_schema
 from strataflux.operators.incremental import touched_groups
-from strataflux.operators.joins import distinct_keys, same_keys, seen, unseen
+from strataflux.operators.joins import same_keys, seen, unseen
 from strataflux.operators.merge import absent_rows
 from strataflux.operators.summary import daily_summary
 from strataflux.plans.days import DAY, day_values, on_days
@@ -27,15 +27,16 @@ def summarise(silver_rows: DataFrame) -> DataFrame:
 def add_unseen(spark: SparkSession, layers: Layers) -> None:
     """Summarise turbine-days gold does not hold and append them.
 
-    The search reads key columns only. Whole days are then summarised and known groups
-    taken out of the result, so the join handles one row per group rather than readings.
-    Appending absent groups is safe to repeat.
+    The search reads key columns only and reduces them to groups before its one shuffle.
+    Whole days are then summarised and known groups taken out of the result, so no join
+    handles readings. Appending absent groups is safe to repeat.
     """
     silver, gold = silver_table(spark, layers).rows(), gold_table(spark, layers).rows()
     if gold.isEmpty():
         append_rows(summarise(silver), layers.gold, [DAY], KEYS)
         return
-    missing = unseen(distinct_keys(silver, KEYS), gold, same_keys(KEYS), target_is_keyed=True)
+    groups = silver.select(*KEYS).distinct()
+    missing = unseen(groups, gold, same_keys(KEYS), target_is_keyed=True)
     days = day_values(missing)
     if days:
         summary = summarise(silver.where(on_days(days)))

@@ -190,6 +190,33 @@ def test_session_zone_does_not_matter(spark, folder):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+def test_hot_key_and_hot_day_keep_every_row(spark, folder):
+    """A third of the arrivals is one key, a third one turbine-day; results match brute force."""
+    odd_one_out = [reading(3, 0, power=str(1 + n)) for n in range(2_000)]
+    one_day = [(f"2024-05-04 00:00:{n / 100:06.3f}", "2", "10", "90", str(n % 7 + 1)) for n in range(2_000)]
+    others = [reading(1 + n % 20, n % 24, str(3 + n // 480), power=str(n % 5 + 1)) for n in range(2_000)]
+    rows = odd_one_out + one_day + others
+    layers = Layers(folder)
+    deliver(spark, layers, 0, rows[::2])
+    silver(spark, layers)
+    gold(spark, layers)
+    deliver(spark, layers, 1, rows, mode="append")
+    silver(spark, layers)
+    gold(spark, layers, "touched")
+    assert read_bronze(spark, layers).count() == 9_000
+    best = {}
+    for time, turbine, _, _, power in rows:
+        key = (int(turbine), datetime.fromisoformat(time))
+        best[key] = max(best.get(key, 0.0), float(power))
+    groups = {}
+    for (turbine, time), power in best.items():
+        groups.setdefault((turbine, time.date()), []).append(power)
+    got = {(r.turbine_id, r.date): tuple(r)[2:5] for r in read_gold(spark, layers).collect()}
+    assert got == {
+        key: (pytest.approx(sum(v) / len(v), abs=0.00501), min(v), max(v)) for key, v in groups.items()
+    }
+
+
 def crash_after(monkeypatch, module, name, nth=1):
     """Let the nth call do its work and then fail, once."""
     real, calls = getattr(module, name), []
