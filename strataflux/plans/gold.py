@@ -60,7 +60,8 @@ def gold(spark: SparkSession, layers: Layers, mode: str = "unseen", zone: str =
     """Bring gold up to the last silver batch and return that batch.
 
     ``unseen`` adds turbine-days gold does not hold and leaves the others as they are, late
-    readings or not; ``touched`` also summarises days again that received readings.
+    readings or not; ``touched`` summarises again what received readings since the last run
+    in that mode, so it also makes up for late readings ``unseen`` has passed over.
     """
     if mode not in ("unseen", "touched"):
         raise ValueError(f"mode must be 'unseen' or 'touched', not {mode!r}")
@@ -73,7 +74,6 @@ def gold(spark: SparkSession, layers: Layers, mode: str = "unseen", zone: str =
             add_unseen(spark, layers)
         elif upto > since:
             refresh_touched(spark, layers, since, upto)
-        if upto > since:
             table.log.record("gold", upto)
     return upto
 

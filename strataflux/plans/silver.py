@@ -39,10 +39,10 @@ def typed_keys() -> dict[str, Column]:
     }
 
 
-def typed_rows(accepted: DataFrame, zone: str = "UTC") -> DataFrame:
-    """Accepted rows with silver's types, plus their day."""
-    rows = accepted.select(*schemas.SILVER.names)
-    return add_day(cast_to_schema(rows, schemas.SILVER), "timestamp", DAY, zone)
+def typed_rows(rows: DataFrame, zone: str = "UTC") -> DataFrame:
+    """Bronze rows with silver's types, plus their day."""
+    typed = cast_to_schema(rows.select(*schemas.SILVER.names), schemas.SILVER)
+    return add_day(typed, "timestamp", DAY, zone)
 
 
 def silver(
@@ -54,8 +54,9 @@ def silver(
 ) -> str | None:
     """Process every pending batch; the last one processed, or None when there was none.
 
-    The batch is read once per output. The check is narrow and the scan is limited to the
-    pending partitions, so that costs less than keeping the checked rows somewhere.
+    The pending partitions are read once per output, and their timestamps once more to find
+    the days a merge touches. The check is narrow, so that costs less than keeping the
+    checked rows somewhere.
     """
     table = silver_table(spark, layers)
     with session_zone(spark, zone):
@@ -68,10 +69,10 @@ def silver(
         good, bad = split_with_reason(rows, null_columns, rules or reading_rules(), typed_keys())
         log_rows = bad.select(*schemas.ERROR_LOG.names, BATCH)
         replace_partitions(log_rows, layers.error_log, [BATCH], spread="evenly")
-        typed = typed_rows(good, zone)
         current = table.rows()
-        days = [] if current.isEmpty() else day_values(typed)
-        table.merge(latest_per_key(typed, schemas.READING_KEYS, ["load_datetime"]), current, days, upto)
+        days = [] if current.isEmpty() else day_values(typed_rows(rows, zone))
+        newest = latest_per_key(typed_rows(good, zone), schemas.READING_KEYS, ["load_datetime"])
+        table.merge(newest, current, days, upto)
         table.log.record("silver", upto)
     return upto
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -66,9 +67,12 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not (spark.conf.get("spark.master", "") or "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="strataflux-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _folder_of_this_machine()
+
+
+@cache
+def _folder_of_this_machine() -> str:
+    return tempfile.mkdtemp(prefix="strataflux-")
 
 
 def scratch(spark: SparkSession, label: str) -> str:

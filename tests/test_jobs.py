@@ -152,6 +152,14 @@ def test_late_reading(spark, folder):
         assert averages == {1: average, 2: 3.0}
 
 
+def test_touched_makes_up_for_what_unseen_passed_over(spark, folder):
+    layers = Layers(folder)
+    run(spark, layers, [[reading(1, 0, power="4")], [reading(1, 1, power="8")]], "unseen")
+    assert [r.avg_power_output for r in read_gold(spark, layers).collect()] == [4.0]
+    gold(spark, layers, "touched")
+    assert [r.avg_power_output for r in read_gold(spark, layers).collect()] == [6.0]
+
+
 def test_empty_delivery_and_repeated_runs_change_nothing(spark, folder):
     layers = Layers(folder)
     run(spark, layers)

@@ -136,3 +136,21 @@ def test_append_to_table_goes_by_name(spark, folder):
 def test_stored_bytes(spark, folder):
     spark.range(1000).repartition(3).write.parquet(folder)
     assert stored_bytes(spark, folder) == sum(p.stat().st_size for p in Path(folder).glob("*.parquet"))
+
+
+class Named:
+    """Just the settings of a session."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = {name.replace("_", "."): value for name, value in settings.items()}
+
+    def get(self, name, default=None):
+        return self.settings.get(name, default)
+
+
+def test_only_local_sessions_fall_back_to_this_machine():
+    assert shared_folder(Named(spark_checkpoint_dir="hdfs://x/y/")) == "hdfs://x/y"
+    assert Path(shared_folder(Named(spark_master="local[2]"))).is_dir()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Named(spark_master="yarn"))
