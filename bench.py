@@ -25,7 +25,7 @@ from workloads import jobs, operators  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-REPEATS = int(os.environ.get("BENCH_REPEATS", "5"))
+REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 
 OPERATORS = [
     "csv_ingest",

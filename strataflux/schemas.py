@@ -15,7 +15,37 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-# Names, types, bounds and keys of the turbine tables.
+TYPES = {
+    "string": StringType(),
+    "int": IntegerType(),
+    "double": DoubleType(),
+    "timestamp": TimestampType(),
+    "date": DateType(),
+    "boolean": BooleanType(),
+}
+
+
+def columns(text: str) -> StructType:
+    """A schema from ``name type`` pairs; an exclamation mark stands for NOT NULL."""
+    pairs = [pair.split() for pair in text.split(",")]
+    return StructType(
+        [StructField(name, TYPES[kind.rstrip("!")], not kind.endswith("!")) for name, kind in pairs]
+    )
+
+
+# Columns, keys, bounds and names of the turbine tables.
+BRONZE = columns(
+    "load_datetime timestamp!, timestamp string!, turbine_id string!, "
+    "wind_speed string, wind_direction string, power_output string"
+)
+SILVER = columns(
+    "load_datetime timestamp!, timestamp timestamp!, turbine_id int!, "
+    "wind_speed double, wind_direction int, power_output double"
+)
+GOLD = columns(
+    "turbine_id int!, date date!, avg_power_output double!, min_power_output double!, "
+    "max_power_output double!, is_anomaly boolean!"
+)
 READING_KEYS = ["turbine_id", "timestamp"]
 SUMMARY_KEYS = ["turbine_id", "date"]
 MEASURES = ["wind_speed", "wind_direction", "power_output"]
@@ -28,39 +58,11 @@ FIRST_MARK = datetime(1900, 1, 1, tzinfo=timezone.utc)
 DAY_LABEL = "yyyy_MM_dd"
 DATABASES = ["raw", "bronze", "silver", "gold"]
 
-BRONZE = StructType(
-    [StructField("load_datetime", TimestampType(), False)]
-    + [StructField(key, StringType(), False) for key in ("timestamp", "turbine_id")]
-    + [StructField(measure, StringType(), True) for measure in MEASURES]
-)
-
 # What lands: a bronze row before it is stamped, everything still text.
-ARRIVAL = StructType([StructField(f.name, StringType(), True) for f in BRONZE if f.name != "load_datetime"])
+ARRIVAL = StructType([StructField(field.name, StringType()) for field in BRONZE if field.name != "load_datetime"])
 
 # Rejected rows stay as they arrived and gain the reason.
-ERROR_LOG = StructType(BRONZE.fields + [StructField("reject_reason", StringType(), True)])
-
-SILVER = StructType(
-    [
-        StructField("load_datetime", TimestampType(), False),
-        StructField("timestamp", TimestampType(), False),
-        StructField("turbine_id", IntegerType(), False),
-        StructField("wind_speed", DoubleType(), True),
-        StructField("wind_direction", IntegerType(), True),
-        StructField("power_output", DoubleType(), True),
-    ]
-)
-
-GOLD = StructType(
-    [
-        StructField("turbine_id", IntegerType(), False),
-        StructField("date", DateType(), False),
-        StructField("avg_power_output", DoubleType(), False),
-        StructField("min_power_output", DoubleType(), False),
-        StructField("max_power_output", DoubleType(), False),
-        StructField("is_anomaly", BooleanType(), False),
-    ]
-)
+ERROR_LOG = StructType([*BRONZE.fields, StructField("reject_reason", StringType())])
 
 # Partition columns added at rest; they never show in the layer's own columns.
 BATCH_PARTITION = StructField("batch_id", StringType(), True)

@@ -12,7 +12,7 @@ from strataflux import schemas
 from strataflux.operators import incremental, joins, merge, quality
 from strataflux.operators.summary import daily_summary
 from strataflux.plans.days import on_days
-from strataflux.plans.silver import pending
+from strataflux.plans.silver import pending, typed_rows
 from strataflux.sources import sinks
 from strataflux.sources.tables import Layers, read_dataset
 from workloads import data, operators
@@ -172,3 +172,5 @@ def test_pending_batches_prune_bronze(spark, folder):
     window = pending(spark, layers, "a", "b")
     assert "PartitionFilters: [isnotnull(batch_id" in planned(window)
     assert [r.batch_id for r in window.collect()] == ["b"]
+    # Finding the days a merge touches reads one column of the batch.
+    assert "ReadSchema: struct<timestamp:string>" in planned(typed_rows(window).select("date").distinct())
