@@ -1,14 +1,18 @@
-"""Limit a read to calendar days."""
+"""Limit a read to calendar days, and remember which days a batch has touched."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strataflux import schemas
+from strataflux.sources.sinks import replace_partitions
+from strataflux.sources.tables import read_dataset
 
 DAY = schemas.DAY_PARTITION.name
 Days = Sequence[date | None]
@@ -39,3 +43,23 @@ def on_days(days: Days, column: str = DAY) -> Column:
     else:
         chosen = F.col(column).isin(known)
     return chosen if len(known) == len(days) else chosen | F.col(column).isNull()
+
+
+@dataclass(frozen=True)
+class DayLog:
+    """The days each silver batch holds rows for, so gold need not search the whole table."""
+
+    spark: SparkSession
+    path: str
+
+    def record(self, batch: str, rows: DataFrame) -> None:
+        """Note the days of a batch; doing it again replaces the note."""
+        noted = rows.select(DAY).where(F.col(DAY).isNotNull()).distinct()
+        noted = noted.withColumn(schemas.BATCH_PARTITION.name, F.lit(batch))
+        replace_partitions(noted, self.path, [schemas.BATCH_PARTITION.name], spread="as is")
+
+    def days(self, after: str, upto: str) -> list[date]:
+        """Days of the batches after one mark and up to another."""
+        stored = StructType([schemas.DAY_PARTITION, schemas.BATCH_PARTITION])
+        batch = F.col(schemas.BATCH_PARTITION.name)
+        return day_values(read_dataset(self.spark, self.path, stored).where((batch > after) & (batch <= upto)))

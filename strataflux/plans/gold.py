@@ -11,27 +11,31 @@ from strataflux.operators.incremental import touched_groups
 from strataflux.operators.joins import same_keys, seen, unseen
 from strataflux.operators.merge import absent_rows
 from strataflux.operators.summary import daily_summary
-from strataflux.plans.days import DAY, day_values, on_days
+from strataflux.plans.days import DAY, DayLog, Days, day_values, on_days
 from strataflux.plans.swap import gold_table, silver_table
 from strataflux.session import session_zone
 from strataflux.sources.sinks import append_rows
 from strataflux.sources.tables import Layers
 
 KEYS = schemas.SUMMARY_KEYS
+UNSEEN_MARK = "gold unseen"
 
 
 def summarise(silver_rows: DataFrame) -> DataFrame:
     return cast_to_schema(daily_summary(silver_rows), schemas.GOLD)
 
 
-def add_unseen(spark: SparkSession, layers: Layers) -> None:
+def add_unseen(spark: SparkSession, layers: Layers, candidates: Days | None) -> None:
     """Summarise turbine-days gold does not hold and append them.
 
-    The search reads key columns only and reduces them to groups before its one shuffle.
-    Whole days are then summarised and known groups taken out of the result, so no join
-    handles readings. Appending absent groups is safe to repeat.
+    Only the candidate days are searched, or all days if there are none given. The search
+    reads key columns only and reduces them to groups before its one shuffle. Whole days
+    are then summarised and known groups taken out of the result, so no join handles
+    readings. Appending absent groups is safe to repeat.
     """
     silver, gold = silver_table(spark, layers).rows(), gold_table(spark, layers).rows()
+    if candidates is not None:
+        silver, gold = silver.where(on_days(candidates)), gold.where(on_days(candidates))
     if gold.isEmpty():
         append_rows(summarise(silver), layers.gold, [DAY], KEYS)
         return
@@ -46,22 +50,28 @@ def add_unseen(spark: SparkSession, layers: Layers) -> None:
 def refresh_touched(spark: SparkSession, layers: Layers, since: str, upto: str) -> None:
     """Summarise again every turbine-day that got readings since the last run."""
     table = gold_table(spark, layers)
-    silver = silver_table(spark, layers).rows()
+    days = DayLog(spark, layers.touched_days).days(since, upto)
+    silver = silver_table(spark, layers).rows().where(on_days(days))
     moment = batch_moment(since) if since else schemas.FIRST_MARK
     groups = touched_groups(silver, KEYS, "load_datetime", moment)
-    days = day_values(groups)
-    if days:
-        summary = summarise(silver.where(on_days(days)))
-        refreshed = seen(summary, groups, same_keys(KEYS), target_is_keyed=True)
-        table.merge(refreshed, table.rows(), days, upto)
+    refreshed = seen(summarise(silver), groups, same_keys(KEYS), target_is_keyed=True)
+    table.merge(refreshed, table.rows(), days, upto)
 
 
-def gold(spark: SparkSession, layers: Layers, mode: str = "unseen", zone: str = "UTC") -> str:
+def gold(
+    spark: SparkSession,
+    layers: Layers,
+    mode: str = "unseen",
+    zone: str = "UTC",
+    whole_table: bool = False,
+) -> str:
     """Bring gold up to the last silver batch and return that batch.
 
     ``unseen`` adds turbine-days gold does not hold and leaves the others as they are, late
     readings or not; ``touched`` summarises again what received readings since the last run
-    in that mode, so it also makes up for late readings ``unseen`` has passed over.
+    in that mode, so it also makes up for late readings ``unseen`` has passed over. Either
+    looks at the days silver has touched since its last run; ``whole_table`` lets ``unseen``
+    search all days, as after rows were removed from gold by hand.
     """
     if mode not in ("unseen", "touched"):
         raise ValueError(f"mode must be 'unseen' or 'touched', not {mode!r}")
@@ -69,12 +79,17 @@ def gold(spark: SparkSession, layers: Layers, mode: str = "unseen", zone: str =
     with session_zone(spark, zone):
         marks = table.log.marks()
         table.resume(marks)
-        since, upto = marks["gold"], marks["silver"]
-        if mode == "unseen":
-            add_unseen(spark, layers)
-        elif upto > since:
+        stage = UNSEEN_MARK if mode == "unseen" else table.name
+        since, upto = marks[stage], marks["silver"]
+        if mode == "unseen" and whole_table:
+            add_unseen(spark, layers, None)
+        elif upto <= since:
+            return upto
+        elif mode == "unseen":
+            add_unseen(spark, layers, DayLog(spark, layers.touched_days).days(since, upto))
+        else:
             refresh_touched(spark, layers, since, upto)
-            table.log.record("gold", upto)
+        table.log.record(stage, upto)
     return upto
 
 

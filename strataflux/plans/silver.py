@@ -14,7 +14,7 @@ from strataflux.operators.conform import cast_to_schema
 from strataflux.operators.merge import latest_per_key
 from strataflux.operators.quality import reading_rules, split_with_reason
 from strataflux.plans.bronze import BATCH, read_bronze
-from strataflux.plans.days import DAY, day_values
+from strataflux.plans.days import DAY, DayLog
 from strataflux.plans.swap import silver_table
 from strataflux.session import session_zone
 from strataflux.sources.sinks import replace_partitions
@@ -69,10 +69,15 @@ def silver(
         good, bad = split_with_reason(rows, null_columns, rules or reading_rules(), typed_keys())
         log_rows = bad.select(*schemas.ERROR_LOG.names, BATCH)
         replace_partitions(log_rows, layers.error_log, [BATCH], spread="evenly")
-        current = table.rows()
-        days = [] if current.isEmpty() else day_values(typed_rows(rows, zone))
         newest = latest_per_key(typed_rows(good, zone), schemas.READING_KEYS, ["load_datetime"])
-        table.merge(newest, current, days, upto)
+        days, current = DayLog(spark, layers.touched_days), table.rows()
+        if current.isEmpty():
+            # A first load is not read once more for its days; its partitions tell them.
+            table.merge(newest, current, [], upto)
+            days.record(upto, table.rows())
+        else:
+            days.record(upto, typed_rows(rows, zone))
+            table.merge(newest, current, days.days(mark, upto), upto)
         table.log.record("silver", upto)
     return upto
 

@@ -50,6 +50,10 @@ class Layers:
     def batch_log(self) -> str:
         return self._at("state", "batch_log")
 
+    @property
+    def touched_days(self) -> str:
+        return self._at("state", "touched_days")
+
     @property
     def arrivals_checkpoint(self) -> str:
         return self._at("state", "arrivals")

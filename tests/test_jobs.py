@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 from strataflux import schemas
 from strataflux.plans import bronze as bronze_plan
 from strataflux.plans import days, gold as gold_plan, silver as silver_plan, swap
+from strataflux.functions.times import batch_name
 from strataflux.plans.batchlog import BatchLog
 from strataflux.plans.bronze import load_arrivals, read_bronze
 from strataflux.plans.gold import gold, read_gold
 from strataflux.plans.silver import read_error_log, read_silver, silver
+from strataflux.plans.swap import gold_table
 from strataflux.session import scratch
+from strataflux.sources.sinks import replace_partitions
 from strataflux.sources.tables import Layers
 
 START = datetime(2024, 6, 1, 12, tzinfo=timezone.utc)
@@ -160,6 +163,30 @@ def test_touched_makes_up_for_what_unseen_passed_over(spark, folder):
     assert [r.avg_power_output for r in read_gold(spark, layers).collect()] == [6.0]
 
 
+def test_removed_gold_days_come_back_on_a_search_of_the_whole_table(spark, folder):
+    layers = Layers(folder)
+    run(spark, layers, [[reading(1, 0)], [reading(2, 0)]], "unseen")
+    held = content(read_gold(spark, layers))
+    replace_partitions(
+        gold_table(spark, layers).rows().where("dayofmonth(date) = 1").withColumn("turbine_id", F.lit(9)),
+        layers.gold,
+        ["date"],
+    )
+    gold(spark, layers)
+    assert sorted(r.turbine_id for r in read_gold(spark, layers).collect()) == [1, 9]
+    gold(spark, layers, whole_table=True)
+    assert content(read_gold(spark, layers).where("turbine_id = 1")) == held
+
+
+def test_gold_reads_touched_days_only(spark, folder):
+    layers = Layers(folder)
+    run(spark, layers, [[reading(d, 0) for d in range(1, 6)], [reading(3, 1), reading(9, 0, power="0")]])
+    noted = days.DayLog(spark, layers.touched_days)
+    first, second = batch_name(at(0)), batch_name(at(1))
+    assert sorted(d.day for d in noted.days("", first)) == [1, 2, 3, 4, 5]
+    assert sorted(d.day for d in noted.days(first, second)) == [3, 9]
+
+
 def test_empty_delivery_and_repeated_runs_change_nothing(spark, folder):
     layers = Layers(folder)
     run(spark, layers)
