@@ -102,7 +102,8 @@ def splits() -> None:
         bench.consume(quality.reject_log(nulls, invalid))
 
     def one_step() -> None:
-        for part in quality.split_with_reason(texts, schemas.MEASURES, rules):
+        notes = quality.number_notes()
+        for part in quality.split_with_reason(texts, schemas.MEASURES, rules, notes=notes):
             bench.consume(part)
 
     report("split with reasons", bench.seconds(one_step), "separate splits, no reasons", bench.seconds(two_steps))

@@ -19,15 +19,19 @@ from strataflux.functions.numbers import above, is_finite, within
 REASON = "reject_reason"
 
 
+def number_notes(columns: Sequence[str] = tuple(schemas.MEASURES)) -> dict[str, Column]:
+    """What to add to a reason when a value is no number at all.
+
+    Ranges refuse such values too, so these explain a rejection and need not decide it.
+    """
+    return {f"{name} is not a number": is_finite(F.col(name)) for name in columns}
+
+
 def reading_rules() -> dict[str, Column]:
     """The turbine rules: a name for the error log, and the condition a good row meets."""
-    numeric = {
-        f"{measure} is not a number": is_finite(F.col(measure)) for measure in schemas.MEASURES
-    }
     speed_low, speed_high = schemas.WIND_SPEED_RANGE
     turn_low, turn_high = schemas.WIND_DIRECTION_RANGE
     return {
-        **numeric,
         "wind_speed out of range": within(F.col("wind_speed"), speed_low, speed_high),
         "wind_direction out of range": within(F.col("wind_direction"), turn_low, turn_high),
         "power_output not above zero": above(F.col("power_output"), schemas.POWER_OUTPUT_ABOVE),
@@ -63,19 +67,25 @@ def split_rules(
     return df.where(is_valid), df.where(~is_valid)
 
 
+def unmet(conditions: Mapping[str, Column]) -> list[Column]:
+    """The name of each condition a row does not meet, NULL for the others."""
+    return [F.when(~holds(condition), name) for name, condition in conditions.items()]
+
+
 def reason(
-    null_columns: Sequence[str], rules: Mapping[str, Column], demands: Mapping[str, Column]
+    null_columns: Sequence[str],
+    rules: Mapping[str, Column],
+    demands: Mapping[str, Column],
+    notes: Mapping[str, Column],
 ) -> Column:
     """Why a row is rejected, as text; empty for a good row.
 
-    A row with gaps names its gaps; rules judge complete rows only. Demands are made of
-    every row.
+    A row with gaps names its gaps; notes and rules judge complete rows only. Demands are
+    made of every row.
     """
     gaps = [F.when(F.col(name).isNull(), f"{name} is null") for name in null_columns]
-    broken = [F.when(~holds(condition), name) for name, condition in rules.items()]
-    unmet = [F.when(~holds(condition), name) for name, condition in demands.items()]
-    return F.when(missing(null_columns), F.concat_ws("; ", *unmet, *gaps)).otherwise(
-        F.concat_ws("; ", *unmet, *broken)
+    return F.when(missing(null_columns), F.concat_ws("; ", *unmet(demands), *gaps)).otherwise(
+        F.concat_ws("; ", *unmet({**demands, **notes, **rules}))
     )
 
 
@@ -84,16 +94,18 @@ def split_with_reason(
     null_columns: Sequence[str],
     rules: Mapping[str, Column],
     demands: Mapping[str, Column] | None = None,
+    notes: Mapping[str, Column] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, rejected rows with a reason): both splits in one step.
 
-    ``demands`` are further conditions, such as keys the target can hold. Rows are told
-    apart by the bare conditions; the text is put together for rejected rows only.
+    ``demands`` are further conditions, such as keys the target can hold; ``notes`` only add
+    to the reason. Rows are told apart by the bare conditions; the text is put together for
+    rejected rows only.
     """
-    demands = demands or {}
+    demands, notes = demands or {}, notes or {}
     conditions = [holds(condition) for condition in (*demands.values(), *rules.values())]
     is_good = reduce(and_, conditions, ~missing(null_columns))
-    return df.where(is_good), df.where(~is_good).withColumn(REASON, reason(null_columns, rules, demands))
+    return df.where(is_good), df.where(~is_good).withColumn(REASON, reason(null_columns, rules, demands, notes))
 
 
 def reject_log(null_rows: DataFrame, invalid_rows: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from strataflux.functions.numbers import conform
 from strataflux.functions.times import add_day
 from strataflux.operators.conform import cast_to_schema
 from strataflux.operators.merge import latest_per_key
-from strataflux.operators.quality import reading_rules, split_with_reason
+from strataflux.operators.quality import number_notes, reading_rules, split_with_reason
 from strataflux.plans.bronze import BATCH, read_bronze
 from strataflux.plans.days import DAY, DayLog
 from strataflux.plans.swap import silver_table
@@ -66,7 +66,8 @@ def silver(
         if upto <= mark:
             return mark if resumed else None
         rows = pending(spark, layers, mark, upto)
-        good, bad = split_with_reason(rows, null_columns, rules or reading_rules(), typed_keys())
+        judged, notes = (reading_rules(), number_notes()) if rules is None else (rules, {})
+        good, bad = split_with_reason(rows, null_columns, judged, typed_keys(), notes)
         log_rows = bad.select(*schemas.ERROR_LOG.names, BATCH)
         replace_partitions(log_rows, layers.error_log, [BATCH], spread="evenly")
         newest = latest_per_key(typed_rows(good, zone), schemas.READING_KEYS, ["load_datetime"])

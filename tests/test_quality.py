@@ -76,7 +76,9 @@ def test_unknown_condition_counts_as_not_met(spark):
 
 
 def test_reasons_agree_with_the_splits(edges, ansi):
-    good, bad = quality.split_with_reason(edges, schemas.MEASURES, quality.reading_rules())
+    good, bad = quality.split_with_reason(
+        edges, schemas.MEASURES, quality.reading_rules(), notes=quality.number_notes()
+    )
     assert names(good) == expected("valid")
     reasons = {row["row"]: row[quality.REASON] for row in bad.collect()}
     assert sorted(reasons) == sorted(expected("null") + expected("invalid"))

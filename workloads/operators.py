@@ -98,7 +98,9 @@ def split_invalid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reject_reasons(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.split_with_reason(readings(spark, sf), schemas.MEASURES, quality.reading_rules())[1]
+    return quality.split_with_reason(
+        readings(spark, sf), schemas.MEASURES, quality.reading_rules(), notes=quality.number_notes()
+    )[1]
 
 
 def reject_log(spark: SparkSession, sf: str) -> DataFrame:
