@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,16 @@ from strataflux.session import scratch
 SPACE_CLASS = r"\x20\x09-\x0D"
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Put this package on the path of Python workers that see the same files as the driver.
+
+    Elsewhere the package is shipped with the job (``--py-files``).
+    """
+    spark.sparkContext.environment["PYTHONPATH"] = str(Path(__file__).resolve().parents[2])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    workers_find_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from strataflux.llm.bpe import encode_digests
 from strataflux.llm.common import table
 from strataflux.llm.exact_dedup import exact_groups
+from strataflux.llm.token_files import token_files
+
+
+def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,5 +26,5 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op10_exact_dedup]
+    found = [op2_bpe, op6_token_files, op10_exact_dedup]
     return {query.__name__: query for query in found}
