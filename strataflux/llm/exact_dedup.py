@@ -120,7 +120,8 @@ def exact_groups(
     # Where only one row has a digest there is nothing to compare.
     many = groups.where("group_size > 1").select("digest", (-F.col("keeper.locator")).alias("keep_locator"))
     hits = arrivals.join(many, "digest").select("locator", "keep_locator")
-    texts = rows.select("locator", "digest", "content").join(hits, "locator")
+    # The one shuffle of texts; what follows handles those of hits alone.
+    texts = staged(rows.select("locator", "digest", "content").join(hits, "locator"), label)
     keepers = texts.where("locator = keep_locator").select(
         "keep_locator", F.col("content").alias("keep_content")
     )
