@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strataflux.llm.bpe import encode_digests
 from strataflux.llm.common import table
 from strataflux.llm.exact_dedup import exact_groups
+from strataflux.llm.jaccard_join import similar_components
 from strataflux.llm.token_files import token_files
 
 
@@ -21,10 +22,14 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_components(table(spark, folder, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_bpe, op6_token_files, op10_exact_dedup]
+    found = [op2_bpe, op6_token_files, op9_jaccard_join, op10_exact_dedup]
     return {query.__name__: query for query in found}
