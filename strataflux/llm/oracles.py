@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from strataflux.llm.licenses import PHRASES, TEMPLATES
+
 OP10 = r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -44,5 +46,53 @@ FROM s JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) m ON m.x =
 """
 
 
+OP7 = r"""
+WITH lowered AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(text, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+                             lambda x: x <> '') AS words
+  FROM lowered),
+w AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS pos FROM d),
+phrases(phrase, label) AS (VALUES PHRASES),
+p AS (SELECT string_split(phrase, ' ') AS words, label FROM phrases),
+base AS (
+  SELECT d.doc_id, w.pos, p.label
+  FROM p JOIN w ON w.word = p.words[1] JOIN d ON d.doc_id = w.doc_id
+  WHERE d.words[w.pos + 1 : w.pos + len(p.words)] = p.words),
+templates(template, label) AS (VALUES TEMPLATES),
+t AS (SELECT template, label, len(string_split(template, ' ')) AS m,
+             list_distinct(string_split(template, ' ')) AS tokens FROM templates),
+tt AS (SELECT template, label, m, len(tokens) AS n, unnest(tokens) AS token FROM t),
+b AS (
+  SELECT w.doc_id, tt.template, tt.label, tt.n, w.pos // tt.m - shift.s AS block, tt.token
+  FROM tt JOIN w ON w.word = tt.token CROSS JOIN (VALUES (0), (1)) shift(s)
+  WHERE w.pos // tt.m - shift.s >= 0),
+met AS (
+  SELECT doc_id, label, max(share) AS share FROM (
+    SELECT doc_id, template, label, block, count(DISTINCT token) / any_value(n)::DOUBLE AS share,
+           count(DISTINCT token) >= ceil(any_value(n) * 4 / 5.0) AS enough
+    FROM b GROUP BY ALL) WHERE enough GROUP BY ALL),
+labels AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM (
+    SELECT doc_id, label, 1.0::DOUBLE AS share FROM base UNION ALL SELECT doc_id, label, share FROM met)
+  GROUP BY doc_id),
+bases AS (
+  SELECT doc_id, count(*) AS n, min(pos) AS first_word, max(pos) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(bases.n, 0) AS n_base, first_word, last_word,
+       coalesce(bases.labels, '') AS base_labels, coalesce(labels.labels, '') AS labels,
+       coalesce(labels.score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN bases USING (doc_id) LEFT JOIN labels USING (doc_id)
+"""
+
+
+def values(pairs: list[tuple[str, str]]) -> str:
+    return ", ".join(f"('{text}', '{label}')" for text, label in pairs)
+
+
 def sql() -> dict[str, str]:
-    return {"op9_jaccard_join": OP9, "op10_exact_dedup": OP10}
+    op7 = OP7.replace("VALUES PHRASES", f"VALUES {values(PHRASES)}")
+    op7 = op7.replace("VALUES TEMPLATES", f"VALUES {values(TEMPLATES)}")
+    return {"op7_license_scan": op7, "op9_jaccard_join": OP9, "op10_exact_dedup": OP10}

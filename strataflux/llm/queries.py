@@ -11,6 +11,7 @@ from strataflux.llm.bpe import encode_digests
 from strataflux.llm.common import table
 from strataflux.llm.exact_dedup import exact_groups
 from strataflux.llm.jaccard_join import similar_components
+from strataflux.llm.licenses import scan
 from strataflux.llm.token_files import token_files
 
 
@@ -22,6 +23,10 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan(table(spark, folder, "documents"))
+
+
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_components(table(spark, folder, "documents"))
 
@@ -31,5 +36,5 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_bpe, op6_token_files, op9_jaccard_join, op10_exact_dedup]
+    found = [op2_bpe, op6_token_files, op7_license_scan, op9_jaccard_join, op10_exact_dedup]
     return {query.__name__: query for query in found}
