@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from strataflux.llm.bpe import encode_digests
+from strataflux.llm.byte_cnn import fit, identify
 from strataflux.llm.common import table
 from strataflux.llm.exact_dedup import exact_groups
 from strataflux.llm.jaccard_join import similar_components
@@ -19,6 +20,11 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return identify(docs, fit(docs))
+
+
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -36,5 +42,5 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_bpe, op6_token_files, op7_license_scan, op9_jaccard_join, op10_exact_dedup]
+    found = [op2_bpe, op4_language_id, op6_token_files, op7_license_scan, op9_jaccard_join, op10_exact_dedup]
     return {query.__name__: query for query in found}
