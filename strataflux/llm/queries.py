@@ -11,6 +11,7 @@ from strataflux.llm.bpe import encode_digests
 from strataflux.llm.byte_cnn import fit, identify
 from strataflux.llm.common import table
 from strataflux.llm.exact_dedup import exact_groups
+from strataflux.llm.hidden_markov import scores
 from strataflux.llm.jaccard_join import similar_components
 from strataflux.llm.licenses import scan
 from strataflux.llm.token_files import token_files
@@ -20,6 +21,10 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_hmm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return scores(table(spark, folder, "documents"))
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return identify(docs, fit(docs))
@@ -42,5 +47,5 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_bpe, op4_language_id, op6_token_files, op7_license_scan, op9_jaccard_join, op10_exact_dedup]
+    found = [op2_bpe, op3_hmm_scores, op4_language_id, op6_token_files, op7_license_scan, op9_jaccard_join, op10_exact_dedup]
     return {query.__name__: query for query in found}
