@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strataflux.llm.bpe import encode_digests
 from strataflux.llm.byte_cnn import fit, identify
+from strataflux.llm.chat_tree import prefix_tree, read_back
 from strataflux.llm.common import table
 from strataflux.llm.exact_dedup import exact_groups
 from strataflux.llm.hidden_markov import scores
@@ -17,6 +18,18 @@ from strataflux.llm.licenses import scan
 from strataflux.llm.token_files import token_files
 
 
+# A conversation whose texts are control strings, formatted along with the table.
+MARKS = "</s>[INST] ok [/INST]"
+MARKED = [(-7, 0, "user", MARKS), (-7, 1, "assistant", MARKS)]
+
+
+def op1_chat_tree(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame(MARKED, "conv_id bigint, turn bigint, role string, text string")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return read_back(prefix_tree(conversations.unionByName(marked), vocabulary), vocabulary)
+
+
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -47,5 +60,5 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_bpe, op3_hmm_scores, op4_language_id, op6_token_files, op7_license_scan, op9_jaccard_join, op10_exact_dedup]
+    found = [op1_chat_tree, op2_bpe, op3_hmm_scores, op4_language_id, op6_token_files, op7_license_scan, op9_jaccard_join, op10_exact_dedup]
     return {query.__name__: query for query in found}
