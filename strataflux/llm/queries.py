@@ -15,6 +15,7 @@ from strataflux.llm.exact_dedup import exact_groups
 from strataflux.llm.hidden_markov import scores
 from strataflux.llm.jaccard_join import similar_components
 from strataflux.llm.licenses import scan
+from strataflux.llm.personal_data import find_personal_data, trained_field
 from strataflux.llm.token_files import token_files
 
 
@@ -51,6 +52,11 @@ def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan(table(spark, folder, "documents"))
 
 
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return find_personal_data(docs, trained_field(docs))
+
+
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_components(table(spark, folder, "documents"))
 
@@ -60,5 +66,5 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_chat_tree, op2_bpe, op3_hmm_scores, op4_language_id, op6_token_files, op7_license_scan, op9_jaccard_join, op10_exact_dedup]
+    found = [op1_chat_tree, op2_bpe, op3_hmm_scores, op4_language_id, op6_token_files, op7_license_scan, op8_personal_data, op9_jaccard_join, op10_exact_dedup]
     return {query.__name__: query for query in found}
