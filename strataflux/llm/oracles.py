@@ -46,6 +46,49 @@ FROM s JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) m ON m.x =
 """
 
 
+OP5 = r"""
+WITH dw AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'),
+                             lambda x: x <> '') AS w FROM documents),
+iw AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'),
+                              lambda x: x <> '') AS w FROM benchmark),
+i AS (
+  SELECT item_id, len(w) AS n, least(len(w), 5) AS width,
+         list_transform(range(0, len(w) - least(len(w), 5) + 1),
+                        lambda k: array_to_string(w[k + 1 : k + least(len(w), 5)], ' ')) AS bag
+  FROM iw WHERE len(w) > 0),
+widths AS (SELECT DISTINCT width FROM i),
+d AS (
+  SELECT doc_id, width, list_transform(range(0, greatest(0, len(w) - width + 1)),
+                        lambda k: array_to_string(w[k + 1 : k + width], ' ')) AS bag
+  FROM dw, widths),
+ds AS (SELECT doc_id, width, len(bag) AS total, unnest(bag) AS shingle, unnest(range(len(bag))) AS place FROM d),
+its AS (SELECT item_id, n, width, unnest(bag) AS shingle, unnest(range(len(bag))) AS place FROM i),
+anchors AS (SELECT n, width, item_id, shingle, min(place) AS place FROM its GROUP BY ALL),
+starts AS (
+  SELECT DISTINCT ds.doc_id, a.n, a.width, ds.total,
+         greatest(0, least(greatest(0, ds.total - (a.n - a.width + 1)), ds.place - a.place + side.s)) AS start
+  FROM ds JOIN anchors a ON ds.shingle = a.shingle AND ds.width = a.width
+  CROSS JOIN (VALUES (-1), (0), (1)) side(s)),
+bags AS (
+  SELECT s.doc_id, s.n, s.start, least(s.total, s.n - s.width + 1) AS size, ds.shingle, count(*) AS c
+  FROM starts s JOIN ds ON ds.doc_id = s.doc_id AND ds.width = s.width
+   AND ds.place BETWEEN s.start AND s.start + s.n - s.width
+  GROUP BY ALL),
+ibags AS (SELECT item_id, n, n - width + 1 AS size, shingle, count(*) AS c FROM its GROUP BY ALL),
+shared AS (
+  SELECT b.doc_id, ib.item_id, b.start, b.size + ib.size AS sizes, sum(least(b.c, ib.c)) AS both_weights
+  FROM bags b JOIN ibags ib ON b.n = ib.n AND b.shingle = ib.shingle
+  GROUP BY ALL),
+close_enough AS (
+  SELECT doc_id, item_id, start, both_weights::DOUBLE / (sizes - both_weights) AS similarity FROM shared
+  WHERE both_weights::DOUBLE / (sizes - both_weights) >= 0.8)
+SELECT doc_id, item_id, max(similarity) AS similarity,
+       CAST(arg_max(start, (similarity, -start)) AS BIGINT) AS first_word
+FROM close_enough GROUP BY doc_id, item_id
+"""
+
 OP7 = r"""
 WITH lowered AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
@@ -95,4 +138,4 @@ def values(pairs: list[tuple[str, str]]) -> str:
 def sql() -> dict[str, str]:
     op7 = OP7.replace("VALUES PHRASES", f"VALUES {values(PHRASES)}")
     op7 = op7.replace("VALUES TEMPLATES", f"VALUES {values(TEMPLATES)}")
-    return {"op7_license_scan": op7, "op9_jaccard_join": OP9, "op10_exact_dedup": OP10}
+    return {"op5_decontamination": OP5, "op7_license_scan": op7, "op9_jaccard_join": OP9, "op10_exact_dedup": OP10}

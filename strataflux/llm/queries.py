@@ -11,6 +11,7 @@ from strataflux.llm.bpe import encode_digests
 from strataflux.llm.byte_cnn import fit, identify
 from strataflux.llm.chat_tree import prefix_tree, read_back
 from strataflux.llm.common import table
+from strataflux.llm.decontamination import contaminations
 from strataflux.llm.exact_dedup import exact_groups
 from strataflux.llm.hidden_markov import scores
 from strataflux.llm.jaccard_join import similar_components
@@ -44,6 +45,10 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(docs, fit(docs))
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -66,5 +71,5 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_chat_tree, op2_bpe, op3_hmm_scores, op4_language_id, op6_token_files, op7_license_scan, op8_personal_data, op9_jaccard_join, op10_exact_dedup]
+    found = [op1_chat_tree, op2_bpe, op3_hmm_scores, op4_language_id, op5_decontamination, op6_token_files, op7_license_scan, op8_personal_data, op9_jaccard_join, op10_exact_dedup]
     return {query.__name__: query for query in found}
