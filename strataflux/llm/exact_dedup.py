@@ -26,6 +26,8 @@ STATE_SETTINGS = {
     ),
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Many small stores: no space is set aside in advance.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     "spark.sql.streaming.minBatchesToRetain": "2",
 }
