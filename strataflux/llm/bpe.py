@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 # Bounds of memory in a worker: texts are worked off in batches of so many characters, and so
 # many distinct words are remembered between batches. Neither changes a result.
 BATCH_CHARS = 8_000_000
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 800_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -202,36 +203,53 @@ class Memo:
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
 
-def split_words(text: str, encoder: PairIndexBpe) -> list[str]:
-    """Words that can be encoded apart: cut before single spaces and line ends.
+def numbered_words(
+    texts: list[str], cuts: dict[str, str], mark: str
+) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """How many words each text has, all words as numbers, and the distinct words.
 
-    A text where a cut would fall inside a white-space run goes the plain way.
+    Each key of ``cuts`` is replaced by its value, then the texts are cut at every ``mark``.
     """
-    if "\0" not in text:
-        words = text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
-        if not words[0]:
-            del words[0]
-        if not any(word[-1].isspace() for word in words):
-            return words
-    return encoder.words(text)
+    found = pa.array(texts, pa.string())
+    for old, new in cuts.items():
+        found = pc.replace_substring(found, old, new)
+    lists = pc.split_pattern(found, mark)
+    counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = lists.flatten().dictionary_encode()
+    return counts, coded.indices.to_numpy(), coded.dictionary.to_pylist()
+
+
+# Words keep the space or line end before them; no piece crosses these places.
+CUTS = {"\n": "\0\n", " ": "\0 "}
 
 
 def encode_texts(texts: list[str], encoder: PairIndexBpe, memo: Memo) -> list[np.ndarray]:
-    """The ids of each text."""
-    counts, words = [], []
-    for text in texts:
-        own = split_words(text, encoder)
-        counts.append(len(own))
-        words += own
-    flat, sizes = gather_words(memo, words)
-    total, ends = np.r_[0, np.cumsum(sizes)], np.r_[0, np.cumsum(np.array(counts, np.int64))]
-    cuts = total[ends]
-    return [flat[cuts[k] : cuts[k + 1]] for k in range(len(texts))]
-
-
-def gather_words(memo: Memo, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    where = memo.lookup(words)
-    return gather(memo.ids, memo.lengths, where)
+    """The ids of each text.
+
+    Words are encoded apart. Where a cut may fall inside a white-space run, which shows by a word
+    that ends in white space, or where the text has NULs itself, the text is cut the plain way.
+    """
+    counts, numbers, words = numbered_words(texts, CUTS, "\0")
+    ends = np.cumsum(counts)
+    odd = np.array([word[-1:].isspace() for word in words], bool)
+    plain = {k for k, text in enumerate(texts) if "\0" in text}
+    if odd.any():
+        plain |= set(np.searchsorted(ends, np.flatnonzero(odd[numbers]), side="right").tolist())
+    apart = [(k, encoder.words(texts[k])) for k in sorted(plain)]
+    # Looked up together, so that what is remembered is not cleared in between.
+    places = memo.lookup([*words, *[word for _, own in apart for word in own]])
+    found = pieces_of(memo, places[numbers], counts)
+    again = pieces_of(memo, places[len(words) :], np.array([len(own) for _, own in apart], np.int64))
+    for (k, _), ids in zip(apart, again, strict=True):
+        found[k] = ids
+    return found
+
+
+def pieces_of(memo: Memo, places: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """The ids of runs of so many words each."""
+    flat, sizes = gather(memo.ids, memo.lengths, places)
+    cuts = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum(counts)].astype(np.int64)]
+    return [flat[start:end] for start, end in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
 
 
 @lru_cache(maxsize=2)

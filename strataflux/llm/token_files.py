@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from strataflux.llm.bpe import Memo, gather_words, text_batches
+from strataflux.llm.bpe import Memo, gather, numbered_words, text_batches
 from strataflux.llm.common import staged, whole
 from strataflux.session import scratch
 
@@ -52,9 +52,8 @@ def loaded(path: str) -> tuple[Tokenizer, Memo]:
     return tokenizer, Memo(encode)
 
 
-def split_at_space(text: str) -> list[str]:
-    """Words this vocabulary encodes apart: none of its tokens holds white space."""
-    return [word for word in text.replace("\n", " ").split(" ") if word]
+# Words this vocabulary encodes apart, as none of its tokens holds white space.
+CUTS, MARK = {"\n": " "}, " "
 
 
 @contextmanager
@@ -150,9 +149,8 @@ def write_token_files(
                 yield from batches
 
             for keys, texts in text_batches(all_batches(), ENCODE_CHARS):
-                split = [split_at_space(each) for each in texts]
-                counts = np.array([len(words) for words in split], np.int64)
-                flat, sizes = gather_words(memo, [word for words in split for word in words])
+                counts, numbers, words = numbered_words(texts, CUTS, MARK)
+                flat, sizes = gather(memo.ids, memo.lengths, memo.lookup(words)[numbers])
                 total, ends = np.r_[0, np.cumsum(sizes)], np.cumsum(counts)
                 own = total[ends] - total[ends - counts]
                 run = np.insert(flat, np.cumsum(own), end_id)
