@@ -150,7 +150,8 @@ def write_token_files(
 
             for keys, texts in text_batches(all_batches(), ENCODE_CHARS):
                 counts, numbers, words = numbered_words(texts, CUTS, MARK)
-                flat, sizes = gather(memo.ids, memo.lengths, memo.lookup(words)[numbers])
+                places = memo.lookup(words)[numbers]
+                flat, sizes = gather(memo.ids, memo.lengths, places)
                 total, ends = np.r_[0, np.cumsum(sizes)], np.cumsum(counts)
                 own = total[ends] - total[ends - counts]
                 run = np.insert(flat, np.cumsum(own), end_id)
