@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,3 +39,30 @@ def staged(rows: DataFrame, label: str) -> DataFrame:
     path = scratch(spark, label)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+class Workspace:
+    """Tables of one run below a folder of their own in the shared folder."""
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark, self.path, self.count = spark, scratch(spark, label), 0
+
+    def folder(self) -> str:
+        self.count += 1
+        return f"{self.path}/{self.count}"
+
+    def staged(self, rows: DataFrame) -> DataFrame:
+        """Write rows and read them back, which cuts the lineage."""
+        path = self.folder()
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+
+@contextmanager
+def workspace(spark: SparkSession, label: str) -> Iterator[Workspace]:
+    """A workspace that is removed when its block ends well; a failed run leaves it to be looked at."""
+    found = Workspace(spark, label)
+    yield found
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
+    path = jvm.org.apache.hadoop.fs.Path(found.path)
+    path.getFileSystem(context.hadoopConfiguration()).delete(path, True)

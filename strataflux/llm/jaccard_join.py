@@ -1,19 +1,23 @@
-"""Links between documents whose shingle sets have a Jaccard similarity of 0.9 or more.
+"""Links between documents whose shingle sets have a high Jaccard similarity, and their components.
 
-Equal sets are put together first, so what follows handles one row per different set. If a
-set of a elements is similar to one at least as large, at most a // 9 elements stand in
-one of the two only. Two exact ways to find such pairs follow from that, and a
-cost model over the sizes of all sets draws the boundary between them:
+Equal sets are put together first, so what follows handles one row per different set. With a least
+similarity t, two sets of which the smaller has n elements differ in n (1 - t) / t elements at
+most. Two exact ways to find similar sets rest on that, and a cost model over the sizes of
+all sets draws the boundary between them:
 
-* light: a small set emits all subsets that lack up to size // 9 of its elements; similar
-  sets share the subset that is their intersection;
-* heavy: a large set is cut by a hash of its elements into parts, one more than elements may
-  differ; similar sets have at least one part in common, so each part has an inverted list.
+* light: a small set emits all subsets that lack so many elements or fewer; similar sets share
+  the subset that is their intersection;
+* heavy: a large set of n elements enters the inverted lists of its first n - tn + k elements in
+  one global order, rare elements first; similar sets share k of them at least.
+
+For the order, every task counts the elements of all its documents and reports those it has met
+several times; what adds up to ``FREQUENT`` goes last, by way of a bitmap of fixed size. Any
+order gives the same result: one that keeps shared passages out of the lists gives it sooner.
 
 Lists are not expanded into pairs. Each set is first compared with one set of its lists, the
-one it shares most lists with; what proves similar is united. A list whose sets are
-all united then needs no further work, and in the others only pairs between different
-components are compared. All comparisons are exact.
+one it shares most lists with, and what proves similar is united. A list whose sets are
+all united needs no further work; in the others, only pairs of different components that share
+enough lists and are near enough in size are compared. All comparisons are of whole sets.
 """
 
 from __future__ import annotations
@@ -26,11 +30,12 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflux.llm.bpe import text_batches
-from strataflux.llm.common import staged, whole
+from strataflux.llm.common import Workspace, staged, whole, workspace
 from strataflux.llm.components import connected
 
 BATCH_CHARS = 4_000_000
@@ -38,9 +43,14 @@ BATCH_CHARS = 4_000_000
 LIGHT_LIMIT = 40
 # What an entry of an inverted list costs beside a subset: it may have to be compared.
 LIST_COST = 4
+# How many elements similar large sets share among their first ones.
+SHARED = 3
+# A task reports elements it has met so often among so many; those of this total are frequent.
+REPORTED, COUNTED = 3, 4_000_000
+FREQUENT = 8
+BITMAP_BITS = 1 << 25
 # Ids of sets to compare are broadcast up to this number of rows, else joined by shuffling.
 BROADCAST_ROWS = 1_000_000
-LEVELS = 6
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -80,136 +90,146 @@ def shingle_sets(texts: list[str], width: int) -> Iterator[np.ndarray]:
         start += count
 
 
-def schemes(size: int) -> list[tuple[int, int]]:
-    """(scheme, parts) a set of this size is cut by.
+def differing(size: int, percent: int) -> int:
+    """In how many elements a set may differ from one at least as large."""
+    return size * (100 - percent) // percent
 
-    Scheme k is for pairs whose smaller set has a size above its lower and up to its upper end,
-    each upper end half as large again as the one before.
-    """
-    found, upper, number = [], 9, 0
-    while True:
-        lower = 0 if number == 0 else last
-        if lower < size and 9 * size <= 10 * upper:
-            found.append((number, upper // 9 + 1))
-        if size <= upper:
-            return found
-        last, upper, number = upper, upper * 3 // 2 + 1, number + 1
 
+def first_elements(elements: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
+    """The elements by which a large set is listed: rare ones first, else by value."""
+    count = len(elements) - -(-percent * len(elements) // 100) + SHARED
+    often = frequent[(elements % np.uint64(BITMAP_BITS)).astype(np.int64)]
+    return np.concatenate([elements[~often], elements[often]])[:count]
 
-def parts_of(elements: np.ndarray, scheme: int, parts: int, level: int, tag: int) -> list[np.ndarray]:
-    """Digests of the parts of a set.
 
-    An empty part would be common to unrelated sets. The sets that share it are cut again by another
-    hash, under a tag that names the empty part, so the guarantee holds without such a list.
-    """
-    spread = mixed(elements, 7 + 16 * level)
-    part = (spread >> np.uint64(33)) % np.uint64(parts)
-    order = np.argsort(part, kind="stable")
-    part, values = part[order], mixed(elements[order], 3)
-    starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-    sums = np.add.reduceat(values, starts)
-    present = part[starts]
-    base = one(tag * 1_000_003 + scheme * 64 + level, 11)
-    found = [mixed(sums ^ mixed(present + base, 13), 17)]
-    if len(present) < parts:
-        if level + 1 < LEVELS:
-            for empty in np.setdiff1d(np.arange(parts, dtype=np.uint64), present).tolist():
-                found += parts_of(elements, scheme, parts, level + 1, (tag + 1) * (parts + 1) + empty)
-        else:
-            found.append(mixed(np.setdiff1d(np.arange(parts, dtype=np.uint64), present) + base, 19))
-    return found
-
-
-def heavy_signatures(elements: np.ndarray) -> np.ndarray:
-    found = [s for k, parts in schemes(len(elements)) for s in parts_of(elements, k, parts, 0, 0)]
-    return np.concatenate(found)
-
-
-def light_signatures(elements: np.ndarray) -> np.ndarray:
-    """Digests of all subsets that lack up to size // 9 elements."""
+def light_signatures(elements: np.ndarray, percent: int) -> np.ndarray:
+    """Digests of all subsets that lack no more elements than may differ."""
     values = mixed(elements, 5)
     total, found = values.sum(), []
-    for lacking in range(len(elements) // 9 + 1):
+    for lacking in range(differing(len(elements), percent) + 1):
         picked = np.array(list(combinations(range(len(elements)), lacking)), np.int64)
         sums = total - (values[picked].sum(axis=1, dtype=np.uint64) if lacking else np.zeros(1, np.uint64))
         found.append(mixed(sums + one(len(elements) - lacking, 23), 29))
     return np.concatenate(found)
 
 
-def light_cost(size: int) -> int:
-    return sum(comb(size, lacking) for lacking in range(size // 9 + 1))
+def light_cost(size: int, percent: int) -> int:
+    return sum(comb(size, lacking) for lacking in range(differing(size, percent) + 1))
 
 
-def heavy_cost(size: int) -> int:
-    return LIST_COST * sum(parts for _, parts in schemes(size))
+def heavy_cost(size: int, percent: int) -> int:
+    return LIST_COST * min(size, size - -(-percent * size // 100) + SHARED)
 
 
-def boundary(sizes: dict[int, int]) -> int:
+def boundary(sizes: dict[int, int], percent: int) -> int:
     """The largest light size, such that all signatures together cost least.
 
     Sets just below the boundary emit both kinds, as their partner may lie above it.
     """
 
     def total(limit: int) -> int:
-        light = sum(n * light_cost(size) for size, n in sizes.items() if size <= limit)
-        return light + sum(n * heavy_cost(size) for size, n in sizes.items() if 10 * size > 9 * limit)
+        light = sum(n * light_cost(size, percent) for size, n in sizes.items() if size <= limit)
+        return light + sum(
+            n * heavy_cost(size, percent) for size, n in sizes.items() if 100 * size > percent * limit
+        )
 
     return min(range(LIGHT_LIMIT + 1), key=total)
 
 
 def described_sets(docs: DataFrame, width: int) -> DataFrame:
-    """Per row: doc_id, size and digest of its set, the elements if few, else the part digests."""
+    """Per row doc_id, size and digest of its set; on rows without a size, elements a task met often."""
+
+    def reported(held: list[np.ndarray]) -> pa.RecordBatch:
+        found, counts = np.unique(np.concatenate(held), return_counts=True)
+        often = counts >= REPORTED
+        n = int(often.sum())
+        columns = [
+            pa.nulls(n, pa.int64()),
+            pa.nulls(n, pa.int64()),
+            pa.nulls(n, pa.binary()),
+            pa.array(found[often].view(np.int64)),
+            pa.array(counts[often].astype(np.int64)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "size", "digest", "element", "met"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = [], 0
         for keys, texts in text_batches(batches, BATCH_CHARS):
-            sizes, digests, elements, signatures = [], [], [], []
+            sizes, digests = [], []
             for own in shingle_sets(texts, width):
-                few = len(own) <= LIGHT_LIMIT
                 sizes.append(len(own))
                 digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
-                elements.append(own.view(np.int64) if few else None)
-                signatures.append(None if few else heavy_signatures(own).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys, pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(digests, pa.binary()),
-                    pa.array(elements, pa.list_(pa.int64())),
-                    pa.array(signatures, pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "size", "digest", "elements", "signatures"],
-            )
+                held.append(own)
+                total += len(own)
+            n = len(keys)
+            columns = [
+                pa.array(keys, pa.int64()),
+                pa.array(sizes, pa.int64()),
+                pa.array(digests, pa.binary()),
+                pa.nulls(n, pa.int64()),
+                pa.nulls(n, pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "size", "digest", "element", "met"])
+            if total >= COUNTED:
+                yield reported(held)
+                held, total = [], 0
+        if held:
+            yield reported(held)
 
     rows = docs.select(F.col("doc_id").cast("bigint"), whole(F.col("text")).alias("text"))
-    schema = "doc_id bigint, size bigint, digest binary, elements array<bigint>, signatures array<bigint>"
-    return rows.mapInArrow(work, schema)
+    return rows.mapInArrow(work, "doc_id bigint, size bigint, digest binary, element bigint, met bigint")
+
 
+def frequent_bitmap(rows: DataFrame) -> bytes:
+    """A bit for each hash of an element that is met often; BITMAP_BITS bits, whatever the input."""
+    often = rows.where("element IS NOT NULL").groupBy("element").agg(F.sum("met").alias("met"))
+    place = F.pmod(F.col("element"), F.lit(BITMAP_BITS)) + 1
+    often = often.where(F.col("met") >= FREQUENT).select(place.alias("place"))
+    pages = often.groupBy(F.bitmap_bucket_number("place").alias("page")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
+    )
+    size = 4096
+    found = bytearray(BITMAP_BITS // 8)
+    for row in pages.collect():
+        found[(row["page"] - 1) * size : row["page"] * size] = row["bits"]
+    return bytes(found)
 
-def list_entries(classes: DataFrame, limit: int) -> DataFrame:
-    """(signature, id): the entries of all inverted lists and subset lists."""
+
+def list_entries(docs: DataFrame, width: int, percent: int, limit: int, bitmap: Broadcast) -> DataFrame:
+    """(signature, id, size, weight): the entries of all subset lists and inverted lists."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for size, few in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-                own = few.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                kinds = [light_signatures(own)] if size <= limit else []
-                kinds += [heavy_signatures(own)] if 10 * size > 9 * limit else []
-                found.append(np.concatenate(kinds).view(np.int64))
+        frequent = np.unpackbits(np.frombuffer(bitmap.value, np.uint8), bitorder="little").view(bool)
+        for keys, texts in text_batches(batches, BATCH_CHARS):
+            ids, sizes, weights, found = [], [], [], []
+            for key, own in zip(keys, shingle_sets(texts, width), strict=True):
+                kinds = []
+                if 0 < len(own) <= limit:
+                    kinds.append((SHARED, light_signatures(own, percent)))
+                if 100 * len(own) > percent * limit:
+                    kinds.append((1, mixed(first_elements(own, percent, frequent), 31)))
+                for weight, signatures in kinds:
+                    ids.append(key)
+                    sizes.append(len(own))
+                    weights.append(weight)
+                    found.append(signatures.view(np.int64))
+            columns = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(weights, pa.int32())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "signatures"]
+                [*columns, pa.array(found, pa.list_(pa.int64()))], names=["id", "size", "weight", "signatures"]
             )
 
-    few = classes.where("elements IS NOT NULL").select("id", "size", "elements")
-    many = classes.where("elements IS NULL").select("id", "signatures")
-    rows = few.mapInArrow(work, "id bigint, signatures array<bigint>").unionAll(many)
-    return rows.select(F.explode("signatures").alias("signature"), "id")
+    rows = docs.mapInArrow(work, "id bigint, size bigint, weight int, signatures array<bigint>")
+    return rows.select(F.explode("signatures").alias("signature"), "id", "size", "weight")
 
 
-def similar_pairs(docs: DataFrame, pairs: DataFrame, width: int, percent: int, label: str) -> DataFrame:
+def few_or_shuffled(rows: DataFrame) -> DataFrame:
+    """Marked for broadcast if counted to be few, else left to a shuffled join."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def similar_pairs(docs: DataFrame, pairs: DataFrame, width: int, percent: int, work: Workspace) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets are similar enough, by comparing the whole sets."""
-    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), label)
-    near = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    wanted = work.staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in text_batches(batches, BATCH_CHARS):
@@ -228,77 +248,94 @@ def similar_pairs(docs: DataFrame, pairs: DataFrame, width: int, percent: int, l
                 keep[k] = 100 * both >= percent * (len(a) + len(b) - both)
             yield batch.select([0, 1]).filter(pa.array(keep))
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), whole(F.col("text")).alias("text"))
+    known = docs.join(few_or_shuffled(wanted), "doc_id", "left_semi").mapInArrow(sets, "id bigint, elements binary")
     # Rows repeated whole have the same set, so one of each id is enough.
-    known = rows.join(near, "doc_id", "left_semi").mapInArrow(sets, "id bigint, elements binary")
-    known = staged(known.dropDuplicates(["id"]), label)
+    known = work.staged(known.dropDuplicates(["id"]))
     first = known.select(F.col("id").alias("a"), F.col("elements").alias("a_elements"))
     second = known.select(F.col("id").alias("b"), F.col("elements").alias("b_elements"))
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "a_elements", "b_elements")
-    return staged(both.mapInArrow(compared, "a bigint, b bigint"), label)
+    return work.staged(both.mapInArrow(compared, "a bigint, b bigint"))
 
 
-def similar_components(docs: DataFrame, width: int = 3, percent: int = 90, label: str = "jaccard") -> DataFrame:
+def near_in_size(left: Column, right: Column, percent: int) -> Column:
+    return 100 * F.least(left, right) >= percent * F.greatest(left, right)
+
+
+def similar_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles and component_id for every row of ``docs`` (doc_id, text).
 
     Words are what white space separates, with A-Z lower-cased. A text of fewer words than
     ``width`` is one shingle; a text without words, or null, has none and is linked with
-    nothing. component_id is the smallest doc_id reachable by links, the own one included. Rows
-    repeated whole count as equal sets; rows without an id share the component of an equal
-    set that has one, else theirs is null. An empty table gives no rows; other columns are
-    ignored. ``percent`` must be at least 90, which the bounds on differing elements rest on.
+    nothing. Sets are linked from a similarity of ``percent`` on, which must be over 50.
+    component_id is the smallest doc_id reachable by links, the own one included. Rows repeated
+    whole count as equal sets; rows without an id share the component of an equal set that
+    has one, else theirs is null. An empty table gives no rows; other columns are ignored.
     """
-    if percent < 90:
-        raise ValueError("the bounds hold for a similarity of 90 percent or more")
-    rows = staged(described_sets(docs, width), label)
-    classes = rows.where("size > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("id"))
-    classes = staged(classes, label)
-    sizes = rows.where(F.col("size").between(1, LIGHT_LIMIT)).groupBy("size").count()
-    limit = boundary({row["size"]: row["count"] for row in sizes.collect()})
-
-    apart = rows.where("size > 0").join(classes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    apart = apart.select(F.col("doc_id").alias("id"), "size", "elements", "signatures")
-    entries = staged(list_entries(apart, limit), label)
-    lists = entries.groupBy("signature").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    lists = staged(lists.where("first != last").drop("last"), label)
-    members = staged(entries.join(lists, "signature").distinct(), label)
-
-    # Each set beside the head of most of its lists.
-    chosen = members.where("id != first").groupBy("id", "first").count()
-    chosen = chosen.groupBy("id").agg(F.max_by("first", F.struct("count", -F.col("first"))).alias("b"))
-    links = similar_pairs(docs, staged(chosen.select(F.col("id").alias("a"), "b"), label), width, percent, label)
-    united = connected(links, label)
-
-    named = members.join(united, "id", "left").select(
-        "signature", "id", F.coalesce("component", "id").alias("component")
-    )
-    named = staged(named, label)
-    mixed_lists = named.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed_lists = mixed_lists.where("low != high").select("signature")
-    left_over = staged(named.join(mixed_lists, "signature", "left_semi"), label)
-    crossing = staged(crossing_pairs(left_over), label)
-    more = similar_pairs(docs, crossing, width, percent, label)
-    found = connected(links.unionAll(more), label)
-
-    out = rows.join(classes, "digest", "left").join(found, "id", "left")
-    return out.select(
-        "doc_id",
-        F.col("size").alias("n_shingles"),
-        F.when(F.col("size") == 0, F.col("doc_id"))
-        .otherwise(F.coalesce("component", "id"))
-        .alias("component_id"),
-    )
-
-
-def crossing_pairs(named: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of sets that share a list but not their component."""
+    if not 50 < percent <= 100:
+        raise ValueError("percent must be over 50, up to 100")
+    spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole(F.col("text")).alias("text"))
+    with workspace(spark, "jaccard") as work:
+        found = work.staged(described_sets(texts, width))
+        rows = found.where("size IS NOT NULL").select("doc_id", "size", "digest")
+        classes = rows.where("size > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("id"))
+        classes = work.staged(classes)
+        sizes = rows.where(F.col("size").between(1, LIGHT_LIMIT)).groupBy("size").count()
+        limit = boundary({row["size"]: row["count"] for row in sizes.collect()}, percent)
+        bitmap = spark.sparkContext.broadcast(frequent_bitmap(found))
+
+        apart = texts.join(few_or_shuffled(classes.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi")
+        entries = work.staged(list_entries(apart, width, percent, limit, bitmap))
+        lists = entries.groupBy("signature").agg(
+            F.min(F.struct("id", "size")).alias("first"), F.max("id").alias("last")
+        )
+        lists = work.staged(lists.where("first.id != last").select("signature", "first"))
+        members = work.staged(entries.join(lists, "signature"))
+
+        # Each set beside the head of most of its lists.
+        headed = members.where("id != first.id").where(near_in_size(F.col("size"), F.col("first.size"), percent))
+        headed = headed.groupBy(F.col("id").alias("a"), F.col("first.id").alias("b")).agg(
+            F.sum("weight").alias("shared")
+        )
+        chosen = headed.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
+        links = similar_pairs(texts, work.staged(chosen), width, percent, work)
+        united = connected(links, work)
+
+        named = members.join(united, "id", "left").select(
+            "signature", "id", "size", "weight", F.coalesce("component", "id").alias("component")
+        )
+        named = work.staged(named)
+        open_lists = named.groupBy("signature").agg(
+            F.min("component").alias("low"), F.max("component").alias("high")
+        )
+        open_lists = open_lists.where("low != high").select("signature")
+        left_over = work.staged(named.join(open_lists, "signature", "left_semi"))
+        crossing = work.staged(crossing_pairs(left_over, percent))
+        more = similar_pairs(texts, crossing, width, percent, work)
+        grouped = connected(links.unionAll(more), work)
+
+        out = rows.join(classes, "digest", "left").join(grouped, "id", "left")
+        component = F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "id"))
+        result = staged(
+            out.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id")), "jaccard-result"
+        )
+        bitmap.destroy()
+    return result
+
+
+def crossing_pairs(named: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) that share enough lists, but not their component."""
     groups = named.select("signature", "component").distinct()
     upper = groups.select("signature", F.col("component").alias("other"))
     between = groups.join(upper, "signature").where("component < other")
-    left = named.select("signature", "component", F.col("id").alias("a"))
-    right = named.select("signature", F.col("component").alias("other"), F.col("id").alias("b"))
-    pairs = between.join(left, ["signature", "component"]).join(right, ["signature", "other"])
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    left = named.select("signature", "component", "weight", F.col("id").alias("a"), F.col("size").alias("a_size"))
+    right = named.select("signature", F.col("component").alias("other"), F.col("id").alias("b"), F.col("size").alias("b_size"))
+    near = near_in_size(F.col("a_size"), F.col("b_size"), percent)
+    pairs = between.join(left, ["signature", "component"]).join(right, ["signature", "other"]).where(near)
+    # Sets so small that they share fewer elements than SHARED need to share all of those.
+    wanted = F.least(F.lit(SHARED), F.ceil(F.lit(percent) * F.greatest("a_size", "b_size") / 100))
+    counted = pairs.groupBy("a", "b", wanted.alias("wanted")).agg(F.sum("weight").alias("shared"))
+    return counted.where("shared >= wanted").select("a", "b")
 
 
 def one_of_each(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
