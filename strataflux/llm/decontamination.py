@@ -22,7 +22,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflux.llm.common import staged, whole
+from strataflux.llm.common import Workspace, staged, whole, workspace
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -116,13 +116,13 @@ def bounded(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def windows(docs: DataFrame, items: DataFrame, width: int, label: str) -> DataFrame:
+def windows(docs: DataFrame, items: DataFrame, width: int, work: Workspace) -> DataFrame:
     """doc_id, n, start and bag of the windows that stand where an item could."""
     own = items.where(F.col("width") == width)
     # A shingle that repeats in an item anchors where it stands first.
     each = own.select("item_id", "n", F.posexplode("bag").alias("offset", "shingle"))
     each = each.groupBy("item_id", "n", "shingle").agg(F.min("offset").alias("offset"))
-    anchors = staged(each.select("n", "shingle", "offset").distinct(), label)
+    anchors = work.staged(each.select("n", "shingle", "offset").distinct())
     rows = docs.select("doc_id", shingles_of(words_of(F.col("text")), width).alias("shingles"))
     seen = rows.select("doc_id", F.size("shingles").alias("count"), F.posexplode("shingles").alias("place", "shingle"))
     matched = seen.join(bounded(anchors), "shingle")
@@ -132,7 +132,7 @@ def windows(docs: DataFrame, items: DataFrame, width: int, label: str) -> DataFr
     starts = matched.select("doc_id", "n", "place", "offset", latest.alias("latest"), sides).select(
         "doc_id", "n", F.greatest(F.lit(0), F.least("latest", F.expr("place - offset + side"))).alias("start")
     )
-    starts = staged(starts.distinct(), label)
+    starts = work.staged(starts.distinct())
     where = starts.groupBy("doc_id").agg(F.collect_list(F.struct("n", "start")).alias("starts"))
     where = F.broadcast(where) if starts.count() <= BROADCAST_ROWS else where
     cut = rows.join(where, "doc_id").select("doc_id", "shingles", F.explode("starts").alias("at"))
@@ -140,9 +140,7 @@ def windows(docs: DataFrame, items: DataFrame, width: int, label: str) -> DataFr
     return cut.select("doc_id", "at.n", "at.start", bag.alias("bag")).distinct()
 
 
-def contaminations(
-    docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, label: str = "decontaminate"
-) -> DataFrame:
+def contaminations(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, similarity and first_word of every document that holds an item.
 
     One row per document and item, for its most similar window, the first of equals. ``docs`` has
@@ -151,12 +149,17 @@ def contaminations(
     included, match nothing. Rows without a doc_id are examined as if they were one document;
     repeated rows give one answer. Empty tables give no rows.
     """
+    with workspace(docs.sparkSession, "decontaminate") as work:
+        return staged(_contaminations(docs, items, similarity, work), "decontaminate-result")
+
+
+def _contaminations(docs: DataFrame, items: DataFrame, similarity: float, work: Workspace) -> DataFrame:
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"), F.col("text").alias("text")
     )
-    described = staged(described_items(items.select("item_id", "text")).distinct(), label)
+    described = work.staged(described_items(items.select("item_id", "text")).distinct())
     widths = sorted(row["width"] for row in described.select("width").distinct().collect())
-    prints = staged(described.withColumn("print", fingerprint(F.col("bag"))), label)
+    prints = work.staged(described.withColumn("print", fingerprint(F.col("bag"))))
     masks = F.array(*[F.lit(mask).cast("bigint") for mask in near_masks(RADIUS // (BITS // BLOCK_BITS))])
     index = prints.select("item_id", "n", "print", F.explode(blocks_of(F.col("print"))).alias("block"))
     index = index.select(
@@ -168,8 +171,8 @@ def contaminations(
     )
     found = None
     for width in widths:
-        cut = windows(texts, described, width, label)
-        cut = staged(cut.withColumn("print", fingerprint(F.col("bag"))), label)
+        cut = windows(texts, described, width, work)
+        cut = work.staged(cut.withColumn("print", fingerprint(F.col("bag"))))
         keys = cut.select("doc_id", "n", "start", "print", F.explode(blocks_of(F.col("print"))).alias("block"))
         keys = keys.select("doc_id", "n", "start", "print", "block.number", "block.value")
         near = keys.join(index, ["n", "number", "value"])
@@ -196,5 +199,5 @@ OUTPUT = "doc_id bigint, item_id bigint, similarity double, first_word bigint"
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item, in all their columns."""
-    held = staged(contaminations(docs, items).select(F.col("doc_id").alias("held_id")).distinct(), "decontaminate")
+    held = contaminations(docs, items).select(F.col("doc_id").alias("held_id")).distinct()
     return docs.join(held, docs["doc_id"].eqNullSafe(F.col("held_id")), "left_anti")

@@ -17,8 +17,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflux.llm.common import SPACE_CLASS, staged, whole
-from strataflux.session import scratch
+from strataflux.llm.common import SPACE_CLASS, Workspace, staged, whole, workspace
 
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -93,9 +92,7 @@ def keep_state(spark: SparkSession, arrivals: DataFrame, path: str, batches: int
     )
 
 
-def exact_groups(
-    docs: DataFrame, digest=full_digest, batches: int = 2, label: str = "exact-dedup"
-) -> DataFrame:
+def exact_groups(docs: DataFrame, digest=full_digest, batches: int = 2) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical without their space characters; a null text is empty. Of
@@ -104,8 +101,12 @@ def exact_groups(
     function of the normalised text: hits are settled by full bytes. An empty table gives no
     rows; other columns of ``docs`` are ignored.
     """
-    spark = docs.sparkSession
-    path = scratch(spark, label)
+    with workspace(docs.sparkSession, "exact-dedup") as work:
+        return staged(_grouped(docs, digest, batches, work), "exact-dedup-result")
+
+
+def _grouped(docs: DataFrame, digest, batches: int, work: Workspace) -> DataFrame:
+    spark, path = docs.sparkSession, work.folder()
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.length(whole(F.col("text"))).alias("n_points"),
@@ -115,15 +116,13 @@ def exact_groups(
     rows.withColumn("digest", digest(F.col("content"))).write.parquet(f"{path}/rows")
     rows = spark.read.parquet(f"{path}/rows")
     arrivals = rows.select("digest", "doc_id", "n_points", "locator")
-    if not arrivals.inputFiles():
-        return spark.createDataFrame([], OUTPUT)
-    groups = staged(keep_state(spark, arrivals, path, batches), label)
+    groups = work.staged(keep_state(spark, arrivals, path, batches))
 
     # Where only one row has a digest there is nothing to compare.
     many = groups.where("group_size > 1").select("digest", (-F.col("keeper.locator")).alias("keep_locator"))
     hits = arrivals.join(many, "digest").select("locator", "keep_locator")
     # The one shuffle of texts; what follows handles those of hits alone.
-    texts = staged(rows.select("locator", "digest", "content").join(hits, "locator"), label)
+    texts = work.staged(rows.select("locator", "digest", "content").join(hits, "locator"))
     keepers = texts.where("locator = keep_locator").select(
         "keep_locator", F.col("content").alias("keep_content")
     )
@@ -134,15 +133,12 @@ def exact_groups(
         .select("digest")
         .distinct()
     )
-    differing = staged(differing, label)
+    differing = work.staged(differing)
     if not differing.isEmpty():
         return _by_bytes(rows, groups, differing)
     return _answer(arrivals.join(groups, "digest"), F.col("digest"), digest is full_digest, rows)
 
 
-OUTPUT = "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string"
-
-
 def _answer(joined: DataFrame, key: Column, is_sha: bool, rows: DataFrame) -> DataFrame:
     if not is_sha:
         texts = rows.select("locator", full_digest(F.col("content")).alias("text_sha256"))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflux.llm.common import staged, whole
+from strataflux.llm.common import Workspace, staged, whole, workspace
 
 STATES = 6
 FREQUENT = 1023
@@ -142,17 +142,17 @@ class Corpus:
     class_words: np.ndarray
 
 
-def word_classes(entries: DataFrame) -> DataFrame:
+def word_classes(entries: DataFrame, work: Workspace) -> DataFrame:
     """word, c and class of every training word; the most frequent words have their own class."""
     counts = entries.groupBy("word", "ending").agg(F.sum("n").alias("c")).where("c > 0")
-    counts = staged(counts, "hmm-counts")
+    counts = work.staged(counts)
     order = [F.col("c").desc(), F.col("word")]
     top = [bytes(row["word"]) for row in counts.orderBy(*order).select("word").limit(FREQUENT).collect()]
     rows = [(word, k) for k, word in enumerate(top, 1)]
     # FREQUENT rows at most, so a broadcast has a fixed bound.
     frequent = counts.sparkSession.createDataFrame(rows, "word binary, own int")
     named = counts.join(F.broadcast(frequent), "word", "left")
-    return staged(named.select("word", "c", F.coalesce("own", ending_class()).alias("class")), "hmm-classes")
+    return work.staged(named.select("word", "c", F.coalesce("own", ending_class()).alias("class")))
 
 
 def ending_class() -> Column:
@@ -348,7 +348,12 @@ def scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataF
     an empty table gives no rows; other columns are ignored. score is the log10 probability of
     the text under the model, exact for the whole sequence.
     """
-    blocks = staged(numbered_blocks(docs), "hmm-blocks")
+    with workspace(docs.sparkSession, "hmm") as work:
+        return staged(_scores(docs, states, rounds, work), "hmm-result")
+
+
+def _scores(docs: DataFrame, states: int, rounds: int, work: Workspace) -> DataFrame:
+    blocks = work.staged(numbered_blocks(docs))
     words = F.explode(F.arrays_zip("words", "counts", "endings", F.sequence(F.lit(0), F.size("words") - 1)))
     entries = blocks.where("words IS NOT NULL").select("block", "first", words.alias("e"))
     entries = entries.select(
@@ -358,7 +363,7 @@ def scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataF
         F.col("e.counts").alias("n"),
         F.col("e.endings").alias("ending"),
     )
-    classes = word_classes(entries)
+    classes = word_classes(entries, work)
     documents = blocks.where("words IS NULL").select("block", "doc_id", "held_out", "n_words", "numbers")
     corpus = sums(classes, documents.where("NOT held_out").count())
     known = entries.join(classes, "word", "left").select(
@@ -370,7 +375,7 @@ def scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataF
     # Documents of like length in one file, so that they can be worked off side by side.
     prepared = classified(documents, known, corpus)
     parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    prepared = staged(prepared.repartitionByRange(parts, "n_tokens", F.xxhash64("classes")), "hmm-documents")
+    prepared = work.staged(prepared.repartitionByRange(parts, "n_tokens", F.xxhash64("classes")))
 
     model = first_model(corpus, states)
     training = prepared.where("NOT held_out")
@@ -378,7 +383,7 @@ def scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataF
         model = baum_welch_round(training, model, corpus)
     last = model
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, rows in class_rows(batches):
             out = np.empty(len(rows))
             for group in side_by_side(rows):
@@ -391,7 +396,7 @@ def scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataF
 
     scored = prepared.select("classes", "n_tokens", "doc_id", "held_out", "n_known", "base_score", "within")
     found = scored.mapInArrow(
-        work,
+        score,
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double",
     )
     return found.select(
