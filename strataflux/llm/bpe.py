@@ -194,13 +194,16 @@ class Memo:
         if len(self.known) > REMEMBERED_WORDS:
             self.clear()
         known = self.known
-        new = [word for word in dict.fromkeys(words) if word not in known]
-        if new:
+        places = np.fromiter((known.get(word, -1) for word in words), np.int64, len(words))
+        missing = np.flatnonzero(places < 0)
+        if len(missing):
+            new = list(dict.fromkeys([words[k] for k in missing]))
             ids, lengths = self.encode(new)
             self.ids = np.r_[self.ids, ids.astype(np.int32)]
             self.lengths = np.r_[self.lengths, lengths]
             known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            places[missing] = [known[words[k]] for k in missing]
+        return places
 
 
 def numbered_words(
