@@ -262,17 +262,23 @@ def loaded(path: str) -> tuple[PairIndexBpe, Memo]:
     return encoder, Memo(encoder.encode_words)
 
 
+# Rows made into Python strings at a time.
+SLICE_ROWS = 500
+
+
 def text_batches(batches: Iterator[pa.RecordBatch], chars: int) -> Iterator[tuple[list, list[str]]]:
     """Ids and texts of a partition in groups of about so many characters."""
     keys, texts, held = [], [], 0
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            keys.append(key)
-            texts.append(text)
-            held += len(text)
-            if held >= chars:
-                yield keys, texts
-                keys, texts, held = [], [], 0
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            part = batch.slice(start, SLICE_ROWS)
+            for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                keys.append(key)
+                texts.append(text)
+                held += len(text)
+                if held >= chars:
+                    yield keys, texts
+                    keys, texts, held = [], [], 0
     if keys:
         yield keys, texts
 

@@ -17,7 +17,8 @@ order gives the same result: one that keeps shared passages out of the lists giv
 Lists are not expanded into pairs. Each set is first compared with one set of its lists, the
 one it shares most lists with, and what proves similar is united. A list whose sets are
 all united needs no further work; in the others, only pairs of different components that share
-enough lists and are near enough in size are compared. All comparisons are of whole sets.
+enough lists are compared: first in size, then by parity sketches, whose distance never
+exceeds the number of differing elements, and at last as whole sets.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from strataflux.llm.bpe import text_batches
 from strataflux.llm.common import Workspace, staged, whole, workspace
 from strataflux.llm.components import connected
 
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
 # No set above this size is light, whatever the cost model says.
 LIGHT_LIMIT = 40
 # What an entry of an inverted list costs beside a subset: it may have to be compared.
@@ -49,6 +50,7 @@ SHARED = 3
 REPORTED, COUNTED = 3, 4_000_000
 FREQUENT = 8
 BITMAP_BITS = 1 << 25
+SKETCH_BITS = 2048
 # Ids of sets to compare are broadcast up to this number of rows, else joined by shuffling.
 BROADCAST_ROWS = 1_000_000
 
@@ -98,7 +100,9 @@ def differing(size: int, percent: int) -> int:
 def first_elements(elements: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
     """The elements by which a large set is listed: rare ones first, else by value."""
     count = len(elements) - -(-percent * len(elements) // 100) + SHARED
-    often = frequent[(elements % np.uint64(BITMAP_BITS)).astype(np.int64)]
+    place = elements % np.uint64(BITMAP_BITS)
+    bits = frequent[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)
+    often = (bits & 1).astype(bool)
     return np.concatenate([elements[~often], elements[often]])[:count]
 
 
@@ -136,48 +140,58 @@ def boundary(sizes: dict[int, int], percent: int) -> int:
     return min(range(LIGHT_LIMIT + 1), key=total)
 
 
+def sketch(elements: np.ndarray) -> bytes:
+    """The parity of the number of elements in each of SKETCH_BITS groups."""
+    groups = (elements >> np.uint64(40)).astype(np.int64) % SKETCH_BITS
+    return np.packbits((np.bincount(groups, minlength=SKETCH_BITS) & 1).astype(bool)).tobytes()
+
+
+DESCRIBED = "doc_id bigint, size bigint, digest binary, sketch binary, element bigint, met bigint"
+NAMES = ["doc_id", "size", "digest", "sketch", "element", "met"]
+
+
 def described_sets(docs: DataFrame, width: int) -> DataFrame:
-    """Per row doc_id, size and digest of its set; on rows without a size, elements a task met often."""
+    """Per row doc_id, and size, digest and sketch of its set.
+
+    On rows without a size, elements a task met often and how often.
+    """
 
     def reported(held: list[np.ndarray]) -> pa.RecordBatch:
-        found, counts = np.unique(np.concatenate(held), return_counts=True)
-        often = counts >= REPORTED
-        n = int(often.sum())
-        columns = [
-            pa.nulls(n, pa.int64()),
-            pa.nulls(n, pa.int64()),
-            pa.nulls(n, pa.binary()),
-            pa.array(found[often].view(np.int64)),
-            pa.array(counts[often].astype(np.int64)),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "size", "digest", "element", "met"])
+        met = np.concatenate(held)
+        met.sort()
+        # An element met n times equals the one REPORTED - 1 places on n - REPORTED + 1 times.
+        apart = REPORTED - 1
+        found, counts = np.unique(met[apart:][met[apart:] == met[: len(met) - apart]], return_counts=True)
+        empty = [pa.nulls(len(found), kind) for kind in (pa.int64(), pa.int64(), pa.binary(), pa.binary())]
+        columns = [*empty, pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64) + apart)]
+        return pa.RecordBatch.from_arrays(columns, names=NAMES)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
         for keys, texts in text_batches(batches, BATCH_CHARS):
-            sizes, digests = [], []
+            sizes, digests, sketches = [], [], []
             for own in shingle_sets(texts, width):
                 sizes.append(len(own))
                 digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+                sketches.append(sketch(own))
                 held.append(own)
                 total += len(own)
-            n = len(keys)
             columns = [
                 pa.array(keys, pa.int64()),
                 pa.array(sizes, pa.int64()),
                 pa.array(digests, pa.binary()),
-                pa.nulls(n, pa.int64()),
-                pa.nulls(n, pa.int64()),
+                pa.array(sketches, pa.binary()),
+                pa.nulls(len(keys), pa.int64()),
+                pa.nulls(len(keys), pa.int64()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "size", "digest", "element", "met"])
+            yield pa.RecordBatch.from_arrays(columns, names=NAMES)
             if total >= COUNTED:
                 yield reported(held)
                 held, total = [], 0
         if held:
             yield reported(held)
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), whole(F.col("text")).alias("text"))
-    return rows.mapInArrow(work, "doc_id bigint, size bigint, digest binary, element bigint, met bigint")
+    return docs.mapInArrow(work, DESCRIBED)
 
 
 def frequent_bitmap(rows: DataFrame) -> bytes:
@@ -196,30 +210,25 @@ def frequent_bitmap(rows: DataFrame) -> bytes:
 
 
 def list_entries(docs: DataFrame, width: int, percent: int, limit: int, bitmap: Broadcast) -> DataFrame:
-    """(signature, id, size, weight): the entries of all subset lists and inverted lists."""
+    """(signature, id): the entries of all subset lists and inverted lists."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = np.unpackbits(np.frombuffer(bitmap.value, np.uint8), bitorder="little").view(bool)
+        frequent = np.frombuffer(bitmap.value, np.uint8)
         for keys, texts in text_batches(batches, BATCH_CHARS):
-            ids, sizes, weights, found = [], [], [], []
+            ids, found = [], []
             for key, own in zip(keys, shingle_sets(texts, width), strict=True):
                 kinds = []
                 if 0 < len(own) <= limit:
-                    kinds.append((SHARED, light_signatures(own, percent)))
+                    kinds.append(light_signatures(own, percent))
                 if 100 * len(own) > percent * limit:
-                    kinds.append((1, mixed(first_elements(own, percent, frequent), 31)))
-                for weight, signatures in kinds:
-                    ids.append(key)
-                    sizes.append(len(own))
-                    weights.append(weight)
-                    found.append(signatures.view(np.int64))
-            columns = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(weights, pa.int32())]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(found, pa.list_(pa.int64()))], names=["id", "size", "weight", "signatures"]
-            )
+                    kinds.append(mixed(first_elements(own, percent, frequent), 31))
+                ids += [key] * len(kinds)
+                found += [signatures.view(np.int64) for signatures in kinds]
+            columns = [pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "signatures"])
 
-    rows = docs.mapInArrow(work, "id bigint, size bigint, weight int, signatures array<bigint>")
-    return rows.select(F.explode("signatures").alias("signature"), "id", "size", "weight")
+    rows = docs.mapInArrow(work, "id bigint, signatures array<bigint>")
+    return rows.select(F.explode("signatures").alias("signature"), "id")
 
 
 def few_or_shuffled(rows: DataFrame) -> DataFrame:
@@ -227,9 +236,33 @@ def few_or_shuffled(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def similar_pairs(docs: DataFrame, pairs: DataFrame, width: int, percent: int, work: Workspace) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets are similar enough, by comparing the whole sets."""
-    wanted = work.staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+def beside(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the columns ``known`` (id, ...) has for either."""
+    for side in ("a", "b"):
+        names = {name: f"{side}_{name}" for name in known.columns if name != "id"}
+        pairs = pairs.join(known.withColumnsRenamed(names | {"id": side}), side)
+    return pairs
+
+
+def similar_pairs(
+    docs: DataFrame, pairs: DataFrame, sketches: DataFrame, width: int, percent: int, work: Workspace
+) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets are similar enough.
+
+    What the sketches and sizes leave is settled by the whole sets, which are made again from
+    the texts of just these documents.
+    """
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("a_size").to_numpy() + batch.column("b_size").to_numpy()
+            left, right = (
+                np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
+                for name in ("a_sketch", "b_sketch")
+            )
+            apart = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
+            keep = apart * (100 + percent) <= (100 - percent) * sizes
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in text_batches(batches, BATCH_CHARS):
@@ -240,21 +273,21 @@ def similar_pairs(docs: DataFrame, pairs: DataFrame, width: int, percent: int, w
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             keep = np.zeros(batch.num_rows, bool)
-            for k, (a, b) in enumerate(zip(left, right, strict=True)):
-                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            for k in range(batch.num_rows):
+                a, b = (
+                    np.frombuffer(batch.column(name)[k].as_buffer(), np.uint64)
+                    for name in ("a_elements", "b_elements")
+                )
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 keep[k] = 100 * both >= percent * (len(a) + len(b) - both)
-            yield batch.select([0, 1]).filter(pa.array(keep))
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
+    near = beside(pairs, sketches).where(near_in_size(F.col("a_size"), F.col("b_size"), percent))
+    left = work.staged(near.mapInArrow(likely, "a bigint, b bigint"))
+    wanted = work.staged(left.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     known = docs.join(few_or_shuffled(wanted), "doc_id", "left_semi").mapInArrow(sets, "id bigint, elements binary")
-    # Rows repeated whole have the same set, so one of each id is enough.
-    known = work.staged(known.dropDuplicates(["id"]))
-    first = known.select(F.col("id").alias("a"), F.col("elements").alias("a_elements"))
-    second = known.select(F.col("id").alias("b"), F.col("elements").alias("b_elements"))
-    both = pairs.join(first, "a").join(second, "b").select("a", "b", "a_elements", "b_elements")
-    return work.staged(both.mapInArrow(compared, "a bigint, b bigint"))
+    return work.staged(beside(left, work.staged(known)).mapInArrow(compared, "a bigint, b bigint"))
 
 
 def near_in_size(left: Column, right: Column, percent: int) -> Column:
@@ -275,66 +308,64 @@ def similar_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
         raise ValueError("percent must be over 50, up to 100")
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole(F.col("text")).alias("text"))
-    with workspace(spark, "jaccard") as work:
-        found = work.staged(described_sets(texts, width))
-        rows = found.where("size IS NOT NULL").select("doc_id", "size", "digest")
-        classes = rows.where("size > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("id"))
-        classes = work.staged(classes)
-        sizes = rows.where(F.col("size").between(1, LIGHT_LIMIT)).groupBy("size").count()
-        limit = boundary({row["size"]: row["count"] for row in sizes.collect()}, percent)
-        bitmap = spark.sparkContext.broadcast(frequent_bitmap(found))
-
-        apart = texts.join(few_or_shuffled(classes.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi")
-        entries = work.staged(list_entries(apart, width, percent, limit, bitmap))
-        lists = entries.groupBy("signature").agg(
-            F.min(F.struct("id", "size")).alias("first"), F.max("id").alias("last")
-        )
-        lists = work.staged(lists.where("first.id != last").select("signature", "first"))
-        members = work.staged(entries.join(lists, "signature"))
-
-        # Each set beside the head of most of its lists.
-        headed = members.where("id != first.id").where(near_in_size(F.col("size"), F.col("first.size"), percent))
-        headed = headed.groupBy(F.col("id").alias("a"), F.col("first.id").alias("b")).agg(
-            F.sum("weight").alias("shared")
-        )
-        chosen = headed.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
-        links = similar_pairs(texts, work.staged(chosen), width, percent, work)
-        united = connected(links, work)
-
-        named = members.join(united, "id", "left").select(
-            "signature", "id", "size", "weight", F.coalesce("component", "id").alias("component")
-        )
-        named = work.staged(named)
-        open_lists = named.groupBy("signature").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        )
-        open_lists = open_lists.where("low != high").select("signature")
-        left_over = work.staged(named.join(open_lists, "signature", "left_semi"))
-        crossing = work.staged(crossing_pairs(left_over, percent))
-        more = similar_pairs(texts, crossing, width, percent, work)
-        grouped = connected(links.unionAll(more), work)
-
-        out = rows.join(classes, "digest", "left").join(grouped, "id", "left")
-        component = F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "id"))
-        result = staged(
-            out.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id")), "jaccard-result"
-        )
-        bitmap.destroy()
-    return result
-
-
-def crossing_pairs(named: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) that share enough lists, but not their component."""
+    with workspace(docs.sparkSession, "jaccard") as work:
+        return staged(_components(texts, width, percent, work), "jaccard-result")
+
+
+def _components(texts: DataFrame, width: int, percent: int, work: Workspace) -> DataFrame:
+    described = work.staged(described_sets(texts, width))
+    rows = described.where("size IS NOT NULL").select("doc_id", "size", "digest", "sketch")
+    known = rows.where("size > 0 AND doc_id IS NOT NULL")
+    classes = work.staged(known.groupBy("digest").agg(F.min("doc_id").alias("id")))
+    reps = few_or_shuffled(classes.select(F.col("id").alias("doc_id")))
+    apart, sketches = texts.join(reps, "doc_id", "left_semi"), known.join(reps, "doc_id", "left_semi")
+    if not rows.groupBy("doc_id").count().where("count > 1").isEmpty():
+        apart, sketches = apart.dropDuplicates(["doc_id"]), sketches.dropDuplicates(["doc_id"])
+    sketches = work.staged(sketches.select(F.col("doc_id").alias("id"), "size", "sketch"))
+    sizes = rows.where(F.col("size").between(1, LIGHT_LIMIT)).groupBy("size").count()
+    limit = boundary({row["size"]: row["count"] for row in sizes.collect()}, percent)
+
+    bitmap = texts.sparkSession.sparkContext.broadcast(frequent_bitmap(described))
+    entries = work.staged(list_entries(apart, width, percent, limit, bitmap))
+    lists = entries.groupBy("signature").agg(F.min("id").alias("head"), F.max("id").alias("last"))
+    lists = work.staged(lists.where("head != last").select("signature", "head"))
+    members = work.staged(entries.join(lists, "signature"))
+
+    # Each set beside the head of most of its lists.
+    headed = members.where("id != head").groupBy(F.col("id").alias("a"), F.col("head").alias("b")).count()
+    chosen = headed.groupBy("a").agg(F.max_by("b", F.struct("count", -F.col("b"))).alias("b"))
+    links = similar_pairs(apart, work.staged(chosen), sketches, width, percent, work)
+    united = connected(links, work)
+
+    named = members.join(united, "id", "left")
+    named = work.staged(named.select("signature", "id", F.coalesce("component", "id").alias("component")))
+    ends = named.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    open_lists = ends.where("low != high").select("signature")
+    left_over = work.staged(named.join(open_lists, "signature", "left_semi"))
+    crossing = work.staged(crossing_pairs(left_over, sketches, limit, percent))
+    more = similar_pairs(apart, crossing, sketches, width, percent, work)
+    grouped = connected(links.unionAll(more), work)
+    bitmap.unpersist()
+
+    out = rows.join(classes, "digest", "left").join(grouped, "id", "left")
+    component = F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "id"))
+    return out.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"))
+
+
+def crossing_pairs(named: DataFrame, sketches: DataFrame, limit: int, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) near in size that share enough lists, but not their component."""
     groups = named.select("signature", "component").distinct()
     upper = groups.select("signature", F.col("component").alias("other"))
     between = groups.join(upper, "signature").where("component < other")
-    left = named.select("signature", "component", "weight", F.col("id").alias("a"), F.col("size").alias("a_size"))
-    right = named.select("signature", F.col("component").alias("other"), F.col("id").alias("b"), F.col("size").alias("b_size"))
-    near = near_in_size(F.col("a_size"), F.col("b_size"), percent)
-    pairs = between.join(left, ["signature", "component"]).join(right, ["signature", "other"]).where(near)
-    # Sets so small that they share fewer elements than SHARED need to share all of those.
-    wanted = F.least(F.lit(SHARED), F.ceil(F.lit(percent) * F.greatest("a_size", "b_size") / 100))
-    counted = pairs.groupBy("a", "b", wanted.alias("wanted")).agg(F.sum("weight").alias("shared"))
+    sized = named.join(sketches.select("id", "size"), "id")
+    left = sized.select("signature", "component", F.col("id").alias("a"), F.col("size").alias("a_size"))
+    right = left.withColumnsRenamed({"component": "other", "a": "b", "a_size": "b_size"})
+    pairs = between.join(left, ["signature", "component"]).join(right, ["signature", "other"])
+    pairs = pairs.where(near_in_size(F.col("a_size"), F.col("b_size"), percent))
+    # Two light sets share one subset; sets of fewer elements than SHARED share all they must.
+    larger = F.greatest("a_size", "b_size")
+    wanted = F.when(larger <= limit, 1).otherwise(F.least(F.lit(SHARED), F.ceil(percent * larger / 100)))
+    counted = pairs.groupBy("a", "b", wanted.alias("wanted")).agg(F.count("*").alias("shared"))
     return counted.where("shared >= wanted").select("a", "b")
 
 
