@@ -1,0 +1,244 @@
+"""The trained operators: language, hidden Markov scores, personal data."""
+
+from __future__ import annotations
+
+import itertools
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from strataflux.llm import byte_cnn, hidden_markov, personal_data
+from strataflux.llm.common import table
+
+from .conftest import EDGES, by_id
+
+SMALL = "/root/testdata/sf0.01"
+
+
+def test_languages_of_texts_not_learned(spark):
+    docs = table(spark, SMALL, "documents")
+    network = byte_cnn.fit(docs)
+    found = byte_cnn.identify(docs, network).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(found) == docs.count()
+    for row in found:
+        assert row["held_out"] == (zlib.crc32(str(row["doc_id"]).encode()) % 3 == 1)
+        assert 0 <= row["score"] <= 1
+    away = [row["lang"] == row["lang_pred"] for row in found if row["held_out"]]
+    assert sum(away) / len(away) > 0.98
+
+
+def test_language_edges(docs_of):
+    network = byte_cnn.fit(docs_of([(k, "der die das und nicht " * 9, "de") for k in range(40)]))
+    found = byte_cnn.identify(docs_of([*EDGES, (20, "123 %%% ...")]), network).collect()
+    assert len(found) == len(EDGES) + 1
+    for row in found:
+        blank = row["doc_id"] in (1, 2, 3, 20)
+        assert (row["lang_pred"], row["score"] == 0) == (("und", True) if blank else ("de", False))
+    assert byte_cnn.fit(docs_of([(1, "text", None), (2, None, "en")])) is None
+    assert {row["lang_pred"] for row in byte_cnn.identify(docs_of(EDGES), None).collect()} == {"und"}
+    assert byte_cnn.fit(docs_of([])) is None
+    assert byte_cnn.identify(docs_of([]), network).collect() == []
+    kept = byte_cnn.identified(docs_of(EDGES), network, 0.3)
+    assert kept.columns == docs_of([]).columns and kept.count() == len(EDGES) - 3
+
+
+def test_gradients():
+    random = np.random.default_rng(1)
+    weights = {"embedding": random.normal(size=(256, byte_cnn.EMBEDDING))}
+    for width in byte_cnn.WIDTHS:
+        weights[f"filter{width}"] = random.normal(size=(width * byte_cnn.EMBEDDING, byte_cnn.FILTERS)) * 0.1
+    units = len(byte_cnn.WIDTHS) * byte_cnn.FILTERS
+    weights |= {"bias": np.zeros(units), "dense": random.normal(size=(units, 3)), "offset": np.zeros(3)}
+    windows, wanted = random.integers(0, 256, (5, byte_cnn.WINDOW)).astype(np.uint8), np.array([0, 1, 2, 1, 0])
+
+    def loss():
+        embedded, pooled = weights["embedding"][windows], []
+        for width in byte_cnn.WIDTHS:
+            span = byte_cnn.WINDOW - width + 1
+            stacked = np.concatenate([embedded[:, k : k + span] for k in range(width)], axis=2)
+            pooled.append((stacked @ weights[f"filter{width}"]).max(axis=1))
+        hidden = np.maximum(np.concatenate(pooled, axis=1) + weights["bias"], 0)
+        chances = byte_cnn.softmax(hidden @ weights["dense"] + weights["offset"])
+        return -np.log(chances[np.arange(5), wanted]).mean()
+
+    found = byte_cnn.slopes(weights, windows, wanted)
+    for name, at in [("dense", (3, 1)), ("filter3", (4, 2)), ("bias", (5,)), ("embedding", (int(windows[0, 9]), 1))]:
+        before = weights[name][at]
+        weights[name][at] = before + 1e-5
+        up = loss()
+        weights[name][at] = before - 1e-5
+        down = loss()
+        weights[name][at] = before
+        assert found[name][at] == pytest.approx((up - down) / 2e-5, abs=1e-4)
+
+
+def words(text):
+    return [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")), None]
+
+
+def test_scores(docs_of):
+    rows = [(k, f"The cat {'sat' * (k % 3)} on mat{k % 7} \n é É A a") for k in range(60)] + EDGES[:-3]
+    found = by_id(hidden_markov.scores(docs_of(rows), states=3, rounds=2))
+    held = {key: zlib.crc32(str(key).encode()) % 7 == 2 for key, _ in rows}
+    assert any(held.values())
+    texts = dict(rows)
+    # Ids that the edge rows repeat stand for both rows in the counts.
+    counts = Counter(word for key, text in rows if not held[key] for word in words(text))
+    total, distinct = sum(counts.values()), len(counts)
+    for key in set(texts) - {k for k, n in Counter(k for k, _ in rows).items() if n > 1}:
+        row, own = found[key], words(texts[key])
+        assert (row["held_out"], row["n_tokens"], row["train_tokens"]) == (held[key], len(own), total)
+        assert row["n_known"] == sum(counts[word] > 0 for word in own)
+        base = sum(math.log10((counts[word] + 1) / (total + distinct + 1)) for word in own)
+        assert row["base_score"] == pytest.approx(base, rel=1e-9)
+        assert row["score"] < 0
+    empty = hidden_markov.scores(docs_of([])).collect()
+    assert empty == []
+
+
+def small_model(states, seed):
+    random = np.random.default_rng(seed)
+    emits = random.random((hidden_markov.CLASSES, states))
+    moves = random.random((states, states))
+    start = random.random(states)
+    return hidden_markov.Model(start / start.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(0))
+
+
+def test_forward_recursion_sums_all_paths():
+    model = small_model(3, 5)
+    rows = [np.array(own, np.uint16) for own in ([4, 9, 4, 0], [9, 0], [7, 7, 0], [0])]
+    rows.sort(key=lambda row: -len(row))
+    found = hidden_markov.log_likelihoods(model, rows)
+    for row, score in zip(rows, found, strict=True):
+        chance = 0.0
+        for path in itertools.product(range(3), repeat=len(row)):
+            now = model.start[path[0]] * model.emits[row[0], path[0]]
+            for t in range(1, len(row)):
+                now *= model.moves[path[t - 1], path[t]] * model.emits[row[t], path[t]]
+            chance += now
+        assert score == pytest.approx(math.log10(chance), rel=1e-9)
+
+
+def test_expected_counts_sum_all_paths():
+    model = small_model(2, 6)
+    rows = [np.array(own, np.uint16) for own in ([4, 9, 4, 0], [9, 4, 0], [7, 0])]
+    start, moves, emits = hidden_markov.expected_counts(model, rows)
+    wanted_start, wanted_moves, wanted_emits = np.zeros(2), np.zeros((2, 2)), np.zeros_like(emits)
+    for row in rows:
+        paths = list(itertools.product(range(2), repeat=len(row)))
+        chances = []
+        for path in paths:
+            now = model.start[path[0]] * model.emits[row[0], path[0]]
+            for t in range(1, len(row)):
+                now *= model.moves[path[t - 1], path[t]] * model.emits[row[t], path[t]]
+            chances.append(now)
+        for path, chance in zip(paths, np.array(chances) / sum(chances), strict=True):
+            wanted_start[path[0]] += chance
+            for t, state in enumerate(path):
+                wanted_emits[row[t], state] += chance
+                if t:
+                    wanted_moves[path[t - 1], state] += chance
+    assert np.allclose(start, wanted_start) and np.allclose(moves, wanted_moves) and np.allclose(emits, wanted_emits)
+
+
+def test_rounds_raise_the_likelihood(spark):
+    docs = table(spark, SMALL, "documents").limit(300)
+    few, more = (hidden_markov.scores(docs, rounds=n).where("NOT held_out").collect() for n in (1, 4))
+    assert sum(row["score"] for row in more) > sum(row["score"] for row in few)
+    assert sum(row["score"] for row in more) > sum(row["base_score"] for row in more)
+
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def by_hand(text):
+    def valid(kind, found):
+        digits = re.sub("[^0-9]", "", found)
+        if kind == "ip":
+            return all(int(part) <= 255 for part in found.split("."))
+        if kind == "card":
+            doubled = [int(d) * (1 + k % 2) for k, d in enumerate(reversed(digits))]
+            return 12 <= len(digits) <= 19 and sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+        return kind == "email" or 9 <= len(digits) <= 15
+
+    kinds = list(PATTERNS)
+    found = [
+        (match.start(), kinds.index(kind), match.end())
+        for kind in kinds
+        for match in re.finditer(PATTERNS[kind], text or "")
+        if valid(kind, match.group())
+    ]
+    return [(start, end, kinds[kind]) for start, kind, end in sorted(found)]
+
+
+TRICKY = [
+    "a@b.c x@@y.z a@b@c.d.e .@x.y a@b.c.",
+    "1.2.3.4.5.6.7.8 256.1.1.1 001.2.3.4 9999999999.1.1.1",
+    "4111 1111 1111 1111 4111-1111-1111-1112 411111111111111111111111",
+    "+1 (988) 555-2485 + 12 +12345 +1234567890123456 ++44.20.7946.0958",
+    "é@x.y 😀a@b.cc٣@x.y",
+]
+
+
+def test_base_spans():
+    random = np.random.default_rng(4)
+    letters = list("12 4.5+-()@a.")
+    texts = TRICKY + ["".join(random.choice(letters, 60)) for _ in range(3000)]
+    for text in texts:
+        assert personal_data.base_spans(text) == by_hand(text)
+
+
+@pytest.fixture(scope="module")
+def field(spark):
+    return personal_data.trained_field(table(spark, SMALL, "documents"))
+
+
+def test_field_adds_repeated_numbers_and_leaves_others(field):
+    text = "call +1 (988) 555-2485 the ersh onan. then 555-2485 again of 2695314 in ndthe 86125d15."
+    base = personal_data.base_spans(text)
+    more = personal_data.added_spans(text, personal_data.graph_of(text), base, field)
+    assert [text[start:end] for start, end, _ in more] == ["555-2485"]
+    assert more[0][2] == "phone"
+    clean = "the 12 ersh of 2695314 and a1b2 token = 841d82b07cb9 in 1999."
+    assert personal_data.added_spans(clean, personal_data.graph_of(clean), [], field) == []
+
+
+def test_messages_are_exact_on_paths_and_close_on_loops(field):
+    for text, exact in (("+1 (988) 555-2485 ersh 1.2.3.4 on", True), ("5551 ab 5551 cd 5551", True), ("5551 5551 22 5551", False)):
+        graph = personal_data.graph_of(text)
+        found = personal_data.marginals(graph, field)
+        alone = field.features[np.array(graph.features)].sum(axis=1)
+        wanted = np.zeros_like(found)
+        for labels in itertools.product(range(found.shape[1]), repeat=len(found)):
+            score = sum(alone[k, label] for k, label in enumerate(labels))
+            score += sum(field.chain[labels[a], labels[b]] for a, b in graph.chain)
+            score += sum(field.skip[labels[a], labels[b]] for a, b in graph.skip)
+            for k, label in enumerate(labels):
+                wanted[k, label] += math.exp(score)
+        wanted /= wanted.sum(axis=1, keepdims=True)
+        assert np.abs(found - wanted).max() < (1e-3 if exact else 0.2)
+
+
+def test_personal_data_rows(docs_of, field):
+    rows = [*EDGES, *enumerate(TRICKY, 100)]
+    found = personal_data.find_personal_data(docs_of(rows), field).collect()
+    assert len(found) == len(rows)
+    texts = dict(rows)
+    for row in found:
+        spans = by_hand(texts[row["doc_id"]])
+        for kind in PATTERNS:
+            assert row[f"n_{kind}"] == sum(span[2] == kind for span in spans)
+        shown = {f"{kind}:{start}:{end}" for start, end, kind in spans}
+        assert shown <= set(row["spans"].split(",")) or not shown
+    assert personal_data.find_personal_data(docs_of([]), field).collect() == []
+    nothing = personal_data.trained_field(docs_of([]))
+    assert personal_data.find_personal_data(docs_of([(1, "a 12 b")]), nothing).first()["spans"] == ""
