@@ -7,9 +7,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegralType, StringType
 
 
+# A decimal number, with or without an exponent. Spark alone would also take type suffixes,
+# hexadecimal notation and names such as NaN.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def as_number(column: Column) -> Column:
-    """The double a text holds, NULL when it holds none."""
-    return column.try_cast("double")
+    """The double a text holds as a plain decimal number, NULL when it holds none."""
+    return F.when(column.cast("string").rlike(NUMBER), column.try_cast("double"))
+
+
+def as_exact(column: Column) -> Column:
+    """The decimal a text holds; digits beyond a double's 53 bits are kept."""
+    return F.when(column.cast("string").rlike(NUMBER), F.trim(column).try_cast("decimal(38,18)"))
+
+
+def is_whole(column: Column) -> Column:
+    """True for a text that holds a whole number, such as 7, 07 or 7.0."""
+    exact = as_exact(column)
+    return F.coalesce(exact == F.floor(exact), F.lit(False))
 
 
 # Spark orders NaN above infinity, so an upper bound keeps out both. Text is parsed once for
@@ -36,12 +52,15 @@ def above(column: Column, bound: float) -> Column:
 def conform(column: Column, have: DataType, want: DataType) -> Column:
     """Cast to the wanted type; a value that does not fit becomes NULL.
 
-    Whole-number targets read text by way of double, so ``'359.7'`` is stored as 359.
+    Whole-number targets drop the fraction of a text, so ``'359.7'`` is stored as 359; they
+    read it as a decimal, so long numbers keep all their digits.
     """
     if have == want:
         return column
     if isinstance(have, StringType) and isinstance(want, IntegralType):
-        return as_number(column).try_cast(want)
+        exact = as_exact(column)
+        whole = F.when(exact < 0, F.ceil(exact)).otherwise(F.floor(exact))
+        return whole.try_cast(want)
     return column.try_cast(want)
 
 

@@ -31,6 +31,8 @@ def required_columns(df: DataFrame, schema: StructType) -> list[str]:
 def not_null_violations(df: DataFrame, schema: StructType) -> DataFrame:
     """One row per NOT NULL column of the schema with its number of NULLs, in one pass."""
     required = required_columns(df, schema)
+    if not required:
+        return df.sparkSession.createDataFrame([], "column_name string, violations bigint")
     counts = df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in required])
     lines = F.array(
         *[F.struct(F.lit(name).alias("column_name"), F.col(name).alias("violations")) for name in required]

@@ -84,13 +84,16 @@ def key_join(
     repeats (``target_is_keyed`` says it has none). Other kinds return the source columns
     followed by the target's, prefixed. An outer join is the inner join and the rows without
     a match: of an inner join Spark can split a hot key on either side, of an outer join on
-    one side at most.
+    one side at most. A left join with a keyed target is one plain join.
     """
     how = JOINS.get(how.replace("_", "").lower(), how)
     if how in ("left_anti", "left_semi"):
         keys = list(dict.fromkeys(theirs for _, theirs in pairs))
         side = target.select(*keys) if target_is_keyed else distinct_keys(target, keys)
         return source.join(_prefixed(side, prefix), _matches(pairs, prefix), how)
+    if how == "left" and target_is_keyed:
+        # No source row repeats, and of a left join Spark can split a hot key of the source.
+        return source.join(_prefixed(target, prefix), _matches(pairs, prefix), "left")
     joined = source.join(_prefixed(target, prefix), _matches(pairs, prefix), "inner")
     result = joined
     if how in ("left", "full"):

@@ -37,7 +37,16 @@ class BatchLog:
         return defaultdict(lambda: NOTHING_DONE, [tuple(row) for row in newest])
 
     def mark(self, stage: str) -> str:
-        return self.marks()[stage]
+        """The last batch of one stage; the entries of others stay on the executors."""
+        newest = self._entries().where(F.col("stage") == stage).agg(F.max("batch_id")).first()[0]
+        return newest or NOTHING_DONE
+
+    def unfinished(self, begun: str, finished: str) -> list[str]:
+        """Batches with an entry for one stage and none for another, in order."""
+        entries = self._entries()
+        ends = entries.where(F.col("stage") == finished).select("batch_id")
+        open_ones = entries.where(F.col("stage") == begun).select("batch_id").join(ends, "batch_id", "left_anti")
+        return sorted(row[0] for row in open_ones.distinct().collect())
 
     def holds(self, stage: str, batch: str) -> bool:
         same = (F.col("stage") == stage) & (F.col("batch_id") == batch)

@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StructField
 
 from strataflux import schemas
-from strataflux.functions.numbers import conform
+from strataflux.functions.numbers import conform, is_whole
 from strataflux.functions.times import add_day
 from strataflux.operators.conform import cast_to_schema
 from strataflux.operators.merge import latest_per_key
@@ -28,12 +29,21 @@ def pending(spark: SparkSession, layers: Layers, mark: str, upto: str) -> DataFr
 
 
 def typed_keys() -> dict[str, Column]:
-    """What the NOT NULL columns of silver ask of a bronze row: values that can be cast."""
+    """What the NOT NULL columns of silver ask of a bronze row: values that can be cast.
+
+    A whole-number key must be one already, else different keys would become the same.
+    """
     have = {field.name: field.dataType for field in schemas.BRONZE}
+
+    def castable(field: StructField) -> Column:
+        column = F.col(field.name)
+        fits = conform(column, have[field.name], field.dataType).isNotNull()
+        if field.name in schemas.READING_KEYS and isinstance(field.dataType, IntegralType):
+            return fits & is_whole(column)
+        return fits
+
     return {
-        f"{field.name} is not a valid {field.dataType.simpleString()}": conform(
-            F.col(field.name), have[field.name], field.dataType
-        ).isNotNull()
+        f"{field.name} is not a valid {field.dataType.simpleString()}": castable(field)
         for field in schemas.SILVER
         if not field.nullable
     }
@@ -54,9 +64,8 @@ def silver(
 ) -> str | None:
     """Process every pending batch; the last one processed, or None when there was none.
 
-    The pending partitions are read once per output, and their timestamps once more to find
-    the days a merge touches. The check is narrow, so that costs less than keeping the
-    checked rows somewhere.
+    The pending partitions are read for the rejects, for the days a merge touches, and twice for
+    the good rows, whose keys and values an upsert uses apart.
     """
     table = silver_table(spark, layers)
     with session_zone(spark, zone):

@@ -15,36 +15,36 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-TYPES = {
-    "string": StringType(),
-    "int": IntegerType(),
-    "double": DoubleType(),
-    "timestamp": TimestampType(),
-    "date": DateType(),
-    "boolean": BooleanType(),
-}
-
-
-def columns(text: str) -> StructType:
-    """A schema from ``name type`` pairs; an exclamation mark stands for NOT NULL."""
-    pairs = [pair.split() for pair in text.split(",")]
-    return StructType(
-        [StructField(name, TYPES[kind.rstrip("!")], not kind.endswith("!")) for name, kind in pairs]
-    )
-
-
 # Columns, keys, bounds and names of the turbine tables.
-BRONZE = columns(
-    "load_datetime timestamp!, timestamp string!, turbine_id string!, "
-    "wind_speed string, wind_direction string, power_output string"
+BRONZE = StructType(
+    [
+        StructField("load_datetime", TimestampType(), False),
+        StructField("timestamp", StringType(), False),
+        StructField("turbine_id", StringType(), False),
+        StructField("wind_speed", StringType(), True),
+        StructField("wind_direction", StringType(), True),
+        StructField("power_output", StringType(), True),
+    ]
 )
-SILVER = columns(
-    "load_datetime timestamp!, timestamp timestamp!, turbine_id int!, "
-    "wind_speed double, wind_direction int, power_output double"
+SILVER = StructType(
+    [
+        StructField("load_datetime", TimestampType(), False),
+        StructField("timestamp", TimestampType(), False),
+        StructField("turbine_id", IntegerType(), False),
+        StructField("wind_speed", DoubleType(), True),
+        StructField("wind_direction", IntegerType(), True),
+        StructField("power_output", DoubleType(), True),
+    ]
 )
-GOLD = columns(
-    "turbine_id int!, date date!, avg_power_output double!, min_power_output double!, "
-    "max_power_output double!, is_anomaly boolean!"
+GOLD = StructType(
+    [
+        StructField("turbine_id", IntegerType(), False),
+        StructField("date", DateType(), False),
+        StructField("avg_power_output", DoubleType(), False),
+        StructField("min_power_output", DoubleType(), False),
+        StructField("max_power_output", DoubleType(), False),
+        StructField("is_anomaly", BooleanType(), False),
+    ]
 )
 READING_KEYS = ["turbine_id", "timestamp"]
 SUMMARY_KEYS = ["turbine_id", "date"]

@@ -71,9 +71,10 @@ def split_by_day(
     """CSV files with a header, one folder per calendar day named ``day=yyyy_MM_dd``.
 
     The day leaves the file body. A day of ordinary size is one file; one above the advised
-    partition size is cut into several.
+    partition size is cut into several. Rows whose time cannot be read come under the folder
+    Spark has for missing values.
     """
-    labelled = df.withColumn(label_column, day_label(F.col(time_column).cast("timestamp")))
+    labelled = df.withColumn(label_column, day_label(F.col(time_column).try_cast("timestamp")))
     (
         even_out(labelled, [label_column])
         .write.mode("errorifexists")

@@ -78,10 +78,21 @@ def read_dataset(spark: SparkSession, path: str, schema: StructType) -> DataFram
         return no_rows(spark, schema)
 
 
+def quoted_name(name: str) -> str:
+    """A name, its parts separated by dots, as an identifier in SQL text."""
+    return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
+
+
+def quoted_text(text: str) -> str:
+    """A text as a literal in SQL text."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def create_databases(spark: SparkSession, locations: Mapping[str, str]) -> None:
     """Create each database at its location unless it is there."""
     for name, location in locations.items():
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted_name(name)} LOCATION {quoted_text(location)}")
 
 
 def create_table(
@@ -95,9 +106,10 @@ def create_table(
     if spark.catalog.tableExists(name):
         return False
     stored = schemas.stored(schema, list(partitions))
-    parts = f" PARTITIONED BY ({', '.join(field.name for field in partitions)})" if partitions else ""
-    place = f" LOCATION '{location}'" if location is not None else ""
-    spark.sql(f"CREATE TABLE {name} ({stored.toDDL()}) USING parquet{parts}{place}")
+    names = ", ".join(quoted_name(field.name) for field in partitions)
+    parts = f" PARTITIONED BY ({names})" if partitions else ""
+    place = f" LOCATION {quoted_text(location)}" if location is not None else ""
+    spark.sql(f"CREATE TABLE {quoted_name(name)} ({stored.toDDL()}) USING parquet{parts}{place}")
     return True
 
 

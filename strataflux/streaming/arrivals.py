@@ -3,7 +3,7 @@
 Each run takes the files that arrived since the last one, stores them batch by batch and
 stops. The checkpoint knows which files belong to which batch; files are archived by the
 source once a later batch has shown theirs to be complete, so a file can neither be moved
-unread nor be read twice.
+unread nor be read twice. A file counts as new by its path, however old it says it is.
 """
 
 from __future__ import annotations
@@ -25,6 +25,10 @@ from strataflux.sources.tables import Layers
 
 Clock = Callable[[], datetime]
 
+# By default files a week older than the newest one seen are passed over without a word. The
+# source remembers what it has read for as long, which is what landing holds: the rest is archived.
+MAX_FILE_AGE = "36500d"
+
 
 def now() -> datetime:
     return datetime.now(timezone.utc)
@@ -35,6 +39,7 @@ def arriving_files(
 ) -> DataFrame:
     """Stream of the rows of new CSV files; finished files go below ``processed``."""
     reader = spark.readStream.schema(schemas.ARRIVAL).options(**csv_options(True, schemas.ARRIVAL))
+    reader = reader.option("maxFileAge", MAX_FILE_AGE)
     if processed is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", processed)
     if max_files is not None:
