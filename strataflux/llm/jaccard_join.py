@@ -7,18 +7,21 @@ all sets draws the boundary between them:
 
 * light: a small set emits all subsets that lack so many elements or fewer; similar sets share
   the subset that is their intersection;
-* heavy: a large set of n elements enters the inverted lists of its first n - tn + k elements in
-  one global order, rare elements first; similar sets share k of them at least.
+* heavy: a large set of n elements enters the inverted lists of its first n - tn + 1 elements in
+  one global order, rare elements first; similar sets share one of them at least. For the first
+  element two sets share, neither can share more than stands from its place on (positional filter),
+  and of two similar sets the smaller one has it among its first n - 2tn / (1 + t) + 1 elements.
 
 For the order, every task counts the elements of all its documents and reports those it has met
 several times; what adds up to ``FREQUENT`` goes last, by way of a bitmap of fixed size. Any
 order gives the same result: one that keeps shared passages out of the lists gives it sooner.
 
-Lists are not expanded into pairs. Each set is first compared with one set of its lists, the
-one it shares most lists with, and what proves similar is united. A list whose sets are
-all united needs no further work; in the others, only pairs of different components that share
-enough lists are compared: first in size, then by parity sketches, whose distance never
-exceeds the number of differing elements, and at last as whole sets.
+Lists are not expanded into pairs. The head of a list is the set with the fewest rarer elements,
+which in a group of near copies is what they are copies of. Each set is first compared with
+one head, that of most of its lists, and what proves similar is united. A list whose sets are
+all united needs no further work; in the others, only pairs of different components that pass
+the positional filter are compared: first by parity sketches, whose distance never
+exceeds the number of differing elements, then as whole sets.
 """
 
 from __future__ import annotations
@@ -44,8 +47,6 @@ BATCH_CHARS = 2_000_000
 LIGHT_LIMIT = 40
 # What an entry of an inverted list costs beside a subset: it may have to be compared.
 LIST_COST = 4
-# How many elements similar large sets share among their first ones.
-SHARED = 3
 # A task reports elements it has met so often among so many; those of this total are frequent.
 REPORTED, COUNTED = 3, 4_000_000
 FREQUENT = 8
@@ -99,7 +100,7 @@ def differing(size: int, percent: int) -> int:
 
 def first_elements(elements: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
     """The elements by which a large set is listed: rare ones first, else by value."""
-    count = len(elements) - -(-percent * len(elements) // 100) + SHARED
+    count = len(elements) - -(-percent * len(elements) // 100) + 1
     place = elements % np.uint64(BITMAP_BITS)
     bits = frequent[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)
     often = (bits & 1).astype(bool)
@@ -122,7 +123,7 @@ def light_cost(size: int, percent: int) -> int:
 
 
 def heavy_cost(size: int, percent: int) -> int:
-    return LIST_COST * min(size, size - -(-percent * size // 100) + SHARED)
+    return LIST_COST * (size - -(-percent * size // 100) + 1)
 
 
 def boundary(sizes: dict[int, int], percent: int) -> int:
@@ -210,25 +211,50 @@ def frequent_bitmap(rows: DataFrame) -> bytes:
 
 
 def list_entries(docs: DataFrame, width: int, percent: int, limit: int, bitmap: Broadcast) -> DataFrame:
-    """(signature, id): the entries of all subset lists and inverted lists."""
+    """(signature, id, size, position): the entries of all subset lists and inverted lists.
+
+    The position is the element's in the global order of its set; subsets have position 0, which
+    the positional filter lets pass.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = np.frombuffer(bitmap.value, np.uint8)
         for keys, texts in text_batches(batches, BATCH_CHARS):
-            ids, found = [], []
+            ids, found, places = [], [], []
             for key, own in zip(keys, shingle_sets(texts, width), strict=True):
-                kinds = []
                 if 0 < len(own) <= limit:
-                    kinds.append(light_signatures(own, percent))
+                    signatures = light_signatures(own, percent)
+                    found.append(signatures)
+                    places.append(np.full(len(signatures), len(own) << 32))
+                    ids.append(np.full(len(signatures), key))
                 if 100 * len(own) > percent * limit:
-                    kinds.append(mixed(first_elements(own, percent, frequent), 31))
-                ids += [key] * len(kinds)
-                found += [signatures.view(np.int64) for signatures in kinds]
-            columns = [pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "signatures"])
+                    signatures = mixed(first_elements(own, percent, frequent), 31)
+                    found.append(signatures)
+                    places.append((len(own) << 32) + np.arange(len(signatures)))
+                    ids.append(np.full(len(signatures), key))
+            if found:
+                columns = [np.concatenate(found).view(np.int64), np.concatenate(ids), np.concatenate(places)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(column, pa.int64()) for column in columns], names=["signature", "id", "place"]
+                )
+
+    # Size and position travel as one number.
+    return docs.mapInArrow(work, "signature bigint, id bigint, place bigint")
+
+
+def unpacked(entries: DataFrame) -> DataFrame:
+    size, position = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit((1 << 32) - 1))
+    return entries.withColumns({"size": size, "position": position}).drop("place")
 
-    rows = docs.mapInArrow(work, "id bigint, signatures array<bigint>")
-    return rows.select(F.explode("signatures").alias("signature"), "id")
+
+def needed(left: Column, right: Column, percent: int) -> Column:
+    """How many elements similar sets of these sizes share at least."""
+    return F.ceil(percent * (left + right) / F.lit(100 + percent))
+
+
+def may_be_smaller(percent: int) -> Column:
+    """Whether an entry's set can be the smaller one of a pair that meets first in this list."""
+    return F.col("position") <= F.col("size") - needed(F.col("size"), F.col("size"), percent)
 
 
 def few_or_shuffled(rows: DataFrame) -> DataFrame:
@@ -327,9 +353,14 @@ def _components(texts: DataFrame, width: int, percent: int, work: Workspace) ->
 
     bitmap = texts.sparkSession.sparkContext.broadcast(frequent_bitmap(described))
     entries = work.staged(list_entries(apart, width, percent, limit, bitmap))
-    lists = entries.groupBy("signature").agg(F.min("id").alias("head"), F.max("id").alias("last"))
-    lists = work.staged(lists.where("head != last").select("signature", "head"))
-    members = work.staged(entries.join(lists, "signature"))
+    lists = unpacked(entries).groupBy("signature").agg(
+        F.min("id").alias("low"),
+        F.max("id").alias("high"),
+        F.min_by("id", "position").alias("head"),
+        F.min(F.when(may_be_smaller(percent), F.col("size"))).alias("smallest"),
+    )
+    lists = work.staged(lists.where("low != high").select("signature", "head", "smallest"))
+    members = work.staged(unpacked(entries.join(lists, "signature")))
 
     # Each set beside the head of most of its lists.
     headed = members.where("id != head").groupBy(F.col("id").alias("a"), F.col("head").alias("b")).count()
@@ -337,12 +368,15 @@ def _components(texts: DataFrame, width: int, percent: int, work: Workspace) ->
     links = similar_pairs(apart, work.staged(chosen), sketches, width, percent, work)
     united = connected(links, work)
 
-    named = members.join(united, "id", "left")
-    named = work.staged(named.select("signature", "id", F.coalesce("component", "id").alias("component")))
+    # As the larger one of a pair, a set needs a smaller one that leaves it enough to share.
+    remaining = F.col("size") - F.col("position")
+    useful = may_be_smaller(percent) | (remaining >= needed(F.col("size"), F.col("smallest"), percent))
+    named = members.where(useful).join(united, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = work.staged(named.select("signature", "id", "size", "position", "component"))
     ends = named.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_lists = ends.where("low != high").select("signature")
     left_over = work.staged(named.join(open_lists, "signature", "left_semi"))
-    crossing = work.staged(crossing_pairs(left_over, sketches, limit, percent))
+    crossing = work.staged(crossing_pairs(left_over, percent))
     more = similar_pairs(apart, crossing, sketches, width, percent, work)
     grouped = connected(links.unionAll(more), work)
     bitmap.unpersist()
@@ -352,21 +386,23 @@ def _components(texts: DataFrame, width: int, percent: int, work: Workspace) ->
     return out.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"))
 
 
-def crossing_pairs(named: DataFrame, sketches: DataFrame, limit: int, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) near in size that share enough lists, but not their component."""
-    groups = named.select("signature", "component").distinct()
-    upper = groups.select("signature", F.col("component").alias("other"))
-    between = groups.join(upper, "signature").where("component < other")
-    sized = named.join(sketches.select("id", "size"), "id")
-    left = sized.select("signature", "component", F.col("id").alias("a"), F.col("size").alias("a_size"))
-    right = left.withColumnsRenamed({"component": "other", "a": "b", "a_size": "b_size"})
-    pairs = between.join(left, ["signature", "component"]).join(right, ["signature", "other"])
-    pairs = pairs.where(near_in_size(F.col("a_size"), F.col("b_size"), percent))
-    # Two light sets share one subset; sets of fewer elements than SHARED share all they must.
-    larger = F.greatest("a_size", "b_size")
-    wanted = F.when(larger <= limit, 1).otherwise(F.least(F.lit(SHARED), F.ceil(percent * larger / 100)))
-    counted = pairs.groupBy("a", "b", wanted.alias("wanted")).agg(F.count("*").alias("shared"))
-    return counted.where("shared >= wanted").select("a", "b")
+def crossing_pairs(named: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of different components that pass the size and positional filters."""
+    columns = ("id", "size", "position", "component")
+    smaller = named.where(may_be_smaller(percent))
+    smaller = smaller.select("signature", *[F.col(name).alias(f"a_{name}") for name in columns])
+    larger = named.select("signature", *[F.col(name).alias(f"b_{name}") for name in columns])
+    a_size, b_size = F.col("a_size"), F.col("b_size")
+    left = F.least(a_size - F.col("a_position"), b_size - F.col("b_position"))
+    passes = (
+        (smaller["signature"] == larger["signature"])
+        & (F.col("a_component") != F.col("b_component"))
+        & (a_size <= b_size)
+        & near_in_size(a_size, b_size, percent)
+        & (left >= needed(a_size, b_size, percent))
+    )
+    pairs = smaller.join(larger, passes)
+    return pairs.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
 
 
 def one_of_each(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
