@@ -15,7 +15,7 @@ from strataflux.plans.batchlog import BatchLog
 from strataflux.plans.days import day_values, on_days
 from strataflux.session import session_zone
 from strataflux.sources.files import read_files, stamp_load_time
-from strataflux.sources.sinks import replace_partitions
+from strataflux.sources.sinks import remove_partitions, replace_partitions
 from strataflux.sources.tables import Layers, read_dataset
 
 BATCH = schemas.BATCH_PARTITION.name
@@ -48,7 +48,7 @@ def load_arrivals(
     ``insert_only`` skips rows whose key an earlier batch delivered, reading the keys of the
     arriving days only; ``append`` keeps every delivery. A batch has partitions of its own
     and the merge looks at other batches, so loading it again after a failure gives the same
-    table.
+    table; what a broken-off load has left of the batch is removed first.
     """
     if mode not in ("insert_only", "append"):
         raise ValueError(f"mode must be 'insert_only' or 'append', not {mode!r}")
@@ -66,6 +66,7 @@ def load_arrivals(
             if not others.isEmpty():
                 same_days = others.where(on_days(day_values(new, ARRIVAL_DAY), ARRIVAL_DAY))
                 new = absent_rows(new, same_days, keys)
+        remove_partitions(spark, layers.bronze, BATCH, batch)
         replace_partitions(new, layers.bronze, [ARRIVAL_DAY, BATCH], keys)
     log.record("bronze", batch)
     return True

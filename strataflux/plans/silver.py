@@ -18,7 +18,7 @@ from strataflux.plans.bronze import BATCH, read_bronze
 from strataflux.plans.days import DAY, DayLog
 from strataflux.plans.swap import silver_table
 from strataflux.session import session_zone
-from strataflux.sources.sinks import replace_partitions
+from strataflux.sources.sinks import remove_partitions, replace_partitions
 from strataflux.sources.tables import Layers, read_dataset
 
 
@@ -78,6 +78,9 @@ def silver(
         judged, notes = (reading_rules(), number_notes()) if rules is None else (rules, {})
         good, bad = split_with_reason(rows, null_columns, judged, typed_keys(), notes)
         log_rows = bad.select(*schemas.ERROR_LOG.names, BATCH)
+        for batch in sorted(row[0] for row in rows.select(BATCH).distinct().collect()):
+            # Rules may have changed since a run that broke off.
+            remove_partitions(spark, layers.error_log, BATCH, batch)
         replace_partitions(log_rows, layers.error_log, [BATCH], spread="evenly")
         newest = latest_per_key(typed_rows(good, zone), schemas.READING_KEYS, ["load_datetime"])
         days, current = DayLog(spark, layers.touched_days), table.rows()

@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strataflux import schemas
+from strataflux.functions.times import batch_name
 from strataflux.operators.layout import order_by_keys
 from strataflux.plans.batchlog import BatchLog
 from strataflux.sources.files import stored_bytes, stored_files
 from strataflux.sources.sinks import replace_partitions, stage, write_new
-from strataflux.sources.tables import read_dataset
+from strataflux.sources.tables import Layers, quoted_name, quoted_text, read_dataset
 
 FILE_BYTES = 256 * 1024 * 1024
+# What Spark names the folder of a missing partition value.
+MISSING = "__HIVE_DEFAULT_PARTITION__"
 
 
 def recluster(
@@ -43,57 +48,113 @@ def recluster_table(
     if any(column.isPartition for column in spark.catalog.listColumns(name)):
         raise ValueError(f"{name} is partitioned; compact it in place, or recluster its path")
     rows = spark.read.table(name)
-    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Location").first()
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted_name(name)}").where(F.col("col_name") == "Location").first()
     files = max(1, ceil(stored_bytes(spark, location["data_type"]) / file_bytes))
     write_new(order_by_keys(rows, keys, files), new_location)
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{new_location}'")
+    spark.sql(f"ALTER TABLE {quoted_name(name)} SET LOCATION {quoted_text(new_location)}")
     spark.catalog.refreshTable(name)
 
 
-def fragmented(spark: SparkSession, path: str, partition: str, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Partition values whose files are many and, on average, below a quarter of the wanted size.
+def fragmented(
+    spark: SparkSession, path: str, partitions: Sequence[str], file_bytes: int = FILE_BYTES
+) -> DataFrame:
+    """Partitions whose files are many and, on average, below a quarter of the wanted size.
 
-    Judged from the file listing alone; no data is read.
+    One row each, with the partition's values as text, NULL for missing ones. Judged from the file
+    listing alone; no data is read. Files that lie in other folders than these partition columns
+    make, in this order, are an error: rewriting them would mix two layouts.
     """
-    value = F.url_decode(F.regexp_extract("path", f"/{partition}=([^/]+)/", 1))
-    listed = stored_files(spark, path).groupBy(value.alias(partition))
-    sizes = listed.agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    files = stored_files(spark, path)
+    layout = "".join(f"/{name}=([^/]+)" for name in partitions)
+    odd = ~F.col("path").rlike(f"/[^/=]+{layout}/[^/=]+$")
+    if not files.where(odd).isEmpty():
+        raise ValueError(f"{path} is not laid out by {list(partitions)}")
+    texts = [F.url_decode(F.regexp_extract("path", layout + "/[^/=]+$", k + 1)) for k in range(len(partitions))]
+    values = [F.nullif(text, F.lit(MISSING)).alias(name) for text, name in zip(texts, partitions, strict=True)]
+    sizes = files.groupBy(*values).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
     enough = F.greatest(F.lit(1), F.ceil(F.col("bytes") / (file_bytes / 4)))
     return sizes.where(F.col("files") > enough)
 
 
+def in_partitions(rows: DataFrame, wanted: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """The rows of some partitions, named by their values as text; NULL stands for itself.
+
+    The values of each column, few or many, are literals that prune the scan; the join settles
+    which combinations are meant.
+    """
+    found = wanted.select(*partitions).collect()
+    for name in partitions:
+        values = {row[name] for row in found}
+        known = sorted(value for value in values if value is not None)
+        chosen = F.col(name).cast("string").isin(known) if known else F.lit(False)
+        rows = rows.where(chosen | F.col(name).isNull() if None in values else chosen)
+    if len(partitions) == 1:
+        return rows
+    named = wanted.select(*[F.col(name).alias(f"__{name}") for name in partitions])
+    same = [F.col(name).cast("string").eqNullSafe(F.col(f"__{name}")) for name in partitions]
+    return rows.join(named, same, "left_semi")
+
+
 def compact(
     spark: SparkSession,
     path: str,
     schema: StructType,
-    partition: str,
+    partitions: str | Sequence[str],
     sort_by: Sequence[str],
     state_path: str,
     batch: str,
     file_bytes: int = FILE_BYTES,
-) -> list[str]:
+) -> list:
     """Rewrite fragmented partitions in place and return their values.
 
-    The new files are complete in a staging path before the old ones go. ``batch`` names
-    the run; a run that broke off in between is finished by the next one.
+    ``partitions`` are all partition columns of the table, in order. The new files are complete in a
+    staging path before the old ones go. ``batch`` names the run and must sort after the names of
+    all earlier runs, as ``batch_name`` of the time does; a run that broke off in between is
+    finished, from its own staging path, by the next one.
     """
+    names = [partitions] if isinstance(partitions, str) else list(partitions)
     log = BatchLog(spark, f"{state_path}/compact_log")
-    staging = f"{state_path}/compact_staging"
-
-    def swap_in() -> None:
-        rows = read_dataset(spark, staging, schema)
-        replace_partitions(rows, path, [partition], sort_by, spread="as is")
 
-    staged = log.mark("staged")
-    if staged > log.mark("done"):
-        swap_in()
-        log.record("done", staged)
-    values = [row[0] for row in fragmented(spark, path, partition, file_bytes).select(partition).collect()]
+    def swap_in(run: str) -> None:
+        rows = read_dataset(spark, f"{state_path}/compact_staging/{run}", schema)
+        replace_partitions(rows, path, names, sort_by, spread="as is")
+        log.record("done", run)
+
+    last = log.mark("staged")
+    if batch <= last:
+        raise ValueError(f"run {batch!r} does not come after the last run, {last!r}")
+    for run in log.unfinished("staged", "done"):
+        swap_in(run)
+    found = fragmented(spark, path, names, file_bytes).select(*names)
+    values = sorted((tuple(row) for row in found.collect()), key=lambda row: [(v is not None, v or "") for v in row])
     if not values:
         return []
-    rows = read_dataset(spark, path, schema).where(F.col(partition).cast("string").isin(values))
-    stage(rows, staging, [partition], sort_by)
+    text_columns = ", ".join(f"`{name}` string" for name in names)
+    wanted = spark.createDataFrame(values, text_columns)
+    rows = in_partitions(read_dataset(spark, path, schema), wanted, names)
+    stage(rows, f"{state_path}/compact_staging/{batch}", names, sort_by)
     log.record("staged", batch)
-    swap_in()
-    log.record("done", batch)
-    return sorted(values)
+    swap_in(batch)
+    return [row[0] for row in values] if isinstance(partitions, str) else values
+
+
+def compact_layers(spark: SparkSession, layers: Layers, moment: datetime, file_bytes: int = FILE_BYTES) -> dict:
+    """Compact bronze, silver, the error log and gold; the rewritten partitions of each.
+
+    Like the other jobs it must be the only writer of the layers while it runs.
+    """
+    tables = {
+        "bronze": (layers.bronze, schemas.BRONZE, schemas.BRONZE_PARTITIONS, schemas.READING_KEYS),
+        "silver": (layers.silver, schemas.SILVER, schemas.DAILY_PARTITIONS, schemas.READING_KEYS),
+        "error_log": (layers.error_log, schemas.ERROR_LOG, schemas.ERROR_LOG_PARTITIONS, schemas.READING_KEYS),
+        "gold": (layers.gold, schemas.GOLD, schemas.DAILY_PARTITIONS, schemas.SUMMARY_KEYS),
+    }
+    done = {}
+    for name, (path, schema, partitions, keys) in tables.items():
+        stored = schemas.stored(schema, partitions)
+        if read_dataset(spark, path, stored).isEmpty():
+            continue
+        columns = [field.name for field in partitions]
+        state = layers.staging(f"upkeep_{name}")
+        done[name] = compact(spark, path, stored, columns, keys, state, batch_name(moment), file_bytes)
+    return done

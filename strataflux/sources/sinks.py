@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflux.functions.times import day_label
@@ -53,6 +53,19 @@ def replace_partitions(
     )
 
 
+def remove_partitions(spark: SparkSession, path: str, name: str, value: str) -> None:
+    """Remove the partitions with one value of a column, at any depth, if there are any.
+
+    A batch that is loaded again may have rows in other partitions than the first time.
+    """
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(context.hadoopConfiguration())
+    for pattern in (f"{name}={value}", f"*=*/{name}={value}"):
+        for found in system.globStatus(jvm.org.apache.hadoop.fs.Path(root, pattern)) or []:
+            system.delete(found.getPath(), True)
+
+
 def write_new(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Write a dataset to a path that must not exist yet."""
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)

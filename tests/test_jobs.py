@@ -19,7 +19,9 @@ from strataflux.plans.bronze import load_arrivals, read_bronze
 from strataflux.plans.gold import gold, read_gold
 from strataflux.plans.silver import read_error_log, read_silver, silver
 from strataflux.plans.swap import gold_table
+from strataflux.plans.upkeep import compact_layers
 from strataflux.session import scratch
+from strataflux.sources import sinks
 from strataflux.sources.sinks import replace_partitions
 from strataflux.sources.tables import Layers
 
@@ -100,6 +102,51 @@ def test_rejects_carry_reasons(spark, folder):
     }
 
 
+def test_keys_must_be_whole_and_numbers_plain(spark, folder):
+    layers = Layers(folder)
+    rows = [reading(1, 0, "1"), reading(1, 0, "1.9"), reading(1, 1, "2.0"), reading(1, 2, speed="10d")]
+    rows += [reading(1, 3, speed="0x1p3"), reading(1, 4, speed="1e1"), reading(1, 5, turn="NaN")]
+    deliver(spark, layers, 0, rows)
+    silver(spark, layers)
+    assert sorted(r.turbine_id for r in read_silver(spark, layers).collect()) == [1, 1, 2]
+    reasons = Counter(r.reject_reason for r in read_error_log(spark, layers).collect())
+    assert reasons == {
+        "turbine_id is not a valid int": 1,
+        "wind_speed is not a number; wind_speed out of range": 2,
+        "wind_direction is not a number; wind_direction out of range": 1,
+    }
+
+
+def test_load_repeated_with_corrected_rows_keeps_the_new_ones(spark, folder, monkeypatch):
+    layers = Layers(folder)
+    with monkeypatch.context() as patch:
+        crash_after(patch, bronze_plan, "replace_partitions")
+        with pytest.raises(Crash):
+            deliver(spark, layers, 0, [reading(1, 0), reading(2, 0)])
+    deliver(spark, layers, 0, [reading(3, 0), reading(2, 0)])
+    assert sorted(r.timestamp[8:10] for r in read_bronze(spark, layers).collect()) == ["02", "03"]
+
+
+def test_upkeep_of_all_layers(spark, folder):
+    layers = Layers(folder)
+    run(spark, layers)
+    before = tables(spark, layers)
+    # Many files in the partitions there are.
+    for path, columns in ((layers.silver, ["date"]), (layers.bronze, ["day", "batch_id"])):
+        rows = spark.read.option("basePath", path).parquet(path)
+        for part in range(3):
+            picked = rows.where(F.pmod(F.xxhash64("timestamp", "turbine_id"), F.lit(3)) == part)
+            sinks.append_rows(picked, f"{folder}/copy/{columns[0]}", columns)
+        copytree(f"{folder}/copy/{columns[0]}", path, dirs_exist_ok=True)
+    compact_layers(spark, layers, at(50))
+    doubled = tables(spark, layers)
+    assert {key: 2 * n for key, n in before["silver"].items()} == doubled["silver"]
+    assert doubled["errors"] == before["errors"] and doubled["gold"] == before["gold"]
+    assert {key: 2 * n for key, n in before["bronze"].items()} == doubled["bronze"]
+    with pytest.raises(ValueError, match="come after"):
+        compact_layers(spark, layers, at(50))
+
+
 def test_redelivered_key_is_ignored_or_corrects(spark, folder):
     for mode, wanted in (("insert_only", 5.0), ("append", 8.0)):
         layers = Layers(f"{folder}/{mode}")

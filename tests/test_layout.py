@@ -80,6 +80,56 @@ def test_compaction_survives_a_crash_while_moving_in(spark, folder, monkeypatch)
     assert contents(spark, path) == before
 
 
+def break_off(monkeypatch, run):
+    """Let the run lose its rows while they are moved in."""
+    real = upkeep.replace_partitions
+
+    def half(df, *args, **kwargs):
+        real(df.where("v < 10"), *args, **kwargs)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(upkeep, "replace_partitions", half)
+        with pytest.raises(RuntimeError):
+            run()
+
+
+def test_runs_must_come_in_order(spark, folder, monkeypatch):
+    """As text, run-10 would sort before run-9 and its crash would go unseen: it is refused."""
+    path, state = f"{folder}/t", f"{folder}/state"
+    fragment(spark, path)
+    before = contents(spark, path)
+    upkeep.compact(spark, path, STORED, "p", ["v"], state, "run-9")
+    fragment(spark, path)
+    with pytest.raises(ValueError, match="come after"):
+        upkeep.compact(spark, path, STORED, "p", ["v"], state, "run-10")
+    with pytest.raises(ValueError, match="come after"):
+        upkeep.compact(spark, path, STORED, "p", ["v"], state, "run-9")
+    break_off(monkeypatch, lambda: upkeep.compact(spark, path, STORED, "p", ["v"], state, "run-910"))
+    upkeep.compact(spark, path, STORED, "p", ["v"], state, "run-911")
+    assert contents(spark, path) == before + before
+
+
+def test_missing_and_nested_partitions(spark, folder):
+    path, state = f"{folder}/t", f"{folder}/state"
+    stored = StructType([STORED["v"], StructField("p", StringType()), StructField("q", LongType())])
+    for part in range(3):
+        rows = spark.range(part * 90, part * 90 + 90).selectExpr(
+            "id AS v", "IF(id % 3 = 0, NULL, 'x=y') AS p", "IF(id % 2 = 0, NULL, 7) AS q"
+        )
+        sinks.append_rows(rows, path, ["p", "q"])
+    sinks.append_rows(spark.range(5).selectExpr("id AS v", "'one' AS p", "1L AS q"), path, ["p", "q"])
+    before = Counter(tuple(r) for r in spark.read.schema(stored).parquet(path).collect())
+    with pytest.raises(ValueError, match="laid out"):
+        upkeep.compact(spark, path, stored, "q", ["v"], state, "a")
+    with pytest.raises(ValueError, match="laid out"):
+        upkeep.compact(spark, path, stored, ["q", "p"], ["v"], state, "a")
+    done = upkeep.compact(spark, path, stored, ["p", "q"], ["v"], state, "a")
+    assert done == [(None, None), (None, "7"), ("x=y", None), ("x=y", "7")]
+    assert Counter(tuple(r) for r in spark.read.schema(stored).parquet(path).collect()) == before
+    assert all(len(list(p.glob("*.parquet"))) == 1 for p in Path(path).glob("p=*/q=*"))
+
+
 def test_catalog_table_is_pointed_at_its_new_files(spark, folder):
     spark.sql("CREATE DATABASE IF NOT EXISTS upkeep")
     rows = spark.read.parquet(f"{SMALL}/orders.parquet")

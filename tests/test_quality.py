@@ -4,9 +4,10 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from strataflux import schemas
+from strataflux.functions.numbers import conform, is_whole
 from strataflux.operators import quality
 from strataflux.operators.conform import cast_to_schema, not_null_violations
 
@@ -128,3 +129,17 @@ def test_not_null_counts(spark):
         "timestamp": 2,
         "turbine_id": 1,
     }
+
+
+def test_long_numbers_keep_their_digits(spark):
+    texts = ["9007199254740993", "-9007199254740993.9", "12e2", "0x10", "1d", "NaN", "x", " 7 ", "99999999999999999999"]
+    df = spark.createDataFrame([(text,) for text in texts], "v string")
+    got = [row[0] for row in df.select(conform(F.col("v"), StringType(), LongType())).collect()]
+    assert got == [9007199254740993, -9007199254740993, 1200, None, None, None, None, 7, None]
+    whole = [row[0] for row in df.select(is_whole(F.col("v"))).collect()]
+    assert whole == [True, False, True, False, False, False, False, True, True]
+
+
+def test_schema_without_demands_has_no_violations(spark):
+    schema = StructType([StructField("v", LongType(), True)])
+    assert not_null_violations(spark.range(1).withColumnRenamed("id", "v"), schema).collect() == []

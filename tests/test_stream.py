@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from collections import Counter
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
@@ -81,3 +82,14 @@ def test_clock_that_stands_still_does_not_hide_batches(spark, folder):
         land(layers, f"{number}.csv", f"2024-05-01 00:00:00,{number},5,90,1")
         arrivals.process_arrivals(spark, layers, clock=lambda: still)
     assert sorted(r.turbine_id for r in read_gold(spark, layers).collect()) == [1, 2]
+
+
+def test_old_files_are_read(spark, folder):
+    """A file dated a month before the newest one read is new all the same."""
+    layers, ticking = Layers(folder), clock()
+    for number, age in ((1, 0), (2, 30), (3, 0)):
+        land(layers, f"{number}.csv", f"2024-05-01 00:00:00,{number},5,90,1")
+        path = Path(layers.landing) / f"{number}.csv"
+        os.utime(path, (path.stat().st_mtime - age * 86_400,) * 2)
+        run(spark, layers, ticking)
+    assert sorted(turbine for turbine, _ in stamps(spark, layers)) == ["1", "2", "3"]

@@ -14,10 +14,11 @@ from pyspark.sql.types import DateType, StructField, StructType
 from strataflux import schemas
 from strataflux.functions.times import add_day, batch_name
 from strataflux.operators.summary import daily_summary
-from strataflux.plans.bronze import bronze, read_bronze
+from strataflux.plans.bronze import ARRIVAL_DAY, BATCH, bronze, read_bronze
 from strataflux.plans.gold import gold, read_gold
 from strataflux.plans.silver import read_error_log, read_silver, silver
-from strataflux.plans.upkeep import compact, recluster, recluster_table
+from strataflux.plans.stored_merge import merge_into_path, merge_into_table
+from strataflux.plans.upkeep import compact, compact_layers, recluster, recluster_table
 from strataflux.session import scratch
 from strataflux.sources import sinks, tables
 from strataflux.sources.tables import Layers
@@ -55,7 +56,7 @@ def in_parts(spark: SparkSession, sf: str) -> Deliver:
 
 def late(spark: SparkSession, sf: str) -> Deliver:
     """Two deliveries over the same days: views and clicks first, everything else late."""
-    early = F.col("event_type").isin("view", "click")
+    early = F.coalesce(F.col("event_type").isin("view", "click"), F.lit(False))
 
     def deliver(number: int) -> DataFrame:
         rows = readings(spark, sf).where(early if number == 1 else ~early)
@@ -223,8 +224,8 @@ def compacted(spark: SparkSession, sf: str) -> DataFrame:
     """Days written by several appends, brought back to few files each."""
     path = scratch(spark, "events")
     events = add_day(table(spark, sf, "events"), "ts")
-    for kinds in (["view", "click"], ["signup", "error"], ["purchase"]):
-        sinks.append_rows(events.where(F.col("event_type").isin(kinds)), path, ["date"])
+    for part in range(3):
+        sinks.append_rows(events.where(F.col("event_id") % 3 == part), path, ["date"])
     stored = StructType([*events.drop("date").schema.fields, StructField("date", DateType())])
     compact(
         spark, path, stored, "date", ["user_id", "ts"], scratch(spark, "state"), batch_name(load_moment(1))
@@ -232,6 +233,89 @@ def compacted(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(stored).parquet(path)
 
 
+def _days_or_none(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with their day, which every seventh lacks."""
+    events = add_day(table(spark, sf, "events"), "ts")
+    return events.withColumn("date", F.when(F.col("event_id") % 7 != 0, F.col("date")))
+
+
+def compacted_null_day(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``compacted``, with rows that have no day."""
+    path = scratch(spark, "events")
+    events = _days_or_none(spark, sf)
+    for part in range(3):
+        sinks.append_rows(events.where(F.col("event_id") % 3 == part), path, ["date"])
+    stored = StructType([*events.drop("date").schema.fields, StructField("date", DateType())])
+    done = compact(
+        spark, path, stored, ["date"], ["user_id", "ts"], scratch(spark, "state"), batch_name(load_moment(1))
+    )
+    if (None,) not in done:
+        raise RuntimeError("the rows without a day were not compacted")
+    return spark.read.schema(stored).parquet(path)
+
+
+def compacted_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze, partitioned by day and batch, after upkeep of all layers, and read by the jobs again."""
+    layers = run_batches(spark, in_parts(spark, sf), 3, "insert_only", "unseen")
+    # Another writer's small files, as many appends leave them.
+    split = read_bronze(spark, layers).where(F.col(BATCH) == batch_name(load_moment(2)))
+    split = spark.createDataFrame(split.collect(), split.schema)
+    sinks.remove_partitions(spark, layers.bronze, BATCH, batch_name(load_moment(2)))
+    for part in range(2):
+        picked = split.where(F.pmod(F.xxhash64("timestamp"), F.lit(2)) == part)
+        sinks.append_rows(picked, layers.bronze, [ARRIVAL_DAY, BATCH])
+    if not compact_layers(spark, layers, load_moment(20))["bronze"]:
+        raise RuntimeError("nothing was compacted")
+    return _bronze(layers, spark)
+
+
+def stream_old_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The second of three deliveries lands with files dated a month back."""
+    deliver, clock = in_parts(spark, sf), clock_of_deliveries()
+    layers = Layers(scratch(spark, "stream"))
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
+    for number in (1, 2, 3):
+        landed = f"{layers.root}/sent_{number}"
+        deliver(number).write.option("header", "true").csv(landed)
+        root = jvm.org.apache.hadoop.fs.Path(landed)
+        system = root.getFileSystem(context.hadoopConfiguration())
+        landing = jvm.org.apache.hadoop.fs.Path(layers.landing)
+        system.mkdirs(landing)
+        for found in system.globStatus(jvm.org.apache.hadoop.fs.Path(root, "part-*")):
+            path = found.getPath()
+            if number == 2:
+                system.setTimes(path, found.getModificationTime() - 30 * 86_400_000, -1)
+            system.rename(path, jvm.org.apache.hadoop.fs.Path(landing, f"{number}-{path.getName()}"))
+        process_arrivals(spark, layers, clock=lambda: next(clock))
+    return _bronze(layers, spark)
+
+
+def _orders_in_two(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Stored orders, and arriving ones of which some correct stored ones."""
+    orders = table(spark, sf, "orders")
+    stored = orders.where("o_orderkey % 3 != 0")
+    changed = F.when(F.col("o_orderkey") % 2 == 0, F.lit("X")).otherwise(F.col("o_orderstatus"))
+    return stored, orders.where("o_orderkey % 2 = 0").withColumn("o_orderstatus", changed)
+
+
+def merge_into_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """A merge into a catalog table by name."""
+    stored, arriving = _orders_in_two(spark, sf)
+    name = f"orders_{uuid4().hex}"
+    stored.write.option("path", scratch(spark, "orders")).saveAsTable(name)
+    merge_into_table(spark, name, arriving, ["o_orderkey"], scratch(spark, "orders"))
+    return spark.read.table(name)
+
+
+def merge_into_orders_by_status(spark: SparkSession, sf: str) -> DataFrame:
+    """A merge into a partitioned dataset by path."""
+    stored, arriving = _orders_in_two(spark, sf)
+    path, new_path = scratch(spark, "orders"), scratch(spark, "orders")
+    stored.write.partitionBy("o_orderpriority").parquet(path)
+    merge_into_path(spark, path, new_path, arriving, ["o_orderkey"], ["o_orderpriority"])
+    return spark.read.parquet(new_path)
+
+
 def catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Tables created by name, filled by the jobs and by appending, read by name."""
     layers, prefix = Layers(scratch(spark, "catalog")), f"t{uuid4().hex}_"

@@ -58,6 +58,12 @@ def ingested(timestamp_load: str = LOAD[0]) -> str:
     return f"{READINGS} SELECT {timestamp_load} AS load_datetime, {ARRIVAL} FROM readings"
 
 
+INTO_ORDERS = """SELECT o_orderkey, o_custkey,
+    CASE WHEN o_orderkey % 2 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+    o_totalprice, o_orderdate, o_orderpriority
+    FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0"""
+
+
 # Layers
 
 
@@ -227,11 +233,17 @@ def sql() -> dict[str, str]:
             {summary('counted', GOLD_KEYS)}""",
         "late_touched_gold": f"{LATE_LAYERS} {summary('daily', GOLD_KEYS)}",
         "stream_bronze": f"{INCREMENTS} {BRONZE_COLUMNS}",
+        "stream_old_file": f"{INCREMENTS} {BRONZE_COLUMNS}",
+        "compacted_bronze": f"{INCREMENTS} {BRONZE_COLUMNS}",
         "stream_silver": f"{INCREMENTS} {SILVER_COLUMNS}",
         "stream_gold": f"{INCREMENTS} {summary('daily', GOLD_KEYS)}",
         "split_by_day": f"{READINGS} SELECT {ARRIVAL}, strftime(reading_ts, '%Y_%m_%d') AS day FROM readings",
         "reclustered": "SELECT * FROM lineitem",
         "reclustered_table": "SELECT * FROM orders",
         "compacted": "SELECT *, CAST(ts AS DATE) AS date FROM events",
+        "compacted_null_day": """SELECT *, CASE WHEN event_id % 7 <> 0 THEN CAST(ts AS DATE) END AS date
+            FROM events""",
+        "merge_into_orders": INTO_ORDERS,
+        "merge_into_orders_by_status": INTO_ORDERS,
         "catalog_tables": f"{ONE_BATCH} {summary('daily', GOLD_KEYS)}",
     }
