@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strataflux import schemas
 from strataflux.functions.times import batch_name
@@ -14,13 +16,20 @@ from strataflux.operators.merge import absent_rows
 from strataflux.plans.batchlog import BatchLog
 from strataflux.plans.days import day_values, on_days
 from strataflux.session import session_zone
-from strataflux.sources.files import read_files, stamp_load_time
+from strataflux.sources.files import (
+    move_files,
+    read_files,
+    reading_files,
+    stamp_load_time,
+    with_source_file,
+)
 from strataflux.sources.sinks import remove_partitions, replace_partitions
-from strataflux.sources.tables import Layers, read_dataset
+from strataflux.sources.tables import Layers, no_rows, read_dataset
 
 BATCH = schemas.BATCH_PARTITION.name
 ARRIVAL_DAY = schemas.ARRIVAL_DAY_PARTITION.name
-STORED = schemas.stored(schemas.BRONZE, schemas.BRONZE_PARTITIONS)
+STORED = schemas.BRONZE_AT_REST
+FILES = StructType([StructField("path", StringType()), schemas.BATCH_PARTITION])
 
 
 def read_bronze(spark: SparkSession, layers: Layers) -> DataFrame:
@@ -59,7 +68,11 @@ def load_arrivals(
     if batch <= log.mark("silver"):
         raise ValueError(f"batch {batch} lies before the last batch silver has read; use a later load time")
     with session_zone(spark, "UTC"):
-        stamped = stamp_load_time(arrivals, moment).select(*schemas.BRONZE.names)
+        for field in (schemas.SOURCE_FILE, schemas.MALFORMED_LINE):
+            if field.name not in arrivals.columns:
+                arrivals = arrivals.withColumn(field.name, F.lit(None).cast(field.dataType))
+        kept = [*schemas.BRONZE.names, schemas.SOURCE_FILE.name, schemas.MALFORMED_LINE.name]
+        stamped = stamp_load_time(arrivals, moment).select(*kept)
         new = stamped.withColumns({ARRIVAL_DAY: named_day(F.col("timestamp")), BATCH: F.lit(batch)})
         if mode == "insert_only":
             others = read_bronze(spark, layers).where(F.col(BATCH) != batch)
@@ -81,8 +94,29 @@ def bronze(
     file_format: str = "csv",
     has_header: bool = True,
 ) -> bool:
-    """Load everything in the landing folder as one batch."""
-    arrivals = read_files(
-        spark, landing or layers.landing, file_format, has_header, schema=schemas.ARRIVAL
-    )
-    return load_arrivals(spark, layers, arrivals, moment, mode)
+    """Load everything in the landing folder as one batch, then move its files to ``processed``.
+
+    The files are listed once and noted before they are read, so exactly those are loaded and moved
+    that were there then; they keep their places below ``processed/<batch>``. A run that broke
+    off before its log entry starts anew with what is there; one that broke off later moves
+    the rest of its files when it is repeated.
+    """
+    batch, place = batch_name(moment), landing or layers.landing
+    schema, options = reading_files(schemas.ARRIVAL, file_format)
+    if BatchLog(spark, layers.batch_log).holds("bronze", batch):
+        files = read_dataset(spark, layers.arrived_files, FILES).where(F.col(BATCH) == batch)
+        move_files(spark, [row["path"] for row in files.collect()], place, f"{layers.processed}/{batch}")
+        return False
+    files = read_files(spark, place, file_format, has_header, schema=schema).inputFiles()
+    if files:
+        noted = spark.createDataFrame([(file, batch) for file in files], FILES)
+        replace_partitions(noted, layers.arrived_files, [BATCH], spread="as is")
+        # Listed names are URIs, readers take plain paths.
+        named = [unquote(file) for file in files]
+        arrivals = read_files(spark, named, file_format, has_header, schema=schema, **options)
+        arrivals = with_source_file(arrivals)
+    else:
+        arrivals = no_rows(spark, schema)
+    stored = load_arrivals(spark, layers, arrivals, moment, mode)
+    move_files(spark, files, place, f"{layers.processed}/{batch}")
+    return stored

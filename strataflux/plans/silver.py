@@ -42,11 +42,12 @@ def typed_keys() -> dict[str, Column]:
             return fits & is_whole(column)
         return fits
 
-    return {
+    demands = {
         f"{field.name} is not a valid {field.dataType.simpleString()}": castable(field)
         for field in schemas.SILVER
         if not field.nullable
     }
+    return demands | {"the line does not have the declared fields": F.col(schemas.MALFORMED_LINE.name).isNull()}
 
 
 def typed_rows(rows: DataFrame, zone: str = "UTC") -> DataFrame:

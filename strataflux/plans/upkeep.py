@@ -144,7 +144,7 @@ def compact_layers(spark: SparkSession, layers: Layers, moment: datetime, file_b
     Like the other jobs it must be the only writer of the layers while it runs.
     """
     tables = {
-        "bronze": (layers.bronze, schemas.BRONZE, schemas.BRONZE_PARTITIONS, schemas.READING_KEYS),
+        "bronze": (layers.bronze, schemas.BRONZE_AT_REST, schemas.BRONZE_PARTITIONS, schemas.READING_KEYS),
         "silver": (layers.silver, schemas.SILVER, schemas.DAILY_PARTITIONS, schemas.READING_KEYS),
         "error_log": (layers.error_log, schemas.ERROR_LOG, schemas.ERROR_LOG_PARTITIONS, schemas.READING_KEYS),
         "gold": (layers.gold, schemas.GOLD, schemas.DAILY_PARTITIONS, schemas.SUMMARY_KEYS),

@@ -77,7 +77,16 @@ ERROR_LOG_PARTITIONS = [BATCH_PARTITION]
 DAILY_PARTITIONS = [DAY_PARTITION]
 
 
+# What bronze keeps beside its declared columns: the file a row came from, and its line where that
+# does not have the declared fields.
+SOURCE_FILE = StructField("source_file", StringType(), True)
+MALFORMED_LINE = StructField("malformed_line", StringType(), True)
+
+
 def stored(schema: StructType, partitions: list[StructField]) -> StructType:
     """The schema at rest: the layer's columns followed by its partition columns."""
     names = {field.name for field in partitions}
     return StructType([field for field in schema if field.name not in names] + partitions)
+
+
+BRONZE_AT_REST = stored(StructType([*BRONZE.fields, SOURCE_FILE, MALFORMED_LINE]), BRONZE_PARTITIONS)

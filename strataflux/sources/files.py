@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strataflux import schemas
 from strataflux.functions.times import utc
 
 
@@ -43,6 +45,44 @@ def read_files(
     return reader.options(**options).load(path)
 
 
+def reading_files(schema: StructType, file_format: str = "csv") -> tuple[StructType, dict[str, str]]:
+    """Schema and options that keep the line of a CSV row with other fields than declared.
+
+    Without them Spark drops surplus fields without a word.
+    """
+    if file_format != "csv":
+        return schema, {}
+    name = schemas.MALFORMED_LINE.name
+    return StructType([*schema.fields, schemas.MALFORMED_LINE]), {"columnNameOfCorruptRecord": name}
+
+
+def with_source_file(df: DataFrame) -> DataFrame:
+    """Add the path of the file each row was read from."""
+    return df.select("*", F.col("_metadata.file_path").alias(schemas.SOURCE_FILE.name))
+
+
+def move_files(spark: SparkSession, files: list[str], below: str, to: str) -> None:
+    """Move files to the same places below another folder; those moved already are passed over."""
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
+    new_path = jvm.org.apache.hadoop.fs.Path
+    root = new_path(below)
+    system = root.getFileSystem(context.hadoopConfiguration())
+    root_text = system.makeQualified(root).toUri().getPath()
+
+    def move(file: str) -> None:
+        source = new_path(jvm.java.net.URI(file))
+        inside = source.toUri().getPath().removeprefix(root_text).lstrip("/")
+        target = new_path(new_path(to), inside)
+        if not system.exists(source) and system.exists(target):
+            return
+        system.mkdirs(target.getParent())
+        if not system.rename(source, target):
+            raise OSError(f"{file} could not be moved to {target.toString()}")
+
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(move, files))
+
+
 def stamp_load_time(df: DataFrame, moment: datetime, column: str = "load_datetime") -> DataFrame:
     """Give every row the one load time of its batch."""
     return df.withColumn(column, F.lit(utc(moment)).cast("timestamp"))

@@ -54,6 +54,10 @@ class Layers:
     def touched_days(self) -> str:
         return self._at("state", "touched_days")
 
+    @property
+    def arrived_files(self) -> str:
+        return self._at("state", "arrived_files")
+
     @property
     def arrivals_checkpoint(self) -> str:
         return self._at("state", "arrivals")

@@ -20,7 +20,7 @@ from strataflux.plans.batchlog import BatchLog
 from strataflux.plans.bronze import load_arrivals
 from strataflux.plans.gold import gold
 from strataflux.plans.silver import silver
-from strataflux.sources.files import csv_options
+from strataflux.sources.files import csv_options, reading_files, with_source_file
 from strataflux.sources.tables import Layers
 
 Clock = Callable[[], datetime]
@@ -38,13 +38,14 @@ def arriving_files(
     spark: SparkSession, landing: str, processed: str | None = None, max_files: int | None = None
 ) -> DataFrame:
     """Stream of the rows of new CSV files; finished files go below ``processed``."""
-    reader = spark.readStream.schema(schemas.ARRIVAL).options(**csv_options(True, schemas.ARRIVAL))
+    schema, options = reading_files(schemas.ARRIVAL)
+    reader = spark.readStream.schema(schema).options(**csv_options(True, schema), **options)
     reader = reader.option("maxFileAge", MAX_FILE_AGE)
     if processed is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", processed)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(landing)
+    return with_source_file(reader.csv(landing))
 
 
 def load_time(spark: SparkSession, layers: Layers, epoch: int, clock: Clock) -> datetime:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from datetime import date, datetime, timedelta, timezone
 from functools import cache
+from pathlib import Path
 from shutil import copytree
 
 import pytest
@@ -386,3 +387,35 @@ def test_any_number_of_days_is_exact(spark):
     assert len(many) > 24_000
     got = df.where(days.on_days(many))
     assert got.count() == len(many) and got.where("date = DATE '1900-01-04'").isEmpty()
+
+
+HEADER = "timestamp,turbine_id,wind_speed,wind_direction,power_output\n"
+
+
+def land(layers, name, *lines):
+    path = Path(layers.landing) / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(HEADER + "".join(f"{line}\n" for line in lines))
+
+
+def test_files_go_to_processed_with_their_batch(spark, folder, monkeypatch):
+    layers = Layers(folder)
+    land(layers, "a.csv", "2024-05-01 00:00:00,1,5,90,1", "2024-05-01 01:00:00,1,5,90,2,EXTRA", ",1,5,90,3")
+    land(layers, "b c.csv", "2024-05-01 02:00:00,1,5,90,4")
+    with monkeypatch.context() as patch:
+        crash_after(patch, bronze_plan, "load_arrivals")
+        with pytest.raises(Crash):
+            bronze_plan.bronze(spark, layers, at(0))
+    land(layers, "later.csv", "2024-05-01 03:00:00,1,5,90,5")
+    assert bronze_plan.bronze(spark, layers, at(0)) is False
+    processed = Path(layers.processed) / batch_name(at(0))
+    assert sorted(str(p.relative_to(processed)) for p in processed.rglob("*.csv")) == ["a.csv", "b c.csv"]
+    assert [p.name for p in Path(layers.landing).rglob("*.csv")] == ["later.csv"]
+    assert bronze_plan.bronze(spark, layers, at(1))
+    assert bronze_plan.bronze(spark, layers, at(2))
+    rows = read_bronze(spark, layers).collect()
+    assert Counter(r.source_file.rsplit("/", 1)[1] for r in rows) == {"a.csv": 3, "b%20c.csv": 1, "later.csv": 1}
+    silver(spark, layers)
+    assert [p for _, _, p in powers(spark, layers)] == [1.0, 4.0, 5.0]
+    reasons = sorted(r.reject_reason for r in read_error_log(spark, layers).collect())
+    assert reasons == ["the line does not have the declared fields", "timestamp is not a valid timestamp"]

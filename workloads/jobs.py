@@ -233,6 +233,34 @@ def compacted(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(stored).parquet(path)
 
 
+def archived_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Where the rows' files are after two runs and a third delivery that no run has seen."""
+    layers, deliver = Layers(scratch(spark, "archived")), in_parts(spark, sf)
+    for number in (1, 2):
+        land(deliver(number), layers, number)
+        bronze(spark, layers, load_moment(number), "append", landing=f"{layers.landing}/delivery_{number}")
+    land(deliver(3), layers, 3)
+
+    def rows_in(folder: str, place: str) -> DataFrame:
+        found = spark.read.schema(schemas.ARRIVAL).option("header", "true").option("recursiveFileLookup", "true")
+        return found.csv(folder).withColumn("place", F.lit(place))
+
+    found = rows_in(f"{layers.processed}/{batch_name(load_moment(1))}", "first run")
+    found = found.unionAll(rows_in(f"{layers.processed}/{batch_name(load_moment(2))}", "second run"))
+    return found.unionAll(rows_in(layers.landing, "landing"))
+
+
+def bronze_repeated_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs over one delivery, rows without a key among it."""
+    layers = Layers(scratch(spark, "repeated"))
+    rows = arrivals(spark, sf)
+    without = F.when(F.substring("timestamp", -1, 1) != "3", F.col("timestamp"))
+    folder = land(rows.withColumn("timestamp", without), layers, 1)
+    for number in (1, 2, 3):
+        bronze(spark, layers, load_moment(number), landing=folder)
+    return _bronze(layers, spark)
+
+
 def _days_or_none(spark: SparkSession, sf: str) -> DataFrame:
     """Events with their day, which every seventh lacks."""
     events = add_day(table(spark, sf, "events"), "ts")

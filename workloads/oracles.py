@@ -241,6 +241,11 @@ def sql() -> dict[str, str]:
         "reclustered": "SELECT * FROM lineitem",
         "reclustered_table": "SELECT * FROM orders",
         "compacted": "SELECT *, CAST(ts AS DATE) AS date FROM events",
+        "archived_files": f"""{READINGS} SELECT {ARRIVAL}, CASE load_datetime WHEN {LOAD[0]} THEN 'first run'
+            WHEN {LOAD[1]} THEN 'second run' ELSE 'landing' END AS place FROM ({PARTS})""",
+        "bronze_repeated_run": f"""{READINGS} SELECT {LOAD[0]} AS load_datetime,
+            CASE WHEN right(timestamp, 1) <> '3' THEN timestamp END AS timestamp,
+            turbine_id, wind_speed, wind_direction, power_output FROM readings""",
         "compacted_null_day": """SELECT *, CASE WHEN event_id % 7 <> 0 THEN CAST(ts AS DATE) END AS date
             FROM events""",
         "merge_into_orders": INTO_ORDERS,
