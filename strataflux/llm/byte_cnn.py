@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflux.llm.bpe import text_batches
+from strataflux.llm.bpe import SLICE_ROWS, text_batches
 from strataflux.llm.common import whole
 
 WINDOW = 128
@@ -32,7 +32,7 @@ RATE = 0.01
 SAMPLED_ROWS = 500
 WINDOWS_PER_ROW = 3
 UNKNOWN = "und"
-BATCH_CHARS = 8_000_000
+BATCH_CHARS = 2_000_000
 CHUNK = 1024
 
 
@@ -265,10 +265,12 @@ def identified(docs: DataFrame, network: Network | None, least: float) -> DataFr
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [text or "" for text in batch.column(place).to_pylist()]
-            texts = [text if any(map(str.isalpha, text)) else "" for text in texts]
-            found, scores = answers(network, texts)
-            keep = [lang != UNKNOWN and score >= least for lang, score in zip(found, scores, strict=True)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                texts = [text or "" for text in part.column(place).to_pylist()]
+                texts = [text if any(map(str.isalpha, text)) else "" for text in texts]
+                found, scores = answers(network, texts)
+                keep = [lang != UNKNOWN and score >= least for lang, score in zip(found, scores, strict=True)]
+                yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)

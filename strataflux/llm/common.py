@@ -66,3 +66,16 @@ def workspace(spark: SparkSession, label: str) -> Iterator[Workspace]:
     jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
     path = jvm.org.apache.hadoop.fs.Path(found.path)
     path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Session settings for what runs inside the block."""
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -10,14 +10,12 @@ were found are grouped again by their bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflux.llm.common import SPACE_CLASS, Workspace, staged, whole, workspace
+from strataflux.llm.common import SPACE_CLASS, Workspace, settings, staged, whole, workspace
 
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -43,18 +41,6 @@ def full_digest(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
-@contextmanager
-def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
-    before = {name: spark.conf.get(name, None) for name in wanted}
-    for name, value in wanted.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
 def keeper() -> Column:
     return F.struct(
         F.col("n_points"),

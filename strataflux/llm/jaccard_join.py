@@ -39,16 +39,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflux.llm.bpe import text_batches
-from strataflux.llm.common import Workspace, staged, whole, workspace
+from strataflux.llm.common import Workspace, settings, staged, whole, workspace
 from strataflux.llm.components import connected
 
 BATCH_CHARS = 2_000_000
+# Sets of long texts are large, so few rows travel to Python at a time.
+BATCH_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}
 # No set above this size is light, whatever the cost model says.
 LIGHT_LIMIT = 40
 # What an entry of an inverted list costs beside a subset: it may have to be compared.
 LIST_COST = 4
 # A task reports elements it has met so often among so many; those of this total are frequent.
-REPORTED, COUNTED = 3, 4_000_000
+REPORTED, COUNTED = 3, 2_000_000
 FREQUENT = 8
 BITMAP_BITS = 1 << 25
 SKETCH_BITS = 2048
@@ -334,7 +336,7 @@ def similar_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
         raise ValueError("percent must be over 50, up to 100")
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole(F.col("text")).alias("text"))
-    with workspace(docs.sparkSession, "jaccard") as work:
+    with workspace(docs.sparkSession, "jaccard") as work, settings(docs.sparkSession, BATCH_ROWS):
         return staged(_components(texts, width, percent, work), "jaccard-result")
 
 
