@@ -71,6 +71,10 @@ class DayTable:
         if touched.isEmpty():
             replace_partitions(incoming, self.path, [DAY], self.keys)
             return
+        # An upsert uses the incoming rows twice, for their keys and as rows; they are made once.
+        ready = self.layers.staging(f"{self.name}_incoming")
+        stage(incoming, ready, [DAY], self.keys)
+        incoming = read_dataset(self.spark, ready, self.stored)
         merged = upsert(incoming, touched, self.keys, source_is_keyed=True)
         stage(merged, self.layers.staging(self.name), [DAY], self.keys)
         self.log.record(self.staged_mark, batch)

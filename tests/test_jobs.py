@@ -332,7 +332,8 @@ CRASHES = {
     "bronze written": lambda m: crash_after(m, bronze_plan, "replace_partitions"),
     "bronze half written": lambda m: crash_halfway(m, bronze_plan, "replace_partitions", "turbine_id = '1'"),
     "rejects written": lambda m: crash_after(m, silver_plan, "replace_partitions"),
-    "silver staged": lambda m: crash_after(m, swap, "stage"),
+    "silver incoming staged": lambda m: crash_after(m, swap, "stage"),
+    "silver staged": lambda m: crash_after(m, swap, "stage", 2),
     "silver half written": lambda m: crash_halfway(m, swap, "replace_partitions", "turbine_id = 1"),
     "silver written": lambda m: crash_after(m, swap, "replace_partitions"),
     "gold written": lambda m: crash_after(m, swap, "replace_partitions", 2),
