@@ -22,10 +22,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataflux.llm.bpe import SLICE_ROWS
 from strataflux.llm.common import Workspace, staged, whole, workspace
 
 STATES = 6
@@ -56,14 +58,14 @@ BLOCKS = pa.schema(
         ("n_words", pa.int64()),
         ("numbers", pa.binary()),
         ("first", pa.int64()),
-        ("words", pa.list_(pa.binary())),
+        ("words", pa.list_(pa.string())),
         ("counts", pa.list_(pa.int64())),
         ("endings", pa.list_(pa.int32())),
     ]
 )
 BLOCKS_SQL = (
     "block bigint, doc_id bigint, held_out boolean, n_words bigint, numbers binary, first bigint, "
-    "words array<binary>, counts array<bigint>, endings array<int>"
+    "words array<string>, counts array<bigint>, endings array<int>"
 )
 
 
@@ -74,7 +76,7 @@ def numbered_blocks(docs: DataFrame) -> DataFrame:
     ``first`` on, how often each occurs in the block's training documents, and its ending.
     """
 
-    def rows_of(block: int, docs: list, known: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+    def rows_of(block: int, docs: list, known: dict[str, int]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(len(known), np.int64)
         for _, held, _, numbers in docs:
             if not held:
@@ -94,7 +96,7 @@ def numbered_blocks(docs: DataFrame) -> DataFrame:
                 "first": start,
                 "words": part,
                 "counts": counts[start : start + DICTIONARY_ROWS],
-                "endings": [zlib.crc32(word[-ENDING_BYTES:]) % ENDINGS for word in part],
+                "endings": [zlib.crc32(word.encode()[-ENDING_BYTES:]) % ENDINGS for word in part],
             }
             yield pa.RecordBatch.from_pylist([row], schema=BLOCKS)
 
@@ -102,12 +104,14 @@ def numbered_blocks(docs: DataFrame) -> DataFrame:
         task, number = TaskContext.get().partitionId(), 0
         found, known, held_chars = [], {}, 0
         for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in range(3)]
-            for key, held, text in zip(*columns, strict=True):
-                words = text.encode().lower().split()
-                numbers = np.fromiter((known.setdefault(word, len(known)) for word in words), np.int32, len(words))
-                found.append((key, held, len(words), numbers))
-                held_chars += len(text)
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                runs = word_numbers(part.column(2), known)
+                found += [
+                    (key, held, len(run), run)
+                    for key, held, run in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), runs, strict=True)
+                ]
+                held_chars += part.column(2).nbytes
                 if held_chars >= BLOCK_CHARS:
                     yield from rows_of(task << 24 | number, found, known)
                     found, known, held_chars, number = [], {}, 0, number + 1
@@ -122,6 +126,21 @@ def numbered_blocks(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(work, BLOCKS_SQL)
 
 
+def word_numbers(texts: pa.Array, known: dict[str, int]) -> list[np.ndarray]:
+    """The words of each text as numbers; words not yet known get the next ones."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = lists.flatten().dictionary_encode()
+    words = coded.dictionary.to_pylist()
+    # White space at either end leaves an empty word.
+    places = np.array([known.setdefault(word, len(known)) if word else -1 for word in words], np.int32)
+    numbers = places[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int32)
+    owners = np.repeat(np.arange(len(counts)), counts)[numbers >= 0]
+    cuts = np.searchsorted(owners, np.arange(len(counts) + 1))
+    numbers = numbers[numbers >= 0]
+    return [numbers[start:end] for start, end in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
+
+
 def packed(numbers: np.ndarray) -> bytes:
     return pa.compress(numbers.tobytes(), codec="zstd", asbytes=True)
 
@@ -144,13 +163,13 @@ class Corpus:
 
 def word_classes(entries: DataFrame, work: Workspace) -> DataFrame:
     """word, c and class of every training word; the most frequent words have their own class."""
-    counts = entries.groupBy("word", "ending").agg(F.sum("n").alias("c")).where("c > 0")
+    counts = entries.where("n > 0").groupBy("word").agg(F.sum("n").alias("c"), F.min("ending").alias("ending"))
     counts = work.staged(counts)
     order = [F.col("c").desc(), F.col("word")]
-    top = [bytes(row["word"]) for row in counts.orderBy(*order).select("word").limit(FREQUENT).collect()]
+    top = [row["word"] for row in counts.orderBy(*order).select("word").limit(FREQUENT).collect()]
     rows = [(word, k) for k, word in enumerate(top, 1)]
     # FREQUENT rows at most, so a broadcast has a fixed bound.
-    frequent = counts.sparkSession.createDataFrame(rows, "word binary, own int")
+    frequent = counts.sparkSession.createDataFrame(rows, "word string, own int")
     named = counts.join(F.broadcast(frequent), "word", "left")
     return work.staged(named.select("word", "c", F.coalesce("own", ending_class()).alias("class")))
 
