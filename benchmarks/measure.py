@@ -29,9 +29,10 @@ from strataflux.plans.bronze import load_arrivals  # noqa: E402
 from strataflux.plans.days import DAY, day_values, on_days  # noqa: E402
 from strataflux.plans.gold import gold, summarise  # noqa: E402
 from strataflux.plans.silver import silver  # noqa: E402
+from strataflux.plans.swap import DayTable  # noqa: E402
 from strataflux.plans.upkeep import recluster  # noqa: E402
 from strataflux.session import scratch  # noqa: E402
-from strataflux.sources.sinks import replace_partitions, write_new  # noqa: E402
+from strataflux.sources.sinks import append_rows, replace_partitions, write_new  # noqa: E402
 from strataflux.sources.tables import Layers  # noqa: E402
 from strataflux.streaming.arrivals import start_arrivals  # noqa: E402
 from workloads import oracles  # noqa: E402
@@ -118,10 +119,10 @@ def insert_only() -> None:
 
         def ours(target=target, source=source) -> None:
             pruned = target.where(on_days(day_values(source)))
-            bench.consume(merge.absent_rows(source, pruned, KEYS))
+            append_rows(merge.absent_rows(source, pruned, KEYS), scratch(spark, "added"), [DAY], KEYS)
 
         def rewrite(target=target, source=source) -> None:
-            write_new(merge.merge_insert_only(source, target, KEYS), scratch(spark, "rewrite"))
+            append_rows(merge.merge_insert_only(source, target, KEYS), scratch(spark, "rewrite"), [DAY], KEYS)
 
         report(
             f"insert-only merge, source about {share} % of the target",
@@ -138,14 +139,12 @@ def upserts() -> None:
     for label, days in (("1 day", ["2024-01-15"]), ("all days", None)):
         source = rows if days is None else rows.where(F.col(DAY).isin([F.lit(d).cast("date") for d in days]))
 
-        def ours(source=source) -> None:
-            touched = target.where(on_days(day_values(source)))
-            replace_partitions(
-                merge.upsert(source, touched, KEYS),
-                scratch(spark, "upsert"),
-                [DAY],
-                KEYS,
-            )
+        table = DayTable(spark, Layers(scratch(spark, "merged")), "silver", stored(rows), schemas.SILVER, KEYS)
+
+        def ours(source=source, table=table) -> None:
+            """The job's own merge, with its staging and its log entry."""
+            newest = merge.latest_per_key(source, KEYS)
+            table.merge(newest, table.rows(), day_values(source), "run")
 
         def rewrite(source=source) -> None:
             replace_partitions(merge.upsert(source, target, KEYS), scratch(spark, "upsert"), [DAY], KEYS)

@@ -22,6 +22,11 @@ from strataflux.sources.sinks import remove_partitions, replace_partitions
 from strataflux.sources.tables import Layers, read_dataset
 
 
+# The log entry for the zone whose days partition silver. In another zone the same instant may fall
+# on another day, and its key would be stored twice.
+ZONE_MARK = "silver zone"
+
+
 def pending(spark: SparkSession, layers: Layers, mark: str, upto: str) -> DataFrame:
     """Bronze batches after the mark. Both ends are fixed before anything is read, so a
     batch that lands meanwhile waits for the next run."""
@@ -71,10 +76,14 @@ def silver(
     table = silver_table(spark, layers)
     with session_zone(spark, zone):
         marks = table.log.marks()
+        if marks[ZONE_MARK] not in ("", zone):
+            raise ValueError(f"silver holds days of zone {marks[ZONE_MARK]}, not {zone}")
         resumed = table.resume(marks)
         mark, upto = marks["silver"], marks["bronze"]
         if upto <= mark:
             return mark if resumed else None
+        if not marks[ZONE_MARK]:
+            table.log.record(ZONE_MARK, zone)
         rows = pending(spark, layers, mark, upto)
         judged, notes = (reading_rules(), number_notes()) if rules is None else (rules, {})
         good, bad = split_with_reason(rows, null_columns, judged, typed_keys(), notes)

@@ -8,10 +8,10 @@ unread nor be read twice. A file counts as new by its path, however old it says
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from strataflux import schemas
@@ -96,8 +96,10 @@ def process_arrivals(
     gold_mode: str = "unseen",
     max_files: int | None = None,
     clock: Clock = now,
+    rules: Mapping[str, Column] | None = None,
+    zone: str = "UTC",
 ) -> None:
     """Everything that has arrived, through all layers; what a file-arrival trigger calls."""
     start_arrivals(spark, layers, mode, max_files, clock).awaitTermination()
-    silver(spark, layers)
+    silver(spark, layers, rules, zone=zone)
     gold(spark, layers, gold_mode)

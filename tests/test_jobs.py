@@ -273,6 +273,17 @@ def test_session_zone_does_not_matter(spark, folder):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+def test_zone_of_silver_is_kept(spark, folder):
+    layers = Layers(folder)
+    deliver(spark, layers, 0, [("2024-05-01 02:00:00+00:00", "1", "5", "90", "1")])
+    silver(spark, layers, zone="America/New_York")
+    deliver(spark, layers, 1, [("2024-05-01 02:00:00+00:00", "1", "5", "90", "2")], "append")
+    with pytest.raises(ValueError, match="New_York"):
+        silver(spark, layers)
+    silver(spark, layers, zone="America/New_York")
+    assert [p for _, _, p in powers(spark, layers)] == [2.0]
+
+
 def test_hot_key_and_hot_day_keep_every_row(spark, folder):
     """A third of the arrivals is one key, a third one turbine-day; results match brute force."""
     odd_one_out = [reading(3, 0, power=str(1 + n)) for n in range(2_000)]
