@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflux.llm.bpe import encode_texts, loaded
-from strataflux.llm.common import staged, whole
+from strataflux.llm.common import Workspace, staged, whole, workspace
 
 # The marks of a turn and the other strings models take for control.
 OPEN, CLOSE = "<s>", "</s>"
@@ -126,7 +126,7 @@ def encoded_turns(rows: DataFrame, vocabulary: str) -> DataFrame:
     return rows.select("owner", "depth", "role", "text").mapInArrow(work, NODE_SQL)
 
 
-def ordered_turns(conversations: DataFrame) -> DataFrame:
+def ordered_turns(conversations: DataFrame, work: Workspace) -> DataFrame:
     """conv_id, depth (from 1), role, text and the two sums that name the run of turns up to here."""
     rows = conversations.where(F.col("conv_id").isNotNull()).select(
         F.col("conv_id").cast("bigint").alias("conv_id"),
@@ -137,13 +137,13 @@ def ordered_turns(conversations: DataFrame) -> DataFrame:
     # Turns without a number come first.
     rows = rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(1 << 62))))
     order = [F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
-    rows = staged(running_sums(rows, "conv_id", "block", order, {"depth": F.lit(1)}), "chat-turns")
+    rows = work.staged(running_sums(rows, "conv_id", "block", order, {"depth": F.lit(1)}))
     rows = rows.withColumn("block", F.floor(F.col("depth") / BLOCK))
     own = {
         name: F.xxhash64(F.lit(seed), "depth", "role", "text").cast("decimal(20,0)")
         for name, seed in (("run_a", 1), ("run_b", 2))
     }
-    return staged(running_sums(rows, "conv_id", "block", [F.col("depth")], own), "chat-runs")
+    return work.staged(running_sums(rows, "conv_id", "block", [F.col("depth")], own))
 
 
 def prefix_tree(conversations: DataFrame, vocabulary: str) -> PrefixTree:
@@ -154,19 +154,24 @@ def prefix_tree(conversations: DataFrame, vocabulary: str) -> PrefixTree:
     no conversation and are left out; other columns are ignored; an empty table gives an empty
     tree. ``vocabulary`` is a byte-level BPE file all executors can open.
     """
-    rows = ordered_turns(conversations)
+    with workspace(conversations.sparkSession, "chat") as work:
+        return _tree(conversations, vocabulary, work)
+
+
+def _tree(conversations: DataFrame, vocabulary: str, work: Workspace) -> PrefixTree:
+    rows = ordered_turns(conversations, work)
     run = ["depth", "run_a", "run_b"]
-    owners = staged(rows.groupBy(*run).agg(F.min("conv_id").alias("owner")), "chat-owners")
-    owned = staged(rows.join(owners, run).select("conv_id", "owner", "depth", "role", "text"), "chat-owned")
+    owners = work.staged(rows.groupBy(*run).agg(F.min("conv_id").alias("owner")))
+    owned = work.staged(rows.join(owners, run).select("conv_id", "owner", "depth", "role", "text"))
     spans = owned.groupBy("conv_id", "owner").agg(F.min("depth").alias("first"), F.max("depth").alias("last"))
     segments = staged(spans, "chat-segments")
 
-    nodes = staged(encoded_turns(owned.where("conv_id = owner"), vocabulary), "chat-nodes")
+    nodes = work.staged(encoded_turns(owned.where("conv_id = owner"), vocabulary))
     nodes = nodes.withColumn("block", F.floor(F.col("depth") / BLOCK))
     light = running_sums(
         nodes.select("owner", "depth", "block", "n_tokens"), "owner", "block", [F.col("depth")], {"end": F.col("n_tokens")}
     )
-    light = staged(light.drop("block"), "chat-offsets")
+    light = work.staged(light.drop("block"))
 
     # Depth-first order of the chains, and where each begins in the emitted run.
     owning = segments.where("conv_id = owner").select("conv_id")
@@ -180,7 +185,7 @@ def prefix_tree(conversations: DataFrame, vocabulary: str) -> PrefixTree:
     )
     root_first = chains.orderBy("tree_id", "key").drop("key")
     placed = root_first.withColumns({"part": F.spark_partition_id(), "place": F.monotonically_increasing_id()})
-    placed = staged(placed.withColumn("place", F.col("place").bitwiseAND(F.lit((1 << 33) - 1))), "chat-order")
+    placed = work.staged(placed.withColumn("place", F.col("place").bitwiseAND(F.lit((1 << 33) - 1))))
     placed = placed.withColumn("block", F.floor(F.col("place") / BLOCK))
     inside = running_sums(placed, "part", "block", [F.col("place")], {"end": F.col("size")})
     parts = placed.groupBy("part").agg(F.sum("size").alias("whole"))
@@ -190,7 +195,7 @@ def prefix_tree(conversations: DataFrame, vocabulary: str) -> PrefixTree:
     starts = inside.join(parts, "part").select(
         "owner", "tree_id", (F.col("before") + F.col("end") - F.col("size")).alias("chain_start")
     )
-    starts = staged(starts, "chat-starts")
+    starts = work.staged(starts)
 
     located = light.join(starts, "owner").select(
         "owner",
@@ -200,7 +205,7 @@ def prefix_tree(conversations: DataFrame, vocabulary: str) -> PrefixTree:
         (F.col("chain_start") + F.col("end") - F.col("n_tokens")).alias("start"),
         (F.col("chain_start") + F.col("end")).alias("stop"),
     )
-    located = staged(located, "chat-located")
+    located = work.staged(located)
     above = segments.where("conv_id != owner").join(owning, "conv_id", "left_semi")
     ends = located.select("owner", F.col("depth").alias("last"), F.col("chain_start").alias("start"), "stop")
     intervals = above.join(ends, ["owner", "last"]).groupBy("conv_id").agg(

@@ -152,6 +152,18 @@ def _by_bytes(rows: DataFrame, groups: DataFrame, differing: DataFrame) -> DataF
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, in all their columns; needs distinct doc_ids."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("kept_doc_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_doc_id")), "left_semi")
+    """The rows of ``docs`` that stay, in all their columns.
+
+    Of rows with the same id and equal texts one stays, any of them if they differ elsewhere.
+    """
+    groups = exact_groups(docs)
+    kept = groups.where("kept").select(F.col("doc_id").alias("kept_doc_id"), F.col("text_sha256").alias("kept_digest"))
+    same_id = docs["doc_id"].eqNullSafe(F.col("kept_doc_id"))
+    if groups.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return docs.join(kept, same_id, "left_semi")
+    own = "own_digest"
+    while own in docs.columns:
+        own += "_"
+    told = docs.withColumn(own, full_digest(normalised(F.col("text"))))
+    same = told["doc_id"].eqNullSafe(F.col("kept_doc_id")) & (told[own] == F.col("kept_digest"))
+    return told.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)

@@ -408,8 +408,13 @@ def crossing_pairs(named: DataFrame, percent: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its group, and those without an id."""
-    stays = similar_components(docs, width, percent).where("doc_id = component_id").select("doc_id").distinct()
-    stays = stays.withColumnRenamed("doc_id", "staying_id")
+    """The rows of ``docs`` whose doc_id is the smallest of its group, and those without an id.
+
+    Of rows that share an id one stays.
+    """
+    found = similar_components(docs, width, percent)
+    stays = found.where("doc_id = component_id").select(F.col("doc_id").alias("staying_id")).distinct()
     kept = docs.join(stays, docs["doc_id"] == F.col("staying_id"), "left_semi")
+    if not found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id"])
     return kept.unionAll(docs.where(F.col("doc_id").isNull()))

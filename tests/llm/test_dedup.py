@@ -64,6 +64,9 @@ def test_repeated_rows_and_missing_ids(docs_of):
     assert {row["keep_id"] for row in found if row["group_size"] == 3} == {1}
     assert exact_groups(docs_of([])).collect() == []
     assert without_copies(docs_of([(1, "x"), (2, "x"), (3, "y")])).count() == 2
+    kept = without_copies(docs_of([*rows, (1, "z")]))
+    assert kept.columns == docs_of([]).columns
+    assert sorted((row["doc_id"] or 0, row["text"]) for row in kept.collect()) == [(0, "y"), (1, "x"), (1, "z")]
 
 
 def shingles(text, width):
@@ -136,7 +139,7 @@ def test_edges_of_similar_sets(docs_of):
     assert named[5] == (1, 5) and named[6] == (1, 5)
     assert named[7] == (3, 7) and named[None] == (1, None) and named[9] == (1, 9)
     assert similar_components(docs_of([])).collect() == []
-    assert one_of_each(docs_of(EDGES)).count() == len(EDGES) - 1
+    assert one_of_each(docs_of(EDGES)).count() == len(EDGES) - 2
 
 
 def test_boundary_goes_by_cost():

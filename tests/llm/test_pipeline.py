@@ -65,7 +65,7 @@ def test_edges_pass_all_stages(spark, docs_of):
     docs = docs_of(EDGES)
     for _, stage in corpus_pipeline.STAGES[1:]:
         docs = stage(spark, docs, SMALL)
-    assert docs.count() == 8
+    assert docs.count() == 7
     empty = docs_of([])
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SMALL)
