@@ -91,12 +91,11 @@ def key_join(
         keys = list(dict.fromkeys(theirs for _, theirs in pairs))
         side = target.select(*keys) if target_is_keyed else distinct_keys(target, keys)
         return source.join(_prefixed(side, prefix), _matches(pairs, prefix), how)
-    if how == "left" and target_is_keyed:
-        # No source row repeats, and of a left join Spark can split a hot key of the source.
-        return source.join(_prefixed(target, prefix), _matches(pairs, prefix), "left")
-    joined = source.join(_prefixed(target, prefix), _matches(pairs, prefix), "inner")
+    # With a keyed target no source row repeats, and of a left join Spark can split a hot key of the source.
+    whole = how in ("left", "full") and target_is_keyed
+    joined = source.join(_prefixed(target, prefix), _matches(pairs, prefix), "left" if whole else "inner")
     result = joined
-    if how in ("left", "full"):
+    if how in ("left", "full") and not whole:
         result = result.unionByName(_padded(unseen(source, target, pairs), joined))
     if how in ("right", "full"):
         alone = unseen(target, source, [(theirs, ours) for ours, theirs in pairs])
