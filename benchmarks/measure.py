@@ -144,7 +144,7 @@ def upserts() -> None:
         def ours(source=source, table=table) -> None:
             """The job's own merge, with its staging and its log entry."""
             newest = merge.latest_per_key(source, KEYS)
-            table.merge(newest, table.rows(), day_values(source), "run")
+            table.merge(newest, day_values(source), "run")
 
         def rewrite(source=source) -> None:
             replace_partitions(merge.upsert(source, target, KEYS), scratch(spark, "upsert"), [DAY], KEYS)

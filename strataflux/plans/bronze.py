@@ -14,7 +14,7 @@ from strataflux import schemas
 from strataflux.functions.times import batch_name
 from strataflux.operators.merge import absent_rows
 from strataflux.plans.batchlog import BatchLog
-from strataflux.plans.days import day_values, on_days
+from strataflux.plans.days import day_values
 from strataflux.session import session_zone
 from strataflux.sources.files import (
     move_files,
@@ -24,7 +24,13 @@ from strataflux.sources.files import (
     with_source_file,
 )
 from strataflux.sources.sinks import remove_partitions, replace_partitions
-from strataflux.sources.tables import Layers, no_rows, read_dataset
+from strataflux.sources.tables import (
+    Layers,
+    no_rows,
+    partition_folders,
+    read_dataset,
+    read_partitions,
+)
 
 BATCH = schemas.BATCH_PARTITION.name
 ARRIVAL_DAY = schemas.ARRIVAL_DAY_PARTITION.name
@@ -75,10 +81,10 @@ def load_arrivals(
         stamped = stamp_load_time(arrivals, moment).select(*kept)
         new = stamped.withColumns({ARRIVAL_DAY: named_day(F.col("timestamp")), BATCH: F.lit(batch)})
         if mode == "insert_only":
-            others = read_bronze(spark, layers).where(F.col(BATCH) != batch)
-            if not others.isEmpty():
-                same_days = others.where(on_days(day_values(new, ARRIVAL_DAY), ARRIVAL_DAY))
-                new = absent_rows(new, same_days, keys)
+            if partition_folders(spark, layers.bronze, ARRIVAL_DAY):
+                days = day_values(new, ARRIVAL_DAY)
+                same_days = read_partitions(spark, layers.bronze, STORED, ARRIVAL_DAY, days)
+                new = absent_rows(new, same_days.where(F.col(BATCH) != batch), keys)
         remove_partitions(spark, layers.bronze, BATCH, batch)
         replace_partitions(new, layers.bronze, [ARRIVAL_DAY, BATCH], keys)
     log.record("bronze", batch)

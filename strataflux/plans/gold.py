@@ -33,9 +33,8 @@ def add_unseen(spark: SparkSession, layers: Layers, candidates: Days | None) ->
     are then summarised and known groups taken out of the result, so no join handles
     readings. Appending absent groups is safe to repeat.
     """
-    silver, gold = silver_table(spark, layers).rows(), gold_table(spark, layers).rows()
-    if candidates is not None:
-        silver, gold = silver.where(on_days(candidates)), gold.where(on_days(candidates))
+    tables = silver_table(spark, layers), gold_table(spark, layers)
+    silver, gold = [table.rows() if candidates is None else table.on(candidates) for table in tables]
     if gold.isEmpty():
         append_rows(summarise(silver), layers.gold, [DAY], KEYS)
         return
@@ -51,11 +50,11 @@ def refresh_touched(spark: SparkSession, layers: Layers, since: str, upto: str)
     """Summarise again every turbine-day that got readings since the last run."""
     table = gold_table(spark, layers)
     days = DayLog(spark, layers.touched_days).days(since, upto)
-    silver = silver_table(spark, layers).rows().where(on_days(days))
+    silver = silver_table(spark, layers).on(days)
     moment = batch_moment(since) if since else schemas.FIRST_MARK
     groups = touched_groups(silver, KEYS, "load_datetime", moment)
     refreshed = seen(summarise(silver), groups, same_keys(KEYS), target_is_keyed=True)
-    table.merge(refreshed, table.rows(), days, upto)
+    table.merge(refreshed, days, upto)
 
 
 def gold(

@@ -93,14 +93,14 @@ def silver(
             remove_partitions(spark, layers.error_log, BATCH, batch)
         replace_partitions(log_rows, layers.error_log, [BATCH], spread="evenly")
         newest = latest_per_key(typed_rows(good, zone), schemas.READING_KEYS, ["load_datetime"])
-        days, current = DayLog(spark, layers.touched_days), table.rows()
-        if current.isEmpty():
+        days = DayLog(spark, layers.touched_days)
+        if table.is_new():
             # A first load is not read once more for its days; its partitions tell them.
-            table.merge(newest, current, [], upto)
+            table.merge(newest, [], upto)
             days.record(upto, table.rows())
         else:
             days.record(upto, typed_rows(rows, zone))
-            table.merge(newest, current, days.days(mark, upto), upto)
+            table.merge(newest, days.days(mark, upto), upto)
         table.log.record("silver", upto)
     return upto
 

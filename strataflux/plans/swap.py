@@ -11,9 +11,9 @@ from pyspark.sql.types import StructType
 from strataflux import schemas
 from strataflux.operators.merge import upsert
 from strataflux.plans.batchlog import BatchLog
-from strataflux.plans.days import DAY, Days, on_days
+from strataflux.plans.days import DAY, Days
 from strataflux.sources.sinks import replace_partitions, stage
-from strataflux.sources.tables import Layers, read_dataset
+from strataflux.sources.tables import Layers, partition_folders, read_dataset, read_partitions
 
 
 @dataclass(frozen=True)
@@ -43,6 +43,14 @@ class DayTable:
         """The table with its day column."""
         return read_dataset(self.spark, self.path, self.stored)
 
+    def on(self, days: Days) -> DataFrame:
+        """The rows of some days; only their folders are listed, however old the table is."""
+        return read_partitions(self.spark, self.path, self.stored, DAY, days)
+
+    def is_new(self) -> bool:
+        """Whether the table has no day yet."""
+        return not partition_folders(self.spark, self.path, DAY)
+
     def resume(self, marks: dict[str, str]) -> bool:
         """Finish a swap that broke off after staging, and its batch with it.
 
@@ -56,18 +64,16 @@ class DayTable:
         marks[self.name] = staged
         return True
 
-    def merge(self, incoming: DataFrame, current: DataFrame, days: Days, batch: str) -> None:
+    def merge(self, incoming: DataFrame, days: Days, batch: str) -> None:
         """Upsert rows that hold one row per key; only the days they fall on are touched.
 
-        ``current`` are the table's rows as read before, so its files are listed once.
-
         Sound because the day is a function of the key. Days new to the table are written
         straight away: nothing in the table depends on them, so a broken run is simply
         repeated. Days that exist are merged into a staging path first and only then moved
         in: should the move break off, the complete days are still at hand.
         """
         incoming = incoming.select(*self.stored.names)
-        touched = current.where(on_days(days))
+        touched = self.on(days)
         if touched.isEmpty():
             replace_partitions(incoming, self.path, [DAY], self.keys)
             return

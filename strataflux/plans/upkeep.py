@@ -16,11 +16,9 @@ from strataflux.operators.layout import order_by_keys
 from strataflux.plans.batchlog import BatchLog
 from strataflux.sources.files import stored_bytes, stored_files
 from strataflux.sources.sinks import replace_partitions, stage, write_new
-from strataflux.sources.tables import Layers, quoted_name, quoted_text, read_dataset
+from strataflux.sources.tables import MISSING, Layers, quoted_name, quoted_text, read_dataset
 
 FILE_BYTES = 256 * 1024 * 1024
-# What Spark names the folder of a missing partition value.
-MISSING = "__HIVE_DEFAULT_PARTITION__"
 
 
 def recluster(

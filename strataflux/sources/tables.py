@@ -13,6 +13,10 @@ from pyspark.sql.types import StructField, StructType
 from strataflux import schemas
 
 
+# What Spark names the folder of a missing partition value.
+MISSING = "__HIVE_DEFAULT_PARTITION__"
+
+
 @dataclass(frozen=True)
 class Layers:
     """Where one set of layers lives. Every path must be visible to all executors."""
@@ -82,6 +86,32 @@ def read_dataset(spark: SparkSession, path: str, schema: StructType) -> DataFram
         return no_rows(spark, schema)
 
 
+def partition_folders(spark: SparkSession, path: str, column: str, values: Sequence | None = None) -> list[str]:
+    """Folders of first-level partitions, of these values or of all; no file is listed.
+
+    None stands for the partition of missing values.
+    """
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    named = "*" if values is None else ",".join(MISSING if value is None else str(value) for value in values)
+    pattern = jvm.org.apache.hadoop.fs.Path(root, f"{column}={{{named}}}" if values is not None else f"{column}=*")
+    found = root.getFileSystem(context.hadoopConfiguration()).globStatus(pattern)
+    return [status.getPath().toString() for status in found or []]
+
+
+def read_partitions(
+    spark: SparkSession, path: str, schema: StructType, column: str, values: Sequence
+) -> DataFrame:
+    """The rows of some first-level partitions; the files of no other one are listed.
+
+    The values are dates, or other texts without the characters partition names escape.
+    """
+    folders = partition_folders(spark, path, column, values) if values else []
+    if not folders:
+        return no_rows(spark, schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
 def quoted_name(name: str) -> str:
     """A name, its parts separated by dots, as an identifier in SQL text."""
     return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))

@@ -431,3 +431,15 @@ def test_files_go_to_processed_with_their_batch(spark, folder, monkeypatch):
     assert [p for _, _, p in powers(spark, layers)] == [1.0, 4.0, 5.0]
     reasons = sorted(r.reject_reason for r in read_error_log(spark, layers).collect())
     assert reasons == ["the line does not have the declared fields", "timestamp is not a valid timestamp"]
+
+
+def test_reads_of_days_list_their_folders_only(spark, folder):
+    layers = Layers(folder)
+    run(spark, layers, [[reading(day, 0) for day in range(1, 9)]])
+    table = swap.silver_table(spark, layers)
+    wanted = [date(2024, 5, 2), date(2024, 5, 7), date(2024, 6, 1), None]
+    got = table.on(wanted)
+    assert sorted(name.split("date=")[1][:10] for name in got.inputFiles()) == ["2024-05-02", "2024-05-07"]
+    assert sorted(row.date.day for row in got.collect()) == [2, 7]
+    assert table.on([]).count() == 0 and not table.is_new()
+    assert swap.silver_table(spark, Layers(f"{folder}/none")).is_new()
