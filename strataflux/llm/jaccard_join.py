@@ -389,22 +389,48 @@ def _components(texts: DataFrame, width: int, percent: int, work: Workspace) ->
 
 
 def crossing_pairs(named: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of different components that pass the size and positional filters."""
-    columns = ("id", "size", "position", "component")
-    smaller = named.where(may_be_smaller(percent))
-    smaller = smaller.select("signature", *[F.col(name).alias(f"a_{name}") for name in columns])
-    larger = named.select("signature", *[F.col(name).alias(f"b_{name}") for name in columns])
-    a_size, b_size = F.col("a_size"), F.col("b_size")
-    left = F.least(a_size - F.col("a_position"), b_size - F.col("b_position"))
-    passes = (
-        (smaller["signature"] == larger["signature"])
-        & (F.col("a_component") != F.col("b_component"))
-        & (a_size <= b_size)
-        & near_in_size(a_size, b_size, percent)
-        & (left >= needed(a_size, b_size, percent))
+    """Distinct pairs (a, b) of different components that may be similar.
+
+    First the pairs of components that meet in lists are found, with how many pairs of sets their
+    lists hold. A pair of components whose sets meet in list after list is compared set by set,
+    which is less than that; of the others only sets that meet in a list and pass the
+    positional filter there are. Either way no similar pair is left out.
+    """
+    small = may_be_smaller(percent).cast("int")
+    groups = named.groupBy("signature", "component").agg(
+        F.count("*").alias("n"),
+        F.sum(small).alias("small"),
+        F.max(F.col("size") - F.col("position")).alias("left"),
+        F.min("size").alias("least"),
+    )
+    others = groups.withColumnsRenamed({"component": "other", **{c: f"other_{c}" for c in ("n", "small", "left", "least")}})
+    enough = needed(F.col("least"), F.col("other_least"), percent)
+    meeting = groups.join(others, "signature").where(
+        (F.col("component") < F.col("other"))
+        & (F.col("small") + F.col("other_small") > 0)
+        & (F.least("left", "other_left") >= enough)
     )
-    pairs = smaller.join(larger, passes)
-    return pairs.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
+    listed = meeting.groupBy("component", "other").agg(F.sum(F.col("n") * F.col("other_n")).alias("listed"))
+    members = named.select("component", "id", "size").distinct()
+    sizes = members.groupBy("component").agg(F.count("*").alias("sets"))
+    other_sizes = sizes.withColumnsRenamed({"component": "other", "sets": "other_sets"})
+    judged = listed.join(sizes, "component").join(other_sizes, "other")
+    by_sets = F.col("sets") * F.col("other_sets") <= F.col("listed")
+
+    left = members.withColumnsRenamed({"id": "a", "size": "a_size"})
+    right = members.withColumnsRenamed({"component": "other", "id": "b", "size": "b_size"})
+    near = near_in_size(F.col("a_size"), F.col("b_size"), percent)
+    whole = judged.where(by_sets).select("component", "other").join(left, "component").join(right, "other").where(near)
+
+    entries = named.select("signature", "component", "id", "size", "position")
+    left = entries.withColumnsRenamed({"id": "a", "size": "a_size", "position": "a_position"})
+    right = entries.withColumnsRenamed({"component": "other", "id": "b", "size": "b_size", "position": "b_position"})
+    shared = F.least(F.col("a_size") - F.col("a_position"), F.col("b_size") - F.col("b_position"))
+    passes = near & (shared >= needed(F.col("a_size"), F.col("b_size"), percent))
+    places = meeting.select("signature", "component", "other")
+    places = places.join(judged.where(~by_sets).select("component", "other"), ["component", "other"])
+    single = places.join(left, ["signature", "component"]).join(right, ["signature", "other"]).where(passes)
+    return whole.select("a", "b").unionAll(single.select("a", "b")).distinct()
 
 
 def one_of_each(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
