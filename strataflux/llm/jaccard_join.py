@@ -50,7 +50,7 @@ LIGHT_LIMIT = 40
 # What an entry of an inverted list costs beside a subset: it may have to be compared.
 LIST_COST = 4
 # A task reports elements it has met so often among so many; those of this total are frequent.
-REPORTED, COUNTED = 3, 2_000_000
+REPORTED, COUNTED = 2, 4_000_000
 FREQUENT = 8
 BITMAP_BITS = 1 << 25
 SKETCH_BITS = 2048
