@@ -3,8 +3,8 @@
 A benchmark item of n words is compared with windows of n words of the documents. Items and
 windows have a bag of five-word shingles; a shingle's weight is how often it occurs. Steps:
 
-1. A window that shares no shingle with an item has similarity 0, so windows are only taken where an
-   item would begin if one of its shingles stood in its place, and one word to either side.
+1. A window as similar as asked shares a least number of shingles with its item, so windows are taken
+   at every start where that many places hold a shingle of an item of its size, and nowhere else.
 2. Each window gets a 64-bit SimHash of its bag, as each item has.
 3. Multi-index: fingerprints are cut into blocks of 8 bits. Within a distance of ``RADIUS`` bits
    some block differs in RADIUS // 8 bits at most, so the index holds every item under all
@@ -116,34 +116,72 @@ def bounded(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def windows(docs: DataFrame, items: DataFrame, width: int, work: Workspace) -> DataFrame:
-    """doc_id, n, start and bag of the windows that stand where an item could."""
+def starts_of(places: Column, size: Column, least: Column) -> Column:
+    """All starts of windows of ``size`` places with ``least`` or more of the ascending ``places``."""
+
+    def run(k: Column) -> Column:
+        # Starts whose first place of ``places`` is number k; those before belong to earlier numbers.
+        first = F.greatest(F.lit(0), places[k + least - 1] - size + 1)
+        first = F.when(k > 0, F.greatest(first, places[F.greatest(k - 1, F.lit(0))] + 1)).otherwise(first)
+        last = places[k]
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+    runs = F.flatten(F.transform(F.sequence(F.lit(0), F.size(places) - least), run))
+    return F.when(F.size(places) >= least, runs).otherwise(F.array().cast("array<int>"))
+
+
+def windows(docs: DataFrame, items: DataFrame, width: int, work: Workspace, similarity: float) -> DataFrame:
+    """doc_id, n, start, anchored and bag of all windows that can be as similar to an item of n words.
+
+    ``anchored`` are those that stand, give or take a word, where an item would begin if one of its
+    shingles stood in its place.
+    """
     own = items.where(F.col("width") == width)
     # A shingle that repeats in an item anchors where it stands first.
     each = own.select("item_id", "n", F.posexplode("bag").alias("offset", "shingle"))
     each = each.groupBy("item_id", "n", "shingle").agg(F.min("offset").alias("offset"))
-    anchors = work.staged(each.select("n", "shingle", "offset").distinct())
+    anchors = work.staged(each.groupBy("n", "shingle").agg(F.collect_set("offset").alias("offsets")))
     rows = docs.select("doc_id", shingles_of(words_of(F.col("text")), width).alias("shingles"))
     seen = rows.select("doc_id", F.size("shingles").alias("count"), F.posexplode("shingles").alias("place", "shingle"))
-    matched = seen.join(bounded(anchors), "shingle")
+    matched = seen.join(bounded(anchors), "shingle").groupBy("doc_id", "n", "count")
+    matched = matched.agg(F.array_sort(F.collect_set(F.struct("place", "offsets"))).alias("matched"))
+    size = F.col("n") - width + 1
     # A window that would stick out is moved inside; a text shorter than the item is one window.
-    latest = F.greatest(F.lit(0), F.col("count") - (F.col("n") - width + 1))
-    sides = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("side")
-    starts = matched.select("doc_id", "n", "place", "offset", latest.alias("latest"), sides).select(
-        "doc_id", "n", F.greatest(F.lit(0), F.least("latest", F.expr("place - offset + side"))).alias("start")
+    latest = F.greatest(F.lit(0), F.col("count") - size)
+    # Rounded down by more than the error of the division, never up.
+    shared = similarity / (1 + similarity) * (size + F.least(size, F.col("count"))) - 1e-6
+    least = F.greatest(F.lit(1), F.ceil(shared).cast("int"))
+    found = matched.select("doc_id", "n", "matched", size.alias("size"), latest.alias("latest"), least.alias("least"))
+    found = found.where(F.size("matched") >= F.col("least"))
+    every = starts_of(F.col("matched.place"), F.col("size"), F.col("least"))
+    found = found.withColumn("every", F.filter(every, lambda start: start <= F.col("latest")))
+    found = found.where(F.size("every") > 0)
+
+    def around(at: Column) -> Column:
+        near = F.flatten(F.transform(at["offsets"], lambda k: F.array(*[at["place"] - k + side for side in (-1, 0, 1)])))
+        return F.transform(near, lambda start: F.greatest(F.lit(0), F.least(F.col("latest"), start)))
+
+    found = found.withColumn("anchored", F.flatten(F.transform("matched", around)))
+
+    def marked(starts: Column, anchored: bool) -> Column:
+        return F.transform(starts, lambda start: F.struct(start.alias("start"), F.lit(anchored).alias("anchored")))
+
+    split = F.concat(
+        marked(F.array_intersect("every", "anchored"), True), marked(F.array_except("every", "anchored"), False)
     )
-    starts = work.staged(starts.distinct())
-    where = starts.groupBy("doc_id").agg(F.collect_list(F.struct("n", "start")).alias("starts"))
+    starts = work.staged(found.select("doc_id", "n", F.inline(split)))
+    where = starts.groupBy("doc_id").agg(F.collect_list(F.struct("n", "start", "anchored")).alias("starts"))
     where = F.broadcast(where) if starts.count() <= BROADCAST_ROWS else where
     cut = rows.join(where, "doc_id").select("doc_id", "shingles", F.explode("starts").alias("at"))
     bag = F.slice("shingles", F.col("at.start") + 1, F.col("at.n") - width + 1)
-    return cut.select("doc_id", "at.n", "at.start", bag.alias("bag")).distinct()
+    return cut.select("doc_id", "at.n", "at.start", "at.anchored", bag.alias("bag")).distinct()
 
 
 def contaminations(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, similarity and first_word of every document that holds an item.
 
-    One row per document and item, for its most similar window, the first of equals. ``docs`` has
+    One row per document and item, for its most similar window of all; of equals the first that is
+    anchored (see ``windows``), or the first if none is. ``docs`` has
     doc_id and text, ``items`` item_id and text; other columns are ignored. Items of fewer than
     five words have one shingle, the whole of them; items and texts without words, null ones
     included, match nothing. Rows without a doc_id are examined as if they were one document;
@@ -171,7 +209,7 @@ def _contaminations(docs: DataFrame, items: DataFrame, similarity: float, work:
     )
     found = None
     for width in widths:
-        cut = windows(texts, described, width, work)
+        cut = windows(texts, described, width, work, similarity)
         cut = work.staged(cut.withColumn("print", fingerprint(F.col("bag"))))
         keys = cut.select("doc_id", "n", "start", "print", F.explode(blocks_of(F.col("print"))).alias("block"))
         keys = keys.select("doc_id", "n", "start", "print", "block.number", "block.value")
@@ -179,17 +217,18 @@ def _contaminations(docs: DataFrame, items: DataFrame, similarity: float, work:
         near = near.where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
         near = near.select("doc_id", "n", "start", "item_id").distinct()
         bags = prints.where(F.col("width") == width).select("item_id", "n", F.col("bag").alias("item_bag"))
-        both = near.join(cut.select("doc_id", "n", "start", "bag"), ["doc_id", "n", "start"]).join(
+        both = near.join(cut.select("doc_id", "n", "start", "anchored", "bag"), ["doc_id", "n", "start"]).join(
             bags, ["item_id", "n"]
         )
         both = both.withColumn("similarity", weighted_similarity(F.col("bag"), F.col("item_bag")))
-        both = both.where(F.col("similarity") >= similarity).select("doc_id", "item_id", "similarity", "start")
+        both = both.where(F.col("similarity") >= similarity)
+        both = both.select("doc_id", "item_id", "similarity", "anchored", "start")
         found = both if found is None else found.unionAll(both)
     if found is None:
         return docs.sparkSession.createDataFrame([], OUTPUT)
     best = found.groupBy("doc_id", "item_id").agg(
         F.max("similarity").alias("similarity"),
-        F.max_by(F.col("start"), F.struct("similarity", -F.col("start"))).cast("bigint").alias("first_word"),
+        F.max_by(F.col("start"), F.struct("similarity", "anchored", -F.col("start"))).cast("bigint").alias("first_word"),
     )
     return best.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
 

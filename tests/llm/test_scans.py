@@ -137,6 +137,24 @@ def test_decontamination(spark, docs_of):
     assert decontamination.contaminations(docs_of(docs), table.limit(0)).collect() == []
 
 
+def test_long_items_edited_at_both_ends(spark, docs_of):
+    """The best window stands between the places where the item's parts would let it begin."""
+    line = lambda name, n: [f"{name}{k}" for k in range(n)]
+    sizes = [(76, 2), (130, 5), (200, 8), (304, 11)]
+    items = [(n, " ".join(line(f"i{n}x", n))) for n, _ in sizes]
+    docs = []
+    for key, (n, k) in enumerate(sizes):
+        own = line(f"i{n}x", n)
+        own[:k], own[-k:] = line("a", k), line("b", k)
+        half = n // 2
+        docs.append((key, " ".join([*line("c", 40), *own[:half], *line("d", 2 * k), *own[half:], *line("e", 40)])))
+    wanted = held_by_hand(docs, items)
+    assert set(wanted) == {(key, n) for key, (n, _) in enumerate(sizes)}
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontamination.contaminations(docs_of(docs), table).collect()
+    assert {(row["doc_id"], row["item_id"]): row["similarity"] for row in found} == pytest.approx(wanted)
+
+
 def test_fingerprints_within_the_radius_share_a_block():
     chance = random.Random(2)
     masks = set(decontamination.near_masks(decontamination.RADIUS // (decontamination.BITS // decontamination.BLOCK_BITS)))
