@@ -34,3 +34,16 @@ def test_query_matches_its_sql(spark, connection, name):
         spark, connection, SMALL, registered.queries()[name], oracles.sql()[name]
     )
     assert not found, found
+
+
+def test_compacted_bronze_keeps_its_rows_off_the_driver(spark, monkeypatch):
+    frame, fetched = type(spark.range(1)), []
+    collect = frame.collect
+
+    def noted(rows):
+        fetched.append(rows.columns)
+        return collect(rows)
+
+    monkeypatch.setattr(frame, "collect", noted)
+    registered.queries()["compacted_bronze"](spark, SMALL)
+    assert fetched and not [columns for columns in fetched if "power_output" in columns]

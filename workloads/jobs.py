@@ -287,7 +287,9 @@ def compacted_bronze(spark: SparkSession, sf: str) -> DataFrame:
     layers = run_batches(spark, in_parts(spark, sf), 3, "insert_only", "unseen")
     # Another writer's small files, as many appends leave them.
     split = read_bronze(spark, layers).where(F.col(BATCH) == batch_name(load_moment(2)))
-    split = spark.createDataFrame(split.collect(), split.schema)
+    aside = scratch(spark, "aside")
+    split.write.parquet(aside)
+    split = spark.read.schema(split.schema).parquet(aside)
     sinks.remove_partitions(spark, layers.bronze, BATCH, batch_name(load_moment(2)))
     for part in range(2):
         picked = split.where(F.pmod(F.xxhash64("timestamp"), F.lit(2)) == part)
