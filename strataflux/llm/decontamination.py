@@ -29,8 +29,6 @@ SIMILARITY = 0.8
 BITS, BLOCK_BITS, RADIUS = 64, 8, 23
 # Item shingles and windows are broadcast up to this number of rows, else joined by shuffling.
 BROADCAST_ROWS = 1_000_000
-# Stands for a missing doc_id inside, so that such rows are examined as well.
-NO_ID = -(1 << 63)
 
 
 def words_of(text: Column) -> Column:
@@ -131,7 +129,7 @@ def starts_of(places: Column, size: Column, least: Column) -> Column:
 
 
 def windows(docs: DataFrame, items: DataFrame, width: int, work: Workspace, similarity: float) -> DataFrame:
-    """doc_id, n, start, anchored and bag of all windows that can be as similar to an item of n words.
+    """row, n, start, anchored and bag of all windows that can be as similar to an item of n words.
 
     ``anchored`` are those that stand, give or take a word, where an item would begin if one of its
     shingles stood in its place.
@@ -141,9 +139,9 @@ def windows(docs: DataFrame, items: DataFrame, width: int, work: Workspace, simi
     each = own.select("item_id", "n", F.posexplode("bag").alias("offset", "shingle"))
     each = each.groupBy("item_id", "n", "shingle").agg(F.min("offset").alias("offset"))
     anchors = work.staged(each.groupBy("n", "shingle").agg(F.collect_set("offset").alias("offsets")))
-    rows = docs.select("doc_id", shingles_of(words_of(F.col("text")), width).alias("shingles"))
-    seen = rows.select("doc_id", F.size("shingles").alias("count"), F.posexplode("shingles").alias("place", "shingle"))
-    matched = seen.join(bounded(anchors), "shingle").groupBy("doc_id", "n", "count")
+    rows = docs.select("row", shingles_of(words_of(F.col("text")), width).alias("shingles"))
+    seen = rows.select("row", F.size("shingles").alias("count"), F.posexplode("shingles").alias("place", "shingle"))
+    matched = seen.join(bounded(anchors), "shingle").groupBy("row", "n", "count")
     matched = matched.agg(F.array_sort(F.collect_set(F.struct("place", "offsets"))).alias("matched"))
     size = F.col("n") - width + 1
     # A window that would stick out is moved inside; a text shorter than the item is one window.
@@ -151,7 +149,7 @@ def windows(docs: DataFrame, items: DataFrame, width: int, work: Workspace, simi
     # Rounded down by more than the error of the division, never up.
     shared = similarity / (1 + similarity) * (size + F.least(size, F.col("count"))) - 1e-6
     least = F.greatest(F.lit(1), F.ceil(shared).cast("int"))
-    found = matched.select("doc_id", "n", "matched", size.alias("size"), latest.alias("latest"), least.alias("least"))
+    found = matched.select("row", "n", "matched", size.alias("size"), latest.alias("latest"), least.alias("least"))
     found = found.where(F.size("matched") >= F.col("least"))
     every = starts_of(F.col("matched.place"), F.col("size"), F.col("least"))
     found = found.withColumn("every", F.filter(every, lambda start: start <= F.col("latest")))
@@ -169,12 +167,12 @@ def windows(docs: DataFrame, items: DataFrame, width: int, work: Workspace, simi
     split = F.concat(
         marked(F.array_intersect("every", "anchored"), True), marked(F.array_except("every", "anchored"), False)
     )
-    starts = work.staged(found.select("doc_id", "n", F.inline(split)))
-    where = starts.groupBy("doc_id").agg(F.collect_list(F.struct("n", "start", "anchored")).alias("starts"))
+    starts = work.staged(found.select("row", "n", F.inline(split)))
+    where = starts.groupBy("row").agg(F.collect_list(F.struct("n", "start", "anchored")).alias("starts"))
     where = F.broadcast(where) if starts.count() <= BROADCAST_ROWS else where
-    cut = rows.join(where, "doc_id").select("doc_id", "shingles", F.explode("starts").alias("at"))
+    cut = rows.join(where, "row").select("row", "shingles", F.explode("starts").alias("at"))
     bag = F.slice("shingles", F.col("at.start") + 1, F.col("at.n") - width + 1)
-    return cut.select("doc_id", "at.n", "at.start", "at.anchored", bag.alias("bag")).distinct()
+    return cut.select("row", "at.n", "at.start", "at.anchored", bag.alias("bag")).distinct()
 
 
 def contaminations(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -184,17 +182,28 @@ def contaminations(docs: DataFrame, items: DataFrame, similarity: float = SIMILA
     anchored (see ``windows``), or the first if none is. ``docs`` has
     doc_id and text, ``items`` item_id and text; other columns are ignored. Items of fewer than
     five words have one shingle, the whole of them; items and texts without words, null ones
-    included, match nothing. Rows without a doc_id are examined as if they were one document;
-    repeated rows give one answer. Empty tables give no rows.
+    included, match nothing. Every row is examined by itself; rows that share a doc_id, or have none,
+    give one answer, that of the most similar. Empty tables give no rows.
     """
     with workspace(docs.sparkSession, "decontaminate") as work:
-        return staged(_contaminations(docs, items, similarity, work), "decontaminate-result")
+        found = _held(docs, items, similarity, work)
+        best = found.groupBy(F.col("row.doc_id").alias("doc_id"), "item_id").agg(
+            F.max("similarity").alias("similarity"),
+            F.max_by(F.col("start"), F.struct("similarity", "anchored", -F.col("start"))).cast("bigint").alias("first_word"),
+        )
+        return staged(best, "decontaminate-result")
 
 
-def _contaminations(docs: DataFrame, items: DataFrame, similarity: float, work: Workspace) -> DataFrame:
-    texts = docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"), F.col("text").alias("text")
+def row_key(docs: DataFrame) -> Column:
+    """What tells rows apart: doc_id, null as it may be, and a digest of the text."""
+    return F.struct(
+        docs["doc_id"].cast("bigint").alias("doc_id"), F.unhex(F.sha2(whole(docs["text"]), 256)).alias("digest")
     )
+
+
+def _held(docs: DataFrame, items: DataFrame, similarity: float, work: Workspace) -> DataFrame:
+    """row, item_id, similarity, anchored and start of all windows as similar as asked."""
+    texts = docs.select(row_key(docs).alias("row"), docs["text"].alias("text"))
     described = work.staged(described_items(items.select("item_id", "text")).distinct())
     widths = sorted(row["width"] for row in described.select("width").distinct().collect())
     prints = work.staged(described.withColumn("print", fingerprint(F.col("bag"))))
@@ -211,32 +220,27 @@ def _contaminations(docs: DataFrame, items: DataFrame, similarity: float, work:
     for width in widths:
         cut = windows(texts, described, width, work, similarity)
         cut = work.staged(cut.withColumn("print", fingerprint(F.col("bag"))))
-        keys = cut.select("doc_id", "n", "start", "print", F.explode(blocks_of(F.col("print"))).alias("block"))
-        keys = keys.select("doc_id", "n", "start", "print", "block.number", "block.value")
+        keys = cut.select("row", "n", "start", "print", F.explode(blocks_of(F.col("print"))).alias("block"))
+        keys = keys.select("row", "n", "start", "print", "block.number", "block.value")
         near = keys.join(index, ["n", "number", "value"])
         near = near.where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-        near = near.select("doc_id", "n", "start", "item_id").distinct()
+        near = near.select("row", "n", "start", "item_id").distinct()
         bags = prints.where(F.col("width") == width).select("item_id", "n", F.col("bag").alias("item_bag"))
-        both = near.join(cut.select("doc_id", "n", "start", "anchored", "bag"), ["doc_id", "n", "start"]).join(
+        both = near.join(cut.select("row", "n", "start", "anchored", "bag"), ["row", "n", "start"]).join(
             bags, ["item_id", "n"]
         )
         both = both.withColumn("similarity", weighted_similarity(F.col("bag"), F.col("item_bag")))
         both = both.where(F.col("similarity") >= similarity)
-        both = both.select("doc_id", "item_id", "similarity", "anchored", "start")
+        both = both.select("row", "item_id", "similarity", "anchored", "start")
         found = both if found is None else found.unionAll(both)
-    if found is None:
-        return docs.sparkSession.createDataFrame([], OUTPUT)
-    best = found.groupBy("doc_id", "item_id").agg(
-        F.max("similarity").alias("similarity"),
-        F.max_by(F.col("start"), F.struct("similarity", "anchored", -F.col("start"))).cast("bigint").alias("first_word"),
-    )
-    return best.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+    return docs.sparkSession.createDataFrame([], HELD) if found is None else found
 
 
-OUTPUT = "doc_id bigint, item_id bigint, similarity double, first_word bigint"
+HELD = "row struct<doc_id: bigint, digest: binary>, item_id bigint, similarity double, anchored boolean, start int"
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item, in all their columns."""
-    held = contaminations(docs, items).select(F.col("doc_id").alias("held_id")).distinct()
-    return docs.join(held, docs["doc_id"].eqNullSafe(F.col("held_id")), "left_anti")
+    with workspace(docs.sparkSession, "decontaminate") as work:
+        held = staged(_held(docs, items, SIMILARITY, work).select("row").distinct(), "decontaminate-held")
+    return docs.join(held, row_key(docs) == held["row"], "left_anti")

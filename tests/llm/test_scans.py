@@ -168,3 +168,14 @@ def test_rows_repeated_whole(docs_of, spark):
     docs = docs_of([(3, "one two three four five six seven")] * 3)
     assert [tuple(row) for row in decontamination.contaminations(docs, items).collect()] == [(3, 1, 1.0, 0)]
     assert by_id(licenses.scan(docs))[3]["n_words"] == 7
+
+
+def test_rows_without_an_id_or_with_a_shared_one_stand_for_themselves(docs_of, spark):
+    item, near = "one two three four five six seven", "six seven " * 3
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    rows = [(None, item), (None, "clean"), (None, near), (None, None), (None, f"x {item}"), (7, item), (7, "also clean")]
+    kept = decontamination.without_contaminated(docs_of(rows), items).collect()
+    left = [(None, "clean"), (None, near), (None, None), (7, "also clean")]
+    assert sorted([(row["doc_id"], row["text"]) for row in kept], key=repr) == sorted(left, key=repr)
+    found = decontamination.contaminations(docs_of(rows), items).collect()
+    assert sorted([tuple(row) for row in found], key=repr) == [(7, 1, 1.0, 0), (None, 1, 1.0, 0)]
