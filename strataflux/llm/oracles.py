@@ -131,6 +131,40 @@ FROM d LEFT JOIN bases USING (doc_id) LEFT JOIN labels USING (doc_id)
 """
 
 
+# Where sources are sorted by the share of a weight of one that fills them, those up to some place are full.
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, text, source,
+         CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+r AS (
+  SELECT *, 3 * source_size AS most,
+         [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+  FROM s),
+o AS (SELECT *, row_number() OVER (ORDER BY most / weight, source NULLS LAST) AS place FROM r),
+t AS (
+  SELECT *, sum(source_size) OVER () - sum(most) OVER (ORDER BY place) + most AS left_over,
+         sum(weight) OVER () - sum(weight) OVER (ORDER BY place) + weight AS weights
+  FROM o),
+f AS (SELECT coalesce(min(place), (SELECT count(*) + 1 FROM t)) AS place FROM t WHERE left_over * weight < most * weights),
+targets AS (
+  SELECT source, source_size,
+         CASE WHEN t.place < f.place THEN most::DOUBLE
+              ELSE (SELECT x.left_over::DOUBLE FROM t x WHERE x.place = f.place) * weight::DOUBLE
+                   / (SELECT x.weights::DOUBLE FROM t x WHERE x.place = f.place) END AS target
+  FROM t, f),
+rates AS (
+  SELECT d.doc_id, d.size, m.source_size, m.target, coalesce(m.target / nullif(m.source_size, 0), 0.0)::DOUBLE AS rate,
+         ('0x' || substr(md5(concat_ws(':', 'mix', coalesce(d.doc_id::VARCHAR, ''), md5(coalesce(d.text, '')))), 1, 13))::BIGINT::DOUBLE
+           / 4503599627370496.0::DOUBLE AS draw
+  FROM d JOIN targets m ON d.source IS NOT DISTINCT FROM m.source)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM rates
+"""
+
+
 def values(pairs: list[tuple[str, str]]) -> str:
     return ", ".join(f"('{text}', '{label}')" for text, label in pairs)
 
@@ -138,4 +172,10 @@ def values(pairs: list[tuple[str, str]]) -> str:
 def sql() -> dict[str, str]:
     op7 = OP7.replace("VALUES PHRASES", f"VALUES {values(PHRASES)}")
     op7 = op7.replace("VALUES TEMPLATES", f"VALUES {values(TEMPLATES)}")
-    return {"op5_decontamination": OP5, "op7_license_scan": op7, "op9_jaccard_join": OP9, "op10_exact_dedup": OP10}
+    return {
+        "op5_decontamination": OP5,
+        "op7_license_scan": op7,
+        "op9_jaccard_join": OP9,
+        "op10_exact_dedup": OP10,
+        "op13_source_mix": OP13,
+    }

@@ -16,7 +16,10 @@ from strataflux.llm.exact_dedup import exact_groups
 from strataflux.llm.hidden_markov import scores
 from strataflux.llm.jaccard_join import similar_components
 from strataflux.llm.licenses import scan
+from strataflux.llm.periodic_runs import run_digests
 from strataflux.llm.personal_data import find_personal_data, trained_field
+from strataflux.llm.source_mix import taken_words
+from strataflux.llm.spelling_variants import spelling_variants
 from strataflux.llm.token_files import token_files
 
 
@@ -70,6 +73,34 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_digests(table(spark, folder, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(spark, folder, "documents"))
+
+
+def op13_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return taken_words(table(spark, folder, "documents"))
+
+
+QUERIES = [
+    op1_chat_tree,
+    op2_bpe,
+    op3_hmm_scores,
+    op4_language_id,
+    op5_decontamination,
+    op6_token_files,
+    op7_license_scan,
+    op8_personal_data,
+    op9_jaccard_join,
+    op10_exact_dedup,
+    op11_periodic_runs,
+    op12_spelling_variants,
+    op13_source_mix,
+]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_chat_tree, op2_bpe, op3_hmm_scores, op4_language_id, op5_decontamination, op6_token_files, op7_license_scan, op8_personal_data, op9_jaccard_join, op10_exact_dedup]
-    return {query.__name__: query for query in found}
+    return {query.__name__: query for query in QUERIES}

@@ -75,7 +75,7 @@ def test_edges_pass_all_stages(spark, docs_of):
 def test_registered():
     names = __spark_entry__.queries()
     numbers = sorted(int(name[2:].split("_")[0]) for name in names if name.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in names
+    assert numbers == list(range(1, 14)) and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= set(names)
 
 
