@@ -259,18 +259,25 @@ def answers(network: Network | None, texts: list[str]) -> tuple[list[str], list[
     return found, scores
 
 
-def identified(docs: DataFrame, network: Network | None, least: float) -> DataFrame:
-    """The rows of ``docs`` whose text has a language with a score of ``least`` or more, unchanged."""
-    place = docs.columns.index("text")
+def least_score(network: Network | None, margin: float) -> float:
+    """The score that lies so far, from 0 to 1, between equal chances for all languages and certainty."""
+    even = 1 / len(network.languages) if network else 0.0
+    return even + margin * (1 - even)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(start, SLICE_ROWS)
-                texts = [text or "" for text in part.column(place).to_pylist()]
-                texts = [text if any(map(str.isalpha, text)) else "" for text in texts]
-                found, scores = answers(network, texts)
-                keep = [lang != UNKNOWN and score >= least for lang, score in zip(found, scores, strict=True)]
-                yield part.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(work, docs.schema)
+
+def identified(docs: DataFrame, network: Network | None, margin: float) -> DataFrame:
+    """The rows of ``docs`` whose text has a language with a score of ``least_score`` or more, unchanged.
+
+    Texts that are null or have no letter go. Only texts travel to Python, and only answers back.
+    """
+    least = least_score(network, margin)
+
+    @F.arrow_udf("boolean")
+    def recognised(texts: pa.Array) -> pa.Array:
+        keep = []
+        for start in range(0, len(texts), SLICE_ROWS):
+            found, scores = answers(network, texts.slice(start, SLICE_ROWS).to_pylist())
+            keep += [lang != UNKNOWN and score >= least for lang, score in zip(found, scores, strict=True)]
+        return pa.array(keep, pa.bool_())
+
+    return docs.where(recognised(F.when(has_letter(F.col("text")), whole(F.col("text"))).otherwise("")))

@@ -22,7 +22,8 @@ STATE_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Native memory that an executor holds beside its heap, also for a while after the query.
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
     # Many small stores: no space is set aside in advance.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",

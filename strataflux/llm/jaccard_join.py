@@ -42,13 +42,15 @@ from strataflux.llm.bpe import text_batches
 from strataflux.llm.common import Workspace, settings, staged, whole, workspace
 from strataflux.llm.components import connected
 
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 500_000
 # Sets of long texts are large, so few rows travel to Python at a time.
 BATCH_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}
 # No set above this size is light, whatever the cost model says.
 LIGHT_LIMIT = 40
 # What an entry of an inverted list costs beside a subset: it may have to be compared.
 LIST_COST = 4
+# What tells rows apart: doc_id where it does.
+KEY = "__row_key"
 # A task reports elements it has met so often among so many; those of this total are frequent.
 REPORTED, COUNTED = 2, 4_000_000
 FREQUENT = 8
@@ -149,36 +151,55 @@ def sketch(elements: np.ndarray) -> bytes:
     return np.packbits((np.bincount(groups, minlength=SKETCH_BITS) & 1).astype(bool)).tobytes()
 
 
-DESCRIBED = "doc_id bigint, size bigint, digest binary, sketch binary, element bigint, met bigint"
-NAMES = ["doc_id", "size", "digest", "sketch", "element", "met"]
+DESCRIBED = "id bigint, size bigint, digest binary, sketch binary, element bigint, met bigint"
+NAMES = ["id", "size", "digest", "sketch", "element", "met"]
 
 
-def described_sets(docs: DataFrame, width: int) -> DataFrame:
-    """Per row doc_id, and size, digest and sketch of its set.
+class Counted:
+    """Elements a task has met; room for so many, and for what one more text brings."""
 
-    On rows without a size, elements a task met often and how often.
-    """
+    def __init__(self) -> None:
+        self.held, self.total = np.empty(COUNTED, np.uint64), 0
+
+    def reports(self, elements: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Take elements in; a report each time the room is used up."""
+        for start in range(0, len(elements), COUNTED):
+            part = elements[start : start + COUNTED]
+            if self.total + len(part) > COUNTED:
+                yield self.report()
+            self.held[self.total : self.total + len(part)] = part
+            self.total += len(part)
 
-    def reported(held: list[np.ndarray]) -> pa.RecordBatch:
-        met = np.concatenate(held)
+    def report(self) -> pa.RecordBatch:
+        """Elements met ``REPORTED`` times or more, and how often. Sorted in place, which takes no more room."""
+        met = self.held[: self.total]
         met.sort()
+        self.total = 0
         # An element met n times equals the one REPORTED - 1 places on n - REPORTED + 1 times.
         apart = REPORTED - 1
-        found, counts = np.unique(met[apart:][met[apart:] == met[: len(met) - apart]], return_counts=True)
-        empty = [pa.nulls(len(found), kind) for kind in (pa.int64(), pa.int64(), pa.binary(), pa.binary())]
-        columns = [*empty, pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64) + apart)]
+        again = met[apart:][met[apart:] == met[: max(0, len(met) - apart)]]
+        first = np.flatnonzero(np.r_[True, again[1:] != again[:-1]]) if len(again) else np.zeros(0, np.int64)
+        counts = np.diff(np.r_[first, len(again)]) + apart
+        empty = [pa.nulls(len(first), kind) for kind in (pa.int64(), pa.int64(), pa.binary(), pa.binary())]
+        columns = [*empty, pa.array(again[first].view(np.int64)), pa.array(counts.astype(np.int64))]
         return pa.RecordBatch.from_arrays(columns, names=NAMES)
 
+
+def described_sets(texts: DataFrame, width: int) -> DataFrame:
+    """Per row of ``texts`` (id, text) its id, and size, digest and sketch of its set.
+
+    On rows without a size, elements a task met often and how often.
+    """
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, total = [], 0
-        for keys, texts in text_batches(batches, BATCH_CHARS):
+        counted = Counted()
+        for keys, own_texts in text_batches(batches, BATCH_CHARS):
             sizes, digests, sketches = [], [], []
-            for own in shingle_sets(texts, width):
+            for own in shingle_sets(own_texts, width):
                 sizes.append(len(own))
                 digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
                 sketches.append(sketch(own))
-                held.append(own)
-                total += len(own)
+                yield from counted.reports(own)
             columns = [
                 pa.array(keys, pa.int64()),
                 pa.array(sizes, pa.int64()),
@@ -188,13 +209,10 @@ def described_sets(docs: DataFrame, width: int) -> DataFrame:
                 pa.nulls(len(keys), pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=NAMES)
-            if total >= COUNTED:
-                yield reported(held)
-                held, total = [], 0
-        if held:
-            yield reported(held)
+        if counted.total:
+            yield counted.report()
 
-    return docs.mapInArrow(work, DESCRIBED)
+    return texts.mapInArrow(work, DESCRIBED)
 
 
 def frequent_bitmap(rows: DataFrame) -> bytes:
@@ -313,8 +331,8 @@ def similar_pairs(
 
     near = beside(pairs, sketches).where(near_in_size(F.col("a_size"), F.col("b_size"), percent))
     left = work.staged(near.mapInArrow(likely, "a bigint, b bigint"))
-    wanted = work.staged(left.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    known = docs.join(few_or_shuffled(wanted), "doc_id", "left_semi").mapInArrow(sets, "id bigint, elements binary")
+    wanted = work.staged(left.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    known = docs.join(few_or_shuffled(wanted), "id", "left_semi").mapInArrow(sets, "id bigint, elements binary")
     return work.staged(beside(left, work.staged(known)).mapInArrow(compared, "a bigint, b bigint"))
 
 
@@ -322,34 +340,52 @@ def near_in_size(left: Column, right: Column, percent: int) -> Column:
     return 100 * F.least(left, right) >= percent * F.greatest(left, right)
 
 
+def keyed(docs: DataFrame, work: Workspace) -> tuple[DataFrame, bool]:
+    """``docs`` with ``KEY``, and whether that is doc_id.
+
+    Where ids repeat or are missing, rows are written with a number of their own.
+    """
+    doc_id = F.col("doc_id").cast("bigint")
+    if docs.groupBy(doc_id.alias("id")).count().where("count > 1 OR id IS NULL").isEmpty():
+        return docs.withColumn(KEY, doc_id), True
+    return work.staged(docs.withColumn(KEY, F.monotonically_increasing_id())), False
+
+
 def similar_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles and component_id for every row of ``docs`` (doc_id, text).
 
     Words are what white space separates, with A-Z lower-cased. A text of fewer words than
     ``width`` is one shingle; a text without words, or null, has none and is linked with
     nothing. Sets are linked from a similarity of ``percent`` on, which must be over 50.
-    component_id is the smallest doc_id reachable by links, the own one included. Rows repeated
-    whole count as equal sets; rows without an id share the component of an equal set that
-    has one, else theirs is null. An empty table gives no rows; other columns are ignored.
+    component_id is the smallest doc_id reachable by links, the own one included. Every row stands for
+    itself, whether others share its doc_id or it has none; component_id is null where no row
+    reachable has an id. An empty table gives no rows; other columns are ignored.
     """
-    if not 50 < percent <= 100:
-        raise ValueError("percent must be over 50, up to 100")
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole(F.col("text")).alias("text"))
     with workspace(docs.sparkSession, "jaccard") as work, settings(docs.sparkSession, BATCH_ROWS):
-        return staged(_components(texts, width, percent, work), "jaccard-result")
+        rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        rows, plain = keyed(rows, work)
+        found = _components(rows, width, percent, work)
+        if plain:
+            named = found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+        else:
+            found = work.staged(found.join(rows.select(F.col(KEY).alias("id"), "doc_id"), "id"))
+            least = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+            named = found.join(least, "component").select("doc_id", "n_shingles", "component_id")
+        return staged(named, "jaccard-result")
 
 
-def _components(texts: DataFrame, width: int, percent: int, work: Workspace) -> DataFrame:
+def _components(rows: DataFrame, width: int, percent: int, work: Workspace) -> DataFrame:
+    """id, n_shingles and component (the smallest id reachable) by the rows' ``KEY``."""
+    if not 50 < percent <= 100:
+        raise ValueError("percent must be over 50, up to 100")
+    texts = rows.select(F.col(KEY).alias("id"), whole(F.col("text")).alias("text"))
     described = work.staged(described_sets(texts, width))
-    rows = described.where("size IS NOT NULL").select("doc_id", "size", "digest", "sketch")
-    known = rows.where("size > 0 AND doc_id IS NOT NULL")
-    classes = work.staged(known.groupBy("digest").agg(F.min("doc_id").alias("id")))
-    reps = few_or_shuffled(classes.select(F.col("id").alias("doc_id")))
-    apart, sketches = texts.join(reps, "doc_id", "left_semi"), known.join(reps, "doc_id", "left_semi")
-    if not rows.groupBy("doc_id").count().where("count > 1").isEmpty():
-        apart, sketches = apart.dropDuplicates(["doc_id"]), sketches.dropDuplicates(["doc_id"])
-    sketches = work.staged(sketches.select(F.col("doc_id").alias("id"), "size", "sketch"))
+    rows = described.where("size IS NOT NULL").select("id", "size", "digest", "sketch")
+    known = rows.where("size > 0")
+    classes = work.staged(known.groupBy("digest").agg(F.min("id").alias("class")))
+    reps = few_or_shuffled(classes.select(F.col("class").alias("id")))
+    apart = texts.join(reps, "id", "left_semi")
+    sketches = work.staged(known.join(reps, "id", "left_semi").select("id", "size", "sketch"))
     sizes = rows.where(F.col("size").between(1, LIGHT_LIMIT)).groupBy("size").count()
     limit = boundary({row["size"]: row["count"] for row in sizes.collect()}, percent)
 
@@ -383,9 +419,10 @@ def _components(texts: DataFrame, width: int, percent: int, work: Workspace) ->
     grouped = connected(links.unionAll(more), work)
     bitmap.unpersist()
 
-    out = rows.join(classes, "digest", "left").join(grouped, "id", "left")
-    component = F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "id"))
-    return out.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"))
+    grouped = grouped.withColumnRenamed("id", "class")
+    out = rows.join(classes, "digest", "left").join(grouped, "class", "left")
+    component = F.when(F.col("size") == 0, F.col("id")).otherwise(F.coalesce("component", "class"))
+    return out.select("id", F.col("size").alias("n_shingles"), component.alias("component"))
 
 
 def crossing_pairs(named: DataFrame, percent: int) -> DataFrame:
@@ -434,13 +471,22 @@ def crossing_pairs(named: DataFrame, percent: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its group, and those without an id.
+    """Of each group of similar rows of ``docs`` the one with the smallest doc_id, in all its columns.
 
-    Of rows that share an id one stays.
+    Every row stands for itself: rows that share a doc_id, or have none, go together only if their texts
+    are similar. A row without an id stays where none of its group has one; of equal ids any
+    one row stays. Rows without words are similar to none and all stay.
     """
-    found = similar_components(docs, width, percent)
-    stays = found.where("doc_id = component_id").select(F.col("doc_id").alias("staying_id")).distinct()
-    kept = docs.join(stays, docs["doc_id"] == F.col("staying_id"), "left_semi")
-    if not found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionAll(docs.where(F.col("doc_id").isNull()))
+    with workspace(docs.sparkSession, "jaccard") as work, settings(docs.sparkSession, BATCH_ROWS):
+        rows, plain = keyed(docs, work)
+        found = _components(rows.select(KEY, "text"), width, percent, work)
+        if plain:
+            stays = found.where("id = component").select(F.col("id").alias(KEY))
+        else:
+            own = found.join(rows.select(F.col(KEY).alias("id"), F.col("doc_id").cast("bigint").alias("doc_id")), "id")
+            first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "id")).alias("first")
+            stays = own.groupBy("component").agg(first).select(F.col("first.id").alias(KEY))
+        stays = staged(stays, "jaccard-stays")
+        # Rows that were written for their numbers outlive the workspace.
+        rows = rows if plain else staged(rows, "jaccard-rows")
+    return rows.join(stays, KEY, "left_semi").drop(KEY)

@@ -21,28 +21,28 @@ WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)
 
 OP9 = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(
+  SELECT row_number() OVER () AS row, doc_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
-s AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+s AS MATERIALIZED (
+  SELECT row, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
     ELSE list_distinct(list_transform(range(1, len(w) - 1),
          lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS shingles
   FROM w),
-t AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+t AS (SELECT row, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
 links AS (
-  SELECT a.doc_id AS x, b.doc_id AS y
-  FROM t a JOIN t b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
-  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  SELECT a.row AS x, b.row AS y
+  FROM t a JOIN t b ON a.shingle = b.shingle AND a.row < b.row
+  GROUP BY a.row, b.row, a.n, b.n
   HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
 both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach AS (
-  SELECT doc_id AS x, doc_id AS y FROM s
+  SELECT row AS x, row AS y FROM s
   UNION
   SELECT r.x, l.y FROM reach r JOIN both_ways l ON r.y = l.x)
 SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, m.component_id
-FROM s JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) m ON m.x = s.doc_id
+FROM s JOIN (SELECT x, min(o.doc_id) AS component_id FROM reach JOIN s o ON o.row = reach.y GROUP BY x) m ON m.x = s.row
 """
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,6 +142,42 @@ def test_edges_of_similar_sets(docs_of):
     assert one_of_each(docs_of(EDGES)).count() == len(EDGES) - 2
 
 
+def shared_ids():
+    chance = random.Random(12)
+    texts = [" ".join(chance.choices([f"w{k}" for k in range(500)], k=60)) for _ in range(12)]
+    rows = [(1, texts[0]), (1, texts[1]), (2, f"{texts[1]} x"), (3, f"{texts[0]} x"), (1, texts[0])]
+    rows += [(None, texts[2]), (None, f"{texts[2]} y"), (None, texts[3]), (None, None), (None, None), (None, "")]
+    rows += [(7, texts[4]), (8, f"{texts[4]} z"), (7, f"{texts[5]} z"), (None, texts[5]), (9, texts[6]), (9, texts[7])]
+    return rows + [(5, " ".join([text, chance.choice("ab")])) for text in texts[8:] for _ in range(6)]
+
+
+@pytest.mark.parametrize("width, percent", [(3, 90), (5, 80)])
+def test_rows_that_share_ids_or_have_none(docs_of, width, percent):
+    rows = shared_ids()
+    sets = [shingles(text, width) for _, text in rows]
+    groups = [{k} for k in range(len(rows))]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= percent * len(a | b) and groups[i] is not groups[j]:
+                groups[i] |= groups[j]
+                for k in groups[i]:
+                    groups[k] = groups[i]
+    least = [min((rows[k][0] for k in group if rows[k][0] is not None), default=None) for group in groups]
+    wanted = Counter((key, len(own), component) for (key, _), own, component in zip(rows, sets, least, strict=True))
+    found = similar_components(docs_of(rows), width, percent).collect()
+    assert Counter((row["doc_id"], row["n_shingles"], row["component_id"]) for row in found) == wanted
+
+    kept = one_of_each(docs_of(rows), width, percent)
+    assert kept.columns == docs_of(rows).columns
+    stay = [(row["doc_id"], row["text"]) for row in kept.collect()]
+    for group in {id(group): group for group in groups}.values():
+        own = [rows[k] for k in group]
+        there = [row for row in stay if row in own]
+        ids = [key for key, _ in own if key is not None]
+        assert ids == [] or {key for key, _ in there} == {min(ids)}
+    assert len(stay) == len({id(group) for group in groups})
+
+
 def test_boundary_goes_by_cost():
     assert boundary({}, 90) == 0
     assert boundary({5: 1000}, 90) >= 5
