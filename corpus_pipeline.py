@@ -14,15 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from strataflux.llm import bpe, byte_cnn, decontamination, exact_dedup, jaccard_join
 from strataflux.llm.common import staged, table, workers_find_package
 
-# Below this probability a document has no language.
-LEAST_SCORE = 0.3
+# How far above equal chances for all learned languages the probability of a document's must lie.
+LEAST_MARGIN = 0.05
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the byte network recognises."""
     workers_find_package(spark)
-    return byte_cnn.identified(docs, byte_cnn.fit(docs), LEAST_SCORE)
+    return byte_cnn.identified(docs, byte_cnn.fit(docs), LEAST_MARGIN)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
