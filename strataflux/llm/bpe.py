@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflux.llm.common import whole
+from strataflux.llm.common import KEPT, whole
 
 # Fixed value: how the byte-level vocabularies cut a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -262,6 +262,9 @@ def loaded(path: str) -> tuple[PairIndexBpe, Memo]:
     return encoder, Memo(encoder.encode_words)
 
 
+KEPT.append(loaded)
+
+
 # Rows made into Python strings at a time.
 SLICE_ROWS = 500
 

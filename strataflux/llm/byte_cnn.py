@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflux.llm.bpe import SLICE_ROWS, text_batches
-from strataflux.llm.common import whole
+from strataflux.llm.common import give_back, whole
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -32,7 +32,7 @@ RATE = 0.01
 SAMPLED_ROWS = 500
 WINDOWS_PER_ROW = 3
 UNKNOWN = "und"
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 CHUNK = 1024
 
 
@@ -237,6 +237,7 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
     rows = rows.select("doc_id", known.alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for keys, texts in text_batches(batches, BATCH_CHARS):
             found, scores = answers(network, texts)
             yield pa.RecordBatch.from_arrays(
@@ -273,11 +274,13 @@ def identified(docs: DataFrame, network: Network | None, margin: float) -> DataF
     least = least_score(network, margin)
 
     @F.arrow_udf("boolean")
-    def recognised(texts: pa.Array) -> pa.Array:
-        keep = []
-        for start in range(0, len(texts), SLICE_ROWS):
-            found, scores = answers(network, texts.slice(start, SLICE_ROWS).to_pylist())
-            keep += [lang != UNKNOWN and score >= least for lang, score in zip(found, scores, strict=True)]
-        return pa.array(keep, pa.bool_())
+    def recognised(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        give_back()
+        for texts in batches:
+            keep = []
+            for start in range(0, len(texts), SLICE_ROWS):
+                found, scores = answers(network, texts.slice(start, SLICE_ROWS).to_pylist())
+                keep += [lang != UNKNOWN and score >= least for lang, score in zip(found, scores, strict=True)]
+            yield pa.array(keep, pa.bool_())
 
     return docs.where(recognised(F.when(has_letter(F.col("text")), whole(F.col("text"))).otherwise("")))

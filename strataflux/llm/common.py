@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,23 @@ def workers_find_package(spark: SparkSession) -> None:
     spark.sparkContext.environment["PYTHONPATH"] = str(Path(__file__).resolve().parents[2])
 
 
+# What workers keep from task to task; each is a cached function.
+KEPT: list[Callable] = []
+
+
+def give_back() -> None:
+    """At the start of a task: let go of what this worker has kept for other operators, and of freed memory.
+
+    Workers are used again by the tasks that follow, so what one operator keeps would count against all.
+    """
+    for kept in KEPT:
+        kept.cache_clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     workers_find_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")

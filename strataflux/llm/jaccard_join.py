@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflux.llm.bpe import text_batches
-from strataflux.llm.common import Workspace, settings, staged, whole, workspace
+from strataflux.llm.common import Workspace, give_back, settings, staged, whole, workspace
 from strataflux.llm.components import connected
 
 BATCH_CHARS = 500_000
@@ -192,6 +192,7 @@ def described_sets(texts: DataFrame, width: int) -> DataFrame:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         counted = Counted()
         for keys, own_texts in text_batches(batches, BATCH_CHARS):
             sizes, digests, sketches = [], [], []
@@ -238,6 +239,7 @@ def list_entries(docs: DataFrame, width: int, percent: int, limit: int, bitmap:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         frequent = np.frombuffer(bitmap.value, np.uint8)
         for keys, texts in text_batches(batches, BATCH_CHARS):
             ids, found, places = [], [], []
