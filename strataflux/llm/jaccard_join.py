@@ -483,12 +483,15 @@ def one_of_each(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame
         rows, plain = keyed(docs, work)
         found = _components(rows.select(KEY, "text"), width, percent, work)
         if plain:
-            stays = found.where("id = component").select(F.col("id").alias(KEY))
+            goes = found.where("id != component").select(F.col("id").alias(KEY))
         else:
             own = found.join(rows.select(F.col(KEY).alias("id"), F.col("doc_id").cast("bigint").alias("doc_id")), "id")
+            own = work.staged(own)
             first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "id")).alias("first")
-            stays = own.groupBy("component").agg(first).select(F.col("first.id").alias(KEY))
-        stays = staged(stays, "jaccard-stays")
+            stays = own.groupBy("component").agg(first).select(F.col("first.id").alias("id"))
+            goes = own.join(stays, "id", "left_anti").select(F.col("id").alias(KEY))
+        # Fewer than the rows that stay, so whole texts are shuffled only where these are many, too.
+        goes = staged(goes, "jaccard-goes")
         # Rows that were written for their numbers outlive the workspace.
         rows = rows if plain else staged(rows, "jaccard-rows")
-    return rows.join(stays, KEY, "left_semi").drop(KEY)
+    return rows.join(few_or_shuffled(goes), KEY, "left_anti").drop(KEY)
