@@ -12,6 +12,7 @@ from strataflux import schemas
 from strataflux.operators.merge import upsert
 from strataflux.plans.batchlog import BatchLog
 from strataflux.plans.days import DAY, Days
+from strataflux.plans.file_swap import FileSwap
 from strataflux.sources.sinks import replace_partitions, stage
 from strataflux.sources.tables import Layers, partition_folders, read_dataset, read_partitions
 
@@ -47,6 +48,10 @@ class DayTable:
         """The rows of some days; only their folders are listed, however old the table is."""
         return read_partitions(self.spark, self.path, self.stored, DAY, days)
 
+    @property
+    def swap(self) -> FileSwap:
+        return FileSwap(self.spark, self.path, self.layers.staging(self.name))
+
     def is_new(self) -> bool:
         """Whether the table has no day yet."""
         return not partition_folders(self.spark, self.path, DAY)
@@ -54,12 +59,12 @@ class DayTable:
     def resume(self, marks: dict[str, str]) -> bool:
         """Finish a swap that broke off after staging, and its batch with it.
 
-        True when there was one; the marks are brought up to date.
+        True when there was one; the marks are brought up to date. Where another job has rewritten a
+        day meanwhile, what was staged for it no longer fits: the batch is merged once more.
         """
         staged = marks[self.staged_mark]
-        if staged <= marks[self.name]:
+        if staged <= marks[self.name] or self.swap.finish():
             return False
-        self._swap_in()
         self.log.record(self.name, staged)
         marks[self.name] = staged
         return True
@@ -69,26 +74,26 @@ class DayTable:
 
         Sound because the day is a function of the key. Days new to the table are written
         straight away: nothing in the table depends on them, so a broken run is simply
-        repeated. Days that exist are merged into a staging path first and only then moved
-        in: should the move break off, the complete days are still at hand.
+        repeated. Days that exist are merged into a staging path first, and only then are its files
+        moved in: should the move break off, the complete days are still at hand. A merged row
+        is written once.
         """
         incoming = incoming.select(*self.stored.names)
-        touched = self.on(days)
-        if touched.isEmpty():
+        folders = partition_folders(self.spark, self.path, DAY, days) if days else []
+        if not folders:
             replace_partitions(incoming, self.path, [DAY], self.keys)
             return
         # An upsert uses the incoming rows twice, for their keys and as rows; they are made once.
         ready = self.layers.staging(f"{self.name}_incoming")
         stage(incoming, ready, [DAY], self.keys)
         incoming = read_dataset(self.spark, ready, self.stored)
+        # Only folders of these days are listed, however old the table is.
+        touched = self.swap.begin([folder.rpartition("/")[2] for folder in folders], self.stored)
         merged = upsert(incoming, touched, self.keys, source_is_keyed=True)
-        stage(merged, self.layers.staging(self.name), [DAY], self.keys)
+        stage(merged, self.swap.staged, [DAY], self.keys)
         self.log.record(self.staged_mark, batch)
-        self._swap_in()
-
-    def _swap_in(self) -> None:
-        staged = read_dataset(self.spark, self.layers.staging(self.name), self.stored)
-        replace_partitions(staged, self.path, [DAY], self.keys, spread="as is")
+        if self.swap.finish():
+            raise RuntimeError(f"{self.name} was rewritten by another job meanwhile; run this one again")
 
 
 def silver_table(spark: SparkSession, layers: Layers) -> DayTable:

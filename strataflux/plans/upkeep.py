@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +12,11 @@ from pyspark.sql.types import StructType
 
 from strataflux import schemas
 from strataflux.functions.times import batch_name
-from strataflux.operators.layout import order_by_keys
+from strataflux.operators.layout import interleaved, order_by_keys
 from strataflux.plans.batchlog import BatchLog
+from strataflux.plans.file_swap import FileSwap
 from strataflux.sources.files import stored_bytes, stored_files
-from strataflux.sources.sinks import replace_partitions, stage, write_new
+from strataflux.sources.sinks import stage, write_new
 from strataflux.sources.tables import MISSING, Layers, quoted_name, quoted_text, read_dataset
 
 FILE_BYTES = 256 * 1024 * 1024
@@ -39,26 +40,49 @@ def recluster(
     write_new(order_by_keys(rows, order, files), new_path, partition_by)
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted_name(name)}")
+    return described.where(F.col("col_name") == "Location").first()["data_type"]
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
+
+
 def recluster_table(
-    spark: SparkSession, name: str, keys: Sequence[str], new_location: str, file_bytes: int = FILE_BYTES
+    spark: SparkSession,
+    name: str,
+    keys: Sequence[str],
+    new_location: str,
+    file_bytes: int = FILE_BYTES,
+    together: bool = False,
 ) -> None:
-    """Re-lay out an unpartitioned catalog table, then point its name at the new files."""
-    if any(column.isPartition for column in spark.catalog.listColumns(name)):
-        raise ValueError(f"{name} is partitioned; compact it in place, or recluster its path")
-    rows = spark.read.table(name)
-    location = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted_name(name)}").where(F.col("col_name") == "Location").first()
-    files = max(1, ceil(stored_bytes(spark, location["data_type"]) / file_bytes))
-    write_new(order_by_keys(rows, keys, files), new_location)
+    """Re-lay out a catalog table by keys; its name stays.
+
+    An unpartitioned table is written to ``new_location`` and its name pointed there. The folders of a
+    partitioned one stay where the catalog has them, and each gets new files; ``new_location`` then
+    holds the run's notes and staged files. ``together`` clusters on all keys alike (see ``interleaved``)
+    in place of one after the other.
+    """
+    rows, location = spark.read.table(name), table_location(spark, name)
+    if partitions := partition_columns(spark, name):
+        run = batch_name(datetime.now(timezone.utc))
+        compact(spark, location, rows.schema, partitions, keys, new_location, run, file_bytes, True, together)
+        spark.catalog.refreshTable(name)
+        return
+    files = max(1, ceil(stored_bytes(spark, location) / file_bytes))
+    ordered = interleaved(rows, keys, files) if together else order_by_keys(rows, keys, files)
+    write_new(ordered, new_location)
     spark.sql(f"ALTER TABLE {quoted_name(name)} SET LOCATION {quoted_text(new_location)}")
     spark.catalog.refreshTable(name)
 
 
 def fragmented(
-    spark: SparkSession, path: str, partitions: Sequence[str], file_bytes: int = FILE_BYTES
+    spark: SparkSession, path: str, partitions: Sequence[str], file_bytes: int = FILE_BYTES, everything: bool = False
 ) -> DataFrame:
-    """Partitions whose files are many and, on average, below a quarter of the wanted size.
+    """Partitions whose files are many and, on average, below a quarter of the wanted size, or all.
 
-    One row each, with the partition's values as text, NULL for missing ones. Judged from the file
+    One row each, with the partition's values as text, NULL for missing ones, and its folder. Judged from the file
     listing alone; no data is read. Files that lie in other folders than these partition columns
     make, in this order, are an error: rewriting them would mix two layouts.
     """
@@ -69,28 +93,10 @@ def fragmented(
         raise ValueError(f"{path} is not laid out by {list(partitions)}")
     texts = [F.url_decode(F.regexp_extract("path", layout + "/[^/=]+$", k + 1)) for k in range(len(partitions))]
     values = [F.nullif(text, F.lit(MISSING)).alias(name) for text, name in zip(texts, partitions, strict=True)]
-    sizes = files.groupBy(*values).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    folder = F.regexp_extract("path", f"/({layout[1:]})/[^/=]+$", 1).alias("folder")
+    sizes = files.groupBy(*values, folder).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
     enough = F.greatest(F.lit(1), F.ceil(F.col("bytes") / (file_bytes / 4)))
-    return sizes.where(F.col("files") > enough)
-
-
-def in_partitions(rows: DataFrame, wanted: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """The rows of some partitions, named by their values as text; NULL stands for itself.
-
-    The values of each column, few or many, are literals that prune the scan; the join settles
-    which combinations are meant.
-    """
-    found = wanted.select(*partitions).collect()
-    for name in partitions:
-        values = {row[name] for row in found}
-        known = sorted(value for value in values if value is not None)
-        chosen = F.col(name).cast("string").isin(known) if known else F.lit(False)
-        rows = rows.where(chosen | F.col(name).isNull() if None in values else chosen)
-    if len(partitions) == 1:
-        return rows
-    named = wanted.select(*[F.col(name).alias(f"__{name}") for name in partitions])
-    same = [F.col(name).cast("string").eqNullSafe(F.col(f"__{name}")) for name in partitions]
-    return rows.join(named, same, "left_semi")
+    return sizes if everything else sizes.where(F.col("files") > enough)
 
 
 def compact(
@@ -102,44 +108,60 @@ def compact(
     state_path: str,
     batch: str,
     file_bytes: int = FILE_BYTES,
+    everything: bool = False,
+    together: bool = False,
 ) -> list:
-    """Rewrite fragmented partitions in place and return their values.
+    """Rewrite fragmented partitions in place, or all with ``everything``, and return their values.
 
     ``partitions`` are all partition columns of the table, in order. The new files are complete in a
-    staging path before the old ones go. ``batch`` names the run and must sort after the names of
+    staging path before the old ones go, and take the place of exactly the files they were made from:
+    rows others append meanwhile, or after a run that broke off, stay, and a partition that others have
+    replaced is left for the next run. ``batch`` names the run and must sort after the names of
     all earlier runs, as ``batch_name`` of the time does; a run that broke off in between is
-    finished, from its own staging path, by the next one.
+    finished by the next one. ``together`` clusters rows on all of ``sort_by`` alike.
     """
     names = [partitions] if isinstance(partitions, str) else list(partitions)
     log = BatchLog(spark, f"{state_path}/compact_log")
 
-    def swap_in(run: str) -> None:
-        rows = read_dataset(spark, f"{state_path}/compact_staging/{run}", schema)
-        replace_partitions(rows, path, names, sort_by, spread="as is")
-        log.record("done", run)
+    def swap_of(run: str) -> FileSwap:
+        return FileSwap(spark, path, f"{state_path}/compact_staging/{run}")
 
     last = log.mark("staged")
     if batch <= last:
         raise ValueError(f"run {batch!r} does not come after the last run, {last!r}")
     for run in log.unfinished("staged", "done"):
-        swap_in(run)
-    found = fragmented(spark, path, names, file_bytes).select(*names)
-    values = sorted((tuple(row) for row in found.collect()), key=lambda row: [(v is not None, v or "") for v in row])
-    if not values:
+        swap_of(run).finish()
+        log.record("done", run)
+    found = fragmented(spark, path, names, file_bytes, everything).select(*names, "folder").collect()
+    found = sorted(found, key=lambda row: [(row[name] is not None, row[name] or "") for name in names])
+    if not found:
         return []
-    text_columns = ", ".join(f"`{name}` string" for name in names)
-    wanted = spark.createDataFrame(values, text_columns)
-    rows = in_partitions(read_dataset(spark, path, schema), wanted, names)
-    stage(rows, f"{state_path}/compact_staging/{batch}", names, sort_by)
+    swap = swap_of(batch)
+    rows = swap.begin([row["folder"] for row in found], schema)
+    if together:
+        files = max(1, ceil(stored_bytes(spark, path) / file_bytes))
+        ordered = interleaved(rows, sort_by, files, names)
+        ordered.write.mode("overwrite").partitionBy(*names).parquet(swap.staged)
+    else:
+        stage(rows, swap.staged, names, sort_by)
     log.record("staged", batch)
-    swap_in(batch)
-    return [row[0] for row in values] if isinstance(partitions, str) else values
+    changed = set(swap.finish())
+    log.record("done", batch)
+    done = [row for row in found if row["folder"] not in changed]
+    return [row[names[0]] for row in done] if isinstance(partitions, str) else [tuple(row)[:-1] for row in done]
 
 
-def compact_layers(spark: SparkSession, layers: Layers, moment: datetime, file_bytes: int = FILE_BYTES) -> dict:
+def compact_layers(
+    spark: SparkSession,
+    layers: Layers,
+    moment: datetime,
+    file_bytes: int = FILE_BYTES,
+    everything: bool = False,
+    together: bool = False,
+) -> dict:
     """Compact bronze, silver, the error log and gold; the rewritten partitions of each.
 
-    Like the other jobs it must be the only writer of the layers while it runs.
+    With ``everything`` all partitions are rewritten; ``together`` clusters rows on all keys alike.
     """
     tables = {
         "bronze": (layers.bronze, schemas.BRONZE_AT_REST, schemas.BRONZE_PARTITIONS, schemas.READING_KEYS),
@@ -154,5 +176,6 @@ def compact_layers(spark: SparkSession, layers: Layers, moment: datetime, file_b
             continue
         columns = [field.name for field in partitions]
         state = layers.staging(f"upkeep_{name}")
-        done[name] = compact(spark, path, stored, columns, keys, state, batch_name(moment), file_bytes)
+        run = batch_name(moment)
+        done[name] = compact(spark, path, stored, columns, keys, state, run, file_bytes, everything, together)
     return done

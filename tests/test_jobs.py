@@ -20,6 +20,7 @@ from strataflux.plans.bronze import load_arrivals, read_bronze
 from strataflux.plans.gold import gold, read_gold
 from strataflux.plans.silver import read_error_log, read_silver, silver
 from strataflux.plans.swap import gold_table
+from strataflux.plans.file_swap import FileSwap
 from strataflux.plans.upkeep import compact_layers
 from strataflux.session import scratch
 from strataflux.sources import sinks
@@ -312,10 +313,13 @@ def test_hot_key_and_hot_day_keep_every_row(spark, folder):
 
 
 def crash_after(monkeypatch, module, name, nth=1):
-    """Let the nth call do its work and then fail, once."""
+    """Let the nth call do its work and then fail, once; the 0th fails without having done any."""
     real, calls = getattr(module, name), []
 
     def failing(*args, **kwargs):
+        if nth == 0 and not calls:
+            calls.append(1)
+            raise Crash
         result = real(*args, **kwargs)
         calls.append(1)
         if len(calls) == nth:
@@ -345,9 +349,10 @@ CRASHES = {
     "rejects written": lambda m: crash_after(m, silver_plan, "replace_partitions"),
     "silver incoming staged": lambda m: crash_after(m, swap, "stage"),
     "silver staged": lambda m: crash_after(m, swap, "stage", 2),
-    "silver half written": lambda m: crash_halfway(m, swap, "replace_partitions", "turbine_id = 1"),
-    "silver written": lambda m: crash_after(m, swap, "replace_partitions"),
-    "gold written": lambda m: crash_after(m, swap, "replace_partitions", 2),
+    "silver not moved in": lambda m: crash_after(m, FileSwap, "finish", 0),
+    "silver half moved in": lambda m: crash_after(m, FileSwap, "_move"),
+    "silver written": lambda m: crash_after(m, FileSwap, "finish"),
+    "gold written": lambda m: crash_after(m, FileSwap, "finish", 2),
     "gold appended": lambda m: crash_after(m, gold_plan, "append_rows"),
     "staging logged": lambda m: crash_after(m, BatchLog, "record", 2),
     "silver logged": lambda m: crash_after(m, BatchLog, "record", 3),
@@ -389,6 +394,29 @@ def test_retry_gives_the_result_without_the_crash(spark, folder, monkeypatch, tw
     assert tables(spark, rough) == tables(spark, calm)
 
 
+@pytest.mark.parametrize("crash", ["silver not moved in", "silver half moved in"])
+def test_upkeep_between_a_crash_and_its_retry(spark, folder, monkeypatch, two_runs, crash):
+    """Days that a broken-off merge has staged are rewritten by another job before the merge goes on."""
+
+    def last(layers):
+        deliver(spark, layers, 2, DELIVERIES[2])
+        silver(spark, layers)
+        gold(spark, layers, "touched")
+
+    calm, rough = Layers(f"{folder}/calm"), Layers(f"{folder}/rough")
+    for layers in (calm, rough):
+        copytree(two_runs("touched").root, layers.root)
+    last(calm)
+    with monkeypatch.context() as patch:
+        CRASHES[crash](patch)
+        with pytest.raises(Crash):
+            last(rough)
+    if crash == "silver not moved in":
+        assert compact_layers(spark, rough, at(60), everything=True)["silver"]
+    last(rough)
+    assert tables(spark, rough) == tables(spark, calm)
+
+
 def test_any_number_of_days_is_exact(spark):
     df = spark.sql("SELECT explode(sequence(DATE '1900-01-01', DATE '1999-12-31')) AS date UNION ALL SELECT NULL")
     wanted = [date(1900, 1, 2), date(1905, 1, 5)]

@@ -10,6 +10,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strataflux.operators.layout import order_by_keys
 from strataflux.plans import upkeep
+from strataflux.plans.file_swap import FileSwap
 from strataflux.session import scratch
 from strataflux.sources import sinks
 
@@ -61,37 +62,87 @@ def test_compaction_touches_fragmented_partitions_only(spark, folder):
     assert upkeep.compact(spark, path, STORED, "p", ["v"], state, "run-2") == []
 
 
-def test_compaction_survives_a_crash_while_moving_in(spark, folder, monkeypatch):
-    path, state = f"{folder}/t", f"{folder}/state"
-    fragment(spark, path)
-    before = contents(spark, path)
-    real = upkeep.replace_partitions
+def break_off(monkeypatch, run, moves=0):
+    """Let the run break off after it has moved so many files in."""
+    real, left = FileSwap._move, [moves]
 
-    def half(df, *args, **kwargs):
-        real(df.where("v < 10"), *args, **kwargs)
-        raise RuntimeError("lost")
+    def lost(self, *args):
+        left[0] -= 1
+        if left[0] < 0:
+            raise RuntimeError("lost")
+        real(self, *args)
 
     with monkeypatch.context() as patch:
-        patch.setattr(upkeep, "replace_partitions", half)
+        patch.setattr(FileSwap, "_move", lost)
         with pytest.raises(RuntimeError):
-            upkeep.compact(spark, path, STORED, "p", ["v"], state, "run-1")
-    assert contents(spark, path) != before
+            run()
+
+
+@pytest.mark.parametrize("moves", [0, 1])
+def test_compaction_survives_a_crash_while_moving_in(spark, folder, monkeypatch, moves):
+    path, state = f"{folder}/t", f"{folder}/state"
+    fragment(spark, path)
+    for part in range(4):
+        sinks.append_rows(spark.range(50).selectExpr("id AS v", "'more' AS p"), path, ["p"])
+    before = contents(spark, path)
+    break_off(monkeypatch, lambda: upkeep.compact(spark, path, STORED, "p", ["v"], state, "run-1"), moves)
     upkeep.compact(spark, path, STORED, "p", ["v"], state, "run-2")
     assert contents(spark, path) == before
+    assert all(len(list(p.glob("*.parquet"))) == 1 for p in Path(path).glob("p=*"))
 
 
-def break_off(monkeypatch, run):
-    """Let the run lose its rows while they are moved in."""
-    real = upkeep.replace_partitions
+def test_rows_appended_after_a_broken_compaction_stay(spark, folder, monkeypatch):
+    path, state = f"{folder}/t", f"{folder}/state"
+    fragment(spark, path)
+    break_off(monkeypatch, lambda: upkeep.compact(spark, path, STORED, "p", ["v"], state, "run-1"))
+    for part in range(4):
+        sinks.append_rows(spark.range(900, 940).selectExpr("id AS v", "'a b/c' AS p"), path, ["p"])
+    wanted = contents(spark, path)
+    assert upkeep.compact(spark, path, STORED, "p", ["v"], state, "run-2") == ["a b/c"]
+    assert contents(spark, path) == wanted
+
+
+def test_rows_replaced_after_a_broken_compaction_stay(spark, folder, monkeypatch):
+    path, state = f"{folder}/t", f"{folder}/state"
+    fragment(spark, path)
+    break_off(monkeypatch, lambda: upkeep.compact(spark, path, STORED, "p", ["v"], state, "run-1"))
+    sinks.replace_partitions(spark.range(7, 9).selectExpr("id AS v", "'a b/c' AS p"), path, ["p"])
+    wanted = contents(spark, path)
+    assert upkeep.compact(spark, path, STORED, "p", ["v"], state, "run-2") == []
+    assert contents(spark, path) == wanted
 
-    def half(df, *args, **kwargs):
-        real(df.where("v < 10"), *args, **kwargs)
-        raise RuntimeError("lost")
 
+def test_rows_that_arrive_while_staging_stay(spark, folder, monkeypatch):
+    path, state = f"{folder}/t", f"{folder}/state"
+    fragment(spark, path)
+    real = upkeep.stage
+
+    def slow(rows, *args):
+        sinks.append_rows(spark.range(900, 940).selectExpr("id AS v", "'a b/c' AS p"), path, ["p"])
+        real(rows, *args)
+
+    wanted = contents(spark, path)
+    wanted.update((v, "a b/c") for v in range(900, 940))
     with monkeypatch.context() as patch:
-        patch.setattr(upkeep, "replace_partitions", half)
-        with pytest.raises(RuntimeError):
-            run()
+        patch.setattr(upkeep, "stage", slow)
+        upkeep.compact(spark, path, STORED, "p", ["v"], state, "run-1")
+    assert contents(spark, path) == wanted
+
+
+def test_everything_is_clustered_on_both_columns(spark, folder):
+    rows = spark.range(40_000).selectExpr("xxhash64(id) % 1000 AS a", "CAST(xxhash64(id, 1) % 1000 AS STRING) AS b", "id % 2 AS p")
+    rows.repartition(3).write.partitionBy("p").parquet(f"{folder}/t")
+    stored = StructType([StructField("a", LongType()), StructField("b", StringType()), StructField("p", LongType())])
+    done = upkeep.compact(
+        spark, f"{folder}/t", stored, ["p"], ["a", "b"], f"{folder}/state", "run-1", 16 * 1024, True, True
+    )
+    assert done == [("0",), ("1",)]
+    found = spark.read.schema(stored).parquet(f"{folder}/t")
+    assert found.exceptAll(rows.select("a", "b", "p")).count() == 0 and found.count() == 40_000
+    ranges = found.groupBy(F.input_file_name()).agg(F.min("a"), F.max("a"), F.min("b"), F.max("b")).collect()
+    assert len(ranges) >= 8
+    assert sum(low <= 500 <= high for _, low, high, *_ in ranges) <= 0.75 * len(ranges)
+    assert sum(low <= "500" <= high for *_, low, high in ranges) <= 0.75 * len(ranges)
 
 
 def test_runs_must_come_in_order(spark, folder, monkeypatch):
@@ -138,6 +189,7 @@ def test_catalog_table_is_pointed_at_its_new_files(spark, folder):
     table = spark.read.table("upkeep.orders")
     assert all("/new/" in name for name in table.inputFiles())
     assert table.exceptAll(rows).count() == 0 and table.count() == rows.count()
-    spark.range(1).selectExpr("id AS v", "'x' AS p").write.partitionBy("p").saveAsTable("upkeep.cut")
-    with pytest.raises(ValueError, match="partitioned"):
-        upkeep.recluster_table(spark, "upkeep.cut", ["v"], scratch(spark, "cut"))
+    rows.write.partitionBy("o_orderpriority").option("path", f"{folder}/cut").saveAsTable("upkeep.cut")
+    upkeep.recluster_table(spark, "upkeep.cut", ["o_custkey"], scratch(spark, "cut"))
+    found = spark.read.table("upkeep.cut").select(rows.columns)
+    assert found.exceptAll(rows).count() == 0 and found.count() == rows.count()

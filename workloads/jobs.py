@@ -14,7 +14,9 @@ from pyspark.sql.types import DateType, StructField, StructType
 from strataflux import schemas
 from strataflux.functions.times import add_day, batch_name
 from strataflux.operators.summary import daily_summary
+from strataflux.plans.batchlog import BatchLog
 from strataflux.plans.bronze import ARRIVAL_DAY, BATCH, bronze, read_bronze
+from strataflux.plans.file_swap import FileSwap
 from strataflux.plans.gold import gold, read_gold
 from strataflux.plans.silver import read_error_log, read_silver, silver
 from strataflux.plans.stored_merge import merge_into_path, merge_into_table
@@ -233,6 +235,23 @@ def compacted(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(stored).parquet(path)
 
 
+def compacted_after_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Compaction that broke off once its files were staged, rows appended to the same days, and the next run."""
+    path, state = scratch(spark, "events"), scratch(spark, "state")
+    events = add_day(table(spark, sf, "events"), "ts")
+    for part in range(3):
+        sinks.append_rows(events.where(F.col("event_id") % 4 == part), path, ["date"])
+    stored = StructType([*events.drop("date").schema.fields, StructField("date", DateType())])
+    first, second = batch_name(load_moment(1)), batch_name(load_moment(2))
+    broken = FileSwap(spark, path, f"{state}/compact_staging/{first}")
+    folders = [folder.rpartition("/")[2] for folder in tables.partition_folders(spark, path, "date")]
+    sinks.stage(broken.begin(folders, stored), broken.staged, ["date"], ["user_id", "ts"])
+    BatchLog(spark, f"{state}/compact_log").record("staged", first)
+    sinks.append_rows(events.where(F.col("event_id") % 4 == 3), path, ["date"])
+    compact(spark, path, stored, "date", ["user_id", "ts"], state, second)
+    return spark.read.schema(stored).parquet(path)
+
+
 def archived_files(spark: SparkSession, sf: str) -> DataFrame:
     """Where the rows' files are after two runs and a third delivery that no run has seen."""
     layers, deliver = Layers(scratch(spark, "archived")), in_parts(spark, sf)
@@ -321,11 +340,12 @@ def stream_old_file(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _orders_in_two(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Stored orders, and arriving ones of which some correct stored ones."""
+    """Stored orders, and arriving ones of which some correct stored ones; every order is in either."""
     orders = table(spark, sf, "orders")
     stored = orders.where("o_orderkey % 3 != 0")
     changed = F.when(F.col("o_orderkey") % 2 == 0, F.lit("X")).otherwise(F.col("o_orderstatus"))
-    return stored, orders.where("o_orderkey % 2 = 0").withColumn("o_orderstatus", changed)
+    arriving = orders.where("o_orderkey % 2 = 0 OR o_orderkey % 3 = 0")
+    return stored, arriving.withColumn("o_orderstatus", changed)
 
 
 def merge_into_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -337,6 +357,42 @@ def merge_into_orders(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.table(name)
 
 
+def merge_into_orders_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """A merge into a partitioned catalog table by name; some rows change their partition."""
+    stored, arriving = _orders_in_two(spark, sf)
+    name = f"orders_{uuid4().hex}"
+    stored.write.option("path", scratch(spark, "orders")).partitionBy("o_orderstatus").saveAsTable(name)
+    merge_into_table(spark, name, arriving, ["o_orderkey"], scratch(spark, "orders"))
+    return spark.read.table(name)
+
+
+def _registered(spark: SparkSession, layers: Layers) -> str:
+    """Catalog names over layers that jobs have written; their common prefix."""
+    prefix = f"t{uuid4().hex}_"
+    if failed := tables.create_layers(spark, layers, prefix):
+        raise RuntimeError(failed)
+    tables.register_new_partitions(spark, [f"{prefix}silver.silver_turbines"])
+    return prefix
+
+
+def merge_into_silver_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Corrected power readings merged into the silver table by its name."""
+    layers = run_batches(spark, lambda _: arrivals(spark, sf), 1, "insert_only", "unseen")
+    name = f"{_registered(spark, layers)}silver.silver_turbines"
+    corrected = spark.read.table(name).where("turbine_id % 4 = 1")
+    corrected = corrected.withColumn("power_output", F.col("power_output") * 2)
+    merge_into_table(spark, name, corrected, schemas.READING_KEYS, scratch(spark, "merge"))
+    return plain_time(spark.read.table(name).select(*schemas.SILVER.names), "load_datetime", "timestamp")
+
+
+def reclustered_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """The silver table rewritten by its name, clustered on both merge columns alike."""
+    layers = run_batches(spark, in_parts(spark, sf), 3, "insert_only", "unseen")
+    name = f"{_registered(spark, layers)}silver.silver_turbines"
+    recluster_table(spark, name, schemas.READING_KEYS, scratch(spark, "recluster"), 64 * 1024, together=True)
+    return plain_time(spark.read.table(name).select(*schemas.SILVER.names), "load_datetime", "timestamp")
+
+
 def merge_into_orders_by_status(spark: SparkSession, sf: str) -> DataFrame:
     """A merge into a partitioned dataset by path."""
     stored, arriving = _orders_in_two(spark, sf)

@@ -61,7 +61,7 @@ def ingested(timestamp_load: str = LOAD[0]) -> str:
 INTO_ORDERS = """SELECT o_orderkey, o_custkey,
     CASE WHEN o_orderkey % 2 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
     o_totalprice, o_orderdate, o_orderpriority
-    FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0"""
+    FROM orders"""
 
 
 # Layers
@@ -250,5 +250,11 @@ def sql() -> dict[str, str]:
             FROM events""",
         "merge_into_orders": INTO_ORDERS,
         "merge_into_orders_by_status": INTO_ORDERS,
+        "merge_into_orders_by_name": INTO_ORDERS,
+        "merge_into_silver_by_name": f"""{ONE_BATCH} SELECT * REPLACE (
+            CASE WHEN turbine_id % 4 = 1 THEN power_output * 2 ELSE power_output END AS power_output)
+            FROM ({SILVER_COLUMNS})""",
+        "reclustered_silver": f"{INCREMENTS} {SILVER_COLUMNS}",
+        "compacted_after_append": "SELECT *, CAST(ts AS DATE) AS date FROM events",
         "catalog_tables": f"{ONE_BATCH} {summary('daily', GOLD_KEYS)}",
     }
