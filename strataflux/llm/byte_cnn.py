@@ -189,8 +189,8 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame) -> Network | None:
     """Train on a sample of the labelled texts with letters that are not held out.
 
-    About ``SAMPLED_ROWS`` rows of each language are chosen by a hash of their id, and of each text
-    ``WINDOWS_PER_ROW`` windows spread over its length. None where nothing is labelled.
+    About ``SAMPLED_ROWS`` rows of each language are chosen by a hash of id and text, equal texts count
+    once, and of each text ``WINDOWS_PER_ROW`` windows spread over its length. None where nothing is labelled.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & has_letter(F.col("text")))
     usable = usable.where(~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
@@ -198,7 +198,7 @@ def fit(docs: DataFrame) -> Network | None:
     if not counts:
         return None
     scale = 1 << 20
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(scale))
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(scale))
     shares = [F.when(F.col("lang") == lang, -(-SAMPLED_ROWS * scale // n)) for lang, n in counts.items()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +213,7 @@ def fit(docs: DataFrame) -> Network | None:
                 [pa.array(langs, pa.string()), pa.array(found, pa.binary())], names=["lang", "window"]
             )
 
-    sample = usable.where(draw < F.coalesce(*shares)).select("lang", "text")
+    sample = usable.where(draw < F.coalesce(*shares)).select("lang", "text").distinct()
     rows = sorted((row[0], bytes(row[1])) for row in sample.mapInArrow(cut, "lang string, window binary").collect())
     languages = tuple(sorted(counts))
     wanted = np.array([languages.index(lang) for lang, _ in rows])

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import itertools
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -242,3 +244,72 @@ def test_personal_data_rows(docs_of, field):
     assert personal_data.find_personal_data(docs_of([]), field).collect() == []
     nothing = personal_data.trained_field(docs_of([]))
     assert personal_data.find_personal_data(docs_of([(1, "a 12 b")]), nothing).first()["spans"] == ""
+
+
+def test_patterns_in_linear_time():
+    chance = random.Random(8)
+    parts = ["a@b.co", "@", ".", "..", "1", "12", "255.1", "256", "-", "_", " ", "x", "é", "+1", "a.b@c-d.e.f", "@x.y@z.w", "%", "0"]
+    for _ in range(4_000):
+        text = "".join(chance.choices(parts, k=chance.randint(1, 25)))
+        assert list(personal_data.emails(text)) == [m.span() for m in personal_data.PATTERNS["email"].finditer(text)]
+        for kind in ("ip", "card", "phone"):
+            spans = [[m.span() for m in which[kind].finditer(text)] for which in (personal_data.PATTERNS, personal_data.SOUGHT)]
+            assert spans[0] == spans[1]
+    for text in ("1" * 400_000, "a" * 400_000 + "@", "1." * 200_000, "+1 " * 100_000, "a@b." * 100_000, "a.b@" * 100_000):
+        start = time.perf_counter()
+        personal_data.base_spans(text)
+        assert time.perf_counter() - start < 2
+
+
+def test_labels_and_cover_of_many_spans():
+    text = "mail a@b.co or 10.0.0.1, card 4111 1111 1111 1111 and +1 (555) 010-0199 " * 50
+    graph, base = personal_data.graph_of(text), personal_data.base_spans(text)
+    wanted = []
+    for start, end in graph.spans:
+        kinds = [kind for first, last, kind in base if first < end and start < last]
+        wanted.append(personal_data.LABELS.index(kinds[0]) if kinds else 0)
+    assert personal_data.labels_of(graph, base).tolist() == wanted
+
+
+def test_samples_stay_bounded(docs_of, monkeypatch):
+    monkeypatch.setattr(personal_data, "SAMPLED_TEXTS", 40)
+    seen = []
+    monkeypatch.setattr(personal_data, "fit", seen.append)
+    texts = [f"call +1 555 010 {k:04} or mail m{k}@host.example" for k in range(2_000)]
+    personal_data.trained_field(docs_of([(None, text) for text in texts] + [(5, texts[0])] * 1_000))
+    nodes = len(seen[0])
+    assert 0 < nodes <= 200 * len(personal_data.graph_of(texts[0]).spans)
+
+
+def test_predictor_is_the_plain_convolution():
+    chance = np.random.default_rng(5)
+    windows, wanted = chance.integers(0, 256, (40, byte_cnn.WINDOW)).astype(np.uint8), np.arange(40) % 3
+    network = byte_cnn.train(windows, wanted, ("a", "b", "c"))
+
+    def read(packed, *shape):
+        return np.frombuffer(packed, np.float32).astype(np.float64).reshape(shape)
+
+    embedded, pooled = read(network.embedding, 256, byte_cnn.EMBEDDING)[windows], []
+    for width, packed in zip(byte_cnn.WIDTHS, network.filters, strict=True):
+        filters = read(packed, width * byte_cnn.EMBEDDING, byte_cnn.FILTERS)
+        places = range(byte_cnn.WINDOW - width + 1)
+        pooled.append(np.max([embedded[:, k : k + width].reshape(40, -1) @ filters for k in places], axis=0))
+    hidden = np.maximum(np.concatenate(pooled, axis=1) + read(network.bias, -1), 0)
+    chances = byte_cnn.softmax(hidden @ read(network.dense, -1, 3) + read(network.offset, -1))
+    assert np.allclose(np.exp(byte_cnn.Predictor(network).log_chances(windows)), chances, atol=1e-4)
+
+
+def test_language_limit(docs_of):
+    rows = [(k, "der die das und nicht " * 9, "de") for k in range(40)]
+    rows += [(100 + k, "the and of to with " * 9, "en") for k in range(40)]
+    docs = docs_of(rows)
+    network = byte_cnn.fit(docs)
+    assert byte_cnn.least_score(network, 0.05) == pytest.approx(0.525)
+    scored = {row["doc_id"]: row["score"] for row in byte_cnn.identify(docs, network).collect()}
+    assert byte_cnn.identified(docs, network, 0.05).count() == len(rows)
+    weights = [network.embedding, network.bias, network.dense, network.offset]
+    embedding, bias, dense, offset = (bytes(len(part)) for part in weights)
+    filters = tuple(bytes(len(part)) for part in network.filters)
+    # A network that knows nothing gives all languages equal chances, so every text goes.
+    blank = byte_cnn.Network(network.languages, embedding, filters, bias, dense, offset)
+    assert min(scored.values()) > 0.525 and byte_cnn.identified(docs, blank, 0.05).count() == 0
