@@ -4,7 +4,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from strataflux import schemas
 from strataflux.functions.numbers import conform, is_whole
@@ -143,3 +143,20 @@ def test_long_numbers_keep_their_digits(spark):
 def test_schema_without_demands_has_no_violations(spark):
     schema = StructType([StructField("v", LongType(), True)])
     assert not_null_violations(spark.range(1).withColumnRenamed("id", "v"), schema).collect() == []
+
+
+WHOLE_TEXTS = ["7", "07", " 7 ", "-7.0", "+7.", ".0", "7e0", "70e-1", "7.10e1", "0e-9", "0.000", "12345678901234567890e5"]
+OTHER_TEXTS = ["7.0000000000000000001", "1e-30", "7e-1", "7.01e1", "0.5", "", ".", "e5", "7d", "0x7", "NaN", "1e", "x", None]
+
+
+def test_whole_numbers_by_their_digits(spark):
+    rows = spark.createDataFrame([(text,) for text in [*WHOLE_TEXTS, *OTHER_TEXTS]], "t string")
+    found = rows.where(is_whole(F.col("t"))).collect()
+    assert [row["t"] for row in found] == WHOLE_TEXTS
+
+
+def test_only_plain_decimals_are_numbers(spark):
+    texts = ["10d", "10f", "0x1p3", "NaN", "Infinity", "-inf", "1e999x", " 2.5 ", "1e2", ".5", "5."]
+    rows = spark.createDataFrame([(text,) for text in texts], "t string")
+    numbers = rows.select(conform(F.col("t"), StringType(), DoubleType()).alias("n")).collect()
+    assert [row["n"] for row in numbers] == [None] * 7 + [2.5, 100.0, 0.5, 5.0]

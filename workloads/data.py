@@ -32,6 +32,8 @@ def _values(text: str, whole_division: str) -> str:
     return f"""
         CASE WHEN event_id % 17 = 0 THEN NULL
              WHEN event_id % 41 = 0 THEN 'bad'
+             WHEN event_id % 37 = 0 THEN '10d'
+             WHEN event_id % 43 = 0 THEN '0x1p3'
              ELSE concat(CAST(((event_id * 7) % 300) {whole_division} 10 AS {text}), '.',
                          CAST((event_id * 7) % 10 AS {text}))
         END AS wind_speed,
