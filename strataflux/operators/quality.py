@@ -89,6 +89,14 @@ def reason(
     )
 
 
+def accepted(
+    null_columns: Sequence[str], rules: Mapping[str, Column], demands: Mapping[str, Column]
+) -> Column:
+    """Whether a row has no gap and meets every condition; never unknown."""
+    conditions = [holds(condition) for condition in (*demands.values(), *rules.values())]
+    return reduce(and_, conditions, ~missing(null_columns))
+
+
 def split_with_reason(
     df: DataFrame,
     null_columns: Sequence[str],
@@ -103,11 +111,27 @@ def split_with_reason(
     rejected rows only.
     """
     demands, notes = demands or {}, notes or {}
-    conditions = [holds(condition) for condition in (*demands.values(), *rules.values())]
-    is_good = reduce(and_, conditions, ~missing(null_columns))
+    is_good = accepted(null_columns, rules, demands)
     return df.where(is_good), df.where(~is_good).withColumn(REASON, reason(null_columns, rules, demands, notes))
 
 
+def with_reason(
+    df: DataFrame,
+    null_columns: Sequence[str],
+    rules: Mapping[str, Column],
+    demands: Mapping[str, Column] | None = None,
+    notes: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Every row with the reason it is rejected for, NULL for accepted ones.
+
+    The same decision as ``split_with_reason`` in one frame, for a writer that takes both kinds
+    in a single pass.
+    """
+    demands, notes = demands or {}, notes or {}
+    is_good = accepted(null_columns, rules, demands)
+    return df.withColumn(REASON, F.when(~is_good, reason(null_columns, rules, demands, notes)))
+
+
 def reject_log(null_rows: DataFrame, invalid_rows: DataFrame) -> DataFrame:
     """Both kinds of rejects in one frame, columns matched by name, repeats kept."""
     return null_rows.unionByName(invalid_rows)

@@ -45,11 +45,12 @@ class DayLog:
     spark: SparkSession
     path: str
 
-    def record(self, batch: str, rows: DataFrame) -> None:
+    def record(self, batch: str, days: Days) -> None:
         """Note the days of a batch; doing it again replaces the note."""
-        noted = rows.select(DAY).where(F.col(DAY).isNotNull()).distinct()
-        noted = noted.withColumn(schemas.BATCH_PARTITION.name, F.lit(batch))
-        replace_partitions(noted, self.path, [schemas.BATCH_PARTITION.name], spread="as is")
+        known = [(day, batch) for day in days if day is not None]
+        if known:
+            noted = self.spark.createDataFrame(known, StructType([schemas.DAY_PARTITION, schemas.BATCH_PARTITION]))
+            replace_partitions(noted.coalesce(1), self.path, [schemas.BATCH_PARTITION.name], spread="as is")
 
     def days(self, after: str, upto: str) -> list[date]:
         """Days of the batches after one mark and up to another."""

@@ -13,10 +13,11 @@ from strataflux.functions.numbers import conform, is_whole
 from strataflux.functions.times import add_day
 from strataflux.operators.conform import cast_to_schema
 from strataflux.operators.merge import latest_per_key
-from strataflux.operators.quality import number_notes, reading_rules, split_with_reason
+from strataflux.operators.quality import number_notes, reading_rules, with_reason
 from strataflux.plans.bronze import BATCH, read_bronze
 from strataflux.plans.days import DAY, DayLog
 from strataflux.plans.swap import silver_table
+from strataflux.plans.verdicts import record_run, stage_verdicts
 from strataflux.session import session_zone
 from strataflux.sources.sinks import remove_partitions, replace_partitions
 from strataflux.sources.tables import Layers, read_dataset
@@ -61,6 +62,12 @@ def typed_rows(rows: DataFrame, zone: str = "UTC") -> DataFrame:
     return add_day(typed, "timestamp", DAY, zone)
 
 
+def with_day(rows: DataFrame, zone: str = "UTC") -> DataFrame:
+    """Bronze rows plus the day silver would file them under, NULL where there is none."""
+    moment = conform(F.col("timestamp"), schemas.BRONZE["timestamp"].dataType, schemas.SILVER["timestamp"].dataType)
+    return add_day(rows.withColumn("__moment", moment), "__moment", DAY, zone)
+
+
 def silver(
     spark: SparkSession,
     layers: Layers,
@@ -70,8 +77,8 @@ def silver(
 ) -> str | None:
     """Process every pending batch; the last one processed, or None when there was none.
 
-    The pending partitions are read for the rejects, for the days a merge touches, and twice for
-    the good rows, whose keys and values an upsert uses apart.
+    The pending partitions are read once: every row is judged, counted and staged by its verdict in
+    one pass without a shuffle. Rejects and good rows go on from there.
     """
     table = silver_table(spark, layers)
     with session_zone(spark, zone):
@@ -84,23 +91,18 @@ def silver(
             return mark if resumed else None
         if not marks[ZONE_MARK]:
             table.log.record(ZONE_MARK, zone)
-        rows = pending(spark, layers, mark, upto)
         judged, notes = (reading_rules(), number_notes()) if rules is None else (rules, {})
-        good, bad = split_with_reason(rows, null_columns, judged, typed_keys(), notes)
-        log_rows = bad.select(*schemas.ERROR_LOG.names, BATCH)
-        for batch in sorted(row[0] for row in rows.select(BATCH).distinct().collect()):
+        rows = with_reason(pending(spark, layers, mark, upto), null_columns, judged, typed_keys(), notes)
+        seen = stage_verdicts(spark, with_day(rows, zone), layers.staging("silver_verdicts"), null_columns)
+        for batch in seen.batches:
             # Rules may have changed since a run that broke off.
             remove_partitions(spark, layers.error_log, BATCH, batch)
+        log_rows = seen.rejected.select(*schemas.ERROR_LOG.names, BATCH)
         replace_partitions(log_rows, layers.error_log, [BATCH], spread="evenly")
-        newest = latest_per_key(typed_rows(good, zone), schemas.READING_KEYS, ["load_datetime"])
-        days = DayLog(spark, layers.touched_days)
-        if table.is_new():
-            # A first load is not read once more for its days; its partitions tell them.
-            table.merge(newest, [], upto)
-            days.record(upto, table.rows())
-        else:
-            days.record(upto, typed_rows(rows, zone))
-            table.merge(newest, days.days(mark, upto), upto)
+        newest = latest_per_key(typed_rows(seen.accepted, zone), schemas.READING_KEYS, ["load_datetime"])
+        record_run(spark, layers, upto, seen.counts)
+        DayLog(spark, layers.touched_days).record(upto, seen.days)
+        table.merge(newest, [] if table.is_new() else seen.days, upto)
         table.log.record("silver", upto)
     return upto
 

@@ -71,11 +71,19 @@ def write_new(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
 
 
-def stage(df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> None:
-    """Fill a job's own staging path, dropping what an earlier run left there."""
-    even_out(df, partition_by, sort_by).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy(*partition_by).parquet(path)
+def stage(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    sort_by: Sequence[str] = (),
+    spread: str = "by partition",
+) -> None:
+    """Fill a job's own staging path, dropping what an earlier run left there.
+
+    ``spread="as is"`` saves the shuffle where there are few partition values.
+    """
+    rows = df if spread == "as is" else even_out(df, partition_by, sort_by)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
 def split_by_day(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strataflux import schemas
 from strataflux.plans import bronze as bronze_plan
-from strataflux.plans import days, gold as gold_plan, silver as silver_plan, swap
+from strataflux.plans import days, gold as gold_plan, silver as silver_plan, swap, verdicts
 from strataflux.functions.times import batch_name
 from strataflux.plans.batchlog import BatchLog
 from strataflux.plans.bronze import load_arrivals, read_bronze
@@ -195,6 +195,24 @@ def test_batch_of_rejects_is_read_once(spark, folder):
     assert read_error_log(spark, layers).count() == 1
 
 
+def test_silver_reads_pending_rows_once(spark, folder, monkeypatch):
+    """Once rows are staged by verdict the run goes on without bronze, on a first load and on a merge."""
+    layers, real = Layers(folder), verdicts.stage
+    elsewhere = f"{folder}/aside"
+    monkeypatch.setattr(
+        verdicts, "stage", lambda *args, **named: (real(*args, **named), Path(layers.bronze).rename(elsewhere))
+    )
+    for number, rows in enumerate(DELIVERIES):
+        deliver(spark, layers, number, rows)
+        silver(spark, layers)
+        Path(elsewhere).rename(layers.bronze)
+    runs = [tuple(row) for row in verdicts.read_runs(spark, layers).orderBy("batch_id").collect()]
+    assert [row[0] for row in runs] == [batch_name(at(number)) for number in range(3)]
+    assert [row[1:] for row in runs] == [(7, 1, 1, 1), (4, 0, 2, 2), (3, 0, 1, 2)]
+    assert read_silver(spark, layers).count() == 10
+    assert read_error_log(spark, layers).count() == 4
+
+
 def test_late_reading(spark, folder):
     late = [[reading(1, 0, power="4")], [reading(1, 1, power="8"), reading(1, 1, "2", power="3")]]
     for mode, average in (("unseen", 4.0), ("touched", 6.0)):
@@ -346,6 +364,8 @@ def crash_halfway(monkeypatch, module, name, keep):
 CRASHES = {
     "bronze written": lambda m: crash_after(m, bronze_plan, "replace_partitions"),
     "bronze half written": lambda m: crash_halfway(m, bronze_plan, "replace_partitions", "turbine_id = '1'"),
+    "verdicts staged": lambda m: crash_after(m, verdicts, "stage"),
+    "run noted": lambda m: crash_after(m, verdicts, "replace_partitions"),
     "rejects written": lambda m: crash_after(m, silver_plan, "replace_partitions"),
     "silver incoming staged": lambda m: crash_after(m, swap, "stage"),
     "silver staged": lambda m: crash_after(m, swap, "stage", 2),

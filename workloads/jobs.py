@@ -21,6 +21,7 @@ from strataflux.plans.gold import gold, read_gold
 from strataflux.plans.silver import read_error_log, read_silver, silver
 from strataflux.plans.stored_merge import merge_into_path, merge_into_table
 from strataflux.plans.upkeep import compact, compact_layers, recluster, recluster_table
+from strataflux.plans.verdicts import read_runs
 from strataflux.session import scratch
 from strataflux.sources import sinks, tables
 from strataflux.sources.tables import Layers
@@ -173,6 +174,11 @@ def corrections_errors(spark: SparkSession, sf: str) -> DataFrame:
     return _errors(corrections(spark, sf), spark)
 
 
+def silver_run_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What every run of silver saw of its batch while it judged the rows."""
+    return read_runs(spark, corrections(spark, sf))
+
+
 def corrections_gold(spark: SparkSession, sf: str) -> DataFrame:
     return read_gold(spark, corrections(spark, sf))
 

@@ -225,6 +225,11 @@ def sql() -> dict[str, str]:
         "increments_gold": f"{INCREMENTS} {summary('daily', GOLD_KEYS)}",
         "corrections_silver": f"{CORRECTIONS} {SILVER_COLUMNS}",
         "corrections_errors": f"{CORRECTIONS} {ERROR_COLUMNS}",
+        "silver_run_counts": f"""{CORRECTIONS} SELECT strftime(load_datetime, '%Y%m%d_%H%M%S_%f') AS batch_id,
+            count(*) AS n_rows, count(*) FILTER ({NULLS}) AS n_with_gaps,
+            count(*) FILTER (reject_reason <> '') AS n_rejected,
+            count(DISTINCT CAST(CAST(timestamp AS TIMESTAMP) AS DATE)) AS n_days
+            FROM judged GROUP BY load_datetime""",
         "corrections_gold": f"{CORRECTIONS} {summary('daily', GOLD_KEYS)}",
         "late_unseen_gold": f"""{LATE_LAYERS},
             starts AS (SELECT turbine_id, date, min(load_datetime) AS first_load FROM daily GROUP BY ALL),
