@@ -1,10 +1,11 @@
 """Personal data by fixed patterns and a skip-chain conditional random field.
 
 The nodes of a document's graph are its words with a digit or an at sign. Neighbouring words are
-joined by chain edges; words with the same digits or letters are joined by skip edges, each to
-its previous occurrence, so a repeated number makes a path and not a clique. Every
+joined by chain edges; words with the same digits or letters are joined by skip edges to the first of
+them, however far on, and numbers that end alike to the first with that end. A repeated number makes a
+star and not a clique, and any repeat is two edges away from any other. Every
 node has a score for each label from its features, every edge a score for each pair of labels, the same
-for all edges of a kind. Loopy message passing gives the marginals, by which a word that looks
+for all edges of a kind. Loopy message passing, gone on with until messages settle, gives the marginals, by which a word that looks
 doubtful alone takes the label of its clear repetition elsewhere in the document.
 
 The weights are fitted in numpy by pseudo-likelihood on a bounded sample of texts labelled by the
@@ -52,8 +53,12 @@ EPOCHS = 150
 RATE = 0.1
 SHRINK = 1e-3
 SURE = 0.9
-ROUNDS = 25
+# Messages are passed until none changes by more. Ones that still do after so many rounds go round in
+# circles; they are brought to rest by moving half as far in every further hundred rounds.
 SETTLED = 1e-4
+CIRCLING_ROUNDS = 2_000
+# Numbers are similar when this many of their last digits are the same.
+TAIL = 7
 
 Span = tuple[int, int, str]
 
@@ -128,7 +133,8 @@ def graph_of(text: str) -> Graph | None:
     """The graph of a text, None where no word has a digit or an at sign."""
     words = [(match.start(), match.end()) for match in WORD.finditer(text)]
     nodes, spans, features, chain, skip = {}, [], [], [], []
-    latest: dict[str, int] = {}
+    firsts: dict[str, int] = {}
+    tails: dict[str, int] = {}
     for place, (start, end) in enumerate(words):
         word = text[start:end]
         if not re.search(r"[0-9@]", word):
@@ -155,9 +161,14 @@ def graph_of(text: str) -> Graph | None:
             chain.append((node - 1, node))
         # Words are alike when they have the same digits, or the same letters if they have none.
         key = digits if len(digits) >= 4 else core.lower()
-        if key in latest:
-            skip.append((latest[key], node))
-        latest[key] = node
+        if key in firsts:
+            skip.append((firsts[key], node))
+        else:
+            firsts[key] = node
+            if len(digits) >= TAIL:
+                alike = tails.setdefault(digits[-TAIL:], node)
+                if alike != node:
+                    skip.append((alike, node))
     if not spans:
         return None
     return Graph(spans, features, np.array(chain, int).reshape(-1, 2), np.array(skip, int).reshape(-1, 2))
@@ -242,19 +253,21 @@ def marginals(graph: Graph, field: Field) -> np.ndarray:
     messages = np.zeros((len(source), len(LABELS)))
     opposite = np.roll(np.arange(len(source)), len(edges))
     beliefs = alone.copy()
-    for _ in range(ROUNDS if len(source) else 0):
+    step, rounds, change = 0.5, 0, SETTLED if len(source) else 0.0
+    while change >= SETTLED:
         cavity = beliefs[source] - messages[opposite]
         mixed = cavity[:, :, None] + scores
         top = mixed.max(axis=1, keepdims=True)
         sent = np.log(np.exp(mixed - top).sum(axis=1)) + top[:, 0]
         sent -= sent.max(axis=1, keepdims=True)
-        sent = 0.5 * (sent + messages)
+        sent = step * sent + (1 - step) * messages
         change = np.abs(sent - messages).max()
         messages = sent
         beliefs = alone.copy()
         np.add.at(beliefs, target, messages)
-        if change < SETTLED:
-            break
+        rounds += 1
+        if rounds >= CIRCLING_ROUNDS and rounds % 100 == 0:
+            step /= 2
     chances = np.exp(beliefs - beliefs.max(axis=1, keepdims=True))
     return chances / chances.sum(axis=1, keepdims=True)
 

@@ -230,6 +230,71 @@ def test_messages_are_exact_on_paths_and_close_on_loops(field):
         assert np.abs(found - wanted).max() < (1e-3 if exact else 0.2)
 
 
+def test_every_repeat_is_two_edges_from_any_other(field):
+    numbers = ["+4930 5551234", *["5551234"] * 300, "0305551234", "ab1", "0305551234"]
+    graph = personal_data.graph_of(" ".join(f"w{number}" if number == "ab1" else f"{number} und" for number in numbers))
+    star = [(1, node) for node in range(2, 303)] + [(302, 304)]
+    assert graph.skip.tolist() == [list(pair) for pair in star]
+
+
+def clear_first(words, places, doubt=0.0):
+    """A graph whose first node is clearly a phone number; the others speak against it by ``doubt``."""
+    phone = personal_data.LABELS.index("phone")
+    features = np.zeros((personal_data.FEATURES, len(personal_data.LABELS)))
+    features[1, phone], features[2, 0] = 9.0, doubt
+    edges = np.array(places, int).reshape(-1, 2)
+    spans = [(k, k + 1) for k in range(words)]
+    nodes = [[1]] + [[2]] * (words - 1)
+    return features, spans, nodes, edges, phone
+
+
+def test_a_clear_mention_reaches_all_its_repeats():
+    features, spans, nodes, edges, phone = clear_first(400, [(0, k) for k in range(1, 400)])
+    none = np.empty((0, 2), int)
+    size = len(personal_data.LABELS)
+    field = personal_data.Field(features, np.zeros((size, size)), np.eye(size) * 4)
+    found = personal_data.marginals(personal_data.Graph(spans, nodes, none, edges), field)
+    assert (found.argmax(axis=1) == phone).all()
+
+
+def test_a_number_repeated_hundred_places_on_is_added(field):
+    for repeats in (1, 26, 100, 500):
+        text = "call +1 (988) 555-2485 the ersh onan. " + "then 555-2485 again of ndthe. " * repeats
+        graph = personal_data.graph_of(text)
+        more = personal_data.added_spans(text, graph, personal_data.base_spans(text), field)
+        assert [(text[start:end], kind) for start, end, kind in more] == [("555-2485", "phone")] * repeats
+
+
+def test_messages_go_on_until_they_settle():
+    """Paths longer than any fixed number of rounds reaches, against sums forward and backward."""
+    words = 150
+    features, spans, nodes, edges, _ = clear_first(words, [(k, k + 1) for k in range(words - 1)], 0.01)
+    size = len(personal_data.LABELS)
+    pair = np.eye(size) * 6
+    field = personal_data.Field(features, pair, np.zeros((size, size)))
+    graph = personal_data.Graph(spans, nodes, edges, np.empty((0, 2), int))
+    alone = np.exp(features[np.array(nodes)].sum(axis=1))
+    ahead, back = alone.copy(), alone.copy()
+    for k in range(1, words):
+        ahead[k] *= (ahead[k - 1] / ahead[k - 1].sum()) @ np.exp(pair)
+        back[-1 - k] *= (back[-k] / back[-k].sum()) @ np.exp(pair)
+    wanted = ahead * back / alone
+    wanted /= wanted.sum(axis=1, keepdims=True)
+    assert np.abs(personal_data.marginals(graph, field) - wanted).max() < 0.01
+
+
+def test_messages_that_contradict_each_other_come_to_rest():
+    """Three nodes of which no two may have one label, and many edges of the kind."""
+    chance = np.random.default_rng(3)
+    size = len(personal_data.LABELS)
+    edges = np.array([(a, b) for a in range(12) for b in range(a + 1, 12)])
+    features = chance.normal(0, 1, (personal_data.FEATURES, size))
+    field = personal_data.Field(features, np.zeros((size, size)), -8 * np.eye(size))
+    graph = personal_data.Graph([(k, k + 1) for k in range(12)], [[k] for k in range(12)], np.empty((0, 2), int), edges)
+    found = personal_data.marginals(graph, field)
+    assert np.isfinite(found).all() and np.allclose(found.sum(axis=1), 1)
+
+
 def test_personal_data_rows(docs_of, field):
     rows = [*EDGES, *enumerate(TRICKY, 100)]
     found = personal_data.find_personal_data(docs_of(rows), field).collect()
