@@ -23,6 +23,7 @@ from strataflux.sources.files import (
     stamp_load_time,
     with_source_file,
 )
+from strataflux.sources.registry import register_files
 from strataflux.sources.sinks import remove_partitions, replace_partitions
 from strataflux.sources.tables import (
     Layers,
@@ -99,6 +100,7 @@ def bronze(
     landing: str | None = None,
     file_format: str = "csv",
     has_header: bool = True,
+    skip_redelivered: bool = False,
 ) -> bool:
     """Load everything in the landing folder as one batch, then move its files to ``processed``.
 
@@ -106,6 +108,10 @@ def bronze(
     that were there then; they keep their places below ``processed/<batch>``. A run that broke
     off before its log entry starts anew with what is there; one that broke off later moves
     the rest of its files when it is repeated.
+
+    ``skip_redelivered`` reads the files once more for their contents and leaves out those that an earlier
+    such batch has had, whatever they are called; they are moved like the others. It matters most
+    under ``append``, where a file sent again would add all its rows again.
     """
     batch, place = batch_name(moment), landing or layers.landing
     schema, options = reading_files(schemas.ARRIVAL, file_format)
@@ -117,8 +123,12 @@ def bronze(
     if files:
         noted = spark.createDataFrame([(file, batch) for file in files], FILES)
         replace_partitions(noted, layers.arrived_files, [BATCH], spread="as is")
+    loaded = files
+    if skip_redelivered:
+        loaded = register_files(spark, layers.landed_files, files, place, batch)
+    if loaded:
         # Listed names are URIs, readers take plain paths.
-        named = [unquote(file) for file in files]
+        named = [unquote(file) for file in loaded]
         arrivals = read_files(spark, named, file_format, has_header, schema=schema, **options)
         arrivals = with_source_file(arrivals)
     else:

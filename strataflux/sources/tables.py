@@ -58,6 +58,10 @@ class Layers:
     def touched_days(self) -> str:
         return self._at("state", "touched_days")
 
+    @property
+    def landed_files(self) -> str:
+        return self._at("state", "landed_files")
+
     @property
     def silver_runs(self) -> str:
         return self._at("state", "silver_runs")

@@ -24,6 +24,7 @@ from strataflux.plans.file_swap import FileSwap
 from strataflux.plans.upkeep import compact_layers
 from strataflux.session import scratch
 from strataflux.sources import sinks
+from strataflux.sources.registry import read_registry
 from strataflux.sources.sinks import replace_partitions
 from strataflux.sources.tables import Layers
 
@@ -481,6 +482,46 @@ def test_files_go_to_processed_with_their_batch(spark, folder, monkeypatch):
     assert reasons == ["the line does not have the declared fields", "timestamp is not a valid timestamp"]
 
 
+def test_redelivered_and_changed_files_are_told_apart(spark, folder, monkeypatch):
+    layers = Layers(folder)
+    first, second, third = (f"2024-05-01 0{hour}:00:00,1,5,90,{hour + 1}" for hour in range(3))
+
+    def load(number, **named):
+        return bronze_plan.bronze(spark, layers, at(number), "append", skip_redelivered=True, **named)
+
+    land(layers, "a.csv", first, second)
+    land(layers, "b c.csv", third)
+    Path(layers.landing, "empty.csv").write_text("")
+    assert load(0)
+    land(layers, "again.csv", second, first)
+    land(layers, "b c.csv", third + "5")
+    land(layers, "c.csv", third + "6")
+    land(layers, "d.csv", third + "6")
+    Path(layers.landing, "none.csv").write_text("")
+    with monkeypatch.context() as patch:
+        crash_after(patch, bronze_plan, "load_arrivals", 0)
+        with pytest.raises(Crash):
+            load(1)
+    assert load(1)
+    land(layers, "a.csv", first, second)
+    assert load(2)
+    assert not list(Path(layers.landing).rglob("*.csv"))
+    kinds = [(row.batch_id, row.path, row.kind) for row in read_registry(spark, layers.landed_files).collect()]
+    assert sorted(kinds) == [
+        (batch_name(at(0)), "a.csv", "new"),
+        (batch_name(at(0)), "b c.csv", "new"),
+        (batch_name(at(0)), "empty.csv", "new"),
+        (batch_name(at(1)), "again.csv", "redelivered"),
+        (batch_name(at(1)), "b c.csv", "changed"),
+        (batch_name(at(1)), "c.csv", "new"),
+        (batch_name(at(1)), "d.csv", "redelivered"),
+        (batch_name(at(1)), "none.csv", "new"),
+        (batch_name(at(2)), "a.csv", "redelivered"),
+    ]
+    powers_held = sorted(row.power_output for row in read_bronze(spark, layers).collect())
+    assert powers_held == ["1", "2", "3", "35", "36"]
+
+
 def test_reads_of_days_list_their_folders_only(spark, folder):
     layers = Layers(folder)
     run(spark, layers, [[reading(day, 0) for day in range(1, 9)]])

@@ -24,6 +24,7 @@ from strataflux.plans.upkeep import compact, compact_layers, recluster, recluste
 from strataflux.plans.verdicts import read_runs
 from strataflux.session import scratch
 from strataflux.sources import sinks, tables
+from strataflux.sources.registry import read_registry
 from strataflux.sources.tables import Layers
 from strataflux.streaming.arrivals import process_arrivals
 from workloads.data import arrivals, load_moment, plain_time, readings, table
@@ -275,6 +276,30 @@ def archived_files(spark: SparkSession, sf: str) -> DataFrame:
     return found.unionAll(rows_in(layers.landing, "landing"))
 
 
+@cache
+def redelivered(spark: SparkSession, sf: str) -> Layers:
+    """The first delivery, then it once more under other names beside the second one, then both again."""
+    layers, deliver = Layers(scratch(spark, "redelivered")), in_parts(spark, sf)
+    for number, sent in ((1, (1,)), (2, (1, 2)), (3, (2, 1))):
+        folder = f"{layers.landing}/day_{number}"
+        for delivery in sent:
+            rows = deliver(delivery).repartition(3, "turbine_id", "timestamp")
+            rows.write.mode("append").option("header", "true").csv(folder)
+        bronze(spark, layers, load_moment(number), "append", landing=folder, skip_redelivered=True)
+    return layers
+
+
+def redelivered_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze where every delivery is appended, files sent again are not."""
+    return _bronze(redelivered(spark, sf), spark)
+
+
+def landed_kinds(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows in new and in redelivered files of each batch, by the registry; a file's header is no row."""
+    found = read_registry(spark, redelivered(spark, sf).landed_files)
+    return found.groupBy("batch_id", "kind").agg(F.sum(F.col("n_lines") - 1).alias("n_rows"))
+
+
 def bronze_repeated_run(spark: SparkSession, sf: str) -> DataFrame:
     """Three runs over one delivery, rows without a key among it."""
     layers = Layers(scratch(spark, "repeated"))

@@ -248,6 +248,15 @@ def sql() -> dict[str, str]:
         "compacted": "SELECT *, CAST(ts AS DATE) AS date FROM events",
         "archived_files": f"""{READINGS} SELECT {ARRIVAL}, CASE load_datetime WHEN {LOAD[0]} THEN 'first run'
             WHEN {LOAD[1]} THEN 'second run' ELSE 'landing' END AS place FROM ({PARTS})""",
+        "redelivered_file": f"""{READINGS} SELECT load_datetime, {ARRIVAL} FROM ({PARTS})
+            WHERE load_datetime <= {LOAD[1]}""",
+        "landed_kinds": f"""{READINGS}, sent AS (SELECT load_datetime, count(*) AS n_rows FROM ({PARTS})
+                WHERE load_datetime <= {LOAD[1]} GROUP BY load_datetime),
+            kinds AS (SELECT load_datetime AS batch, 'new' AS kind, n_rows FROM sent
+                UNION ALL SELECT {LOAD[1]}, 'redelivered', n_rows FROM sent WHERE load_datetime = {LOAD[0]}
+                UNION ALL SELECT {LOAD[2]}, 'redelivered', sum(n_rows) FROM sent)
+            SELECT strftime(batch, '%Y%m%d_%H%M%S_%f') AS batch_id, kind, CAST(n_rows AS BIGINT) AS n_rows
+            FROM kinds""",
         "bronze_repeated_run": f"""{READINGS} SELECT {LOAD[0]} AS load_datetime,
             CASE WHEN right(timestamp, 1) <> '3' THEN timestamp END AS timestamp,
             turbine_id, wind_speed, wind_direction, power_output FROM readings""",
