@@ -17,6 +17,14 @@ from strataflux.sources.tables import read_dataset
 
 ENTRY = StructType([StructField("stage", StringType()), StructField("batch_id", StringType())])
 NOTHING_DONE = ""
+# A log of more files than this is worth rewriting; reading it lists and opens every one.
+FOLD_OVER = 64
+
+
+def moved_in(system: object, moves: list[tuple[object, object]]) -> None:
+    for source, target in moves:
+        if not system.rename(source, target):
+            raise OSError(f"{source.toString()} could not be moved to {target.toString()}")
 
 
 @dataclass(frozen=True)
@@ -31,6 +39,31 @@ class BatchLog:
         entry = self.spark.range(1).select(F.lit(stage).alias("stage"), F.lit(batch).alias("batch_id"))
         entry.coalesce(1).write.mode("append").parquet(self.path)
 
+    def fold(self, over: int = FOLD_OVER) -> bool:
+        """Put all entries into one file once there are more files than ``over``; True when it was done.
+
+        The new file is complete before it is moved in, and the old ones go after that: at no time is an
+        entry missing, and one that stands twice means the same as one that stands once. Should it
+        break off, the next call folds what is left.
+        """
+        jvm, context = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc
+        new_path = jvm.org.apache.hadoop.fs.Path
+        log, aside = new_path(self.path), new_path(f"{self.path.rstrip('/')}_folded")
+        system = log.getFileSystem(context.hadoopConfiguration())
+
+        def data_files(folder: object) -> list[object]:
+            return [status.getPath() for status in system.globStatus(new_path(folder, "*.parquet")) or []]
+
+        old = data_files(log)
+        if len(old) <= over:
+            return False
+        entries = self.spark.read.schema(ENTRY).parquet(*[path.toString() for path in old]).distinct()
+        entries.coalesce(1).write.mode("overwrite").parquet(aside.toString())
+        moved_in(system, [(path, new_path(log, path.getName())) for path in data_files(aside)])
+        for path in old:
+            system.delete(path, False)
+        return True
+
     def marks(self) -> dict[str, str]:
         """The last batch of every stage, read in one go; ``""`` for a stage without one."""
         newest = self._entries().groupBy("stage").agg(F.max("batch_id")).collect()

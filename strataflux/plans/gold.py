@@ -15,7 +15,7 @@ from strataflux.plans.days import DAY, DayLog, Days, day_values, on_days
 from strataflux.plans.swap import gold_table, silver_table
 from strataflux.session import session_zone
 from strataflux.sources.sinks import append_rows
-from strataflux.sources.tables import Layers
+from strataflux.sources.tables import Layers, add_partitions
 
 KEYS = schemas.SUMMARY_KEYS
 UNSEEN_MARK = "gold unseen"
@@ -62,6 +62,7 @@ def gold(
     layers: Layers,
     mode: str = "unseen",
     whole_table: bool = False,
+    name: str | None = None,
 ) -> str:
     """Bring gold up to the last silver batch and return that batch.
 
@@ -69,24 +70,31 @@ def gold(
     readings or not; ``touched`` summarises again what received readings since the last run
     in that mode, so it also makes up for late readings ``unseen`` has passed over. Either
     looks at the days silver has touched since its last run; ``whole_table`` lets ``unseen``
-    search all days, as after rows were removed from gold by hand.
+    search all days, as after rows were removed from gold by hand. ``name`` is the table's name in
+    the catalog, which then sees the days it has looked at.
     """
     if mode not in ("unseen", "touched"):
         raise ValueError(f"mode must be 'unseen' or 'touched', not {mode!r}")
     table = gold_table(spark, layers)
     with session_zone(spark, "UTC"):
         marks = table.log.marks()
-        table.resume(marks)
         stage = UNSEEN_MARK if mode == "unseen" else table.name
+        everything = whole_table and mode == "unseen"
+        before = marks[stage]
+        table.resume(marks)
         since, upto = marks[stage], marks["silver"]
-        if mode == "unseen" and whole_table:
+        looked_at = DayLog(spark, layers.touched_days).days(before, upto) if upto > before else []
+        if everything:
             add_unseen(spark, layers, None)
-        elif upto <= since:
+        elif upto > since:
+            if mode == "unseen":
+                add_unseen(spark, layers, looked_at)
+            else:
+                refresh_touched(spark, layers, since, upto)
+        if name is not None:
+            add_partitions(spark, name, layers.gold, DAY, None if everything else looked_at)
+        if upto <= since and not everything:
             return upto
-        elif mode == "unseen":
-            add_unseen(spark, layers, DayLog(spark, layers.touched_days).days(since, upto))
-        else:
-            refresh_touched(spark, layers, since, upto)
         table.log.record(stage, upto)
     return upto
 

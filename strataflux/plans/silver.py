@@ -20,7 +20,7 @@ from strataflux.plans.swap import silver_table
 from strataflux.plans.verdicts import record_run, stage_verdicts
 from strataflux.session import session_zone
 from strataflux.sources.sinks import remove_partitions, replace_partitions
-from strataflux.sources.tables import Layers, read_dataset
+from strataflux.sources.tables import Layers, add_partitions, read_dataset
 
 
 # The log entry for the zone whose days partition silver. In another zone the same instant may fall
@@ -74,18 +74,24 @@ def silver(
     rules: Mapping[str, Column] | None = None,
     null_columns: Sequence[str] = tuple(schemas.MEASURES),
     zone: str = "UTC",
+    name: str | None = None,
 ) -> str | None:
     """Process every pending batch; the last one processed, or None when there was none.
 
     The pending partitions are read once: every row is judged, counted and staged by its verdict in
-    one pass without a shuffle. Rejects and good rows go on from there.
+    one pass without a shuffle. Rejects and good rows go on from there. ``name`` is the table's name in the
+    catalog, which then sees the days of the batch without listing the others.
     """
     table = silver_table(spark, layers)
     with session_zone(spark, zone):
         marks = table.log.marks()
         if marks[ZONE_MARK] not in ("", zone):
             raise ValueError(f"silver holds days of zone {marks[ZONE_MARK]}, not {zone}")
+        since, days = marks["silver"], DayLog(spark, layers.touched_days)
         resumed = table.resume(marks)
+        if name is not None and marks["bronze"] > since:
+            # Days that a broken-off run has written.
+            add_partitions(spark, name, layers.silver, DAY, days.days(since, marks["bronze"]))
         mark, upto = marks["silver"], marks["bronze"]
         if upto <= mark:
             return mark if resumed else None
@@ -101,8 +107,10 @@ def silver(
         replace_partitions(log_rows, layers.error_log, [BATCH], spread="evenly")
         newest = latest_per_key(typed_rows(seen.accepted, zone), schemas.READING_KEYS, ["load_datetime"])
         record_run(spark, layers, upto, seen.counts)
-        DayLog(spark, layers.touched_days).record(upto, seen.days)
+        days.record(upto, seen.days)
         table.merge(newest, [] if table.is_new() else seen.days, upto)
+        if name is not None:
+            add_partitions(spark, name, layers.silver, DAY, seen.days)
         table.log.record("silver", upto)
     return upto
 

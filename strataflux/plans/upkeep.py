@@ -161,7 +161,8 @@ def compact_layers(
 ) -> dict:
     """Compact bronze, silver, the error log and gold; the rewritten partitions of each.
 
-    With ``everything`` all partitions are rewritten; ``together`` clusters rows on all keys alike.
+    With ``everything`` all partitions are rewritten; ``together`` clusters rows on all keys alike. A long
+    batch log is folded; a job that reads it at that moment may fail and is repeated.
     """
     tables = {
         "bronze": (layers.bronze, schemas.BRONZE_AT_REST, schemas.BRONZE_PARTITIONS, schemas.READING_KEYS),
@@ -178,4 +179,5 @@ def compact_layers(
         state = layers.staging(f"upkeep_{name}")
         run = batch_name(moment)
         done[name] = compact(spark, path, stored, columns, keys, state, run, file_bytes, everything, together)
+    BatchLog(spark, layers.batch_log).fold()
     return done

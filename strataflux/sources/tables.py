@@ -13,6 +13,12 @@ from pyspark.sql.types import StructField, StructType
 from strataflux import schemas
 
 
+# Names of the layer tables in the catalog, after the prefix of their set.
+BRONZE_NAME = "bronze.bronze_turbines"
+SILVER_NAME = "silver.silver_turbines"
+ERROR_LOG_NAME = "silver.error_log"
+GOLD_NAME = "gold.gold_turbines"
+
 # What Spark names the folder of a missing partition value.
 MISSING = "__HIVE_DEFAULT_PARTITION__"
 
@@ -180,10 +186,10 @@ def create_layers(spark: SparkSession, layers: Layers, prefix: str = "") -> dict
     return create_tables(
         spark,
         {
-            f"{prefix}bronze.bronze_turbines": (schemas.BRONZE, layers.bronze, schemas.BRONZE_PARTITIONS),
-            f"{prefix}silver.silver_turbines": (schemas.SILVER, layers.silver, schemas.DAILY_PARTITIONS),
-            f"{prefix}silver.error_log": (schemas.ERROR_LOG, layers.error_log, schemas.ERROR_LOG_PARTITIONS),
-            f"{prefix}gold.gold_turbines": (schemas.GOLD, layers.gold, schemas.DAILY_PARTITIONS),
+            prefix + BRONZE_NAME: (schemas.BRONZE, layers.bronze, schemas.BRONZE_PARTITIONS),
+            prefix + SILVER_NAME: (schemas.SILVER, layers.silver, schemas.DAILY_PARTITIONS),
+            prefix + ERROR_LOG_NAME: (schemas.ERROR_LOG, layers.error_log, schemas.ERROR_LOG_PARTITIONS),
+            prefix + GOLD_NAME: (schemas.GOLD, layers.gold, schemas.DAILY_PARTITIONS),
         },
     )
 
@@ -195,6 +201,22 @@ def register_new_partitions(spark: SparkSession, names: Sequence[str]) -> None:
         spark.catalog.refreshTable(name)
 
 
+def add_partitions(
+    spark: SparkSession, name: str, path: str, column: str, values: Sequence | None
+) -> list[str]:
+    """Let the catalog see these first-level partitions, or all; no file is listed.
+
+    Only those that have a folder are added; returns their specifications. Adding one again changes nothing.
+    """
+    found = [] if values is not None and not values else partition_folders(spark, path, column, values)
+    folders = [folder.rpartition("/")[2] for folder in found]
+    specs = [f"PARTITION ({quoted_name(column)} = {quoted_text(folder.partition('=')[2])})" for folder in folders]
+    if specs:
+        spark.sql(f"ALTER TABLE {quoted_name(name)} ADD IF NOT EXISTS {' '.join(specs)}")
+    spark.catalog.refreshTable(name)
+    return specs
+
+
 def append_to_table(df: DataFrame, name: str) -> None:
     """Append rows to a catalog table, columns matched by name."""
     partitions = [column.name for column in df.sparkSession.catalog.listColumns(name) if column.isPartition]

@@ -21,7 +21,7 @@ from strataflux.plans.bronze import load_arrivals
 from strataflux.plans.gold import gold
 from strataflux.plans.silver import silver
 from strataflux.sources.files import csv_options, reading_files, with_source_file
-from strataflux.sources.tables import Layers
+from strataflux.sources.tables import GOLD_NAME, SILVER_NAME, Layers
 
 Clock = Callable[[], datetime]
 
@@ -48,13 +48,17 @@ def arriving_files(
     return with_source_file(reader.csv(landing))
 
 
+def load_times(layers: Layers) -> str:
+    return f"{layers.arrivals_checkpoint}/load_times"
+
+
 def load_time(spark: SparkSession, layers: Layers, epoch: int, clock: Clock) -> datetime:
     """The load time of a stream batch, the same one however often the batch is replayed.
 
     It is written down below the checkpoint before it is used, and always lies after every
     earlier batch.
     """
-    times = BatchLog(spark, f"{layers.arrivals_checkpoint}/load_times")
+    times = BatchLog(spark, load_times(layers))
     known = times.mark(f"epoch {epoch}")
     if known:
         return batch_moment(known)
@@ -98,8 +102,16 @@ def process_arrivals(
     clock: Clock = now,
     rules: Mapping[str, Column] | None = None,
     zone: str = "UTC",
+    prefix: str | None = None,
 ) -> None:
-    """Everything that has arrived, through all layers; what a file-arrival trigger calls."""
+    """Everything that has arrived, through all layers; what a file-arrival trigger calls.
+
+    With the ``prefix`` that ``create_layers`` was given, the catalog sees the days of each run. The logs
+    of batches and load times are folded into one file each where they have grown long.
+    """
     start_arrivals(spark, layers, mode, max_files, clock).awaitTermination()
-    silver(spark, layers, rules, zone=zone)
-    gold(spark, layers, gold_mode)
+    names = [None, None] if prefix is None else [f"{prefix}{name}" for name in (SILVER_NAME, GOLD_NAME)]
+    silver(spark, layers, rules, zone=zone, name=names[0])
+    gold(spark, layers, gold_mode, name=names[1])
+    for path in (layers.batch_log, load_times(layers)):
+        BatchLog(spark, path).fold()

@@ -7,13 +7,14 @@ from datetime import date, datetime, timedelta, timezone
 from functools import cache
 from pathlib import Path
 from shutil import copytree
+from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
 
 from strataflux import schemas
 from strataflux.plans import bronze as bronze_plan
-from strataflux.plans import days, gold as gold_plan, silver as silver_plan, swap, verdicts
+from strataflux.plans import batchlog, days, gold as gold_plan, silver as silver_plan, swap, verdicts
 from strataflux.functions.times import batch_name
 from strataflux.plans.batchlog import BatchLog
 from strataflux.plans.bronze import load_arrivals, read_bronze
@@ -26,7 +27,7 @@ from strataflux.session import scratch
 from strataflux.sources import sinks
 from strataflux.sources.registry import read_registry
 from strataflux.sources.sinks import replace_partitions
-from strataflux.sources.tables import Layers
+from strataflux.sources.tables import GOLD_NAME, SILVER_NAME, Layers, create_layers
 
 START = datetime(2024, 6, 1, 12, tzinfo=timezone.utc)
 
@@ -214,6 +215,56 @@ def test_silver_reads_pending_rows_once(spark, folder, monkeypatch):
     assert read_error_log(spark, layers).count() == 4
 
 
+def test_catalog_sees_each_batch(spark, folder, monkeypatch):
+    """By name, also where a run breaks off after its days were written."""
+    layers, prefix = Layers(folder), f"t{uuid4().hex}_"
+    assert create_layers(spark, layers, prefix) == {}
+    named = {"silver": prefix + SILVER_NAME, "gold": prefix + GOLD_NAME}
+
+    def by_name(layer, schema):
+        return content(spark.read.table(named[layer]).select(*schema.names))
+
+    for number, rows in enumerate(DELIVERIES):
+        deliver(spark, layers, number, rows)
+        if number == 2:
+            with monkeypatch.context() as patch:
+                crash_after(patch, FileSwap, "finish")
+                with pytest.raises(Crash):
+                    silver(spark, layers, name=named["silver"])
+        silver(spark, layers, name=named["silver"])
+        gold(spark, layers, "touched", name=named["gold"])
+        assert by_name("silver", schemas.SILVER) == content(read_silver(spark, layers))
+        assert by_name("gold", schemas.GOLD) == content(read_gold(spark, layers))
+    assert by_name("gold", schemas.GOLD)
+
+
+def test_long_log_is_folded_and_keeps_every_entry(spark, folder, monkeypatch):
+    log = BatchLog(spark, f"{folder}/log")
+    assert log.fold(0) is False
+    for number in range(6):
+        log.record("bronze", f"b{number}")
+    log.record("silver", "b2")
+
+    def told():
+        return log.marks(), log.unfinished("bronze", "silver"), log.holds("bronze", "b0"), log.holds("silver", "b0")
+
+    before = told()
+    assert log.fold(7) is False and log.fold(6) is True
+    assert told() == before
+    assert len(list(Path(log.path).glob("*.parquet"))) == 1
+    log.record("silver", "b5")
+    with monkeypatch.context() as patch:
+        # Breaks off with the folded file in place beside all old ones.
+        crash_after(patch, batchlog, "moved_in")
+        with pytest.raises(Crash):
+            log.fold(1)
+    assert len(list(Path(log.path).glob("*.parquet"))) == 3
+    assert log.mark("silver") == "b5" and log.marks()["bronze"] == "b5"
+    assert log.unfinished("bronze", "silver") == ["b0", "b1", "b3", "b4"]
+    assert log.fold(1) and len(list(Path(log.path).glob("*.parquet"))) == 1
+    assert log.unfinished("bronze", "silver") == ["b0", "b1", "b3", "b4"]
+
+
 def test_late_reading(spark, folder):
     late = [[reading(1, 0, power="4")], [reading(1, 1, power="8"), reading(1, 1, "2", power="3")]]
     for mode, average in (("unseen", 4.0), ("touched", 6.0)):

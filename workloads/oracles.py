@@ -270,5 +270,7 @@ def sql() -> dict[str, str]:
             FROM ({SILVER_COLUMNS})""",
         "reclustered_silver": f"{INCREMENTS} {SILVER_COLUMNS}",
         "compacted_after_append": "SELECT *, CAST(ts AS DATE) AS date FROM events",
+        "named_silver": f"{INCREMENTS} {SILVER_COLUMNS}",
+        "named_gold": f"{INCREMENTS} {summary('daily', GOLD_KEYS)}",
         "catalog_tables": f"{ONE_BATCH} {summary('daily', GOLD_KEYS)}",
     }
