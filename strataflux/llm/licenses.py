@@ -17,6 +17,7 @@ Phrases are templates of threshold 1 whose blocks are then checked for consecuti
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from fractions import Fraction
 from math import ceil
@@ -114,8 +115,11 @@ def ordered_templates(
     ]
 
 
-def containment(words: Column, at: Column, template: Template) -> Column:
-    """The largest share of a template's tokens in a block of its length, 0 below the threshold.
+MET = "array<struct<start:int,end:int,share:double>>"
+
+
+def met_blocks(words: Column, at: Column, template: Template) -> Column:
+    """The blocks of a template's length that meet it, with their share of its tokens.
 
     ``at`` has the places of the template's prefix tokens in the document.
     """
@@ -132,18 +136,20 @@ def containment(words: Column, at: Column, template: Template) -> Column:
     )
 
     def held(start: Column) -> Column:
-        # Positional filter: nothing before the rarest token held can be held.
         block = F.slice(words, (start + 1).cast("int"), 2 * span)
-        own = F.array_intersect(strings(template.tokens), block)
-        possible = size - F.array_position(strings(template.tokens), own[0]) + 1
-        return F.when(
-            (F.size(block) >= template.needed)
-            & (possible >= template.needed)
-            & (F.size(own) >= template.needed),
-            F.size(own) / F.lit(float(size)),
-        ).otherwise(0.0)
+        # Positional filter: nothing before the rarest token held can be held.
+        rarest = F.array_intersect(strings(template.prefix), block)[0]
+        possible = size - F.array_position(strings(template.tokens), rarest) + 1
+        share = F.size(F.array_intersect(strings(template.tokens), block)) / F.lit(float(size))
+        # Length filter first, the intersection last.
+        long_enough = F.size(block) >= template.needed
+        end = start + F.size(block)
+        met = F.when(long_enough & (possible >= template.needed), share)
+        return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), met.alias("share"))
 
-    return F.coalesce(F.array_max(F.transform(starts, held)), F.lit(0.0))
+    # Whole tokens decide, not the share, which is a rounded quotient.
+    least = (template.needed - 0.5) / size
+    return F.filter(F.transform(starts, held), lambda block: F.coalesce(block["share"] > least, F.lit(False)))
 
 
 def phrase_starts(words: Column, places: Column, phrase: Template) -> Column:
@@ -173,7 +179,8 @@ def scan(
     n_words; n_base, the places where a phrase's words stand consecutively, with the first and
     last word they begin at (null without any); base_labels and labels, distinct, sorted and joined
     by commas, the latter with those of all templates some block meets; score, the largest
-    share of a template in a block that meets it, 1 where a phrase stands, else 0. Words are runs of
+    share of a template in a block that meets it, 1 where a phrase stands, else 0; blocks, every block that
+    meets a template as label:first word:end, as sorted texts joined by commas. Words are runs of
     digits, letters and non-ASCII characters with A-Z lower-cased. Null and empty texts have no words
     and no labels; repeated rows are answered each; an empty table gives no rows; other columns are
     ignored. A phrase must not repeat the word that is rarest in it.
@@ -197,25 +204,30 @@ def scan(
         .alias(f"p{k}")
         for k, each in enumerate(exact)
     ]
-    shares = [
+    blocks = [
         F.when(
             F.arrays_overlap(hits, strings(each.prefix)),
-            containment(words, places_of(words, each.prefix), each),
+            met_blocks(words, places_of(words, each.prefix), each).cast(MET),
         )
-        .otherwise(0.0)
+        .otherwise(F.array().cast(MET))
         .alias(f"t{k}")
         for k, each in enumerate(loose)
     ]
     # Rows without a hit skip all of this: each branch first looks at the hits.
-    full = rows.select("doc_id", "n_words", *found, *shares)
+    full = rows.select("doc_id", "n_words", *found, *blocks)
     places = F.concat(*[F.col(f"p{k}") for k in range(len(exact))])
     base = [F.when(F.size(f"p{k}") > 0, each.label) for k, each in enumerate(exact)]
-    met = [F.when(F.col(f"t{k}") > 0, each.label) for k, each in enumerate(loose)]
+    met = [F.when(F.size(f"t{k}") > 0, each.label) for k, each in enumerate(loose)]
+    shares = [F.coalesce(F.array_max(F.col(f"t{k}.share")), F.lit(0.0)) for k in range(len(loose))]
+
+    def named(label: str) -> Callable[[Column], Column]:
+        return lambda block: F.concat_ws(":", F.lit(label), block["start"], block["end"])
+
+    shown = [F.transform(f"t{k}", named(each.label)) for k, each in enumerate(loose)]
 
     def joined(labels: list[Column]) -> Column:
         return F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*labels)))), ",")
 
-    shares_met = [F.col(f"t{k}") for k in range(len(loose))]
     return full.select(
         "doc_id",
         "n_words",
@@ -224,5 +236,6 @@ def scan(
         F.array_max(places).cast("bigint").alias("last_word"),
         joined(base).alias("base_labels"),
         joined([*base, *met]).alias("labels"),
-        F.greatest(F.when(F.size(places) > 0, 1.0).otherwise(0.0), *shares_met).alias("score"),
+        F.greatest(F.when(F.size(places) > 0, 1.0).otherwise(0.0), *shares).alias("score"),
+        F.array_join(F.array_sort(F.array_distinct(F.concat(*shown))), ",").alias("blocks"),
     )

@@ -109,14 +109,19 @@ t AS (SELECT template, label, len(string_split(template, ' ')) AS m,
              list_distinct(string_split(template, ' ')) AS tokens FROM templates),
 tt AS (SELECT template, label, m, len(tokens) AS n, unnest(tokens) AS token FROM t),
 b AS (
-  SELECT w.doc_id, tt.template, tt.label, tt.n, w.pos // tt.m - shift.s AS block, tt.token
+  SELECT w.doc_id, tt.template, tt.label, tt.n, tt.m, w.pos // tt.m - shift.s AS block, tt.token
   FROM tt JOIN w ON w.word = tt.token CROSS JOIN (VALUES (0), (1)) shift(s)
   WHERE w.pos // tt.m - shift.s >= 0),
-met AS (
-  SELECT doc_id, label, max(share) AS share FROM (
-    SELECT doc_id, template, label, block, count(DISTINCT token) / any_value(n)::DOUBLE AS share,
-           count(DISTINCT token) >= ceil(any_value(n) * 4 / 5.0) AS enough
-    FROM b GROUP BY ALL) WHERE enough GROUP BY ALL),
+blocks AS (
+  SELECT doc_id, template, label, m, block, count(DISTINCT token) / any_value(n)::DOUBLE AS share,
+         count(DISTINCT token) >= ceil(any_value(n) * 4 / 5.0) AS enough
+  FROM b GROUP BY doc_id, template, label, m, block),
+met AS (SELECT doc_id, label, max(share) AS share FROM blocks WHERE enough GROUP BY ALL),
+shown AS (
+  SELECT doc_id, string_agg(DISTINCT shown, ',' ORDER BY shown) AS blocks FROM (
+    SELECT doc_id, label || ':' || block * m || ':' || least((block + 2) * m, len(words)) AS shown
+    FROM blocks JOIN d USING (doc_id) WHERE enough)
+  GROUP BY doc_id),
 labels AS (
   SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM (
     SELECT doc_id, label, 1.0::DOUBLE AS share FROM base UNION ALL SELECT doc_id, label, share FROM met)
@@ -126,8 +131,8 @@ bases AS (
          string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(bases.n, 0) AS n_base, first_word, last_word,
        coalesce(bases.labels, '') AS base_labels, coalesce(labels.labels, '') AS labels,
-       coalesce(labels.score, 0.0)::DOUBLE AS score
-FROM d LEFT JOIN bases USING (doc_id) LEFT JOIN labels USING (doc_id)
+       coalesce(labels.score, 0.0)::DOUBLE AS score, coalesce(shown.blocks, '') AS blocks
+FROM d LEFT JOIN bases USING (doc_id) LEFT JOIN labels USING (doc_id) LEFT JOIN shown USING (doc_id)
 """
 
 

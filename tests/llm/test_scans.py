@@ -22,7 +22,7 @@ def license_words(text):
 
 def scanned_by_hand(text, threshold=0.8):
     words = license_words(text)
-    starts, base, labels, shares = [], set(), set(), [0.0]
+    starts, base, labels, shares, blocks = [], set(), set(), [0.0], set()
     for phrase, label in licenses.PHRASES:
         own = phrase.split()
         found = [k for k in range(len(words)) if words[k : k + len(own)] == own]
@@ -35,10 +35,11 @@ def scanned_by_hand(text, threshold=0.8):
             if share >= threshold:
                 labels.add(label)
                 shares.append(share)
+                blocks.add(f"{label}:{start}:{min(len(words), start + 2 * span)}")
     score = 1.0 if starts else max(shares)
     first, last = (min(starts), max(starts)) if starts else (None, None)
     joined = [",".join(sorted(each)) for each in (base, base | labels)]
-    return (len(words), len(starts), first, last, *joined, score)
+    return (len(words), len(starts), first, last, *joined, score, ",".join(sorted(blocks)))
 
 
 def license_texts(seed):
