@@ -391,10 +391,11 @@ def _scores(docs: DataFrame, states: int, rounds: int, work: Workspace) -> DataF
         F.coalesce("c", F.lit(0)).cast("bigint").alias("c"),
         F.coalesce("class", ending_class()).cast("bigint").alias("class"),
     )
-    # Documents of like length in one file, so that they can be worked off side by side.
+    # Documents of like length in one file, so that they can be worked off side by side; the id keeps
+    # many copies of one text from coming into one file.
     prepared = classified(documents, known, corpus)
     parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    prepared = work.staged(prepared.repartitionByRange(parts, "n_tokens", F.xxhash64("classes")))
+    prepared = work.staged(prepared.repartitionByRange(parts, "n_tokens", F.xxhash64("classes", "doc_id")))
 
     model = first_model(corpus, states)
     training = prepared.where("NOT held_out")
