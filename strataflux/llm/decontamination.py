@@ -129,57 +129,40 @@ def starts_of(places: Column, size: Column, least: Column) -> Column:
 
 
 def windows(docs: DataFrame, items: DataFrame, width: int, work: Workspace, similarity: float) -> DataFrame:
-    """row, n, start, anchored and bag of all windows that can be as similar to an item of n words.
+    """row, n, start and bag of the windows that can be as similar to an item of n words.
 
-    ``anchored`` are those that stand, give or take a word, where an item would begin if one of its
-    shingles stood in its place.
+    Windows of a row with the same bag are equally similar to every item, so the first stands for
+    all of them: a text that repeats a passage has as many as the passage has places.
     """
     own = items.where(F.col("width") == width)
-    # A shingle that repeats in an item anchors where it stands first.
-    each = own.select("item_id", "n", F.posexplode("bag").alias("offset", "shingle"))
-    each = each.groupBy("item_id", "n", "shingle").agg(F.min("offset").alias("offset"))
-    anchors = work.staged(each.groupBy("n", "shingle").agg(F.collect_set("offset").alias("offsets")))
+    wanted = work.staged(own.select("n", F.explode("bag").alias("shingle")).distinct())
     rows = docs.select("row", shingles_of(words_of(F.col("text")), width).alias("shingles"))
     seen = rows.select("row", F.size("shingles").alias("count"), F.posexplode("shingles").alias("place", "shingle"))
-    matched = seen.join(bounded(anchors), "shingle").groupBy("row", "n", "count")
-    matched = matched.agg(F.array_sort(F.collect_set(F.struct("place", "offsets"))).alias("matched"))
+    matched = seen.join(bounded(wanted), "shingle").groupBy("row", "n", "count")
+    matched = matched.agg(F.array_sort(F.collect_set("place")).alias("places"))
     size = F.col("n") - width + 1
     # A window that would stick out is moved inside; a text shorter than the item is one window.
     latest = F.greatest(F.lit(0), F.col("count") - size)
     # Rounded down by more than the error of the division, never up.
     shared = similarity / (1 + similarity) * (size + F.least(size, F.col("count"))) - 1e-6
     least = F.greatest(F.lit(1), F.ceil(shared).cast("int"))
-    found = matched.select("row", "n", "matched", size.alias("size"), latest.alias("latest"), least.alias("least"))
-    found = found.where(F.size("matched") >= F.col("least"))
-    every = starts_of(F.col("matched.place"), F.col("size"), F.col("least"))
-    found = found.withColumn("every", F.filter(every, lambda start: start <= F.col("latest")))
-    found = found.where(F.size("every") > 0)
-
-    def around(at: Column) -> Column:
-        near = F.flatten(F.transform(at["offsets"], lambda k: F.array(*[at["place"] - k + side for side in (-1, 0, 1)])))
-        return F.transform(near, lambda start: F.greatest(F.lit(0), F.least(F.col("latest"), start)))
-
-    found = found.withColumn("anchored", F.flatten(F.transform("matched", around)))
-
-    def marked(starts: Column, anchored: bool) -> Column:
-        return F.transform(starts, lambda start: F.struct(start.alias("start"), F.lit(anchored).alias("anchored")))
-
-    split = F.concat(
-        marked(F.array_intersect("every", "anchored"), True), marked(F.array_except("every", "anchored"), False)
-    )
-    starts = work.staged(found.select("row", "n", F.inline(split)))
-    where = starts.groupBy("row").agg(F.collect_list(F.struct("n", "start", "anchored")).alias("starts"))
+    found = matched.select("row", "n", "places", size.alias("size"), latest.alias("latest"), least.alias("least"))
+    found = found.where(F.size("places") >= F.col("least"))
+    every = starts_of(F.col("places"), F.col("size"), F.col("least"))
+    inside = F.filter(every, lambda start: start <= F.col("latest"))
+    starts = work.staged(found.select("row", "n", F.explode(inside).alias("start")))
+    where = starts.groupBy("row").agg(F.collect_list(F.struct("n", "start")).alias("starts"))
     where = F.broadcast(where) if starts.count() <= BROADCAST_ROWS else where
     cut = rows.join(where, "row").select("row", "shingles", F.explode("starts").alias("at"))
     bag = F.slice("shingles", F.col("at.start") + 1, F.col("at.n") - width + 1)
-    return cut.select("row", "at.n", "at.start", "at.anchored", bag.alias("bag")).distinct()
+    cut = cut.select("row", "at.n", "at.start", bag.alias("bag"))
+    return cut.groupBy("row", "n", "bag").agg(F.min("start").alias("start"))
 
 
 def contaminations(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, similarity and first_word of every document that holds an item.
 
-    One row per document and item, for its most similar window of all; of equals the first that is
-    anchored (see ``windows``), or the first if none is. ``docs`` has
+    One row per document and item, for its most similar window of all, of equals the first. ``docs`` has
     doc_id and text, ``items`` item_id and text; other columns are ignored. Items of fewer than
     five words have one shingle, the whole of them; items and texts without words, null ones
     included, match nothing. Every row is examined by itself; rows that share a doc_id, or have none,
@@ -189,7 +172,7 @@ def contaminations(docs: DataFrame, items: DataFrame, similarity: float = SIMILA
         found = _held(docs, items, similarity, work)
         best = found.groupBy(F.col("row.doc_id").alias("doc_id"), "item_id").agg(
             F.max("similarity").alias("similarity"),
-            F.max_by(F.col("start"), F.struct("similarity", "anchored", -F.col("start"))).cast("bigint").alias("first_word"),
+            F.max_by(F.col("start"), F.struct("similarity", -F.col("start"))).cast("bigint").alias("first_word"),
         )
         return staged(best, "decontaminate-result")
 
@@ -202,7 +185,7 @@ def row_key(docs: DataFrame) -> Column:
 
 
 def _held(docs: DataFrame, items: DataFrame, similarity: float, work: Workspace) -> DataFrame:
-    """row, item_id, similarity, anchored and start of all windows as similar as asked."""
+    """row, item_id, similarity and start of the distinct windows as similar as asked."""
     texts = docs.select(row_key(docs).alias("row"), docs["text"].alias("text"))
     described = work.staged(described_items(items.select("item_id", "text")).distinct())
     widths = sorted(row["width"] for row in described.select("width").distinct().collect())
@@ -226,17 +209,17 @@ def _held(docs: DataFrame, items: DataFrame, similarity: float, work: Workspace)
         near = near.where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
         near = near.select("row", "n", "start", "item_id").distinct()
         bags = prints.where(F.col("width") == width).select("item_id", "n", F.col("bag").alias("item_bag"))
-        both = near.join(cut.select("row", "n", "start", "anchored", "bag"), ["row", "n", "start"]).join(
+        both = near.join(cut.select("row", "n", "start", "bag"), ["row", "n", "start"]).join(
             bags, ["item_id", "n"]
         )
         both = both.withColumn("similarity", weighted_similarity(F.col("bag"), F.col("item_bag")))
         both = both.where(F.col("similarity") >= similarity)
-        both = both.select("row", "item_id", "similarity", "anchored", "start")
+        both = both.select("row", "item_id", "similarity", "start")
         found = both if found is None else found.unionAll(both)
     return docs.sparkSession.createDataFrame([], HELD) if found is None else found
 
 
-HELD = "row struct<doc_id: bigint, digest: binary>, item_id bigint, similarity double, anchored boolean, start int"
+HELD = "row struct<doc_id: bigint, digest: binary>, item_id bigint, similarity double, start int"
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:

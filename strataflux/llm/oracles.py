@@ -65,17 +65,14 @@ d AS (
   FROM dw, widths),
 ds AS (SELECT doc_id, width, len(bag) AS total, unnest(bag) AS shingle, unnest(range(len(bag))) AS place FROM d),
 its AS (SELECT item_id, n, width, unnest(bag) AS shingle, unnest(range(len(bag))) AS place FROM i),
-anchors AS (SELECT n, width, item_id, shingle, min(place) AS place FROM its GROUP BY ALL),
-starts AS (
-  SELECT DISTINCT ds.doc_id, a.n, a.width, ds.total,
-         greatest(0, least(greatest(0, ds.total - (a.n - a.width + 1)), ds.place - a.place + side.s)) AS start
-  FROM ds JOIN anchors a ON ds.shingle = a.shingle AND ds.width = a.width
-  CROSS JOIN (VALUES (-1), (0), (1)) side(s)),
+wanted AS (SELECT DISTINCT n, width, shingle FROM its),
+places AS (
+  SELECT ds.doc_id, a.n, a.width, ds.total, ds.shingle,
+         unnest(range(greatest(0, ds.place - (a.n - a.width)),
+                      least(ds.place, greatest(0, ds.total - (a.n - a.width + 1))) + 1)) AS start
+  FROM ds JOIN wanted a ON ds.shingle = a.shingle AND ds.width = a.width),
 bags AS (
-  SELECT s.doc_id, s.n, s.start, least(s.total, s.n - s.width + 1) AS size, ds.shingle, count(*) AS c
-  FROM starts s JOIN ds ON ds.doc_id = s.doc_id AND ds.width = s.width
-   AND ds.place BETWEEN s.start AND s.start + s.n - s.width
-  GROUP BY ALL),
+  SELECT doc_id, n, start, least(total, n - width + 1) AS size, shingle, count(*) AS c FROM places GROUP BY ALL),
 ibags AS (SELECT item_id, n, n - width + 1 AS size, shingle, count(*) AS c FROM its GROUP BY ALL),
 shared AS (
   SELECT b.doc_id, ib.item_id, b.start, b.size + ib.size AS sizes, sum(least(b.c, ib.c)) AS both_weights

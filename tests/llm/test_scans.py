@@ -131,7 +131,11 @@ def test_decontamination(spark, docs_of):
     for row in found:
         own = item_words(dict(items)[row["item_id"]])
         window = item_words(texts[row["doc_id"]])[row["first_word"] :][: len(own)]
-        assert similarity(bag(window, min(5, len(own))), bag(own, min(5, len(own)))) == row["similarity"]
+        width = min(5, len(own))
+        assert similarity(bag(window, width), bag(own, width)) == row["similarity"]
+        words = item_words(texts[row["doc_id"]])
+        before = [bag(words[start : start + len(own)], width) for start in range(row["first_word"])]
+        assert all(similarity(earlier, bag(own, width)) < row["similarity"] for earlier in before)
     kept = decontamination.without_contaminated(docs_of(docs), table)
     assert {row["doc_id"] for row in kept.collect()} == {key for key, _ in docs} - {key for key, _ in wanted}
     assert decontamination.contaminations(docs_of([]), table).collect() == []
@@ -156,6 +160,15 @@ def test_long_items_edited_at_both_ends(spark, docs_of):
     assert {(row["doc_id"], row["item_id"]): row["similarity"] for row in found} == pytest.approx(wanted)
 
 
+def test_a_long_text_that_repeats_an_item(spark, docs_of):
+    """Windows of one bag are compared once, so the repeats cost no more than reading them."""
+    own = [f"w{k}" for k in range(200)]
+    items = spark.createDataFrame([(1, " ".join(own))], "item_id bigint, text string")
+    docs = docs_of([(1, " ".join(own * 80)), (2, " ".join([*own[50:], *own * 40]))])
+    found = sorted(tuple(row) for row in decontamination.contaminations(docs, items).collect())
+    assert found == [(1, 1, 1.0, 0), (2, 1, 1.0, 150)]
+
+
 def test_fingerprints_within_the_radius_share_a_block():
     chance = random.Random(2)
     masks = set(decontamination.near_masks(decontamination.RADIUS // (decontamination.BITS // decontamination.BLOCK_BITS)))
