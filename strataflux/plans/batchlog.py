@@ -74,6 +74,10 @@ class BatchLog:
         newest = self._entries().where(F.col("stage") == stage).agg(F.max("batch_id")).first()[0]
         return newest or NOTHING_DONE
 
+    def batches(self, stage: str) -> DataFrame:
+        """The batches one stage has finished, each once."""
+        return self._entries().where(F.col("stage") == stage).select("batch_id").distinct()
+
     def unfinished(self, begun: str, finished: str) -> list[str]:
         """Batches with an entry for one stage and none for another, in order."""
         entries = self._entries()

@@ -10,8 +10,9 @@ from strataflux.operators.conform import cast_to_schema
 from strataflux.operators.incremental import touched_groups
 from strataflux.operators.joins import same_keys, seen, unseen
 from strataflux.operators.merge import absent_rows
-from strataflux.operators.summary import daily_summary
+from strataflux.operators.summary import daily_summary, summary_of_moments
 from strataflux.plans.days import DAY, DayLog, Days, day_values, on_days
+from strataflux.plans.moment_log import MomentLog
 from strataflux.plans.swap import gold_table, silver_table
 from strataflux.session import session_zone
 from strataflux.sources.sinks import append_rows
@@ -47,13 +48,21 @@ def add_unseen(spark: SparkSession, layers: Layers, candidates: Days | None) ->
 
 
 def refresh_touched(spark: SparkSession, layers: Layers, since: str, upto: str) -> None:
-    """Summarise again every turbine-day that got readings since the last run."""
-    table = gold_table(spark, layers)
+    """Summarise again every turbine-day that got readings since the last run.
+
+    The moments silver has noted are enough. Days without a note, as silver wrote them before it took
+    any, are read.
+    """
+    table, log = gold_table(spark, layers), MomentLog(spark, layers)
     days = DayLog(spark, layers.touched_days).days(since, upto)
-    silver = silver_table(spark, layers).on(days)
-    moment = batch_moment(since) if since else schemas.FIRST_MARK
-    groups = touched_groups(silver, KEYS, "load_datetime", moment)
-    refreshed = seen(summarise(silver), groups, same_keys(KEYS), target_is_keyed=True)
+    noted = log.days(days, since, upto)
+    refreshed = cast_to_schema(summary_of_moments(log.touched(noted, since, upto)), schemas.GOLD)
+    if others := sorted(set(days) - set(noted)):
+        silver = silver_table(spark, layers).on(others)
+        moment = batch_moment(since) if since else schemas.FIRST_MARK
+        groups = touched_groups(silver, KEYS, "load_datetime", moment)
+        again = seen(summarise(silver), groups, same_keys(KEYS), target_is_keyed=True)
+        refreshed = refreshed.unionByName(again)
     table.merge(refreshed, days, upto)
 
 

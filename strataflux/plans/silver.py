@@ -16,6 +16,7 @@ from strataflux.operators.merge import latest_per_key
 from strataflux.operators.quality import number_notes, reading_rules, with_reason
 from strataflux.plans.bronze import BATCH, read_bronze
 from strataflux.plans.days import DAY, DayLog
+from strataflux.plans.moment_log import MomentLog
 from strataflux.plans.swap import silver_table
 from strataflux.plans.verdicts import record_run, stage_verdicts
 from strataflux.session import session_zone
@@ -107,8 +108,17 @@ def silver(
         replace_partitions(log_rows, layers.error_log, [BATCH], spread="evenly")
         newest = latest_per_key(typed_rows(seen.accepted, zone), schemas.READING_KEYS, ["load_datetime"])
         record_run(spark, layers, upto, seen.counts)
+        noted = MomentLog(spark, layers)
+        noted.forget(days.days(mark, upto), upto)
         days.record(upto, seen.days)
-        table.merge(newest, [] if table.is_new() else seen.days, upto)
+
+        def note(*rows: DataFrame) -> None:
+            if rows:
+                noted.add(*rows, seen.days, upto)
+            else:
+                noted.state(table.on(seen.days), upto)
+
+        table.merge(newest, [] if table.is_new() else seen.days, upto, note)
         if name is not None:
             add_partitions(spark, name, layers.silver, DAY, seen.days)
         table.log.record("silver", upto)

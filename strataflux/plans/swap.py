@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,8 @@ from strataflux.plans.file_swap import FileSwap
 from strataflux.sources.sinks import replace_partitions, stage
 from strataflux.sources.tables import Layers, partition_folders, read_dataset, read_partitions
 
+MergeNote = Callable[..., None]
+
 
 @dataclass(frozen=True)
 class DayTable:
@@ -69,7 +71,7 @@ class DayTable:
         marks[self.name] = staged
         return True
 
-    def merge(self, incoming: DataFrame, days: Days, batch: str) -> None:
+    def merge(self, incoming: DataFrame, days: Days, batch: str, note: MergeNote | None = None) -> None:
         """Upsert rows that hold one row per key; only the days they fall on are touched.
 
         Sound because the day is a function of the key. Days new to the table are written
@@ -77,11 +79,16 @@ class DayTable:
         repeated. Days that exist are merged into a staging path first, and only then are its files
         moved in: should the move break off, the complete days are still at hand. A merged row
         is written once.
+
+        ``note`` is called before the batch counts as staged, with the incoming rows, those held and those
+        merged, or without any where all days were new.
         """
         incoming = incoming.select(*self.stored.names)
         folders = partition_folders(self.spark, self.path, DAY, days) if days else []
         if not folders:
             replace_partitions(incoming, self.path, [DAY], self.keys)
+            if note is not None:
+                note()
             return
         # An upsert uses the incoming rows twice, for their keys and as rows; they are made once.
         ready = self.layers.staging(f"{self.name}_incoming")
@@ -91,6 +98,8 @@ class DayTable:
         touched = self.swap.begin([folder.rpartition("/")[2] for folder in folders], self.stored)
         merged = upsert(incoming, touched, self.keys, source_is_keyed=True)
         stage(merged, self.swap.staged, [DAY], self.keys)
+        if note is not None:
+            note(incoming, touched, read_dataset(self.spark, self.swap.staged, self.stored))
         self.log.record(self.staged_mark, batch)
         if self.swap.finish():
             raise RuntimeError(f"{self.name} was rewritten by another job meanwhile; run this one again")

@@ -64,6 +64,10 @@ class Layers:
     def touched_days(self) -> str:
         return self._at("state", "touched_days")
 
+    @property
+    def moments(self) -> str:
+        return self._at("state", "moments")
+
     @property
     def landed_files(self) -> str:
         return self._at("state", "landed_files")

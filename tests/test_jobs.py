@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strataflux import schemas
 from strataflux.plans import bronze as bronze_plan
-from strataflux.plans import batchlog, days, gold as gold_plan, silver as silver_plan, swap, verdicts
+from strataflux.plans import batchlog, days, gold as gold_plan, moment_log, silver as silver_plan, swap, verdicts
 from strataflux.functions.times import batch_name
 from strataflux.plans.batchlog import BatchLog
 from strataflux.plans.bronze import load_arrivals, read_bronze
@@ -282,6 +282,62 @@ def test_touched_makes_up_for_what_unseen_passed_over(spark, folder):
     assert [r.avg_power_output for r in read_gold(spark, layers).collect()] == [6.0]
 
 
+def expected_gold(spark, layers):
+    return content(gold_plan.summarise(swap.silver_table(spark, layers).rows()).select(*schemas.GOLD.names))
+
+
+def no_reading_of_silver(*args):
+    raise AssertionError("silver was read")
+
+
+def test_touched_gold_takes_moments_and_reads_no_silver(spark, folder, monkeypatch):
+    """Late readings, replaced ones, and both in days that are new, held and untouched."""
+    layers = Layers(folder)
+    steps = [
+        [reading(d, h, t, power=str(d + h / 7)) for d in (1, 2, 3) for h in range(4) for t in ("1", "2")],
+        [reading(1, 7, power="90"), reading(2, 1, power="0.5"), reading(4, 0, power="8"), reading(2, 9, "2", power="3")],
+        [reading(2, 8, power="6.25"), reading(1, 7, power="1"), reading(4, 1, power="8"), reading(3, 0, "3")],
+    ]
+    for number, rows in enumerate(steps):
+        deliver(spark, layers, number, rows, "append")
+        silver(spark, layers)
+        with monkeypatch.context() as patch:
+            patch.setattr(gold_plan, "silver_table", no_reading_of_silver)
+            gold(spark, layers, "touched")
+        assert content(read_gold(spark, layers)) == expected_gold(spark, layers)
+
+
+def test_touched_gold_over_several_batches_and_days_without_notes(spark, folder, monkeypatch):
+    layers = Layers(folder)
+    with monkeypatch.context() as patch:
+        # As silver worked before it took notes.
+        patch.setattr(moment_log.MomentLog, "_write", lambda *args: None)
+        deliver(spark, layers, 0, [reading(d, h, power=str(h + 1.5)) for d in (1, 2, 3) for h in range(3)])
+        silver(spark, layers)
+    gold(spark, layers, "touched")
+    assert content(read_gold(spark, layers)) == expected_gold(spark, layers)
+    for number in (1, 2):
+        deliver(spark, layers, number, [reading(2, 10 + number, power="9"), reading(5, number, "2", power="4")])
+        silver(spark, layers)
+    gold(spark, layers, "touched")
+    assert content(read_gold(spark, layers)) == expected_gold(spark, layers)
+
+
+def test_notes_of_a_broken_off_run_do_not_count(spark, folder, monkeypatch):
+    """Repeated with rules that now reject a day the first attempt had noted."""
+    layers = Layers(folder)
+    run(spark, layers, [[reading(1, 0), reading(2, 0)]])
+    deliver(spark, layers, 1, [reading(1, 1, power="50"), reading(2, 1, power="7")])
+    with monkeypatch.context() as patch:
+        crash_after(patch, moment_log, "replace_partitions")
+        with pytest.raises(Crash):
+            silver(spark, layers)
+    silver(spark, layers, rules={"too much": F.col("power_output").cast("double") < 20})
+    gold(spark, layers, "touched")
+    assert content(read_gold(spark, layers)) == expected_gold(spark, layers)
+    assert sorted(r.avg_power_output for r in read_gold(spark, layers).collect()) == [5.0, 6.0]
+
+
 def test_removed_gold_days_come_back_on_a_search_of_the_whole_table(spark, folder):
     layers = Layers(folder)
     run(spark, layers, [[reading(1, 0)], [reading(2, 0)]], "unseen")
@@ -421,6 +477,7 @@ CRASHES = {
     "rejects written": lambda m: crash_after(m, silver_plan, "replace_partitions"),
     "silver incoming staged": lambda m: crash_after(m, swap, "stage"),
     "silver staged": lambda m: crash_after(m, swap, "stage", 2),
+    "moments noted": lambda m: crash_after(m, moment_log, "replace_partitions"),
     "silver not moved in": lambda m: crash_after(m, FileSwap, "finish", 0),
     "silver half moved in": lambda m: crash_after(m, FileSwap, "_move"),
     "silver written": lambda m: crash_after(m, FileSwap, "finish"),
