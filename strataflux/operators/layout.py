@@ -58,13 +58,26 @@ def interleaved(df: DataFrame, keys: Sequence[str], partitions: int, together: S
     return cut.sortWithinPartitions(*together, "__curve", *keys).drop(*numbers, "__curve", "__row")
 
 
-def even_out(df: DataFrame, together: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
+# A task fills at most about so many folders one after another where their number is known.
+FOLDERS_AT_ONCE = 16
+
+
+def even_out(
+    df: DataFrame, together: Sequence[str] = (), sort_by: Sequence[str] = (), folders: int = 0
+) -> DataFrame:
     """Gather rows of one partition value into few files of the advised size.
 
     A rebalance, not a repartition: at run time Spark merges small partitions and splits
     those above ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, so a day that holds a
     third of the rows is written by many tasks.
+
+    ``folders`` is the number of partition values of rows that are few in each, such as one per group.
+    By their bytes alone one task would get them all and write a folder after the other; many
+    of them are dealt out by number.
     """
-    spread = df.hint("rebalance", *together)
+    if together and folders > FOLDERS_AT_ONCE:
+        spread = df.repartition(-(-folders // FOLDERS_AT_ONCE), *together)
+    else:
+        spread = df.hint("rebalance", *together)
     order = [*together, *[name for name in sort_by if name not in together]]
     return spread.sortWithinPartitions(*order) if order else spread

@@ -15,6 +15,7 @@ from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -52,11 +53,20 @@ class FileSwap:
     def _noted(self) -> str:
         return f"{self.state}/files"
 
+    @cached_property
+    def _new_path(self):
+        """Looked up once: each part of such a name is a call to the JVM, and every file takes several paths."""
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+
+    @cached_property
+    def _file_system(self):
+        return self._at(self.path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     def _at(self, *parts: str):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join(part for part in parts if part))
+        return self._new_path("/".join(part for part in parts if part))
 
     def _system(self):
-        return self._at(self.path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return self._file_system
 
     def _files_in(self, root: str, folder: str) -> dict[str, tuple[int, int]]:
         """Name, length and time of the data files of one folder."""
@@ -67,6 +77,26 @@ class FileSwap:
         found = {status.getPath().getName(): (status.getLen(), status.getModificationTime()) for status in listed}
         return {name: fact for name, fact in found.items() if name[0] not in "_."}
 
+    def _staged_files(self) -> dict[str, list[str]]:
+        """Names of the staged data files by folder, folders of one depth listed at once."""
+        system, found = self._system(), defaultdict(list)
+        if not system.exists(self._at(self.staged)):
+            return found
+
+        def listed(folder: str) -> list[tuple[str, str, bool]]:
+            statuses = system.listStatus(self._at(self.staged, folder))
+            return [(folder, status.getPath().getName(), status.isDirectory()) for status in statuses]
+
+        level = [""]
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            while level:
+                entries = [entry for part in pool.map(listed, level) for entry in part]
+                level = [f"{folder}/{name}".lstrip("/") for folder, name, is_folder in entries if is_folder]
+                for folder, name, is_folder in entries:
+                    if not is_folder and name[0] not in "_.":
+                        found[folder].append(name)
+        return found
+
     def begin(self, folders: Iterable[str], schema: StructType) -> DataFrame:
         """Note the files of some folders and read exactly those."""
         return self.begin_files([(folder, None) for folder in folders], schema)
@@ -103,18 +133,17 @@ class FileSwap:
     def finish(self) -> list[str]:
         """Swap what is staged; the folders that others have changed, which stay as they are."""
         system = self._system()
-        noted, staged = defaultdict(dict), defaultdict(list)
+        noted, staged = defaultdict(dict), self._staged_files()
         for row in read_dataset(self.spark, self._noted, NOTED).collect():
             noted[row["folder"]][row["name"]] = (row["length"], row["modified"])
-        if system.exists(self._at(self.staged)):
-            root = system.makeQualified(self._at(self.staged)).toString().rstrip("/")
-            listing = system.listFiles(self._at(self.staged), True)
-            while listing.hasNext():
-                folder, _, name = listing.next().getPath().toString().removeprefix(root).lstrip("/").rpartition("/")
-                if name[0] not in "_.":
-                    staged[folder].append(name)
 
         def swap(folder: str) -> bool:
+            if folder and not noted[folder] and not system.exists(self._at(self.path, folder)):
+                # Nothing to put it beside, so it moves as a whole.
+                parent = folder.rpartition("/")[0]
+                system.mkdirs(self._at(self.path, parent))
+                self._move(system, parent, folder.rpartition("/")[2])
+                return True
             here = self._files_in(self.path, folder)
             left = [name for name, fact in noted[folder].items() if here.get(name) == fact]
             if staged[folder] and len(left) < len(noted[folder]):

@@ -37,14 +37,15 @@ def add_unseen(spark: SparkSession, layers: Layers, candidates: Days | None) ->
     tables = silver_table(spark, layers), gold_table(spark, layers)
     silver, gold = [table.rows() if candidates is None else table.on(candidates) for table in tables]
     if gold.isEmpty():
-        append_rows(summarise(silver), layers.gold, [DAY], KEYS)
+        append_rows(summarise(silver), layers.gold, [DAY], KEYS, folders=len(candidates or ()))
         return
     groups = silver.select(*KEYS).distinct()
     missing = unseen(groups, gold, same_keys(KEYS), target_is_keyed=True)
     days = day_values(missing)
     if days:
         summary = summarise(silver.where(on_days(days)))
-        append_rows(absent_rows(summary, gold, KEYS, target_is_keyed=True), layers.gold, [DAY], KEYS)
+        added = absent_rows(summary, gold, KEYS, target_is_keyed=True)
+        append_rows(added, layers.gold, [DAY], KEYS, folders=len(days))
 
 
 def refresh_touched(spark: SparkSession, layers: Layers, since: str, upto: str) -> None:

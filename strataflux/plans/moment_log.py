@@ -50,9 +50,9 @@ class MomentLog:
         logged = BatchLog(self.spark, self.layers.batch_log).batches("silver")
         return notes.where(F.col(BATCH) <= upto).join(logged, BATCH, "left_semi")
 
-    def _write(self, notes: DataFrame, batch: str) -> None:
+    def _write(self, notes: DataFrame, days: Days, batch: str) -> None:
         rows = notes.withColumn(BATCH, F.lit(batch)).select(*NOTE.names)
-        replace_partitions(rows, self.layers.moments, [DAY, BATCH], KEYS)
+        replace_partitions(rows, self.layers.moments, [DAY, BATCH], KEYS, folders=len(days))
 
     def forget(self, days: Iterable[date], batch: str) -> None:
         """Remove the notes of a run that broke off: made again, it may touch other days."""
@@ -61,14 +61,14 @@ class MomentLog:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.layers.moments}/{DAY}={day.isoformat()}/{BATCH}={batch}")
             path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
 
-    def state(self, rows: DataFrame, batch: str) -> None:
+    def state(self, rows: DataFrame, days: Days, batch: str) -> None:
         """Note the whole turbine-days of days the batch has written first."""
-        self._write(moments(rows, KEYS, VALUE).withColumn(WHOLE, F.lit(True)), batch)
+        self._write(moments(rows, KEYS, VALUE).withColumn(WHOLE, F.lit(True)), days, batch)
 
     def add(self, incoming: DataFrame, held: DataFrame, merged: DataFrame, days: Days, batch: str) -> None:
         """Note what a merge of ``incoming`` into ``held`` has added, for turbine-days it only added to.
 
-        ``merged`` is looked at for the others alone.
+        ``merged`` is looked at for the others alone, which ``held`` has rows of.
         """
         noted = day_values(self._on(days, batch))
         unknown = held.where(on_days([day for day in days if day not in set(noted)])).select(*KEYS)
@@ -78,7 +78,7 @@ class MomentLog:
         only_added = unseen(moments(incoming, KEYS, VALUE), restated, same_keys(KEYS), target_is_keyed=True)
         whole = moments(seen(merged, restated, same_keys(KEYS), target_is_keyed=True), KEYS, VALUE)
         notes = only_added.withColumn(WHOLE, F.lit(False)).unionByName(whole.withColumn(WHOLE, F.lit(True)))
-        self._write(notes, batch)
+        self._write(notes, days, batch)
 
     def days(self, among: Days, since: str, upto: str) -> list[date]:
         """Which of some days have notes of the batches after one mark and up to another."""

@@ -116,7 +116,7 @@ def silver(
             if rows:
                 noted.add(*rows, seen.days, upto)
             else:
-                noted.state(table.on(seen.days), upto)
+                noted.state(table.on(seen.days), seen.days, upto)
 
         table.merge(newest, [] if table.is_new() else seen.days, upto, note)
         if name is not None:

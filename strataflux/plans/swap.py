@@ -29,6 +29,8 @@ class DayTable:
     path: str
     schema: StructType
     keys: Sequence[str]
+    # One row per group and day, so days take next to no bytes.
+    is_narrow: bool = False
 
     @property
     def stored(self) -> StructType:
@@ -81,25 +83,28 @@ class DayTable:
         is written once.
 
         ``note`` is called before the batch counts as staged, with the incoming rows, those held and those
-        merged, or without any where all days were new.
+        merged on the days held, or without any where all days were new.
         """
         incoming = incoming.select(*self.stored.names)
         folders = partition_folders(self.spark, self.path, DAY, days) if days else []
         if not folders:
-            replace_partitions(incoming, self.path, [DAY], self.keys)
+            replace_partitions(incoming, self.path, [DAY], self.keys, folders=len(days) if self.is_narrow else 0)
             if note is not None:
                 note()
             return
-        # An upsert uses the incoming rows twice, for their keys and as rows; they are made once.
+        # An upsert uses the incoming rows twice, for their keys and as rows; they are made once. They are
+        # always read whole, so no folder for each day.
         ready = self.layers.staging(f"{self.name}_incoming")
-        stage(incoming, ready, [DAY], self.keys)
+        stage(incoming, ready, [], spread="as is")
         incoming = read_dataset(self.spark, ready, self.stored)
         # Only folders of these days are listed, however old the table is.
-        touched = self.swap.begin([folder.rpartition("/")[2] for folder in folders], self.stored)
+        held = [folder.rpartition("/")[2] for folder in folders]
+        touched = self.swap.begin(held, self.stored)
         merged = upsert(incoming, touched, self.keys, source_is_keyed=True)
-        stage(merged, self.swap.staged, [DAY], self.keys)
+        stage(merged, self.swap.staged, [DAY], self.keys, folders=len(days) if self.is_narrow else 0)
         if note is not None:
-            note(incoming, touched, read_dataset(self.spark, self.swap.staged, self.stored))
+            known = [folder.partition("=")[2] for folder in held]
+            note(incoming, touched, read_partitions(self.spark, self.swap.staged, self.stored, DAY, known))
         self.log.record(self.staged_mark, batch)
         if self.swap.finish():
             raise RuntimeError(f"{self.name} was rewritten by another job meanwhile; run this one again")
@@ -110,4 +115,4 @@ def silver_table(spark: SparkSession, layers: Layers) -> DayTable:
 
 
 def gold_table(spark: SparkSession, layers: Layers) -> DayTable:
-    return DayTable(spark, layers, "gold", layers.gold, schemas.GOLD, schemas.SUMMARY_KEYS)
+    return DayTable(spark, layers, "gold", layers.gold, schemas.GOLD, schemas.SUMMARY_KEYS, is_narrow=True)

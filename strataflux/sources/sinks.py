@@ -17,10 +17,10 @@ from strataflux.operators.layout import even_out
 
 
 def append_rows(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), folders: int = 0
 ) -> None:
-    """Add rows in well-sized files."""
-    even_out(df, partition_by, sort_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    """Add rows in well-sized files; ``folders`` as for ``even_out``."""
+    even_out(df, partition_by, sort_by, folders).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def replace_partitions(
@@ -29,6 +29,7 @@ def replace_partitions(
     partition_by: Sequence[str],
     sort_by: Sequence[str] = (),
     spread: str = "by partition",
+    folders: int = 0,
 ) -> None:
     """Swap in the partitions the frame holds and leave all others alone.
 
@@ -36,7 +37,8 @@ def replace_partitions(
     so the frame may read the very partitions it replaces. Writing the same rows again
     gives the same table. ``spread`` says how rows reach the writers: ``"by partition"``
     gathers many partition values into few files each, ``"evenly"`` suits few values, and
-    ``"as is"`` saves the shuffle where the frame is spread well already.
+    ``"as is"`` saves the shuffle where the frame is spread well already. ``folders`` as
+    for ``even_out``.
     """
     if not partition_by:
         raise ValueError("replacing partitions needs partition columns; a whole table is never overwritten")
@@ -44,7 +46,7 @@ def replace_partitions(
     if spread == "as is":
         rows = df.sortWithinPartitions(*order)
     else:
-        rows = even_out(df, partition_by if spread == "by partition" else (), order)
+        rows = even_out(df, partition_by if spread == "by partition" else (), order, folders)
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -77,12 +79,13 @@ def stage(
     partition_by: Sequence[str],
     sort_by: Sequence[str] = (),
     spread: str = "by partition",
+    folders: int = 0,
 ) -> None:
     """Fill a job's own staging path, dropping what an earlier run left there.
 
-    ``spread="as is"`` saves the shuffle where there are few partition values.
+    ``spread="as is"`` saves the shuffle where there are few partition values. ``folders`` as for ``even_out``.
     """
-    rows = df if spread == "as is" else even_out(df, partition_by, sort_by)
+    rows = df if spread == "as is" else even_out(df, partition_by, sort_by, folders)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from datetime import date, timedelta
 from pathlib import Path
 
 import pytest
@@ -8,11 +9,15 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from strataflux.functions.times import batch_name
 from strataflux.operators.layout import order_by_keys
 from strataflux.plans import upkeep
 from strataflux.plans.file_swap import FileSwap
+from strataflux.plans.swap import gold_table
 from strataflux.session import scratch
 from strataflux.sources import sinks
+from strataflux.sources.tables import Layers
+from workloads.data import load_moment
 
 STORED = StructType([StructField("v", LongType()), StructField("p", StringType())])
 
@@ -193,3 +198,56 @@ def test_catalog_table_is_pointed_at_its_new_files(spark, folder):
     upkeep.recluster_table(spark, "upkeep.cut", ["o_custkey"], scratch(spark, "cut"))
     found = spark.read.table("upkeep.cut").select(rows.columns)
     assert found.exceptAll(rows).count() == 0 and found.count() == rows.count()
+
+
+def summaries(spark, first, last, average):
+    """One row per turbine and day, as gold holds them."""
+    return spark.sql(
+        f"""SELECT CAST(turbine AS INT) AS turbine_id, date_add(DATE '2024-01-01', CAST(day AS INT)) AS date,
+            CAST({average} AS DOUBLE) AS avg_power_output, 1.0D AS min_power_output, 9.0D AS max_power_output,
+            false AS is_anomaly
+        FROM range({first}, {last}) AS days(day), range(2) AS turbines(turbine)"""
+    )
+
+
+def test_many_days_of_few_rows_are_written_by_many_tasks(spark, folder):
+    layers = Layers(folder)
+    table = gold_table(spark, layers)
+
+    def merge(first, last, average):
+        days = [date(2024, 1, 1) + timedelta(days=day) for day in range(first, last)]
+        table.merge(summaries(spark, first, last, average), days, batch_name(load_moment(1)))
+
+    def writers():
+        return {path.name.split("-")[1] for path in Path(layers.gold).glob("date=*/*.parquet")}
+
+    merge(0, 40, 2)
+    assert len(writers()) > 1
+    merge(30, 80, 3)
+    assert len(writers()) > 1
+    files = Counter(path.parent.name for path in Path(layers.gold).glob("date=*/*.parquet"))
+    assert len(files) == 80 and set(files.values()) == {1}
+    assert not list(Path(layers.staging("gold_incoming")).glob("date=*"))
+    wanted = summaries(spark, 0, 30, 2).unionByName(summaries(spark, 30, 80, 3))
+    assert sorted(table.rows().select(*wanted.columns).collect()) == sorted(wanted.collect())
+
+
+def test_a_new_folder_moves_in_as_a_whole(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    sinks.append_rows(spark.range(4).selectExpr("id AS v", "'old' AS p"), path, ["p"])
+    swap, moved, real = FileSwap(spark, path, f"{folder}/state"), [], FileSwap._move
+    rows = swap.begin(["p=old"], STORED)
+    new = spark.range(10, 16).selectExpr("id AS v", "'new/a b' AS p").repartition(3)
+    sinks.stage(rows.unionByName(new), swap.staged, ["p"], spread="as is")
+    staged = [file.parent.name for file in Path(swap.staged).glob("p=*/*.parquet")]
+    assert staged.count("p=new%2Fa b") > 1
+
+    def noted(self, *args):
+        moved.append(args[1:])
+        real(self, *args)
+
+    monkeypatch.setattr(FileSwap, "_move", noted)
+    assert swap.finish() == []
+    assert [place for place in moved if place[0] != "p=old"] == [("", "p=new%2Fa b")]
+    found = spark.read.schema(STORED).parquet(path)
+    assert sorted(row["v"] for row in found.collect()) == [0, 1, 2, 3, *range(10, 16)]
